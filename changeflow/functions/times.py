@@ -1,5 +1,9 @@
 """The two time formats found in change files."""
 
+from __future__ import annotations
+
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +29,11 @@ def read_time(text: Column) -> Column:
     return F.coalesce(text.try_cast("timestamp_ntz"), F.when(text.rlike(OLD_FORMAT), old.try_cast("timestamp_ntz")))
 
 
+def moment(when: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal, the same in every session time zone."""
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def write_time(moment: Column) -> Column:
     """ISO text, which keeps the afternoon."""
     return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")

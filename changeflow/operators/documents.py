@@ -12,12 +12,15 @@ from ..schemas import DOCUMENT_REPLY
 CLIENT_IMAGE = "0002"
 
 
-def pending_documents(images: DataFrame, scanner: str | None = None) -> DataFrame:
-    """Images not sent yet, oldest first; of one scanning branch, or of all."""
+def pending_documents(images: DataFrame, scanner: str | None = None, ordered: bool = True) -> DataFrame:
+    """Images not sent yet, oldest first; of one scanning branch, or of all.
+
+    Leave the order out before the bytes are joined, or they are sorted with the rows.
+    """
     rows = images.filter(F.col("cImgeStat") == "0")
     if scanner is not None:
         rows = rows.filter(F.col("sScanndID") == scanner)
-    return rows.orderBy("dImgeDate", "sClientID", "sImageNme")
+    return rows.orderBy("dImgeDate", "sClientID", "sImageNme") if ordered else rows
 
 
 def document_payload(pending: DataFrame) -> DataFrame:

@@ -11,9 +11,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import branch_of
+from ..functions import branch_of, moment
 from ..session import settle
-from .windows import KNOWN, RECEIVED
+from .windows import KNOWN, RECEIVED, with_branch
 
 IDENTITY = ["sTransNox", "sModified"]
 
@@ -56,9 +56,21 @@ def hash_reconcile(own: DataFrame, peer: DataFrame) -> DataFrame:
     return mine.join(theirs, "sFileName", "full").select("sFileName", status.alias("sStatusxx"))
 
 
+def only_touched_branches(log: DataFrame, rows: DataFrame, most: int = 1000) -> DataFrame:
+    """A log stored by branch, cut to the branches that occur in the rows, so other folders are not read.
+
+    At most ``most`` + 1 branch codes reach the driver. With more branches than that, or a log
+    without the branch column, the log is returned as it is.
+    """
+    if "branch" not in log.columns:
+        return log
+    touched = [r[0] for r in rows.select(branch_of("sTransNox")).distinct().limit(most + 1).collect()]
+    return log.filter(F.col("branch").isin(touched)) if len(touched) <= most else log
+
+
 def drop_seen_changes(rows: DataFrame, log: DataFrame) -> DataFrame:
     """Rows whose (key, modifier) the log does not hold; only those two columns of the log are read."""
-    return rows.join(log.select(*IDENTITY), IDENTITY, "left_anti")
+    return rows.join(only_touched_branches(log, rows).select(*IDENTITY), IDENTITY, "left_anti")
 
 
 def drop_repeats_in_batch(rows: DataFrame) -> DataFrame:
@@ -146,7 +158,9 @@ def accepted_prefix(classified: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFr
 
 def append_change_log(log: DataFrame, accepted: DataFrame, imported: datetime) -> DataFrame:
     """New log: the old rows and the accepted ones, whose dModified becomes the time of import."""
-    stamped = accepted.withColumn("dModified", F.lit(imported).cast("timestamp_ntz"))
+    if "branch" in log.columns:
+        accepted = with_branch(accepted)
+    stamped = accepted.withColumn("dModified", moment(imported))
     return log.unionByName(stamped.select(*log.columns))
 
 

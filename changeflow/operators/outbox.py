@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import moment
+
 # Source code and state of a document that can be uploaded, and the reason texts.
 SHEET_SOURCE, CLOSED = "DCPx", "1"
 NOT_FOR_UPLOAD = "Transaction status is not for upload."
@@ -69,7 +71,7 @@ def mark_sent(queue: DataFrame, outcomes: DataFrame, sent: datetime) -> DataFram
         .withColumns(
             {
                 "cSendStat": F.when(F.col("_done"), "1").otherwise(F.col("cSendStat")),
-                "dSentDate": F.when(F.col("_done"), F.lit(sent).cast("timestamp_ntz")).otherwise(F.col("dSentDate")),
+                "dSentDate": F.when(F.col("_done"), moment(sent)).otherwise(F.col("dSentDate")),
             }
         )
         .select(*queue.columns)

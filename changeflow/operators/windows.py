@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import branch_of, dense_position
+from ..functions import branch_of, dense_position, moment
 from ..schemas import CHANGE_FIELDS
 from ..session import settle
 
@@ -155,7 +155,7 @@ def manifest_of(rows: DataFrame, created: datetime) -> DataFrame:
     """New manifest rows in state 0 for written batches; pass stored rows to avoid a second scan."""
     return batch_summary(rows).select(
         "sFileName", "sLogFromx", "sLogThrux", "nRowsxxxx", F.col("sCheckSum").alias("sMD5Hashx"),
-        F.lit(MADE).alias("cTranStat"), F.lit(created).cast("timestamp_ntz").alias("dCreatedx"),
+        F.lit(MADE).alias("cTranStat"), moment(created).alias("dCreatedx"),
         F.lit(None).cast("timestamp_ntz").alias("dExported"),
     )
 

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import moment
 from ..operators import ingest, windows
 from ..sources import batches
 
@@ -27,7 +28,7 @@ def confirm(outgoing: DataFrame, peer: DataFrame, checked: datetime) -> DataFram
     """New outgoing manifest after the peer reported its hashes: equal ones are verified."""
     matched = ingest.hash_reconcile(outgoing, peer).filter("sStatusxx = 'match'")
     acks = matched.select(
-        "sFileName", F.lit("verified").alias("sEvent"), F.lit(checked).cast("timestamp_ntz").alias("dEventxxx")
+        "sFileName", F.lit("verified").alias("sEvent"), moment(checked).alias("dEventxxx")
     )
     return windows.advance_outgoing(outgoing, acks)
 

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import branch_of
 
 
 def scan_change_log(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The stored log. Filters and column choice reach the Parquet scan."""
-    log = spark.read.parquet(path)
+    """The stored log. Filters and column choice reach the Parquet scan.
+
+    The branch folder names are read as text, or '0012' would become the number 12.
+    """
+    stored = spark.read.parquet(path).schema
+    fields = [T.StructField("branch", T.StringType()) if f.name == "branch" else f for f in stored.fields]
+    log = spark.read.schema(T.StructType(fields)).parquet(path)
     return log if columns is None else log.select(*columns)
 
 

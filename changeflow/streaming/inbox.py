@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import branch_of
+from ..functions import branch_of, moment
 from ..operators import ingest
 from ..schemas import CHANGE
 
@@ -23,7 +24,6 @@ INBOX_SCHEMA = ", ".join(
 def logged_before(spark: SparkSession, log_path: str, batch_id: int) -> DataFrame:
     """Log rows of earlier micro-batches; a replay must not see its own first try."""
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in CHANGE.fields)}, batch_id bigint, branch string"
-    # The folder of micro-batch 0 does not exist yet when the first one runs.
     return spark.read.schema(schema).option("basePath", log_path).parquet(log_path).filter(F.col("batch_id") < batch_id)
 
 
@@ -32,19 +32,24 @@ def import_micro_batch(
 ) -> None:
     """Accept, de-duplicate and log one micro-batch into ``batch_id=N``, overwriting an earlier try of it."""
     spark = rows.sparkSession
-    classified = ingest.classify_errors(rows)
-    accepted = ingest.accepted_prefix(classified, chunk).filter("bDurablex")
-    fresh = ingest.drop_repeats_in_batch(accepted)
-    if batch_id > 0:
-        fresh = ingest.drop_seen_changes(fresh, logged_before(spark, log_path, batch_id))
-    out = fresh.select(*[f.name for f in CHANGE.fields]).withColumn("dModified", F.lit(imported).cast("timestamp_ntz"))
-    (
-        out.withColumn("branch", branch_of("sTransNox"))
-        .hint("rebalance", F.col("branch"))
-        .write.mode("overwrite")
-        .partitionBy("branch")
-        .parquet(f"{log_path}/batch_id={batch_id}")
-    )
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read for the stops and again for the rows
+    try:
+        classified = ingest.classify_errors(rows)
+        accepted = ingest.accepted_prefix(classified, chunk).filter("bDurablex")
+        fresh = ingest.drop_repeats_in_batch(accepted)
+        if batch_id > 0:
+            fresh = ingest.drop_seen_changes(fresh, logged_before(spark, log_path, batch_id))
+        out = fresh.select(*[f.name for f in CHANGE.fields]).withColumn("dModified", moment(imported))
+        (
+            out.withColumn("branch", branch_of("sTransNox"))
+            .hint("rebalance", F.col("branch"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("branch")
+            .parquet(f"{log_path}/batch_id={batch_id}")
+        )
+    finally:
+        rows.unpersist()
 
 
 def stream_import(

@@ -15,8 +15,8 @@ OUTCOME = """case when nErrorNox = 0 then 'ok'
                   when nErrorNox in (1022, 1062, 1690, 1264, 1406, 1064, 1072, 1060) then 'ignore' else 'report' end"""
 SEEN = "exists (select 1 from v_seen s where s.sTransNox = i.sTransNox and s.sModified = i.sModified)"
 
-# Small commits, so that every file has several.
-CHUNK = 100
+# Rows per commit; positions in the files have gaps, so a file of a few hundred rows spans many commits.
+CHUNK = 10_000
 
 
 @query("pending_imports", "select * from v_inbox where cTranStat = '1' order by dReceived")
@@ -164,15 +164,16 @@ STREAMED = f"""
     select distinct sTransNox, sModified, sTableNme, left(sTransNox, 4) as branch
       from v_incoming i join (select sFileName as f, min(case when {OUTCOME} = 'report' then pos end) as stop
                                 from v_incoming group by 1) s on i.sFileName = s.f
-     where nErrorNox = 0 and (stop is null or pos <= (stop - 1) // 10000 * 10000)"""
+     where nErrorNox = 0 and (stop is null or pos <= (stop - 1) // {CHUNK} * {CHUNK})"""
 
 
 @query("stream_import", STREAMED)
 def stream_import(t):
     spark = t.spark
     arriving, log = new_folder(spark, "inbox"), new_folder(spark, "log")
-    # Whole batches per file, several files and so several micro-batches.
-    t.incoming.repartition(8, "sFileName").write.json(arriving)
-    run = inbox.stream_import(spark, arriving, log, new_folder(spark, "stream"), NOW, files_per_batch=3)
+    # Whole batches per file, and several micro-batches.
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t.incoming.repartition(files, "sFileName").write.json(arriving)
+    run = inbox.stream_import(spark, arriving, log, new_folder(spark, "stream"), NOW, files_per_batch=files // 3 + 1)
     run.awaitTermination()
     return spark.read.parquet(log).select("sTransNox", "sModified", "sTableNme", "branch")

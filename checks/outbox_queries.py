@@ -85,7 +85,7 @@ def upload_master(t):
          from v_sheet s left join (
               select sTransNox, (nEntryNox - 1) // 4 as part, cast(count(*) as integer) as n,
                      concat('[', string_agg(concat('{"nEntryNox":', nEntryNox, ',"sAcctNmbr":"', sAcctNmbr, '","cPaymForm":"',
-                            cPaymForm, '"}'), ',' order by nEntryNox), ']') as lines
+                            cPaymForm, '"}'), ',' order by nEntryNox, sAcctNmbr, cPaymForm), ']') as lines
                 from v_line group by 1, 2) d on s.sTransNox = d.sTransNox""",
 )
 def nest_master_detail(t):
@@ -128,7 +128,7 @@ def read_documents(t):
 
 
 def payloads(t):
-    pending = documents.pending_documents(t.image).withColumn("content", F.encode("body", "UTF-8"))
+    pending = documents.pending_documents(t.image, ordered=False).withColumn("content", F.encode("body", "UTF-8"))
     return documents.document_payload(pending)
 
 
@@ -160,7 +160,7 @@ def decode_payload(t):
     f"select {IMAGE.replace('cImgeStat', chr(39) + '1' + chr(39) + ' as cImgeStat')}, body from v_image",
 )
 def mark_documents_sent(t):
-    return documents.mark_documents_sent(t.image, documents.pending_documents(t.image))
+    return documents.mark_documents_sent(t.image, documents.pending_documents(t.image, ordered=False))
 
 
 KEPT = """left(sTransNox, 4) = 'M001' or dModified > timestamp '2000-12-01 00:00:00'

@@ -78,11 +78,11 @@ VIEWS = {
                                cast(floor(cast(substring(sTransNox, 5, 12) as bigint) / 4000) as bigint)) g
                   join v_branch b on g.br = b.sBranchCd and b.cRecdStat = '1') y""",
     # Incoming rows: one per order line, in one file per supplier; an order's lines repeat its change.
+    # Positions grow with the order and have gaps.
     "v_incoming": f"""
         select concat({code("l_suppkey")}, '20010101000000') as sFileName,
-               cast(row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey, l_returnflag,
-                    l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_linestatus) as bigint) as pos,
-               min(l_shipdate) over (partition by l_suppkey) as dReceived,
+               l_orderkey * 8 + l_linenumber as pos,
+               cast(case when l_suppkey % 2 = 0 then '2001-01-02' else '2001-01-01' end as date) as dReceived,
                sTransNox, sBranchCd, sStatemnt, sTableNme, sDestinat, concat('U', l_returnflag) as sModified,
                dEntryDte, dModified,
                case when l_quantity = 50 and l_discount >= 0.095 and l_tax >= 0.075 then 1451
@@ -96,7 +96,7 @@ VIEWS = {
     "v_inbox": """
         select sFileName, md5(sFileName) as sMD5Hashx, cast(count(*) as varchar(20)) as sFileSize,
                min(dModified) as dCreatedx, case when max(nErrorNox) > 1062 then '0' else '1' end as cTranStat,
-               min(dReceived) as dReceived, case when 1 = 0 then min(dReceived) end as dImported
+               max(dModified) as dReceived, case when 1 = 0 then max(dModified) end as dImported
           from v_incoming group by sFileName""",
     # Send queue: one row per order; sent, unsent, and one unknown source.
     "v_queue": f"""
@@ -107,7 +107,7 @@ VIEWS = {
                case when o_orderpriority = '1-URGENT' then '1' else '0' end as cSendStat,
                case when o_orderpriority = '1-URGENT' then o_orderdate end as dSentDate
           from orders""",
-    # Collection sheets (orders) and their lines (order lines, numbered; an account per part).
+    # Collection sheets (orders) and their lines (order lines; an account per part).
     "v_sheet": f"""
         select concat({code(CUSTOMER_BRANCH)}, {text("o_orderkey", 12)}) as sTransNox, cast(o_orderdate as date) as dTransact,
                concat('R', {text("o_orderkey")}) as sReferNox, cast(o_orderdate as date) as dReferDte,
@@ -117,10 +117,7 @@ VIEWS = {
                o_orderdate as dModified
           from orders""",
     "v_line": f"""
-        select sTransNox,
-               cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity,
-                    l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) as int) as nEntryNox,
-               {text("l_partkey")} as sAcctNmbr, l_returnflag as cPaymForm,
+        select sTransNox, l_linenumber as nEntryNox, {text("l_partkey")} as sAcctNmbr, l_returnflag as cPaymForm,
                case when l_linestatus = 'F' then '1' else '0' end as cIsDCPxxx, l_shipdate as dModified
           from lineitem join v_sheet on cast(substring(sTransNox, 5, 12) as bigint) = l_orderkey""",
     # Field entries: one per line, with JSON text inside a text column.

@@ -25,7 +25,7 @@ def numbered_batches(t):
 @query("read_change_batch", BATCH_SQL)
 def read_change_batch(t):
     path = new_folder(t.spark, "batch")
-    batches.write_change_batch(numbered_batches(t), path, layout="array", rows_per_file=100)
+    batches.write_change_batch(numbered_batches(t), path, layout="array")
     return batches.read_change_batch(t.spark, path)
 
 
