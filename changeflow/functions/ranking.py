@@ -1,13 +1,23 @@
-"""Dense numbering of keys inside a group without one task per group."""
+"""First rows and dense numbering inside a group, without loading one task with a hot group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
 
 
+def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in the given order.
+
+    Spark keeps only the first row of each key in every task before the shuffle (WindowGroupLimit),
+    so a key that holds a third of all rows sends one row per task.
+    """
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter("_rank = 1").drop("_rank")
+
+
 def dense_position(
     df: DataFrame,
     group: list[str],

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import branch_of, moment
+from ..functions import branch_of, first_row, moment
 from ..session import settle
 from .windows import KNOWN, RECEIVED, with_branch
 
@@ -24,11 +24,6 @@ IGNORED_ERRORS = (1022, 1062, 1690, 1264, 1406, 1064, 1072, 1060)
 DEFAULT_CHUNK, RESUMABLE_CHUNK = 10_000, 1_000
 
 
-def file_order() -> Column:
-    """Order in which incoming rows are read: file received first, then file name, then position."""
-    return F.struct("dReceived", "sFileName", "pos")
-
-
 def pending_imports(incoming: DataFrame) -> DataFrame:
     """Received batches, the one received first at the top."""
     return incoming.filter(F.col("cTranStat") == RECEIVED).orderBy("dReceived", "sFileName")
@@ -76,13 +71,10 @@ def drop_seen_changes(rows: DataFrame, log: DataFrame) -> DataFrame:
 def drop_repeats_in_batch(rows: DataFrame) -> DataFrame:
     """The first applied row of each (key, modifier); failed rows are not logged, so they are set aside.
 
-    Written as an aggregate: tasks reduce their own repeats before the shuffle, so a change repeated
-    over and over does not load one task.
+    Rows are taken in the order in which they are read: file received first, file name, position.
     """
-    rest = [c for c in rows.columns if c not in IDENTITY]
     applied = rows.filter(F.col("nErrorNox") == 0)
-    first = applied.groupBy(*IDENTITY).agg(F.min_by(F.struct(*rest), file_order()).alias("row"))
-    return first.select(*IDENTITY, "row.*").select(*rows.columns)
+    return first_row(applied, IDENTITY, [F.col("dReceived"), F.col("sFileName"), F.col("pos")])
 
 
 def classify_errors(
@@ -170,10 +162,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     ``changes`` has the target's columns, sActionxx ('upsert' or 'delete'), dModified and sTransNox.
     """
     values = [c for c in target.columns if c not in keys]
-    order = F.struct("dModified", "sTransNox")
-    latest = changes.groupBy(*keys).agg(
-        F.max_by(F.struct("sActionxx", *values), order).alias("_new")
-    )
+    newest = first_row(changes, keys, [F.col("dModified").desc(), F.col("sTransNox").desc()])
+    latest = newest.select(*keys, F.struct("sActionxx", *values).alias("_new"))
     old = target.select(*keys, F.struct(*values).alias("_old"))
     merged = old.join(latest, keys, "full").filter(F.coalesce(F.col("_new.sActionxx"), F.lit("")) != "delete")
     changed = F.col("_new").isNotNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import area_of, branch_of, client_prefix
+from ..functions import area_of, branch_of, client_prefix, first_row
 from ..session import settle
 from .windows import last_key_per_branch, with_branch
 
@@ -114,9 +114,8 @@ def apply_order(log: DataFrame, cap: int | None = None) -> DataFrame:
 
 def advance_client_watermark(clients: DataFrame, requests: DataFrame) -> DataFrame:
     """New client registry: sExportNo raised to the answered sExportTr, never lowered, compared case-blind."""
-    answered = requests.groupBy("sClientID").agg(
-        F.max_by("sExportTr", F.struct(F.lower("sExportTr"), F.col("sExportTr"))).alias("_new")
-    )
+    highest = first_row(requests, ["sClientID"], [F.lower("sExportTr").desc(), F.col("sExportTr").desc()])
+    answered = highest.select("sClientID", F.col("sExportTr").alias("_new"))
     higher = F.lower("_new") > F.lower(F.coalesce("sExportNo", F.lit("")))
     return (
         clients.join(answered, "sClientID", "left")

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import branch_of, dense_position, moment
+from ..functions import branch_of, dense_position, first_row, moment
 from ..schemas import CHANGE_FIELDS
 from ..session import settle
 
@@ -32,7 +32,8 @@ def branch_scan(log: DataFrame, branch: str, first: str, last: str) -> DataFrame
 def branch_window_scan(log: DataFrame, windows: DataFrame) -> DataFrame:
     """Rows inside their branch's window (branch, sLogFromx, sLogThrux), both ends included.
 
-    Other columns of ``windows`` are carried along. The branch is an equality key, so this is a
+    Other columns of ``windows`` are carried along. Pass a stored table, or ``settle`` a derived one,
+    so that Spark knows its size. The branch is an equality key, so this is a
     hash join with the bounds as residual, never a nested loop.
     """
     joined = with_branch(log).join(windows, "branch")
@@ -53,10 +54,8 @@ def last_key_per_branch(log: DataFrame) -> DataFrame:
 
 def _newest(batches: DataFrame, by: list[str]) -> DataFrame:
     """One whole manifest row per branch, the highest by the given columns."""
-    columns = F.struct(*[F.col(c) for c in batches.columns if c != "branch"])
-    order = F.struct(*[F.col(c) for c in by])
     rows = batches.withColumn("branch", branch_of("sFileName"))
-    return rows.groupBy("branch").agg(F.max_by(columns, order).alias("row")).select("branch", "row.*")
+    return first_row(rows, ["branch"], [F.col(c).desc() for c in by])
 
 
 def latest_batch(outgoing: DataFrame) -> DataFrame:
@@ -80,7 +79,7 @@ def _touched(batch: str = "dCreatedx") -> Column:
 
 def first_touched_key(log: DataFrame, batches: DataFrame) -> DataFrame:
     """Lowest key of each branch's batch window that changed since the batch was made."""
-    window = batches.select("branch", "sLogFromx", "sLogThrux", "dCreatedx")
+    window = settle(batches.select("branch", "sLogFromx", "sLogThrux", "dCreatedx"))
     rows = with_branch(log).select("branch", "sTransNox", "dModified").join(window, "branch").filter(_touched())
     return rows.groupBy("branch").agg(F.min("sTransNox").alias("sTouched"))
 
@@ -91,10 +90,13 @@ def export_window(log: DataFrame, outgoing: DataFrame, clients: DataFrame) -> Da
     From: the first key of the last sent window (states 2 and 4, newest by creation) changed since,
     else that window's end, else the client's start key; with several clients the smallest start
     is taken, as the receiver drops what it has. Thru: the branch's last key. Pending when both are
-    there and from < thru. The log is read once, for both the last and the touched key.
+    there and from < thru. The log is read once, for both the last and the touched key, and joined
+    with one stored row per branch.
     """
-    last = latest_batch_in_states(outgoing, [VERIFIED, ARCHIVED], by="dCreatedx").select(
-        "branch", "sLogFromx", "sLogThrux", "dCreatedx"
+    last = settle(
+        latest_batch_in_states(outgoing, [VERIFIED, ARCHIVED], by="dCreatedx").select(
+            "branch", "sLogFromx", "sLogThrux", "dCreatedx"
+        )
     )
     scan = with_branch(log).select("branch", "sTransNox", "dModified").join(last, "branch", "left")
     keys = scan.groupBy("branch").agg(

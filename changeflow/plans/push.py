@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import moment
 from ..operators import ingest, windows
+from ..session import settle
 from ..sources import batches
 
 
@@ -37,6 +38,6 @@ def archive(
     log: DataFrame, outgoing: DataFrame, as_of: date, last_runs: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Rows to archive of every branch that is due, and the new outgoing manifest."""
-    due = windows.archive_window(outgoing, as_of, last_runs)
+    due = settle(windows.archive_window(outgoing, as_of, last_runs))
     rows = windows.branch_window_scan(log, due.withColumnRenamed("sFileThru", "sFileName").drop("sFileFrom"))
     return rows, windows.mark_archived(outgoing, due)

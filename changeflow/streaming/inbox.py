@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import branch_of, moment
+from ..functions import moment
 from ..operators import ingest
 from ..schemas import CHANGE
 
@@ -23,8 +24,8 @@ INBOX_SCHEMA = ", ".join(
 
 def logged_before(spark: SparkSession, log_path: str, batch_id: int) -> DataFrame:
     """Log rows of earlier micro-batches; a replay must not see its own first try."""
-    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in CHANGE.fields)}, batch_id bigint, branch string"
-    return spark.read.schema(schema).option("basePath", log_path).parquet(log_path).filter(F.col("batch_id") < batch_id)
+    schema = T.StructType([*CHANGE.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(log_path).filter(F.col("batch_id") < batch_id)
 
 
 def import_micro_batch(
@@ -40,13 +41,9 @@ def import_micro_batch(
         if batch_id > 0:
             fresh = ingest.drop_seen_changes(fresh, logged_before(spark, log_path, batch_id))
         out = fresh.select(*[f.name for f in CHANGE.fields]).withColumn("dModified", moment(imported))
-        (
-            out.withColumn("branch", branch_of("sTransNox"))
-            .hint("rebalance", F.col("branch"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("branch")
-            .parquet(f"{log_path}/batch_id={batch_id}")
+        # No folder per branch: branches times micro-batches would make too many small files.
+        out.hint("rebalance").sortWithinPartitions("sTransNox").write.mode("overwrite").parquet(
+            f"{log_path}/batch_id={batch_id}"
         )
     finally:
         rows.unpersist()

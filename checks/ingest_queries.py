@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from changeflow.functions import branch_of
 from changeflow.operators import ingest
 from changeflow.plans import pull
 from changeflow.session import new_folder
@@ -176,4 +177,4 @@ def stream_import(t):
     t.incoming.repartition(files, "sFileName").write.json(arriving)
     run = inbox.stream_import(spark, arriving, log, new_folder(spark, "stream"), NOW, files_per_batch=files // 3 + 1)
     run.awaitTermination()
-    return spark.read.parquet(log).select("sTransNox", "sModified", "sTableNme", "branch")
+    return spark.read.parquet(log).select("sTransNox", "sModified", "sTableNme", branch_of("sTransNox").alias("branch"))
