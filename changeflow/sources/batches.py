@@ -46,7 +46,7 @@ def read_change_batch(spark: SparkSession, path: str) -> DataFrame:
     short and names them by batch and first position, which is read back here. Files of other
     makers are named by batch alone and start at position 1.
     """
-    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     source = F.col("_metadata.file_path")
     batch = F.regexp_extract(source, r"sFileName=([^/]+)/", 1)
     plain = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.(json|jbr|txt))?(\.gz)?$", 1)

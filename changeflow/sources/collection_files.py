@@ -24,9 +24,7 @@ def write_collection_doc(nested: DataFrame, path: str) -> None:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as sFileName and value."""
-    return spark.read.option("wholetext", True).text(path).select(
-        F.col("_metadata.file_name").alias("sFileName"), "value"
-    )
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("sFileName"), "value")
 
 
 def _parsed(texts: DataFrame, member: str) -> DataFrame:

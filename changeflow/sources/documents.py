@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def read_documents(spark: SparkSession, path: str, images: DataFrame) -> DataFrame:
     """Manifest rows with the bytes of their files (sImagePth/sImageNme); rows without a file are left out.
 
-    Paths are compared without the scheme and host. A manifest that Spark sees to be small is
+    Spark's file sources pass over files of no bytes, so these count as missing. Paths are compared without the scheme and host. A manifest that Spark sees to be small is
     broadcast, so the bytes are not shuffled.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -1,0 +1,80 @@
+"""Every expected number here was worked out by hand from the rules, for 15 June 2001."""
+
+from datetime import date
+
+import pytest
+
+from changeflow.operators import ageing
+from changeflow.plans.ageing import age_requested
+from helpers import rows
+
+TODAY = date(2001, 6, 15)
+MONEY = "nGrossPrc nDownPaym nCashBalx nMonAmort nDebtTotl nDownTotl nCashTotl nPaymTotl nRebTotlx nCredTotl nAmtDuexx".split()
+SCHEMA = (
+    "sAcctNmbr string, dFirstPay date, dDueDatex date, nAcctTerm int, cLoanType string, cAcctStat string, "
+    + ", ".join(f"{m} double" for m in MONEY)
+)
+
+
+def account(first="2001-01-10", term=12, due="2001-12-31", loan="1", state="0", key="x", **money):
+    values = {"nGrossPrc": 1200.0, "nMonAmort": 100.0} | money
+    return (key, date.fromisoformat(first), date.fromisoformat(due), term, loan, state, *[values.get(m, 0.0) for m in MONEY])
+
+
+# given account -> term, balance, amount due, delay
+CASES = {
+    "six instalments due, three paid": (account(nPaymTotl=300.0), (6, 900.0, 300.0, 3.0)),
+    "day of month not reached": (account("2001-01-20", nPaymTotl=300.0), (5, 900.0, 200.0, 2.0)),
+    "day of month is today": (account("2001-01-15", nPaymTotl=300.0), (5, 900.0, 200.0, 2.0)),
+    "first payment less than thirty days ago": (account("2001-06-01"), (0, 1200.0, 0.0, 0.0)),
+    "first payment in the future": (account("2001-08-01"), (-1, 1200.0, -100.0, -1.0)),
+    "first payment tomorrow": (account("2001-06-16"), (0, 1200.0, 0.0, 0.0)),
+    "past the agreed term": (account("2000-01-10"), (12, 1200.0, 1200.0, 12.0)),
+    "due is capped, delay is not": (
+        account("2000-01-10", nGrossPrc=1000.0, nDownPaym=500.0), (12, 1000.0, 1000.0, 17.0),
+    ),
+    "all kinds of payment and a debit": (
+        account(nDebtTotl=50.0, nDownTotl=10.0, nCashTotl=20.0, nPaymTotl=30.0, nRebTotlx=40.0, nCredTotl=50.0),
+        (6, 1100.0, 500.0, 5.0),
+    ),
+    "half a cent below zero rounds up": (
+        account("2001-05-10", nGrossPrc=12000.0, nMonAmort=1000.0, nPaymTotl=2025.0), (2, 9975.0, -25.0, -0.02),
+    ),
+    "no instalment, due date ahead": (account(nMonAmort=0.0, nDownPaym=100.0), (6, 1200.0, 100.0, 0.0)),
+    "no instalment, due date past": (account(due="2001-06-14", nMonAmort=0.0, nDownPaym=100.0), (6, 1200.0, 100.0, 1.0)),
+    "no instalment, nothing due": (account(nMonAmort=0.0), (6, 1200.0, 0.0, 0.0)),
+    "no instalment, overpaid": (account(nMonAmort=0.0, nPaymTotl=10.0), (6, 1190.0, -10.0, None)),
+    "missing amounts are zero": (account(nDebtTotl=None, nPaymTotl=None, nCashBalx=None), (6, 1200.0, 600.0, 6.0)),
+    "cash, due date ahead": (account(term=0, due="2001-06-16", nAmtDuexx=77.0), (None, None, 77.0, 0.0)),
+    "cash, due date today": (account(term=0, due="2001-06-15", nAmtDuexx=77.0), (None, None, 77.0, 1.0)),
+}
+
+
+@pytest.fixture(scope="module")
+def aged(spark):
+    data = [(name, *given[1:]) for name, (given, _) in CASES.items()]
+    result = ageing.account_ageing(spark.createDataFrame(data, SCHEMA), TODAY)
+    return {r.sAcctNmbr: (r.acctterm, r.abalance, r.amtduexx, r.delayavg) for r in result.collect()}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_case(aged, name):
+    assert aged[name] == CASES[name][1]
+
+
+def test_cash_accounts_alone(spark):
+    data = [account(term=0, due="2001-06-16", key="a", nAmtDuexx=5.0), account(key="b")]
+    assert rows(ageing.cash_account_delay(spark.createDataFrame(data, SCHEMA), TODAY)) == [("a", 0.0, 5.0)]
+
+
+def test_requests_that_cannot_be_answered(spark):
+    accounts = spark.createDataFrame(
+        [account(key="open"), account(key="closed", state="1"), account(key="other", loan="4")], SCHEMA
+    )
+    asked = spark.createDataFrame([("open",), ("closed",), ("other",), ("",), (None,), ("gone",)], "sAcctNmbr string")
+    done, errors = age_requested(asked, accounts, TODAY)
+    assert rows(done, "sAcctNmbr") == [("open",)]
+    assert rows(errors, "sAcctNmbr", "sErrCodex", "sMessagex") == [
+        (None, "100", ageing.NO_ACCOUNT), ("", "100", ageing.NO_ACCOUNT), ("closed", "100", ageing.NO_RECORD),
+        ("gone", "100", ageing.NO_RECORD), ("other", "100", ageing.NO_RECORD),
+    ]

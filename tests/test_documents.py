@@ -1,0 +1,64 @@
+import base64
+import hashlib
+import json
+
+from changeflow.operators import documents
+from changeflow.sources import documents as source
+from helpers import day, rows
+
+IMAGE = (
+    "sClientID string, sImageNme string, sMD5Hashx string, dImgeDate timestamp_ntz, sImagePth string, cImgeStat string, "
+    "sScanndID string"
+)
+LONG = bytes(range(256)) * 2
+
+
+def images(spark, folder):
+    return spark.createDataFrame(
+        [
+            ("C1", "a.jpg", "", day(3), folder, "0", "A001"), ("C2", "b.jpg", None, day(1), folder + "/", "0", "A001"),
+            ("C3", "c.jpg", "given", day(2), folder, "0", "A001"), ("C4", "missing.jpg", "", day(2), folder, "0", "A001"),
+            ("C5", "a.jpg", "", day(2), folder, "1", "A001"), ("C6", "a.jpg", "", day(2), folder, "0", "B001"),
+            ("C7", "empty.jpg", "", day(4), folder, "0", "A001"),
+        ],
+        IMAGE,
+    )
+
+
+def test_payload_of_files(spark, tmp_path):
+    for name, body in (("a.jpg", LONG), ("b.jpg", b"x"), ("c.jpg", b"c"), ("empty.jpg", b""), ("unlisted.jpg", b"u")):
+        (tmp_path / name).write_bytes(body)
+    table = images(spark, str(tmp_path))
+    pending = documents.pending_documents(table, "A001")
+    assert [r.sImageNme for r in pending.collect()] == ["b.jpg", "c.jpg", "missing.jpg", "a.jpg", "empty.jpg"]
+    payload = documents.document_payload(source.read_documents(spark, str(tmp_path), pending))
+    got = {r["g-edoc-file"]: r for r in payload.collect()}
+    assert set(got) == {"a.jpg", "b.jpg", "c.jpg"}
+    # One line of Base64, however long the body is.
+    assert got["a.jpg"]["g-edoc-imge"] == base64.b64encode(LONG).decode()
+    assert got["a.jpg"]["g-edoc-hash"] == hashlib.md5(LONG).hexdigest()
+    assert got["b.jpg"]["g-edoc-hash"] == hashlib.md5(b"x").hexdigest()
+    assert got["c.jpg"]["g-edoc-hash"] == "given"
+    assert got["a.jpg"].asDict().items() >= {
+        "g-edoc-type": "0002", "g-edoc-ownr": "C1", "g-edoc-srcd": "", "g-edoc-srno": "", "g-edoc-scnr": "A001",
+    }.items()
+
+
+def test_marks_go_by_client_and_image(spark):
+    table = images(spark, "/x")
+    sent = spark.createDataFrame([("C1", "a.jpg"), ("C1", "a.jpg")], "sClientID string, sImageNme string")
+    marked = documents.mark_documents_sent(table, sent)
+    assert rows(marked.filter("cImgeStat = '1'"), "sClientID") == [("C1",), ("C5",)]
+    assert marked.count() == table.count()
+
+
+def test_replies(spark):
+    texts = [
+        json.dumps({"result": "SUCCESS", "payload": {"filename": "a.jpg", "data": base64.b64encode(LONG).decode()}}),
+        json.dumps({"result": "error", "error": {"code": "1", "message": "gone"}}),
+        "not json",
+    ]
+    replies = spark.createDataFrame([(t,) for t in texts], "value string")
+    [found] = documents.decode_payload(replies).collect()
+    assert (found.sImageNme, bytes(found.content)) == ("a.jpg", LONG)
+    assert rows(documents.failed_replies(replies)) == [(None,), ("gone",)]

@@ -1,0 +1,59 @@
+from datetime import date, datetime
+
+from changeflow.operators import retention
+from helpers import LOG, change, rows
+
+AS_OF = date(2001, 8, 31)
+
+
+def log(spark):
+    limit, after = datetime(2001, 2, 28), datetime(2001, 2, 28, 0, 0, 1)
+    return spark.createDataFrame(
+        [
+            change("A00101", modified=limit), change("B00101", modified=limit), change("B00102", modified=after),
+            change("C00101", modified=limit), change("X00101", modified=limit, owner="B001"),
+        ],
+        LOG,
+    )
+
+
+def branches(spark):
+    return spark.createDataFrame([("A001",), ("B001",), ("C001",)], "sBranchCd string")
+
+
+def test_retention_spares_own_young_and_unregistered_rows(spark):
+    # Six months before 31 August is 28 February, a row of that midnight is old enough.
+    kept = retention.retain_log(log(spark), "A001", AS_OF, branches(spark))
+    purged = retention.purge_log(log(spark), "A001", AS_OF, branches(spark))
+    assert rows(purged, "sTransNox") == [("B00101",), ("C00101",)]
+    assert rows(kept.unionByName(purged)) == rows(log(spark))
+    without_registry = retention.purge_log(log(spark), "A001", AS_OF)
+    assert rows(without_registry, "sTransNox") == [("B00101",), ("C00101",), ("X00101",)]
+
+
+def test_trimming(spark):
+    assert rows(retention.trim_by_branch(log(spark), branches(spark), "A001"), "sTransNox") == [("A00101",)]
+    assert rows(retention.trim_by_key_prefix(log(spark), branches(spark), "A001"), "sTransNox") == [("A00101",), ("X00101",)]
+
+
+def test_rows_without_an_owner_stay(spark):
+    data = spark.createDataFrame([("k1", None), ("k2", "B001")], "sTransNox string, sBranchCd string")
+    assert rows(retention.trim_by_branch(data, branches(spark), "A001"), "sTransNox") == [("k1",)]
+
+
+def test_trim_plan_by_division(spark):
+    groups = ["common", "mc", "mp", "mc_branch", "mc_prefix", "mp_branch", "mp_prefix"]
+    actions = spark.createDataFrame(
+        [(f"t_{g}", g) for g in groups] + [("t_mp_prefix", "mp_prefix"), ("t_two", "mp_prefix"), ("t_two", "mp_branch")],
+        "sTableNme string, sGroupxxx string",
+    )
+
+    def plan(division, **options):
+        return {t[2:]: a for t, a in rows(retention.trim_plan(actions, division, **options)) if a != "keep"}
+
+    assert plan("0") == {
+        "common": "truncate", "mc": "truncate", "mp_branch": "branch", "mp_prefix": "prefix", "two": "branch",
+    }
+    assert plan("1") == {"common": "truncate", "mp": "truncate", "mc_branch": "branch", "mc_prefix": "prefix"}
+    assert plan("2") == {"common": "truncate"}
+    assert plan("0", log_only=True) == {}

@@ -1,0 +1,100 @@
+import itertools
+
+from changeflow.operators import sync
+from helpers import CLIENT, LOG, change, day, rows
+
+REQUEST = "sExportCd string, sClientID string, sExportFr string, sExportTr string"
+
+
+def clients(spark):
+    return spark.createDataFrame(
+        [("NODE_A001", "a", "A001", "a00105"), ("NODE_B001", "b", "B001", None), ("NODE_C001", "c", "C001", "C00101"),
+         # The prefix comes from the id, not from the branch column.
+         ("NODE_D001", "d", "A001", "")],
+        CLIENT,
+    )
+
+
+def branches(spark):
+    return spark.createDataFrame([("A001", "1"), ("B001", "1"), ("C001", "0")], "sBranchCd string, cRecdStat string")
+
+
+def test_request_names_active_clients_with_last_key(spark):
+    log = spark.createDataFrame([change("A00101"), change("A00102"), change("D00107"), change("C00103")], LOG)
+    assert rows(sync.active_clients(clients(spark), branches(spark), "NODE_B001"), "sClientID") == [("NODE_A001",), ("NODE_D001",)]
+    request = sync.build_sync_request(log, clients(spark), branches(spark), "NODE_A001", "A00101")
+    assert rows(request) == [("A00101", "NODE_B001", ""), ("A00101", "NODE_D001", "D00107")]
+    bounded = sync.bound_sync_request(request, log)
+    assert rows(bounded) == [("A00101", "NODE_B001", "", ""), ("A00101", "NODE_D001", "D00107", "D00107")]
+
+
+def test_overlapping_ranges_return_a_row_once(spark):
+    log = spark.createDataFrame([change(f"A0010{i}") for i in range(6)] + [change("B00101")], LOG)
+    request = spark.createDataFrame(
+        [("x", "NODE_A001", "A00101", "A00103"), ("x", "OTHER_A001", "A00102", "A00104"), ("x", "NODE_B001", "", "")], REQUEST
+    )
+    assert [r[0] for r in rows(sync.request_range_match(log, request))] == ["A00101", "A00102", "A00103", "A00104"]
+    open_start = spark.createDataFrame([("x", "NODE_A001", "", "A00101")], REQUEST)
+    assert [r[0] for r in rows(sync.request_range_match(log, open_start))] == ["A00100", "A00101"]
+
+
+def every_case():
+    """Rows over all table types, owners, destinations and key prefixes."""
+    cases = itertools.product(["T0", "T1", "T2", "T3", "T9", "TX"], ["A001", "A002", "B001", None], ["A001", "B001", None], ["A001", "B001"])
+    return [
+        (f"{prefix}{n:04d}", owner, "s", table, dest, "U1", day(1), day(1))
+        for n, (table, owner, dest, prefix) in enumerate(cases)
+    ]
+
+
+REGISTRY = [("T0", "0"), ("T1", "1"), ("T2", "2"), ("T3", "3"), ("T9", "9")]
+
+
+def goes_to(row, target):
+    key, owner, _, table, dest, *_ = row
+    kind = dict(REGISTRY).get(table)
+    if kind is None:
+        return False
+    return (
+        kind == "0"
+        or (kind == "1" and owner == target)
+        or (kind == "2" and dest == target)
+        or (kind == "3" and owner is not None and owner[0] == target[0])
+        or (owner == target and key[:4] != target)
+    )
+
+
+def test_routing_for_one_and_for_all_targets(spark):
+    data = every_case()
+    log = spark.createDataFrame(data, LOG)
+    registry = spark.createDataFrame(REGISTRY, "sTableNme string, cTableTyp string")
+    targets = ["A001", "A002", "B001", "C001"]
+    routes = sync.route_changes_all(log, registry)
+    expanded = sync.expand_routes(routes, spark.createDataFrame([(t,) for t in targets], "target string"))
+    delivered = [tuple(r) for r in expanded.select("target", "sTransNox").collect()]
+    assert len(delivered) == len(set(delivered))
+    for target in targets:
+        expected = {r[0] for r in data if goes_to(r, target)}
+        assert {r[0] for r in rows(sync.route_changes(log, registry, target))} == expected
+        assert {k for t, k in delivered if t == target} == expected
+    assert sync.route_changes(log, registry, "A001", main_office=True).count() == len(data)
+
+
+def test_apply_order_and_cap(spark):
+    log = spark.createDataFrame(
+        [change("A00103", modified=day(1)), change("A00101", modified=day(2)), change("A00102", modified=day(1))], LOG
+    )
+    assert [r.sTransNox for r in sync.apply_order(log).collect()] == ["A00102", "A00103", "A00101"]
+    assert [r.sTransNox for r in sync.apply_order(log, 2).collect()] == ["A00102", "A00103"]
+
+
+def test_watermark_rises_case_blind_and_never_falls(spark):
+    request = spark.createDataFrame(
+        [("x", "NODE_A001", "", "A00105"), ("x", "NODE_B001", "", "B00101"), ("x", "NODE_B001", "", "B00102"),
+         ("x", "NODE_C001", "", "C00100"), ("x", "NODE_UNKNOWN", "", "Z")],
+        REQUEST,
+    )
+    # a00105 equals A00105 when case is ignored, so it stays.
+    assert rows(sync.advance_client_watermark(clients(spark), request), "sClientID", "sExportNo") == [
+        ("NODE_A001", "a00105"), ("NODE_B001", "B00102"), ("NODE_C001", "C00101"), ("NODE_D001", ""),
+    ]
