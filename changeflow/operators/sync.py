@@ -106,6 +106,20 @@ def expand_routes(routes: DataFrame, targets: DataFrame) -> DataFrame:
     return routes.join(settle(subscriptions), ["sScopexxx", "sTargetxx"]).drop("sScopexxx", "sTargetxx")
 
 
+def route_summary(routes: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per target the number of changes it gets and its first and last key.
+
+    Changes are counted per address before addresses are turned into targets, so a change for all
+    branches is not repeated for each.
+    """
+    per_address = routes.groupBy("sScopexxx", "sTargetxx").agg(
+        F.count("*").alias("n"), F.min("sTransNox").alias("first"), F.max("sTransNox").alias("last")
+    )
+    return expand_routes(per_address, targets).groupBy("target").agg(
+        F.sum("n").alias("nRowsxxxx"), F.min("first").alias("sFirstKey"), F.max("last").alias("sLastKey")
+    )
+
+
 def apply_order(log: DataFrame, cap: int | None = None) -> DataFrame:
     """Rows by (dModified, sTransNox), the order in which changes are applied; the main office may cap them."""
     ordered = log.orderBy("dModified", "sTransNox")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import read_time, write_time
 from ..schemas import CHANGE_FIELDS, CHANGE_TIMES
 
-# Rows of one written file. Also the longest array of the array layout, so that no list or task
-# holds more than this many rows, however large a batch is.
-ROWS_PER_FILE = 100_000
+# Rows of one file in the line layout, and of one array in the array layout. No list holds more
+# rows than an array, however large a batch is.
+ROWS_PER_FILE, ROWS_PER_ARRAY = 1_000_000, 10_000
 
 
 def field(entries: Column, name: str) -> Column:
@@ -73,13 +73,14 @@ def _texts(rows: DataFrame) -> list[Column]:
     return [(write_time(F.col(n)) if n in CHANGE_TIMES else F.col(n)).alias(n) for n in CHANGE_FIELDS]
 
 
-def write_change_batch(rows: DataFrame, path: str, layout: str = "lines", rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_change_batch(rows: DataFrame, path: str, layout: str = "lines", rows_per_file: int | None = None) -> None:
     """Write batch rows (sFileName, pos and the change columns), one folder per batch, gzip, fixed field order.
 
     ``lines``: one object per line with its position; a large batch is spread over many tasks by the
     rebalance hint, which also joins small ones. ``array``: JSON arrays for readers of the array
     form, each of at most ``rows_per_file`` rows.
     """
+    rows_per_file = rows_per_file or (ROWS_PER_FILE if layout == "lines" else ROWS_PER_ARRAY)
     if layout == "lines":
         out = rows.select("sFileName", "pos", *_texts(rows)).hint("rebalance", F.col("sFileName"))
         (
@@ -106,6 +107,7 @@ def file_summary(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
         F.col("_metadata.file_name").alias("sFileName"),
-        F.format_string("%.2f", F.col("length") / F.lit(1024.0)).alias("sFileSize"),
+        # The size is taken as a single-precision number, as it always was in the manifest.
+        F.format_string("%.2f", F.col("length").cast("float").cast("double") / 1024.0).alias("sFileSize"),
         F.md5("content").alias("sMD5Hashx"),
     )

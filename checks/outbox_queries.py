@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from changeflow.operators import documents, outbox, retention
 from changeflow.session import new_folder
+from changeflow.sources import batches
 from changeflow.sources import documents as document_source
 
 from .registry import AS_OF, NOW, query
@@ -110,13 +111,27 @@ FILED = """
       from documents group by 1"""
 
 
-@query("read_documents", f"select nFilexxxx, strlen(body) as nBytesxxx, md5(body) as sMD5Hashx from ({FILED}) f")
-def read_documents(t):
-    # A hundred documents are written to each file; the manifest gets the names that Spark gave the files.
+def write_files(t):
+    """A hundred documents to a file."""
     path = new_folder(t.spark, "scans")
     texts = t.sql("select cast(floor(doc_id / 100) as bigint) as nFilexxxx, doc_id, text from documents")
     filed = texts.repartition("nFilexxxx").sortWithinPartitions("nFilexxxx", "doc_id")
     filed.select("nFilexxxx", "text").write.partitionBy("nFilexxxx").text(path)
+    return path
+
+
+@query(
+    "file_summary",
+    f"""select printf('%.2f', floor(strlen(body) / 1024 * 100 + 0.5) / 100) as sFileSize, md5(body) as sMD5Hashx from ({FILED}) f""",
+)
+def file_summary(t):
+    return batches.file_summary(t.spark, write_files(t)).select("sFileSize", "sMD5Hashx")
+
+
+@query("read_documents", f"select nFilexxxx, strlen(body) as nBytesxxx, md5(body) as sMD5Hashx from ({FILED}) f")
+def read_documents(t):
+    # The manifest gets the names that Spark gave the files.
+    path = write_files(t)
     listed = t.spark.read.format("binaryFile").load(path).select("path", "nFilexxxx")
     bare = F.regexp_replace("path", "^file:(//)?", "")
     images = listed.select(

@@ -99,7 +99,7 @@ def route_changes_all(t):
 
 
 @query(
-    "expand_routes",
+    "route_summary",
     """select target, count(*) as nRowsxxxx, min(sTransNox) as sFirstKey, max(sTransNox) as sLastKey
          from (select distinct c.sBranchCd as target, l.sTransNox, l.sModified
                  from v_client c, v_log l join v_systable b on l.sTableNme = b.sTableNme
@@ -108,12 +108,9 @@ def route_changes_all(t):
                    or (b.cTableTyp = '3' and left(l.sBranchCd, 1) = left(c.sBranchCd, 1))
                    or (l.sBranchCd = c.sBranchCd and left(l.sTransNox, 4) <> c.sBranchCd)) x group by 1""",
 )
-def expand_routes(t):
+def route_summary(t):
     targets = t.client.select(F.col("sBranchCd").alias("target")).distinct()
-    delivered = sync.expand_routes(sync.route_changes_all(t.log, t.systable), targets)
-    return delivered.groupBy("target").agg(
-        F.count("*").alias("nRowsxxxx"), F.min("sTransNox").alias("sFirstKey"), F.max("sTransNox").alias("sLastKey")
-    )
+    return sync.route_summary(sync.route_changes_all(t.log, t.systable), targets)
 
 
 @query("apply_order", f"select {CHANGE} from v_log l order by dModified, sTransNox")

@@ -3,7 +3,10 @@
 import pytest
 
 import __spark_entry__ as contract
-from checks.compare import difference, duck
+from checks.compare import compare, duck
+
+# The smallest tables hold too few rows for these.
+EMPTY_HERE = set()
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,7 +20,9 @@ def con():
 def test_query(spark, con, key):
     df = contract.queries()[key](spark, FOLDER)
     assert key in contract.oracle_sql()
-    assert difference(df, con, contract.oracle_sql()[key]) is None
+    count, problem = compare(df, con, contract.oracle_sql()[key])
+    assert problem is None
+    assert count > 0 or key in EMPTY_HERE
 
 
 def test_entry(spark):

@@ -77,6 +77,8 @@ def test_routing_for_one_and_for_all_targets(spark):
         expected = {r[0] for r in data if goes_to(r, target)}
         assert {r[0] for r in rows(sync.route_changes(log, registry, target))} == expected
         assert {k for t, k in delivered if t == target} == expected
+        [counted] = sync.route_summary(routes, spark.createDataFrame([(target,)], "target string")).collect()
+        assert tuple(counted) == (target, len(expected), min(expected), max(expected))
     assert sync.route_changes(log, registry, "A001", main_office=True).count() == len(data)
 
 
