@@ -25,38 +25,39 @@ def dense_position(
     ties: list[str] = (),
     name: str = "pos",
     levels: tuple[int, ...] = (4, 8, 12),
+    total: str | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 ... in key order.
 
     A plain ``row_number`` over the group would sort a hot group in one task. Here the key is cut
     at fixed lengths; a longer prefix never changes the order of a shorter one. Rows are numbered
-    inside their longest prefix, and the sizes of the prefixes before it, summed level by level,
-    are added. With four characters between two levels a window holds at most the values of four
+    inside their longest prefix, the bucket, and the sizes of the buckets before it, summed level by
+    level, are added. With four characters between two levels a window holds at most the values of four
     characters. Choose ``levels`` so that about four characters of the key remain under the last.
-    Group and key columns must not be null.
+    Group and key columns must not be null. ``total`` names a column for the size of the group.
     """
-    cuts = sorted(levels)
-    prefixes = [f"_p{n}" for n in cuts]
-    cut = df.withColumns({p: F.substring(key, 1, n) for p, n in zip(prefixes, cuts)})
-
-    # One row per prefix, about a ten-thousandth of the rows; stored, so the input is counted once.
-    counts = settle(cut.groupBy(*group, *prefixes).agg(F.count("*").alias("_n")))
-    offsets = counts.withColumn("_before", F.lit(0).cast("long"))
-    # From the finest level outwards: sum what lies before inside the next shorter prefix.
-    for depth in range(len(prefixes), 0, -1):
-        outer, here = prefixes[: depth - 1], prefixes[depth - 1]
-        sizes = counts.groupBy(*group, *outer, here).agg(F.sum("_n").alias("_size"))
-        upto = Window.partitionBy(*group, *outer).orderBy(here).rowsBetween(Window.unboundedPreceding, -1)
-        steps = sizes.select(*group, *outer, here, F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_step"))
-        offsets = (
-            offsets.join(steps, [*group, *outer, here])
-            .withColumn("_before", F.col("_before") + F.col("_step"))
-            .drop("_step")
-        )
-
-    inside = Window.partitionBy(*group, *prefixes).orderBy(key, *ties)
+    *coarser, longest = sorted(levels)
+    cut = df.withColumn("_bucket", F.substring(key, 1, longest))
+    # One row per bucket, about a ten-thousandth of the rows; stored, so the input is counted once.
+    counts = settle(cut.groupBy(*group, "_bucket").agg(F.count("*").alias("_n")))
+    by_level = counts.select("*", *[F.substring("_bucket", 1, n).alias(f"_p{n}") for n in coarser], F.col("_bucket").alias("_last"))
+
+    offsets = by_level.withColumn("_before", F.lit(0).cast("long"))
+    names = [f"_p{n}" for n in coarser] + ["_last"]
+    for depth, here in enumerate(names):
+        # What lies before, inside the prefixes that are one level shorter.
+        path = [*group, *names[:depth]]
+        sizes = by_level.groupBy(*path, here).agg(F.sum("_n").alias("_size"))
+        upto = Window.partitionBy(*path).orderBy(here).rowsBetween(Window.unboundedPreceding, -1)
+        steps = sizes.select(*path, here, F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_step"))
+        offsets = offsets.join(steps, [*path, here]).withColumn("_before", F.col("_before") + F.col("_step")).drop("_step")
+    offsets = offsets.select(*group, "_bucket", "_before")
+    if total:
+        offsets = offsets.join(counts.groupBy(*group).agg(F.sum("_n").alias(total)), group)
+
+    inside = Window.partitionBy(*group, "_bucket").orderBy(key, *ties)
     return (
-        cut.join(offsets.drop("_n"), [*group, *prefixes])
+        cut.join(offsets, [*group, "_bucket"])
         .withColumn(name, F.col("_before") + F.row_number().over(inside))
-        .drop("_before", *prefixes)
+        .drop("_before", "_bucket")
     )

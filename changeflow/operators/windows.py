@@ -241,12 +241,18 @@ def delete_chunks(purge: DataFrame, chunk: int = 1000) -> DataFrame:
     """Purge keys of each branch cut into runs of ``chunk`` keys: first key, last key, size.
 
     The last, shorter run is kept. Keys are made distinct first, so a key with many modifiers
-    counts once.
+    counts once, and stored, as they are read twice. Only the first and last key of each run go
+    on from the numbering.
     """
-    keys = with_branch(purge).select("branch", "sTransNox").distinct()
-    numbered = dense_position(keys, ["branch"], "sTransNox")
+    keys = settle(with_branch(purge).select("branch", "sTransNox").distinct())
+    numbered = dense_position(keys, ["branch"], "sTransNox", total="_total")
+    pos, total, run = F.col("pos"), F.col("_total"), F.col("nChunkxxx")
+    ends = numbered.filter((pos % chunk == 1) | (pos % chunk == 0) | (pos == total) | F.lit(chunk == 1))
     return (
-        numbered.withColumn("nChunkxxx", F.floor((F.col("pos") - 1) / chunk))
-        .groupBy("branch", "nChunkxxx")
-        .agg(F.min("sTransNox").alias("sStartKey"), F.max("sTransNox").alias("sStopKeyx"), F.count("*").alias("nKeysxxxx"))
+        ends.withColumn("nChunkxxx", F.floor((pos - 1) / chunk))
+        .groupBy("branch", "nChunkxxx", "_total")
+        .agg(F.min("sTransNox").alias("sStartKey"), F.max("sTransNox").alias("sStopKeyx"))
+        .select(
+            "branch", "nChunkxxx", "sStartKey", "sStopKeyx", F.least(F.lit(chunk), total - run * chunk).alias("nKeysxxxx")
+        )
     )

@@ -61,7 +61,7 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a derived per-branch or per-file table once and read it back.
+    """Write a derived table once and read it back, mostly one of a row per branch or file.
 
     Spark plans joins from file sizes, and a table derived from the log looks as large as the log
     until it is stored. Once stored, its true size is known: below
