@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 
+# Prefix lengths for keys of up to 16 characters; for 20 add 16.
+LEVELS = (4, 8, 12)
+
+
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order.
 
@@ -24,7 +28,7 @@ def dense_position(
     key: str,
     ties: list[str] = (),
     name: str = "pos",
-    levels: tuple[int, ...] = (4, 8, 12),
+    levels: tuple[int, ...] = LEVELS,
     total: str | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 ... in key order.

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import branch_of, dense_position, first_row, moment
+from ..functions.ranking import LEVELS
 from ..schemas import CHANGE_FIELDS
 from ..session import settle
 
@@ -137,19 +138,26 @@ def batch_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def batch_rows(log: DataFrame, windows: DataFrame, created: datetime) -> DataFrame:
-    """Rows of all pending windows, each with its batch name and its position in the batch."""
+def batch_rows(
+    log: DataFrame, windows: DataFrame, created: datetime, levels: tuple[int, ...] = LEVELS
+) -> DataFrame:
+    """Rows of all pending windows, each with its batch name and its position in the batch.
+
+    ``levels`` goes to ``dense_position``; give a longer list for keys of more than 16 characters.
+    """
     stamp = created.strftime("%Y%m%d%H%M%S")
     pending = windows.filter("is_pending").select(
         "branch", "sLogFromx", "sLogThrux", F.concat("branch", F.lit(stamp)).alias("sFileName")
     )
     rows = branch_window_scan(log, settle(pending))
-    return dense_position(rows, ["sFileName"], "sTransNox", ["sModified"])
+    return dense_position(rows, ["sFileName"], "sTransNox", ["sModified"], levels=levels)
 
 
-def create_batches(log: DataFrame, windows: DataFrame, created: datetime) -> tuple[DataFrame, DataFrame]:
+def create_batches(
+    log: DataFrame, windows: DataFrame, created: datetime, levels: tuple[int, ...] = LEVELS
+) -> tuple[DataFrame, DataFrame]:
     """The rows of all pending windows and the new manifest rows in state 0."""
-    rows = batch_rows(log, windows, created)
+    rows = batch_rows(log, windows, created, levels)
     return rows, manifest_of(rows, created)
 
 
@@ -164,15 +172,15 @@ def manifest_of(rows: DataFrame, created: datetime) -> DataFrame:
 
 def _advance(manifest: DataFrame, acks: DataFrame, steps: list[tuple[str, str, str, str | None]]) -> DataFrame:
     """Apply (event, from, to, stamped column) steps in order; a step from another state is refused."""
-    events = acks.groupBy("sFileName").agg(
-        *[F.max(F.when(F.col("sEvent") == e, F.col("dEventxxx"))).alias(f"_{e}") for e, *_ in steps]
-    )
+    happened = [F.coalesce(F.bool_or(F.col("sEvent") == e), F.lit(False)).alias(f"_{e}") for e, *_ in steps]
+    times = [F.max(F.when(F.col("sEvent") == e, F.col("dEventxxx"))).alias(f"_{e}_at") for e, *_ in steps]
+    events = acks.groupBy("sFileName").agg(*happened, *times)
     out = manifest.join(events, "sFileName", "left")
     for event, before, after, stamped in steps:
-        moves = (F.col("cTranStat") == before) & F.col(f"_{event}").isNotNull()
+        moves = (F.col("cTranStat") == before) & F.col(f"_{event}")
         changed = {"cTranStat": F.when(moves, after).otherwise(F.col("cTranStat"))}
         if stamped:
-            changed[stamped] = F.when(moves, F.col(f"_{event}")).otherwise(F.col(stamped))
+            changed[stamped] = F.when(moves, F.col(f"_{event}_at")).otherwise(F.col(stamped))
         out = out.withColumns(changed)
     return out.select(*manifest.columns)
 
@@ -237,7 +245,7 @@ def mark_archived(outgoing: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def delete_chunks(purge: DataFrame, chunk: int = 1000) -> DataFrame:
+def delete_chunks(purge: DataFrame, chunk: int = 1000, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """Purge keys of each branch cut into runs of ``chunk`` keys: first key, last key, size.
 
     The last, shorter run is kept. Keys are made distinct first, so a key with many modifiers
@@ -245,7 +253,7 @@ def delete_chunks(purge: DataFrame, chunk: int = 1000) -> DataFrame:
     on from the numbering.
     """
     keys = settle(with_branch(purge).select("branch", "sTransNox").distinct())
-    numbered = dense_position(keys, ["branch"], "sTransNox", total="_total")
+    numbered = dense_position(keys, ["branch"], "sTransNox", levels=levels, total="_total")
     pos, total, run = F.col("pos"), F.col("_total"), F.col("nChunkxxx")
     ends = numbered.filter((pos % chunk == 1) | (pos % chunk == 0) | (pos == total) | F.lit(chunk == 1))
     return (

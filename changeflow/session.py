@@ -8,17 +8,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The library states times as TIMESTAMP_NTZ, so nothing depends on the session time zone.
-RECOMMENDED = {
+# Adaptive execution splits hot keys of shuffle joins. Without the last setting it leaves them alone
+# where several joins on one key share a shuffle, as in a collection sheet's lines.
+ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Split a hot key also where several joins share one shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.timestampType": "TIMESTAMP_NTZ",
-    "spark.sql.session.timeZone": "UTC",
 }
 
+# The library states times as TIMESTAMP_NTZ, so no result depends on these; they ease reading results.
+RECOMMENDED = {**ADAPTIVE, "spark.sql.timestampType": "TIMESTAMP_NTZ", "spark.sql.session.timeZone": "UTC"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set the adaptive settings on a session that somebody else made; call it once before using the operators."""
+    for name, value in ADAPTIVE.items():
+        spark.conf.set(name, value)
+    return spark
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
@@ -26,6 +34,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     settings = {
         **RECOMMENDED,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         **conf,

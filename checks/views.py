@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeflow.session import prepare
+
 BASE = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
@@ -262,7 +264,7 @@ class Tables:
     """The given tables and the views over them, as DataFrames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = prepare(spark)
         self.base = {t: f"select * from parquet.`{folder}/{t}.parquet`" for t in BASE}
 
     def sql(self, text: str) -> DataFrame:

@@ -57,6 +57,14 @@ def branch_window_scan(t):
     return windows.branch_window_scan(t.log, sent).drop("branch")
 
 
+@query(
+    "branch_scan",
+    f"select {CHANGE} from v_log where sTransNox like 'M001%' and sTransNox between 'M001000000000100' and 'M001000000009000'",
+)
+def branch_scan(t):
+    return windows.branch_scan(t.log, "M001", "M001000000000100", "M001000000009000")
+
+
 @query("hosted_branches", "select sBranchCD from v_branch_others where xBranchCD = 'M001' order by 1")
 def hosted_branches(t):
     return windows.hosted_branches(t.branch_others, "M001")

@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 
-from changeflow.operators import ageing, ingest, outbox, retention, sync, windows
+from changeflow.operators import ageing, collections, ingest, outbox, retention, sync, windows
 from changeflow.sources import tables
 from checks.views import Tables
 
@@ -92,3 +92,45 @@ def test_a_hot_document_is_split_and_whole(spark):
     masters = spark.createDataFrame([("S1",)], "sTransNox string")
     nested = outbox.nest_master_detail(masters, lines, max_lines=1000).collect()
     assert [len(r.detail) for r in sorted(nested, key=lambda r: r.nPartxxxx)] == [1000] * 5
+
+
+def test_a_hot_account_is_split_in_both_joins(spark):
+    """A third of all lines belong to one account, and two joins on the account share a shuffle."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        lines = spark.range(150_000).selectExpr(
+            "concat('S', id div 10) as sTransNox", "cast(id % 10 as int) as nEntryNox",
+            "concat('A', if(id % 3 = 0, 1, id % 2000)) as sAcctNmbr", "cast(rand(1) as string) as cIsDCPxxx",
+        )
+        sheets = spark.range(15_000).selectExpr("concat('S', id) as sTransNox", "date'2001-01-01' as dTransact")
+        money = [f"cast(1 as double) as {c}" for c in ("nAmtDuexx", "nMonAmort", "nABalance", "nDelayAvg", "nLastPaym")]
+        accounts = spark.range(2000).selectExpr(
+            "concat('A', id) as sAcctNmbr", "concat('K', id) as sClientID", "concat('E', id) as sSerialID",
+            "date'2001-01-01' as dDueDatex", "date'2001-01-01' as dLastPaym", *money,
+        )
+        clients = spark.range(2000).selectExpr(
+            "concat('K', id) as sClientID", "'n' as sCompnyNm", "'h' as sHouseNox", "'a' as sAddressx", "'b' as sBrgyIDxx",
+            "'t' as sTownIDxx", "'m' as sMobileNo",
+        )
+        units = spark.range(2000).selectExpr(
+            "concat('A', id) as sAcctNmbr", "concat('u', id) as cApntUnit", "date'2001-02-01' as dAppointx", "date'2001-02-01' as dDueUntil"
+        )
+        places = spark.createDataFrame([("b", "Brgy")], "sBrgyIDxx string, sBrgyName string")
+        towns = spark.createDataFrame([("t", "Town")], "sTownIDxx string, sTownName string")
+        spots = spark.range(2000).selectExpr("concat('K', id) as sClientID", "1D as nLongitud", "1D as nLatitude")
+        serials = spark.range(2000).selectExpr("concat('E', id) as sSerialID", "'e' as sEngineNo")
+        df = collections.collection_detail(lines, sheets, accounts, clients, places, towns, units, spots, serials)
+        summed = df.selectExpr("count(*)", "max(cIsDCPxxx)", "count(sSerialNo)", "max(cApntUnit)")
+        assert summed.first()[0] == 150_000
+        final = plan(summed).split("Initial Plan")[0]
+        assert final.count("skew=true") >= 2
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
