@@ -128,7 +128,7 @@ def test_a_hot_account_is_split_in_both_joins(spark):
         serials = spark.range(2000).selectExpr("concat('E', id) as sSerialID", "'e' as sEngineNo")
         df = collections.collection_detail(lines, sheets, accounts, clients, places, towns, units, spots, serials)
         summed = df.selectExpr("count(*)", "max(cIsDCPxxx)", "count(sSerialNo)", "max(cApntUnit)")
-        assert summed.first()[0] == 150_000
+        assert summed.collect()[0][0] == 150_000
         final = plan(summed).split("Initial Plan")[0]
         assert final.count("skew=true") >= 2
     finally:
