@@ -24,7 +24,7 @@ def build_sync_request(
 ) -> DataFrame:
     """Every active client with the last key the asker holds of it, '' when none."""
     asked = active_clients(clients, branches, self_id).withColumn("branch", client_prefix("sClientID"))
-    return asked.join(settle(last_key_per_branch(log)), "branch", "left").select(
+    return asked.join(last_key_per_branch(log), "branch", "left").select(
         F.lit(export_code).alias("sExportCd"), "sClientID", F.coalesce("sLastKey", F.lit("")).alias("sExportFr")
     )
 
@@ -32,7 +32,7 @@ def build_sync_request(
 def bound_sync_request(requests: DataFrame, log: DataFrame) -> DataFrame:
     """Adds sExportTr, the last key the responder holds of the client, '' when none."""
     asked = requests.withColumn("branch", client_prefix("sClientID"))
-    return asked.join(settle(last_key_per_branch(log)), "branch", "left").select(
+    return asked.join(last_key_per_branch(log), "branch", "left").select(
         *[c for c in requests.columns if c != "sExportTr"], F.coalesce("sLastKey", F.lit("")).alias("sExportTr")
     )
 

@@ -107,8 +107,7 @@ def export_window(log: DataFrame, outgoing: DataFrame, clients: DataFrame) -> Da
     ends = last.select("branch", F.col("sLogThrux").alias("sent"))
     empty = F.lit("")
     return (
-        settle(keys)
-        .join(ends, "branch", "full")
+        keys.join(ends, "branch", "full")
         .join(starts, "branch", "full")
         .select(
             "branch",
