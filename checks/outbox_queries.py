@@ -149,16 +149,17 @@ def payloads(t):
 
 @query(
     "document_payload",
-    """select '0002' as "g-edoc-type", sClientID as "g-edoc-ownr", '' as "g-edoc-srcd", '' as "g-edoc-srno",
-              sImageNme as "g-edoc-file", sScanndID as "g-edoc-scnr", base64(encode(body)) as "g-edoc-imge",
-              case when coalesce(sMD5Hashx, '') = '' then md5(body) else sMD5Hashx end as "g-edoc-hash"
+    """select '0002' as "g_edoc_type", sClientID as "g_edoc_ownr", '' as "g_edoc_srcd", '' as "g_edoc_srno",
+              sImageNme as "g_edoc_file", sScanndID as "g_edoc_scnr", base64(encode(body)) as "g_edoc_imge",
+              case when coalesce(sMD5Hashx, '') = '' then md5(body) else sMD5Hashx end as "g_edoc_hash"
          from v_image where cImgeStat = '0'""",
 )
 def document_payload(t):
-    return payloads(t)
+    rows = payloads(t)
+    return rows.toDF(*[c.replace("-", "_") for c in rows.columns])
 
 
-@query("decode_payload", "select sImageNme, encode(body) as content from v_image where cImgeStat = '0'")
+@query("decode_payload", """select sImageNme, strlen(body) as nBytesxxx, md5(body) as sMD5Hashx from v_image where cImgeStat = '0'""")
 def decode_payload(t):
     data = F.struct(F.col("`g-edoc-file`").alias("filename"), F.col("`g-edoc-imge`").alias("data"))
     good = payloads(t).select(F.to_json(F.struct(F.lit("success").alias("result"), data.alias("payload"))).alias("value"))
@@ -167,7 +168,8 @@ def decode_payload(t):
             F.struct(F.lit("error").alias("result"), F.struct(F.lit("9").alias("code"), F.lit("gone").alias("message")).alias("error"))
         ).alias("value")
     )
-    return documents.decode_payload(good.unionByName(bad))
+    decoded = documents.decode_payload(good.unionByName(bad))
+    return decoded.select("sImageNme", F.octet_length("content").cast("long").alias("nBytesxxx"), F.md5("content").alias("sMD5Hashx"))
 
 
 @query(
