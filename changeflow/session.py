@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
+import contextlib
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,27 +48,58 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
-@functools.cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="changeflow-")
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors reach: ``spark.checkpoint.dir``.
 
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only in local mode, else None."""
+    Only a local session, whose executors are the driver, may do without it: it uses the warehouse.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder(spark.sparkContext.applicationId)
-    return None
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return spark.conf.get("spark.sql.warehouse.dir")
+    raise ValueError("set spark.checkpoint.dir to a folder that every node can reach")
+
+
+# What each thread has made, as a stream's callbacks run beside the driver's main thread.
+_threads = threading.local()
+
+
+def _made() -> list[tuple[SparkSession, str]]:
+    if not hasattr(_threads, "made"):
+        _threads.made = []
+        atexit.register(_remove_from, _threads.made, 0)
+    return _threads.made
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that every node can reach")
-    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, removed by ``scratch`` or at the end of the driver."""
+    path = f"{shared_folder(spark).rstrip('/')}/changeflow-{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+    _made().append((spark, path))
+    return path
+
+
+def _remove_from(made: list[tuple[SparkSession, str]], first: int) -> None:
+    while len(made) > first:
+        spark, path = made.pop()
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+            files.delete(where, True)
+            files.delete(where.getParent(), False)  # only goes when it is empty
+        except Exception:  # noqa: BLE001  the session or its process has ended, or others still use the parent
+            pass
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Removes the folders made inside. Use it around work that is complete when the block ends, such as a write."""
+    made = _made()
+    first = len(made)
+    try:
+        yield
+    finally:
+        _remove_from(made, first)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -76,12 +109,9 @@ def settle(df: DataFrame) -> DataFrame:
     until it is stored. Once stored, its true size is known: below
     ``spark.sql.autoBroadcastJoinThreshold`` the join broadcasts it and the log is not shuffled,
     above it Spark keeps the shuffle join with skew handling. It also cuts the lineage, so losing
-    an executor does not repeat the log scan. Without a shared folder the input is returned as is
-    and the choice is left to adaptive execution.
+    an executor does not repeat the log scan.
     """
     spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
     path = new_folder(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,10 @@ from changeflow.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("4", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(
+        "4", shuffle_partitions=4, **{"spark.checkpoint.dir": f"file://{shared}", "spark.sql.warehouse.dir": f"{shared}/warehouse"}
+    )
     yield session
     session.stop()
