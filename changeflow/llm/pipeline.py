@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_folder
-from . import jaccard_join, quality
+from . import jaccard_join, langid, line_dedup, packing, quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Least probability of the language that a document is taken for.
+LEAST_SCORE = 0.5
 
 
 def as_documents(rows: DataFrame) -> DataFrame:
@@ -21,6 +24,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return as_documents(quality.clean_lines(docs).filter("kept"))
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is not told with a probability of a half go. Labels stay as they are."""
+    told = langid.predict(docs, langid.fit(langid.learnable(docs)))
+    return as_documents(told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that many documents of a source carry are removed; documents that hold nothing else go."""
+    cleaned = line_dedup.drop_boilerplate(docs)
+    return as_documents(cleaned.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
+
+
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays. Rows without an id stay."""
     firsts = jaccard_join.linked_components(docs, size=5, percent=80).filter("doc_id = component_id").select("doc_id").distinct()
@@ -29,7 +44,18 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return as_documents(one_each.unionByName(docs.filter("doc_id IS NULL")))
 
 
-STAGES = [("quality rules", quality_stage), ("n-gram Jaccard join", near_copy_stage)]
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 1024 tokens."""
+    return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("language ID", language_stage),
+    ("line dedup", line_stage),
+    ("n-gram Jaccard join", near_copy_stage),
+    ("packing", packing_stage),
+]
 
 #: Language identification and near copies cannot be stated in SQL.
 ORACLE_SQL = None

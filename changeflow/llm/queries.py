@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join, quality
+from . import bpe, html_text, jaccard_join, langid, line_dedup, packing, quality, sharding, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +24,48 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    documents = table(spark, folder, "documents")
+    model = langid.fit(langid.learnable(documents))
+    told = langid.predict(documents.select("doc_id", "text"), model)
+    return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that many documents of their source carry."""
+    return line_dedup.drop_boilerplate(table(spark, folder, "documents").select("doc_id", "source", "text"))
+
+
+@query
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    embeddings = table(spark, folder, "embeddings")
+    return topk.search(embeddings, embeddings.filter("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents on eight shards whose counts are at most one apart."""
+    placed = sharding.assign(table(spark, folder, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home_shard")
+
+
 @query
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that share 85 % of their 4-word shingles."""
@@ -36,3 +80,22 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lost_words", "n_punctuation", "n_navigation", "n_boilerplate",
     )
+
+
+@query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to archives and read back through the index."""
+    return warc.archived(table(spark, folder, "pages"))
+
+
+@query
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    told = bpe.encode_texts(documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return told.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
