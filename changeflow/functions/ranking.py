@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 
-# Prefix lengths for keys of up to 16 characters; for 20 add 16.
-LEVELS = (4, 8, 12)
-
-
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order.
 
@@ -23,45 +19,30 @@ def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def dense_position(
-    df: DataFrame,
-    group: list[str],
-    key: str,
-    ties: list[str] = (),
-    name: str = "pos",
-    levels: tuple[int, ...] = LEVELS,
-    total: str | None = None,
+    df: DataFrame, group: list[str], key: str, ties: list[str] = (), name: str = "pos", total: str | None = None
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 ... in key order.
 
-    A plain ``row_number`` over the group would sort a hot group in one task. Here the key is cut
-    at fixed lengths; a longer prefix never changes the order of a shorter one. Rows are numbered
-    inside their longest prefix, the bucket, and the sizes of the buckets before it, summed level by
-    level, are added. With four characters between two levels a window holds at most the values of four
-    characters. Choose ``levels`` so that about four characters of the key remain under the last.
-    Group and key columns must not be null. ``total`` names a column for the size of the group.
+    A plain ``row_number`` over the group would sort a hot group in one task. Here rows are dealt into
+    ranges of (group, key, ties), each task sorts its range and writes it once, with the row's place
+    in the task. A group's rows lie together in a task, so a row's position is its place after the
+    group's first row there, plus the group's rows in earlier ranges: a table of one row per task
+    and group, which is stored and joined. Only rows alike in group, key and ties must share a task.
+    ``total`` names a column for the size of the group.
     """
-    *coarser, longest = sorted(levels)
-    cut = df.withColumn("_bucket", F.substring(key, 1, longest))
-    # One row per bucket, about a ten-thousandth of the rows; stored, so the input is counted once.
-    counts = settle(cut.groupBy(*group, "_bucket").agg(F.count("*").alias("_n")))
-    by_level = counts.select("*", *[F.substring("_bucket", 1, n).alias(f"_p{n}") for n in coarser], F.col("_bucket").alias("_last"))
-
-    offsets = by_level.withColumn("_before", F.lit(0).cast("long"))
-    names = [f"_p{n}" for n in coarser] + ["_last"]
-    for depth, here in enumerate(names):
-        # What lies before, inside the prefixes that are one level shorter.
-        path = [*group, *names[:depth]]
-        sizes = by_level.groupBy(*path, here).agg(F.sum("_n").alias("_size"))
-        upto = Window.partitionBy(*path).orderBy(here).rowsBetween(Window.unboundedPreceding, -1)
-        steps = sizes.select(*path, here, F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_step"))
-        offsets = offsets.join(steps, [*path, here]).withColumn("_before", F.col("_before") + F.col("_step")).drop("_step")
-    offsets = offsets.select(*group, "_bucket", "_before")
+    order = [*group, key, *ties]
+    place = F.monotonically_increasing_id()
+    placed = settle(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place))
+    placed = placed.withColumn("_task", F.shiftright("_place", 33))
+    runs = placed.groupBy("_task", *group).agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    in_order = Window.partitionBy(*group).orderBy("_task")
+    before = F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("_before", F.coalesce(before, F.lit(0)))
     if total:
-        offsets = offsets.join(counts.groupBy(*group).agg(F.sum("_n").alias(total)), group)
-
-    inside = Window.partitionBy(*group, "_bucket").orderBy(key, *ties)
-    return (
-        cut.join(offsets, [*group, "_bucket"])
-        .withColumn(name, F.col("_before") + F.row_number().over(inside))
-        .drop("_before", "_bucket")
+        runs = runs.withColumn(total, F.sum("_rows").over(Window.partitionBy(*group)))
+    runs = settle(runs.drop("_rows"))
+    same = [placed["_task"] == runs["_task"], *[placed[c].eqNullSafe(runs[c]) for c in group]]
+    position = placed["_place"] - runs["_first"] + runs["_before"] + 1
+    return placed.join(runs, same).select(
+        *[placed[c] for c in df.columns], position.alias(name), *([runs[total]] if total else [])
     )

@@ -6,9 +6,10 @@ nErrorNox (0 when the change was applied).
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import branch_of, first_row, moment
@@ -39,33 +40,35 @@ def register_incoming(incoming: DataFrame, announced: DataFrame) -> DataFrame:
 
 
 def hash_reconcile(own: DataFrame, peer: DataFrame) -> DataFrame:
-    """Both sides' hash per file, compared case-blind: match, mismatch or missing on one side."""
-    mine = own.select("sFileName", F.lower("sMD5Hashx").alias("own"))
-    theirs = peer.select("sFileName", F.lower("sMD5Hashx").alias("peer"))
+    """Both sides' hash per file, compared case-blind: match, mismatch, missing on one side, or no hash.
+
+    A file that is there without a hash, or with an empty one, cannot be verified: 'no hash'.
+    """
+    mine = own.select("sFileName", F.struct(F.lower("sMD5Hashx").alias("hash")).alias("own"))
+    theirs = peer.select("sFileName", F.struct(F.lower("sMD5Hashx").alias("hash")).alias("peer"))
+    unhashed = [F.coalesce(F.col(f"{side}.hash"), F.lit("")) == "" for side in ("own", "peer")]
     status = (
         F.when(F.col("own").isNull(), "missing here")
         .when(F.col("peer").isNull(), "missing there")
-        .when(F.col("own") == F.col("peer"), "match")
+        .when(unhashed[0] | unhashed[1], "no hash")
+        .when(F.col("own.hash") == F.col("peer.hash"), "match")
         .otherwise("mismatch")
     )
     return mine.join(theirs, "sFileName", "full").select("sFileName", status.alias("sStatusxx"))
 
 
-def only_touched_branches(log: DataFrame, rows: DataFrame, most: int = 1000) -> DataFrame:
-    """A log stored by branch, cut to the branches that occur in the rows, so other folders are not read.
+def drop_seen_changes(rows: DataFrame, log: DataFrame) -> DataFrame:
+    """Rows whose (key, modifier) the log does not hold.
 
-    At most ``most`` + 1 branch codes reach the driver. With more branches than that, or a log
-    without the branch column, the log is returned as it is.
+    The log is narrowed to what the rows hold, not the other way round: the rows are stored, so the
+    semi-join broadcasts their keys when they are small and shuffles two columns of the log only
+    when they are not. The branch is a further key, so of a log stored by branch only the folders
+    that occur are read; the bound on it is true of every code and lets Spark prune them at run time.
     """
-    if "branch" not in log.columns:
-        return log
-    touched = [r[0] for r in rows.select(branch_of("sTransNox")).distinct().limit(most + 1).collect()]
-    return log.filter(F.col("branch").isin(touched)) if len(touched) <= most else log
-
-
-def drop_seen_changes(rows: DataFrame, log: DataFrame) -> DataFrame:
-    """Rows whose (key, modifier) the log does not hold; only those two columns of the log are read."""
-    return rows.join(only_touched_branches(log, rows).select(*IDENTITY), IDENTITY, "left_anti")
+    rows = settle(rows)
+    wanted = with_branch(rows).select("branch", *IDENTITY).filter(F.col("branch") >= "")
+    seen = settle(with_branch(log).select("branch", *IDENTITY).join(wanted, ["branch", *IDENTITY], "left_semi"))
+    return rows.join(seen.select(*IDENTITY), IDENTITY, "left_anti")
 
 
 def drop_repeats_in_batch(rows: DataFrame) -> DataFrame:
@@ -103,10 +106,14 @@ def classify_errors(
 
 
 def error_report(classified: DataFrame, branch: str | None = None) -> DataFrame:
-    """The failed rows as sent to the watchers: branch, file, reference, code and outcome."""
+    """The failed rows as sent to the watchers: branch, file, reference, code, text and outcome.
+
+    The text is the column sDescript of the rows; rows that come without it have none.
+    """
     owner = branch_of("sFileName") if branch is None else F.lit(branch)
+    text = F.col("sDescript") if "sDescript" in classified.columns else F.lit(None).cast("string").alias("sDescript")
     return classified.filter(F.col("sOutcomex") != "ok").select(
-        owner.alias("sBranchCD"), "sFileName", F.col("sTransNox").alias("sRefernox"), "nErrorNox", "sOutcomex"
+        owner.alias("sBranchCD"), "sFileName", F.col("sTransNox").alias("sRefernox"), "nErrorNox", text, "sOutcomex"
     )
 
 
@@ -160,16 +167,15 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     """New target: per key the newest change by (dModified, sTransNox) wins and a delete removes the row.
 
     ``changes`` has the target's columns, sActionxx ('upsert' or 'delete'), dModified and sTransNox.
+    The newest changes are stored, so the target, which may be far larger, is only filtered by their
+    keys and not shuffled while these are small enough to broadcast. Keys may be null.
     """
-    values = [c for c in target.columns if c not in keys]
     newest = first_row(changes, keys, [F.col("dModified").desc(), F.col("sTransNox").desc()])
-    latest = newest.select(*keys, F.struct("sActionxx", *values).alias("_new"))
-    old = target.select(*keys, F.struct(*values).alias("_old"))
-    merged = old.join(latest, keys, "full").filter(F.coalesce(F.col("_new.sActionxx"), F.lit("")) != "delete")
-    changed = F.col("_new").isNotNull()
-    return merged.select(
-        *keys, *[F.when(changed, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c) for c in values]
-    ).select(*target.columns)
+    latest = settle(newest.select(*target.columns, "sActionxx"))
+    touched = latest.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = functools.reduce(Column.__and__, [target[k].eqNullSafe(touched[f"_{k}"]) for k in keys])
+    untouched = target.join(touched, same, "left_anti")
+    return untouched.unionByName(latest.filter(F.col("sActionxx") != "delete").drop("sActionxx"))
 
 
 # Fixed pattern: verb and table of a change statement, the table with or without backticks.

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import moment
+from ..functions import dense_position, moment
 
 # Source code and state of a document that can be uploaded, and the reason texts.
 SHEET_SOURCE, CLOSED = "DCPx", "1"
@@ -17,8 +17,8 @@ EMPTY_KEY = "Transaction number must not be empty."
 NO_SUCH_DOCUMENT = "Transaction given does not exist."
 UPLOADED = "uploaded successfully."
 
-# Longest detail list of one document row; longer documents continue in further rows.
-MAX_LINES = 100_000
+# Lines in one part of a document.
+LINES_PER_PART = 100_000
 
 
 def pending_outbox(queue: DataFrame, branch: str) -> DataFrame:
@@ -97,29 +97,32 @@ def upload_projection(details: DataFrame) -> DataFrame:
     )
 
 
-def line_part(max_lines: int) -> Column:
-    """The document part a line belongs to; entry numbers count from 1 inside a transaction."""
-    return F.greatest(F.floor((F.coalesce(F.col("nEntryNox"), F.lit(1)) - 1) / max_lines), F.lit(0))
+def numbered_parts(lines: DataFrame, ties: list[str], per_part: int) -> DataFrame:
+    """Lines with their place in the transaction in entry order, and the part, counted from 0, that the place falls in."""
+    placed = dense_position(lines, ["sTransNox"], "nEntryNox", ties, name="_at")
+    return placed.withColumn("nPartxxxx", F.floor((F.col("_at") - 1) / per_part).cast("int"))
 
 
 def nest_master_detail(
-    masters: DataFrame, details: DataFrame, keep_without_lines: bool = True, max_lines: int = MAX_LINES
+    masters: DataFrame, details: DataFrame, keep_without_lines: bool = True, per_part: int = LINES_PER_PART
 ) -> DataFrame:
-    """One row per transaction: sTransNox, nPartxxxx, master and the lines in entry order.
+    """One row per part of a transaction: sTransNox, nPartxxxx, master and the lines in entry order.
 
     Lines without a header are left out; a header without lines has an empty list, or no row when
-    ``keep_without_lines`` is off. A transaction of more than ``max_lines`` entries goes on in
-    further parts with the same header, so no list grows without bound and no line is dropped.
+    ``keep_without_lines`` is off. Parts are cut by the number of lines, whatever their entry numbers,
+    so no list holds more than ``per_part`` and no line is dropped.
     """
-    line = F.struct("nEntryNox", *[c for c in details.columns if c not in ("sTransNox", "nEntryNox")])
-    lists = details.groupBy("sTransNox", line_part(max_lines).alias("nPartxxxx")).agg(
-        F.sort_array(F.collect_list(line)).alias("detail")
+    others = [c for c in details.columns if c not in ("sTransNox", "nEntryNox")]
+    line = F.struct("nEntryNox", *others)
+    lists = numbered_parts(details, others, per_part).groupBy("sTransNox", "nPartxxxx").agg(
+        F.sort_array(F.collect_list(F.struct("_at", line.alias("line")))).alias("lines")
     )
+    lists = lists.withColumn("detail", F.transform("lines", lambda x: x["line"])).drop("lines")
     heads = masters.select("sTransNox", F.struct(*masters.columns).alias("master"))
     nested = heads.join(lists, "sTransNox", "left" if keep_without_lines else "inner")
     return nested.select(
         "sTransNox",
-        F.coalesce("nPartxxxx", F.lit(0)).cast("int").alias("nPartxxxx"),
+        F.coalesce("nPartxxxx", F.lit(0)).alias("nPartxxxx"),
         "master",
         F.coalesce("detail", F.array().cast(lists.schema["detail"].dataType)).alias("detail"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import branch_of
+from .windows import with_branch
 
 # Fixed value: months a foreign log row is kept.
 KEEP_MONTHS = 6
@@ -19,29 +20,30 @@ def _expired(as_of: date, months: int) -> Column:
     return F.col("dModified") <= F.add_months(F.lit(as_of), -months).cast("timestamp_ntz")
 
 
-def _marked(log: DataFrame, own: str, as_of: date, branches: DataFrame | None, months: int) -> DataFrame:
-    """The log with ``_purge``: an expired row of another branch, of a registered one if a registry is given."""
-    prefix = branch_of("sTransNox")
-    if branches is None:
-        foreign = log.withColumn("_foreign", prefix != own)
-    else:
-        others = _others(branches, own).distinct().withColumn("_foreign", F.lit(True))
-        foreign = log.join(others, prefix == F.col("_other"), "left")
-    return foreign.withColumn("_purge", F.coalesce(F.col("_foreign") & _expired(as_of, months), F.lit(False)))
-
-
 def retain_log(
     log: DataFrame, own: str, as_of: date, branches: DataFrame | None = None, months: int = KEEP_MONTHS
 ) -> DataFrame:
     """Log rows to keep: own rows and rows younger than the limit, with a registry also rows of branches not in it."""
-    return _marked(log, own, as_of, branches, months).filter(~F.col("_purge")).select(*log.columns)
+    rows, expired = with_branch(log), _expired(as_of, months)
+    if branches is None:
+        kept = rows.filter(~F.coalesce((F.col("branch") != own) & expired, F.lit(False)))
+    else:
+        kept = rows.join(_others(branches, own), (F.col("branch") == F.col("_other")) & expired, "left_anti")
+    return kept.select(*log.columns)
 
 
 def purge_log(
     log: DataFrame, own: str, as_of: date, branches: DataFrame | None = None, months: int = KEEP_MONTHS
 ) -> DataFrame:
-    """Log rows to purge: the complement of ``retain_log``."""
-    return _marked(log, own, as_of, branches, months).filter("_purge").select(*log.columns)
+    """Log rows to purge: the complement of ``retain_log``.
+
+    Age and branch are filters on the scan itself, so of a log stored by branch the own folder is not
+    read, nor are row groups that are too young.
+    """
+    rows = with_branch(log).filter((F.col("branch") != own) & _expired(as_of, months))
+    if branches is not None:
+        rows = rows.join(_others(branches, own), F.col("branch") == F.col("_other"), "left_semi")
+    return rows.select(*log.columns)
 
 
 def _others(branches: DataFrame, own: str) -> DataFrame:
@@ -57,7 +59,8 @@ def trim_by_branch(rows: DataFrame, branches: DataFrame, own: str, column: str =
 def trim_by_key_prefix(rows: DataFrame, branches: DataFrame, own: str, key: str = "sTransNox") -> DataFrame:
     """Rows whose key was not written by one of the other branches."""
     others = _others(branches, own)
-    return rows.join(others, branch_of(key) == F.col("_other"), "left_anti")
+    written_by = F.col("branch") if key == "sTransNox" and "branch" in rows.columns else branch_of(key)
+    return rows.join(others, written_by == F.col("_other"), "left_anti")
 
 
 def trim_plan(actions: DataFrame, division: str, log_only: bool = False) -> DataFrame:

@@ -24,7 +24,7 @@ def build_sync_request(
 ) -> DataFrame:
     """Every active client with the last key the asker holds of it, '' when none."""
     asked = active_clients(clients, branches, self_id).withColumn("branch", client_prefix("sClientID"))
-    return asked.join(last_key_per_branch(log), "branch", "left").select(
+    return asked.join(last_key_per_branch(log, asked), "branch", "left").select(
         F.lit(export_code).alias("sExportCd"), "sClientID", F.coalesce("sLastKey", F.lit("")).alias("sExportFr")
     )
 
@@ -32,7 +32,7 @@ def build_sync_request(
 def bound_sync_request(requests: DataFrame, log: DataFrame) -> DataFrame:
     """Adds sExportTr, the last key the responder holds of the client, '' when none."""
     asked = requests.withColumn("branch", client_prefix("sClientID"))
-    return asked.join(last_key_per_branch(log), "branch", "left").select(
+    return asked.join(last_key_per_branch(log, asked), "branch", "left").select(
         *[c for c in requests.columns if c != "sExportTr"], F.coalesce("sLastKey", F.lit("")).alias("sExportTr")
     )
 
@@ -72,7 +72,7 @@ def route_changes_all(log: DataFrame, registry: DataFrame) -> DataFrame:
     """Every change with its address or addresses: sScopexxx 'all', 'branch' or 'area', and sTargetxx.
 
     A change for all branches stays one row, and a change for an area one row, so the result does
-    not grow with the number of branches; ``expand_routes`` turns addresses into targets. The
+    not grow with the number of branches; ``route_summary`` turns addresses into targets. The
     addresses of one row are worked out inside the row and never reach the same target twice, so no
     shuffle and no duplicate removal is needed.
     """
@@ -93,8 +93,8 @@ def route_changes_all(log: DataFrame, registry: DataFrame) -> DataFrame:
     return routed.select(F.inline(addresses), *[F.col(c) for c in log.columns])
 
 
-def expand_routes(routes: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row per target and change, for the given targets (column ``target``)."""
+def _expand_routes(routes: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row per target and address, for the given targets (column ``target``); only for rows counted by address."""
     subscriptions = targets.select(
         "target",
         F.inline(
@@ -115,15 +115,14 @@ def route_summary(routes: DataFrame, targets: DataFrame) -> DataFrame:
     per_address = routes.groupBy("sScopexxx", "sTargetxx").agg(
         F.count("*").alias("n"), F.min("sTransNox").alias("first"), F.max("sTransNox").alias("last")
     )
-    return expand_routes(per_address, targets).groupBy("target").agg(
+    return _expand_routes(per_address, targets).groupBy("target").agg(
         F.sum("n").alias("nRowsxxxx"), F.min("first").alias("sFirstKey"), F.max("last").alias("sLastKey")
     )
 
 
-def apply_order(log: DataFrame, cap: int | None = None) -> DataFrame:
-    """Rows by (dModified, sTransNox), the order in which changes are applied; the main office may cap them."""
-    ordered = log.orderBy("dModified", "sTransNox")
-    return ordered if cap is None else ordered.limit(cap)
+def apply_order(log: DataFrame) -> DataFrame:
+    """Rows by (dModified, sTransNox), the order in which changes are applied."""
+    return log.orderBy("dModified", "sTransNox")
 
 
 def advance_client_watermark(clients: DataFrame, requests: DataFrame) -> DataFrame:

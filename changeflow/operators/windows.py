@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import branch_of, dense_position, first_row, moment
-from ..functions.ranking import LEVELS
 from ..schemas import CHANGE_FIELDS
 from ..session import settle
 
@@ -48,9 +47,16 @@ def hosted_branches(branch_others: DataFrame, server: str) -> DataFrame:
     return branch_others.filter(F.col("xBranchCD") == server).select("sBranchCD").orderBy("sBranchCD")
 
 
-def last_key_per_branch(log: DataFrame) -> DataFrame:
-    """Highest key per branch. Each task sends one row per branch to the shuffle."""
-    return with_branch(log).groupBy("branch").agg(F.max("sTransNox").alias("sLastKey"))
+def last_key_per_branch(log: DataFrame, branches: DataFrame | None = None) -> DataFrame:
+    """Highest key per branch. Each task sends one row per branch to the shuffle.
+
+    With ``branches`` (column branch) only those are looked at: of a log stored by branch the other
+    folders are not read. The bound on the code is true of all and lets Spark prune at run time.
+    """
+    rows = with_branch(log).select("branch", "sTransNox")
+    if branches is not None:
+        rows = rows.join(settle(branches.select("branch").distinct()).filter(F.col("branch") >= ""), "branch", "left_semi")
+    return rows.groupBy("branch").agg(F.max("sTransNox").alias("sLastKey"))
 
 
 def _newest(batches: DataFrame, by: list[str]) -> DataFrame:
@@ -137,38 +143,36 @@ def batch_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def batch_rows(
-    log: DataFrame, windows: DataFrame, created: datetime, levels: tuple[int, ...] = LEVELS
-) -> DataFrame:
-    """Rows of all pending windows, each with its batch name and its position in the batch.
-
-    ``levels`` goes to ``dense_position``; give a longer list for keys of more than 16 characters.
-    """
+def batch_rows(log: DataFrame, windows: DataFrame, created: datetime) -> DataFrame:
+    """Rows of all pending windows, each with its batch name and its position in the batch; stored."""
     stamp = created.strftime("%Y%m%d%H%M%S")
     pending = windows.filter("is_pending").select(
         "branch", "sLogFromx", "sLogThrux", F.concat("branch", F.lit(stamp)).alias("sFileName")
     )
     rows = branch_window_scan(log, settle(pending))
-    return dense_position(rows, ["sFileName"], "sTransNox", ["sModified"], levels=levels)
+    return dense_position(rows, ["sFileName"], "sTransNox", ["sModified"])
 
 
-def create_batches(
-    log: DataFrame, windows: DataFrame, created: datetime, levels: tuple[int, ...] = LEVELS
-) -> tuple[DataFrame, DataFrame]:
-    """The rows of all pending windows and the new manifest rows in state 0."""
-    rows = batch_rows(log, windows, created, levels)
-    return rows, manifest_of(rows, created)
+def create_batches(log: DataFrame, windows: DataFrame, created: datetime) -> tuple[DataFrame, DataFrame]:
+    """The rows of all pending windows and their summaries. The log is read once; both come from stored rows."""
+    rows = batch_rows(log, windows, created)
+    return rows, batch_summary(rows)
 
 
-def manifest_of(rows: DataFrame, created: datetime) -> DataFrame:
-    """New manifest rows in state 0 for written batches; pass stored rows to avoid a second scan."""
-    return batch_summary(rows).select(
-        "sFileName", "sLogFromx", "sLogThrux", "nRowsxxxx", F.col("sCheckSum").alias("sMD5Hashx"),
+def manifest_of(summary: DataFrame, files: DataFrame, created: datetime) -> DataFrame:
+    """New manifest rows in state 0: keys from the batches' summary, size and MD5 from their written files."""
+    return summary.join(files, "sFileName").select(
+        "sFileName", "sLogFromx", "sLogThrux", "sFileSize", "sMD5Hashx",
         F.lit(MADE).alias("cTranStat"), moment(created).alias("dCreatedx"),
         F.lit(None).cast("timestamp_ntz").alias("dExported"),
     )
 
 
+def unfinished_batches(outgoing: DataFrame) -> DataFrame:
+    """Per branch its newest hashed batch if that still has to be announced (state 0) or sent and verified (state 1)."""
+    return latest_batch(outgoing).filter(F.col("cTranStat").isin(MADE, ANNOUNCED))
+
+
 def _advance(manifest: DataFrame, acks: DataFrame, steps: list[tuple[str, str, str, str | None]]) -> DataFrame:
     """Apply (event, from, to, stamped column) steps in order; a step from another state is refused."""
     happened = [F.coalesce(F.bool_or(F.col("sEvent") == e), F.lit(False)).alias(f"_{e}") for e, *_ in steps]
@@ -244,15 +248,14 @@ def mark_archived(outgoing: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def delete_chunks(purge: DataFrame, chunk: int = 1000, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+def delete_chunks(purge: DataFrame, chunk: int = 1000) -> DataFrame:
     """Purge keys of each branch cut into runs of ``chunk`` keys: first key, last key, size.
 
     The last, shorter run is kept. Keys are made distinct first, so a key with many modifiers
-    counts once, and stored, as they are read twice. Only the first and last key of each run go
-    on from the numbering.
+    counts once. Only the first and last key of each run go on from the numbering.
     """
-    keys = settle(with_branch(purge).select("branch", "sTransNox").distinct())
-    numbered = dense_position(keys, ["branch"], "sTransNox", levels=levels, total="_total")
+    keys = with_branch(purge).select("branch", "sTransNox").distinct()
+    numbered = dense_position(keys, ["branch"], "sTransNox", total="_total")
     pos, total, run = F.col("pos"), F.col("_total"), F.col("nChunkxxx")
     ends = numbered.filter((pos % chunk == 1) | (pos % chunk == 0) | (pos == total) | F.lit(chunk == 1))
     return (

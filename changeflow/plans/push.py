@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,16 +14,32 @@ from ..session import settle
 from ..sources import batches
 
 
-def push(log: DataFrame, outgoing: DataFrame, clients: DataFrame, created: datetime, path: str) -> DataFrame:
-    """Write the pending batches of all branches below ``path`` and return the new outgoing manifest.
+class Pushed(NamedTuple):
+    outgoing: DataFrame
+    announce: DataFrame
+    send: DataFrame
 
-    The manifest is computed from the written batches, so the log is not scanned again.
+
+def push(log: DataFrame, outgoing: DataFrame, clients: DataFrame, created: datetime, path: str) -> Pushed:
+    """Write the pending batches of all branches below ``path``; the new outgoing manifest and what to do next.
+
+    A branch whose newest batch is unfinished gets no new window, or the same rows would be cut again: its
+    batch is announced (state 0) or sent and verified (state 1) first, as are the new ones. Keys come
+    from the numbered rows, which are stored, size and MD5 from the written files, so the log is
+    read once after its windows are known.
     """
     spark = log.sparkSession
-    rows = windows.batch_rows(log, windows.export_window(log, outgoing, clients), created)
+    unfinished = settle(windows.unfinished_batches(outgoing))
+    due = windows.export_window(log, outgoing, clients).join(unfinished, "branch", "left_anti")
+    rows, summary = windows.create_batches(log, due, created)
     batches.write_change_batch(rows, path)
-    made = windows.manifest_of(batches.read_change_lines(spark, path), created)
-    return outgoing.unionByName(made, allowMissingColumns=True)
+    made = settle(windows.manifest_of(summary, batches.batch_files(spark, path), created))
+    waiting = unfinished.select(*outgoing.columns)
+    return Pushed(
+        outgoing.unionByName(made.select(*outgoing.columns)),
+        waiting.filter(F.col("cTranStat") == windows.MADE).unionByName(made.select(*outgoing.columns)),
+        waiting.filter(F.col("cTranStat") == windows.ANNOUNCED),
+    )
 
 
 def confirm(outgoing: DataFrame, peer: DataFrame, checked: datetime) -> DataFrame:

@@ -7,10 +7,8 @@ from pyspark.sql import DataFrame
 from ..operators import sync
 
 
-def answer(
-    log: DataFrame, requests: DataFrame, registry: DataFrame, target: str, main_office: bool = False, cap: int | None = None
-) -> DataFrame:
-    """Changes that a requesting branch gets, in the order in which it applies them."""
+def answer(log: DataFrame, requests: DataFrame, registry: DataFrame, target: str, main_office: bool = False) -> DataFrame:
+    """Changes that a requesting branch gets, in the order in which it applies them. A main office gets all that match."""
     bounded = sync.bound_sync_request(requests, log)
     matched = sync.request_range_match(log, bounded)
-    return sync.apply_order(sync.route_changes(matched, registry, target, main_office), cap)
+    return sync.apply_order(sync.route_changes(matched, registry, target, main_office))

@@ -78,7 +78,8 @@ def write_change_batch(rows: DataFrame, path: str, layout: str = "lines", rows_p
 
     ``lines``: one object per line with its position; a large batch is spread over many tasks by the
     rebalance hint, which also joins small ones. ``array``: JSON arrays for readers of the array
-    form, each of at most ``rows_per_file`` rows.
+    form. Every batch, long or short, is a folder of arrays named by the position of their first
+    row (``nFirstPos``), each of at most ``rows_per_file`` rows.
     """
     rows_per_file = rows_per_file or (ROWS_PER_FILE if layout == "lines" else ROWS_PER_ARRAY)
     if layout == "lines":
@@ -102,12 +103,33 @@ def write_change_batch(rows: DataFrame, path: str, layout: str = "lines", rows_p
     arrays.write.partitionBy("sFileName", "nFirstPos").text(path, compression="gzip")
 
 
-def file_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Per written file: name, size in KB to two places, and the MD5 of its bytes."""
+def _of_files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
-        F.col("_metadata.file_name").alias("sFileName"),
-        # The size is taken as a single-precision number, as it always was in the manifest.
-        F.format_string("%.2f", F.col("length").cast("float").cast("double") / 1024.0).alias("sFileSize"),
-        F.md5("content").alias("sMD5Hashx"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), "length", F.md5("content").alias("md5")
     )
+
+
+# The size is taken as a single-precision number, as it always was in the manifest.
+def _kilobytes(length: Column) -> Column:
+    return F.format_string("%.2f", length.cast("float").cast("double") / 1024.0)
+
+
+def file_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Per written file: name, size in KB to two places, and the MD5 of its bytes."""
+    return _of_files(spark, path).select(
+        F.col("name").alias("sFileName"), _kilobytes(F.col("length")).alias("sFileSize"), F.col("md5").alias("sMD5Hashx")
+    )
+
+
+def batch_files(spark: SparkSession, path: str) -> DataFrame:
+    """Per written batch: its size in KB, and the MD5 of its file's bytes.
+
+    Of a batch in several files, the MD5 of the files' MD5s in the order of their paths, one per line. A
+    batch of ten thousand files lists ten thousand hashes, no bytes.
+    """
+    of_batch = _of_files(spark, path).withColumn("sFileName", F.regexp_extract("path", r"sFileName=([^/]+)/", 1))
+    files = of_batch.groupBy("sFileName").agg(F.sum("length").alias("length"), F.sort_array(F.collect_list(F.struct("path", "md5"))).alias("files"))
+    md5s = F.transform("files", lambda f: f["md5"])
+    md5 = F.when(F.size("files") == 1, F.get("files", F.lit(0))["md5"]).otherwise(F.md5(F.array_join(md5s, "\n")))
+    return files.select("sFileName", _kilobytes(F.col("length")).alias("sFileSize"), md5.alias("sMD5Hashx"))

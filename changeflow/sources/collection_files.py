@@ -6,20 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.outbox import MAX_LINES, line_part
+from ..operators.outbox import LINES_PER_PART, numbered_parts
 from ..schemas import FIELD_ENTRY, FIELD_ENTRY_FIELDS
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def collection_docs(nested: DataFrame) -> DataFrame:
-    """Nested transactions to one ``{"master":{},"detail":[]}`` text each (per part of a very long one)."""
+    """Nested transactions to one ``{"master":{},"detail":[]}`` text for each part."""
     return nested.select("sTransNox", "nPartxxxx", F.to_json(F.struct("master", "detail"), KEEP_NULLS).alias("value"))
 
 
 def write_collection_doc(nested: DataFrame, path: str) -> None:
-    """Documents as text, one per line; the line's master names its transaction."""
-    collection_docs(nested).select("value").write.text(path)
+    """Documents as text, one per line, in a folder for each part number; the line's master names its transaction."""
+    collection_docs(nested).select("nPartxxxx", "value").write.partitionBy("nPartxxxx").text(path)
+
+
+def read_collection_docs(spark: SparkSession, path: str) -> DataFrame:
+    """Written documents with their part numbers."""
+    return spark.read.schema("value string, nPartxxxx int").text(path)
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -60,12 +65,13 @@ def read_field_entries(spark: SparkSession, path: str) -> DataFrame:
     return parse_field_entries(read_texts(spark, path))
 
 
-def export_field_entries(entries: DataFrame, masters: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
-    """One ``{"android":[...]}`` text per transaction that has a header and entries (per part of a very long one)."""
+def export_field_entries(entries: DataFrame, masters: DataFrame, per_part: int = LINES_PER_PART) -> DataFrame:
+    """One ``{"android":[...]}`` text for each part of a transaction that has a header and entries, parts cut by count."""
     known = entries.join(masters.select("sTransNox"), "sTransNox", "left_semi")
+    ties = [n for n in FIELD_ENTRY_FIELDS if n not in ("sTransNox", "nEntryNox")]
     entry = F.struct(*[F.col(n).cast("string").alias(n) for n in FIELD_ENTRY_FIELDS])
-    lists = known.groupBy("sTransNox", line_part(max_lines).cast("int").alias("nPartxxxx")).agg(
-        F.sort_array(F.collect_list(F.struct("nEntryNox", entry.alias("e")))).alias("_lines")
+    lists = numbered_parts(known, ties, per_part).groupBy("sTransNox", "nPartxxxx").agg(
+        F.sort_array(F.collect_list(F.struct("_at", entry.alias("e")))).alias("_lines")
     )
     android = F.transform("_lines", lambda x: x["e"]).alias("android")
     return lists.select("sTransNox", "nPartxxxx", F.to_json(F.struct(android), KEEP_NULLS).alias("value"))

@@ -1,10 +1,16 @@
-"""Continuous import of change batches from an inbox folder."""
+"""Continuous import of change batches as they are received.
+
+A stream of notices says which batches have been received whole; the batches themselves lie in the
+inbox, as ``write_change_batch`` writes them. A batch is always read whole, so what is logged does not
+depend on how its rows are spread over files or notices over micro-batches. A batch that stops at an
+error stays open at its durable position and is read again from there by the next run, as errors may
+have been lifted by then.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,61 +18,105 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import moment
 from ..operators import ingest
+from ..operators.windows import with_branch
 from ..schemas import CHANGE
+from ..session import scratch, settle
+from ..sources import batches
+
+# A notice: a batch that is in the inbox with all its files.
+NOTICE = "sFileName string, dReceived timestamp_ntz"
+# The state of an open or closed batch after a step.
+PROGRESS = f"{NOTICE}, nDurablex bigint, bOpenxxxx boolean, step bigint"
+ERRORS = "sFileName string, pos bigint, nErrorNox int"
+# Steps are numbered: so many for each micro-batch, the first its own, the others for runs that try again.
+STEPS = 1_000_000
+
 
-# Rows of the inbox: file name, position, time received, change columns, and error code (0 = applied).
-INBOX_SCHEMA = ", ".join(
-    ["sFileName string", "pos bigint", "dReceived timestamp_ntz"]
-    + [f"{f.name} {f.dataType.simpleString()}" for f in CHANGE.fields]
-    + ["nErrorNox int"]
-)
-
-
-def logged_before(spark: SparkSession, log_path: str, batch_id: int) -> DataFrame:
-    """Log rows of earlier micro-batches; a replay must not see its own first try."""
-    schema = T.StructType([*CHANGE.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(log_path).filter(F.col("batch_id") < batch_id)
-
-
-def import_micro_batch(
-    rows: DataFrame, batch_id: int, log_path: str, imported: datetime, chunk: int = ingest.DEFAULT_CHUNK
-) -> None:
-    """Accept, de-duplicate and log one micro-batch into ``batch_id=N``, overwriting an earlier try of it."""
-    spark = rows.sparkSession
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read for the stops and again for the rows
-    try:
-        classified = ingest.classify_errors(rows)
-        accepted = ingest.accepted_prefix(classified, chunk).filter("bDurablex")
-        fresh = ingest.drop_repeats_in_batch(accepted)
-        if batch_id > 0:
-            fresh = ingest.drop_seen_changes(fresh, logged_before(spark, log_path, batch_id))
-        out = fresh.select(*[f.name for f in CHANGE.fields]).withColumn("dModified", moment(imported))
-        # No folder per branch: branches times micro-batches would make too many small files.
-        out.hint("rebalance").sortWithinPartitions("sTransNox").write.mode("overwrite").parquet(
-            f"{log_path}/batch_id={batch_id}"
-        )
-    finally:
-        rows.unpersist()
-
-
-def stream_import(
-    spark: SparkSession, inbox: str, log_path: str, checkpoint: str, imported: datetime, files_per_batch: int = 100
-) -> StreamingQuery:
-    """Import whatever lies in the inbox, oldest files first, and stop; run again for new files.
-
-    Exactly-once: a replayed micro-batch overwrites its own folder and is compared only with the
-    folders before it. Duplicates are found by an anti-join with the whole log, not by a
-    watermark, which would forget old changes.
+class Import:
+    """Where a stream's folders lie, and one step of importing into the log.
+
+    ``inbox``: batches in the line layout. ``errors``: Parquet of ERRORS, what applying the rows gave, read
+    anew in each step; a row without one was applied. ``log`` and ``state`` are written, a folder per step; a
+    step that runs again overwrites its own folders and looks only at earlier ones.
     """
-    stream = (
-        spark.readStream.schema(INBOX_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("latestFirst", False)
-        .json(inbox)
-    )
+
+    def __init__(self, spark: SparkSession, inbox: str, errors: str, log: str, state: str, imported: datetime, chunk: int = ingest.DEFAULT_CHUNK):
+        self.spark, self.inbox, self.errors, self.log, self.state = spark, inbox, errors, log, state
+        self.imported, self.chunk = imported, chunk
+
+    def _folder_exists(self, path: str) -> bool:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+
+    def progress(self) -> DataFrame:
+        """The state of every batch after every step."""
+        if not self._folder_exists(self.state):
+            return self.spark.createDataFrame([], PROGRESS)
+        return self.spark.read.schema(PROGRESS).parquet(self.state)
+
+    def open_batches(self, step: int) -> DataFrame:
+        """Batches that the last step before this one has left open."""
+        earlier = self.progress().filter(F.col("step") < step)
+        last = earlier.agg(F.max("step").alias("step"))
+        return earlier.join(last, "step", "left_semi").filter("bOpenxxxx").select("sFileName", "dReceived", "nDurablex")
+
+    def logged_before(self, step: int) -> DataFrame:
+        schema = T.StructType([*CHANGE.fields, T.StructField("branch", T.StringType()), T.StructField("step", T.LongType())])
+        if not self._folder_exists(self.log):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.log).filter(F.col("step") < step)
+
+    def run(self, step: int, notices: DataFrame) -> None:
+        """Import the open batches and those of the notices as far as they go."""
+        with scratch():
+            waiting = settle(self.open_batches(step))
+            new = notices.groupBy("sFileName").agg(F.min("dReceived").alias("dReceived")).withColumn("nDurablex", F.lit(0).cast("long"))
+            known = self.progress().filter(F.col("step") < step).select("sFileName").distinct()
+            todo = settle(waiting.unionByName(new.join(known, "sFileName", "left_anti")))
+
+            rows = batches.read_change_lines(self.spark, self.inbox).join(todo.filter(F.col("sFileName") >= ""), "sFileName")
+            codes = self.spark.read.schema(ERRORS).parquet(self.errors)
+            rows = rows.filter(F.col("pos") > F.col("nDurablex")).drop("nDurablex").join(codes, ["sFileName", "pos"], "left")
+            rows = settle(rows.withColumn("nErrorNox", F.coalesce("nErrorNox", F.lit(0))))
+            classified = ingest.classify_errors(rows)
+            stops = settle(ingest.import_progress(classified, self.chunk).select("sFileName", "nStopPosx", F.col("nDurablex").alias("_kept")))
+            accepted = classified.join(stops, "sFileName").filter(F.col("pos") <= F.col("_kept")).drop("nStopPosx", "_kept")
+            fresh = ingest.drop_seen_changes(ingest.drop_repeats_in_batch(accepted), self.logged_before(step))
+            out = with_branch(fresh.select(*[f.name for f in CHANGE.fields])).withColumn("dModified", moment(self.imported))
+            # No folder per branch: branches times steps would make too many small files.
+            out.hint("rebalance").sortWithinPartitions("sTransNox").write.mode("overwrite").parquet(f"{self.log}/step={step}")
+
+            durable = F.greatest("nDurablex", F.coalesce("_kept", F.col("nDurablex")))
+            after = todo.join(stops, "sFileName", "left").select(
+                "sFileName", "dReceived", durable.alias("nDurablex"), F.col("nStopPosx").isNotNull().alias("bOpenxxxx")
+            )
+            # Written last: a step counts once its state is there.
+            after.write.mode("overwrite").parquet(f"{self.state}/step={step}")
+
+    def try_again(self) -> None:
+        """One step for the open batches alone, after the last one."""
+        last = self.progress().agg(F.max("step")).first()[0]
+        if last is not None and not self.open_batches(last + 1).isEmpty():
+            self.run(last + 1, self.spark.createDataFrame([], NOTICE))
+
+
+def stream_import(job: Import, notices: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
+    """Try the open batches again, then import the batches of all new notices (JSON lines of NOTICE), and stop.
+
+    Duplicates are found by comparing with the whole log before the step, not by a watermark, which
+    would forget old changes. A new checkpoint needs new log and state folders.
+    """
+    job.try_again()
+    stream = job.spark.readStream.schema(NOTICE).option("maxFilesPerTrigger", files_per_batch).json(notices)
     return (
-        stream.writeStream.foreachBatch(lambda df, n: import_micro_batch(df, n, log_path, imported))
+        stream.writeStream.foreachBatch(lambda df, n: job.run(n * STEPS, df))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def closed_batches(job: Import, at: datetime) -> DataFrame:
+    """Events for ``advance_incoming``: batches that were imported to their end."""
+    closed = job.progress().filter(~F.col("bOpenxxxx")).select("sFileName").distinct()
+    return closed.select("sFileName", F.lit("imported").alias("sEvent"), moment(at).alias("dEventxxx"))

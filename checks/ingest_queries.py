@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from changeflow.functions import branch_of
+from changeflow.functions import dense_position
 from changeflow.operators import ingest
 from changeflow.plans import pull
-from changeflow.session import new_folder
+from changeflow.session import new_folder, settle
+from changeflow.sources import batches
 from changeflow.streaming import inbox
 
 from .registry import NOW, query
@@ -39,16 +40,16 @@ def register_incoming(t):
     "hash_reconcile",
     """select coalesce(a.sFileName, b.sFileName) as sFileName,
               case when a.sFileName is null then 'missing here' when b.sFileName is null then 'missing there'
+                   when coalesce(a.sMD5Hashx, '') = '' or coalesce(b.h, '') = '' then 'no hash'
                    when lower(a.sMD5Hashx) = lower(b.h) then 'match' else 'mismatch' end as sStatusxx
-         from (select * from v_outgoing where sMD5Hashx <> '' and cTranStat <> '4') a
-         full join (select sFileName, case when cTranStat = '1' then 'x' else upper(sMD5Hashx) end as h
-                      from v_outgoing where sMD5Hashx <> '' and left(sFileName, 1) = 'M') b on a.sFileName = b.sFileName""",
+         from (select * from v_outgoing where cTranStat <> '0') a
+         full join (select sFileName, case when cTranStat = '1' then 'x' when cTranStat = '4' then null else upper(sMD5Hashx) end as h
+                      from v_outgoing where left(sFileName, 1) = 'M') b on a.sFileName = b.sFileName""",
 )
 def hash_reconcile(t):
-    known = t.outgoing.filter("sMD5Hashx <> ''")
-    wrong = F.when(F.col("cTranStat") == "1", "x").otherwise(F.upper("sMD5Hashx"))
-    peer = known.filter(F.col("sFileName").startswith("M")).withColumn("sMD5Hashx", wrong)
-    return ingest.hash_reconcile(known.filter("cTranStat <> '4'"), peer)
+    told = F.when(F.col("cTranStat") == "1", "x").when(F.col("cTranStat") != "4", F.upper("sMD5Hashx"))
+    peer = t.outgoing.filter(F.col("sFileName").startswith("M")).withColumn("sMD5Hashx", told)
+    return ingest.hash_reconcile(t.outgoing.filter("cTranStat <> '0'"), peer)
 
 
 @query("drop_seen_changes", f"select {ROW} from v_incoming i where not {SEEN}")
@@ -72,11 +73,18 @@ def classify_errors(t):
 
 @query(
     "error_report",
-    f"""select substring(sFileName, 1, 4) as sBranchCD, sFileName, sTransNox as sRefernox, nErrorNox, {OUTCOME} as sOutcomex
+    f"""select substring(sFileName, 1, 4) as sBranchCD, sFileName, sTransNox as sRefernox, nErrorNox,
+               concat('error ', nErrorNox, ' at ', sTransNox) as sDescript,
+               case when {OUTCOME} = 'report' and pos % 2 = 0 then 'ignore' else {OUTCOME} end as sOutcomex
           from v_incoming where nErrorNox <> 0""",
 )
 def error_report(t):
-    return ingest.error_report(ingest.classify_errors(t.incoming))
+    rows = t.incoming.withColumn("sDescript", F.format_string("error %d at %s", "nErrorNox", "sTransNox"))
+    # The watchers let every other reported row pass.
+    answered = rows.filter("nErrorNox <> 0").select(
+        "sFileName", F.col("sTransNox").alias("sRefernox"), "nErrorNox", F.when(F.col("pos") % 2 == 0, "Ignore").otherwise("Hold").alias("sResponse")
+    )
+    return ingest.error_report(ingest.classify_errors(rows, verdicts=answered))
 
 
 @query(
@@ -161,20 +169,47 @@ def statement_profile(t):
     return ingest.statement_profile(t.log)
 
 
+# Once the errors that stopped batches are lifted, every row arrives but those with an ignored code.
 STREAMED = f"""
-    select distinct sTransNox, sModified, sTableNme, left(sTransNox, 4) as branch
-      from v_incoming i join (select sFileName as f, min(case when {OUTCOME} = 'report' then pos end) as stop
-                                from v_incoming group by 1) s on i.sFileName = s.f
-     where nErrorNox = 0 and (stop is null or pos <= (stop - 1) // {CHUNK} * {CHUNK})"""
+    select distinct sTransNox, sModified, sTableNme, left(sTransNox, 4) as branch from v_incoming where {OUTCOME} <> 'ignore'"""
 
 
 @query("stream_import", STREAMED)
 def stream_import(t):
+    """Two runs: the first stops batches at their errors, the second finds these lifted and no new notice."""
     spark = t.spark
-    arriving, log = new_folder(spark, "inbox"), new_folder(spark, "log")
-    # Whole batches per file, and several micro-batches.
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    t.incoming.repartition(files, "sFileName").write.json(arriving)
-    run = inbox.stream_import(spark, arriving, log, new_folder(spark, "stream"), NOW, files_per_batch=files // 3 + 1)
-    run.awaitTermination()
-    return spark.read.parquet(log).select("sTransNox", "sModified", "sTableNme", branch_of("sTransNox").alias("branch"))
+    folders = {name: new_folder(spark, name) for name in ("inbox", "errors", "lifted", "notices", "log", "state", "stream")}
+    numbered = settle(dense_position(t.incoming.drop("pos").withColumnRenamed("nErrorNox", "_code"), ["sFileName"], "sTransNox", ["sModified", "_code"]))
+    batches.write_change_batch(numbered, folders["inbox"])
+    codes = numbered.select("sFileName", "pos", F.col("_code").cast("int").alias("nErrorNox")).filter("nErrorNox <> 0")
+    codes.write.parquet(folders["errors"])
+    codes.filter(F.col("nErrorNox").isin(*ingest.IGNORED_ERRORS)).write.parquet(folders["lifted"])
+    notices = numbered.groupBy("sFileName").agg(F.min("dReceived").cast("timestamp_ntz").alias("dReceived"))
+    notices.repartition(4, "sFileName").write.json(folders["notices"])
+    for errors in ("errors", "lifted"):
+        job = inbox.Import(spark, folders["inbox"], folders[errors], folders["log"], folders["state"], NOW, chunk=100)
+        inbox.stream_import(job, folders["notices"], folders["stream"], files_per_batch=2).awaitTermination()
+    return spark.read.schema("sTransNox string, sModified string, sTableNme string, branch string, step bigint").parquet(folders["log"]).drop("step")
+
+
+WHOLE_FILES = f"""
+    select sFileName, min(case when {OUTCOME} = 'report' then pos end) is null as whole from v_incoming group by 1"""
+
+
+@query(
+    "pull_manifest",
+    f"""select m.sFileName, m.sMD5Hashx, m.sFileSize, m.dCreatedx,
+               case when m.cTranStat = '1' and f.whole then '2' when m.cTranStat = '1' or hashed then '1' else '0' end as cTranStat,
+               case when m.cTranStat = '1' then m.dReceived when hashed then timestamp '2001-06-01 12:30:00' end as dReceived,
+               case when m.cTranStat = '1' and f.whole then timestamp '2001-06-01 12:30:00' end as dImported
+          from (select *, left(sFileName, 1) = 'M' as hashed from v_inbox) m join ({WHOLE_FILES}) f on m.sFileName = f.sFileName""",
+)
+def pull_manifest(t):
+    """Announced batches are registered, those of one area arrive; the ones received before are imported."""
+    announced = t.inbox.select("sFileName", "sMD5Hashx", "sFileSize", "dCreatedx")
+    arrived = announced.filter(F.col("sFileName").startswith("M")).select("sFileName", F.upper("sMD5Hashx").alias("sMD5Hashx"))
+    known = t.inbox.filter("cTranStat = '1'")
+    rows = t.incoming.drop("nErrorNox", "dReceived")
+    errors = t.incoming.select("sFileName", "pos", "nErrorNox").filter("nErrorNox <> 0")
+    imported = pull.pull_received(known, rows, errors, t.seen, NOW, CHUNK).incoming
+    return pull.receive(imported, announced, arrived, NOW)

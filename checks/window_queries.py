@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions import branch_of, client_prefix, dense_position
 from changeflow.operators import windows
+from changeflow.plans import push
 from changeflow.session import new_folder
 from changeflow.sources import batches, tables
 
@@ -160,12 +161,41 @@ def create_batches(t):
 @query(
     "create_batches_manifest",
     f"""{BATCHES_SQL} select sFileName, min(sTransNox) as sLogFromx, max(sTransNox) as sLogThrux, count(*) as nRowsxxxx,
-        cast(sum(cast({CHECKSUM} as bigint)) as varchar) as sMD5Hashx, '0' as cTranStat,
-        timestamp '2001-06-01 12:30:00' as dCreatedx, cast(null as timestamp) as dExported from rows_out group by 1""",
+        cast(sum(cast({CHECKSUM} as bigint)) as varchar) as sCheckSum from rows_out group by 1""",
 )
 def create_batches_manifest(t):
-    _, manifest = windows.create_batches(t.log, windows.export_window(t.log, t.outgoing, t.client), NOW)
-    return manifest
+    _, summary = windows.create_batches(t.log, windows.export_window(t.log, t.outgoing, t.client), NOW)
+    return summary
+
+
+UNFINISHED = """
+    select * from (select *, row_number() over (partition by substring(sFileName, 1, 4) order by sFileName desc) as rn
+                     from v_outgoing where sMD5Hashx <> '') x where rn = 1 and cTranStat in ('0', '1')"""
+
+
+@query(
+    "push_manifest",
+    f"""{BATCHES_SQL}, open_batches as ({UNFINISHED})
+        select sFileName, sLogFromx, sLogThrux, sMD5Hashx <> '' as bHashedxx, cTranStat, dCreatedx, dExported, 'known' as sTodoxxxx
+          from v_outgoing where sFileName not in (select sFileName from open_batches)
+        union all
+        select sFileName, sLogFromx, sLogThrux, true, cTranStat, dCreatedx, dExported,
+               case cTranStat when '0' then 'announce' else 'send' end from open_batches
+        union all
+        select sFileName, min(sTransNox), max(sTransNox), true, '0', timestamp '2001-06-01 12:30:00', cast(null as timestamp), 'announce'
+          from rows_out where substring(sFileName, 1, 4) not in (select substring(sFileName, 1, 4) from open_batches) group by 1""",
+)
+def push_manifest(t):
+    """The manifest after a push, and what each batch needs next. Hashes depend on the bytes of gzip, so only their presence is held."""
+    pushed = push.push(t.log, t.outgoing, t.client, NOW, new_folder(t.spark, "push"))
+    todo = pushed.announce.select("sFileName", F.lit("announce").alias("_todo")).unionByName(
+        pushed.send.select("sFileName", F.lit("send").alias("_todo"))
+    )
+    hashed = F.when(F.col("cTranStat") != "0", F.col("sMD5Hashx") != "").otherwise(F.col("sMD5Hashx").rlike("^[0-9a-f]{32}$") & (F.col("sFileSize").cast("double") > 0))
+    return pushed.outgoing.join(todo, "sFileName", "left").select(
+        "sFileName", "sLogFromx", "sLogThrux", hashed.alias("bHashedxx"), "cTranStat", "dCreatedx", "dExported",
+        F.coalesce("_todo", F.lit("known")).alias("sTodoxxxx"),
+    )
 
 
 @query(

@@ -111,7 +111,7 @@ def test_field_entries_round_trip_and_rejection(spark, tmp_path):
     masters = spark.createDataFrame([("S1",), ("S2",)], "sTransNox string")
     [out] = collection_files.export_field_entries(got.drop("sFileName"), masters).collect()
     assert json.loads(out.value) == files["good.txt"]
-    parts = collection_files.export_field_entries(got.drop("sFileName"), masters, max_lines=1)
+    parts = collection_files.export_field_entries(got.drop("sFileName"), masters, per_part=1)
     assert rows(parts, "nPartxxxx") == [(0,), (1,)]
     assert collection_files.export_field_entries(got.drop("sFileName"), masters.filter("sTransNox = 'S2'")).count() == 0
 

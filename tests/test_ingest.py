@@ -1,8 +1,11 @@
 import random
 from datetime import datetime
+from pathlib import Path
 
 from changeflow.operators import ingest
 from changeflow.plans import pull
+from changeflow.session import shared_folder
+from changeflow.sources import batches
 from changeflow.streaming import inbox
 from helpers import LOG, change, day, rows
 
@@ -77,9 +80,11 @@ def test_register_incoming_adds_unknown_names_once(spark):
 
 def test_hash_reconcile_ignores_case(spark):
     schema = "sFileName string, sMD5Hashx string"
-    own = spark.createDataFrame([("a", "FF"), ("b", "11"), ("c", "22")], schema)
-    peer = spark.createDataFrame([("a", "ff"), ("b", "12"), ("d", "33")], schema)
-    assert rows(ingest.hash_reconcile(own, peer)) == [("a", "match"), ("b", "mismatch"), ("c", "missing there"), ("d", "missing here")]
+    own = spark.createDataFrame([("a", "FF"), ("b", "11"), ("c", "22"), ("e", None), ("f", "")], schema)
+    peer = spark.createDataFrame([("a", "ff"), ("b", "12"), ("d", "33"), ("e", "y"), ("f", "z")], schema)
+    assert rows(ingest.hash_reconcile(own, peer)) == [
+        ("a", "match"), ("b", "mismatch"), ("c", "missing there"), ("d", "missing here"), ("e", "no hash"), ("f", "no hash"),
+    ]
 
 
 def test_apply_changes_takes_the_newest_and_deletes(spark):
@@ -159,21 +164,106 @@ def test_importing_twice_is_importing_once(spark):
     assert {r.dModified for r in once.filter("sTransNox <> 'A1'").collect()} == {NOW}
 
 
-def test_stream_replay_and_duplicates_across_micro_batches(spark, tmp_path):
-    arriving, log, checkpoint = (str(tmp_path / n) for n in ("inbox", "log", "checkpoint"))
-
-    def arrive(data):
-        spark.createDataFrame(data, INCOMING).coalesce(1).write.mode("append").json(arriving)
-
-    def run():
-        inbox.stream_import(spark, arriving, log, checkpoint, NOW, files_per_batch=1).awaitTermination()
-        return rows(spark.read.parquet(log), "sTransNox", "sModified")
-
-    arrive([row("f", 1, "A1"), row("f", 2, "A2"), row("f", 3, "A1")])
-    assert run() == [("A1", "U1"), ("A2", "U1")]
-    arrive([row("g", 1, "A2"), row("g", 2, "A3")])
-    assert run() == [("A1", "U1"), ("A2", "U1"), ("A3", "U1")]
-    # The same micro-batch again, as after a lost driver: it overwrites its folder with the same rows.
-    again = spark.createDataFrame([row("g", 1, "A2"), row("g", 2, "A3")], INCOMING)
-    inbox.import_micro_batch(again, 1, log, NOW)
-    assert rows(spark.read.parquet(log), "sTransNox", "batch_id") == [("A1", 0), ("A2", 0), ("A3", 1)]
+class Arrivals:
+    """An inbox, its notices, the errors of its rows, and runs of the stream over it."""
+
+    def __init__(self, spark, folder, files_per_batch=1, chunk=2):
+        self.spark, self.folder, self.files, self.chunk = spark, folder, files_per_batch, chunk
+        self.errors([])
+
+    def path(self, name):
+        return str(self.folder / name)
+
+    def arrive(self, received, *parts):
+        """A batch in one file for each part; its rows are (file, pos, key)."""
+        for part in parts:
+            data = [(f, p, *change(k)) for f, p, k in part]
+            batch = self.spark.createDataFrame(data, f"sFileName string, pos bigint, {LOG}").coalesce(1)
+            texts = batch.select("sFileName", "pos", *batches._texts(batch))
+            texts.write.mode("append").partitionBy("sFileName").json(self.path("inbox"), compression="gzip")
+        self.spark.createDataFrame([(parts[0][0][0], day(received))], inbox.NOTICE).coalesce(1).write.mode("append").json(self.path("notices"))
+
+    def errors(self, codes):
+        self.spark.createDataFrame(codes, inbox.ERRORS).write.mode("overwrite").parquet(self.path("errors"))
+
+    def job(self):
+        return inbox.Import(self.spark, self.path("inbox"), self.path("errors"), self.path("log"), self.path("state"), NOW, self.chunk)
+
+    def logged(self):
+        return rows(self.spark.read.parquet(self.path("log")), "sTransNox")
+
+    def run(self):
+        inbox.stream_import(self.job(), self.path("notices"), self.path("checkpoint"), self.files).awaitTermination()
+        return self.logged()
+
+
+def test_stream_duplicates_and_replay(spark, tmp_path):
+    stream = Arrivals(spark, tmp_path)
+    stream.arrive(1, [("f", 1, "A1"), ("f", 2, "A2"), ("f", 3, "A1")])
+    assert stream.run() == [("A1",), ("A2",)]
+    stream.arrive(2, [("g", 1, "A2"), ("g", 2, "A3")])
+    assert stream.run() == [("A1",), ("A2",), ("A3",)]
+    # The same step again, as after a lost driver: it overwrites its folders with the same rows.
+    stream.job().run(inbox.STEPS, spark.createDataFrame([("g", day(2))], inbox.NOTICE))
+    assert stream.logged() == [("A1",), ("A2",), ("A3",)]
+    assert rows(inbox.closed_batches(stream.job(), NOW), "sFileName") == [("f",), ("g",)]
+
+
+def test_a_blocked_batch_is_taken_up_again(spark, tmp_path):
+    """The rows after an error wait; they come when it is lifted, without a new file."""
+    stream = Arrivals(spark, tmp_path)
+    stream.arrive(1, [("f", i, f"A{i}") for i in range(1, 7)])
+    stream.errors([("f", 4, 1451)])
+    assert stream.run() == [("A1",), ("A2",)]  # one full chunk of two rows
+    assert stream.run() == [("A1",), ("A2",)]
+    stream.arrive(2, [("g", 1, "B1")])
+    assert stream.run() == [("A1",), ("A2",), ("B1",)]
+    assert rows(stream.job().open_batches(9 * inbox.STEPS), "sFileName", "nDurablex") == [("f", 2)]
+    stream.errors([])
+    assert stream.run() == [*[(f"A{i}",) for i in range(1, 7)], ("B1",)]
+    assert stream.job().open_batches(9 * inbox.STEPS).isEmpty()
+
+
+def test_what_is_logged_does_not_depend_on_files(spark, tmp_path):
+    """A batch over two files with its error in the first, read with one or a hundred notices at a time."""
+    found = []
+    for files in (1, 100):
+        folder = tmp_path / str(files)
+        folder.mkdir()
+        stream = Arrivals(spark, folder, files)
+        stream.arrive(1, [("f", 1, "A1"), ("f", 2, "A2")], [("f", 3, "A3"), ("f", 4, "A4")])
+        stream.arrive(2, [("g", 1, "B1")])
+        stream.errors([("f", 2, 1451)])
+        found.append(stream.run())
+    assert found == [[("B1",)], [("B1",)]]
+
+
+def test_the_stream_leaves_no_settled_folder(spark, tmp_path):
+    stream = Arrivals(spark, tmp_path)
+    stream.arrive(1, [("f", 1, "A1")])
+    shared = Path(shared_folder(spark).removeprefix("file://"))
+    before = {p for p in shared.rglob("settled-*")}
+    stream.run()
+    assert {p for p in shared.rglob("settled-*")} <= before
+
+
+def test_a_pull_from_the_manifest(spark):
+    schema = (
+        "sFileName string, sMD5Hashx string, sFileSize string, dCreatedx timestamp_ntz, cTranStat string, "
+        "dReceived timestamp_ntz, dImported timestamp_ntz"
+    )
+    incoming = spark.createDataFrame([], schema)
+    announced = spark.createDataFrame(
+        [("f", "AA", "1", day(1)), ("g", "BB", "1", day(1)), ("h", "CC", "1", day(1))],
+        "sFileName string, sMD5Hashx string, sFileSize string, dCreatedx timestamp_ntz",
+    )
+    files = spark.createDataFrame([("f", "aa"), ("g", "bb"), ("h", "xx")], "sFileName string, sMD5Hashx string")
+    incoming = pull.receive(incoming, announced, files, day(2))
+    assert rows(incoming, "sFileName", "cTranStat") == [("f", "1"), ("g", "1"), ("h", "0")]
+    batch = spark.createDataFrame([("f", 1, *change("A1")), ("g", 1, *change("A2")), ("g", 2, *change("A3")), ("h", 1, *change("A4"))], f"sFileName string, pos bigint, {LOG}")
+    errors = spark.createDataFrame([("g", 2, 1451)], inbox.ERRORS)
+    log = spark.createDataFrame([], LOG)
+    done = pull.pull_received(incoming, batch, errors, log, NOW, chunk=1)
+    assert rows(done.incoming, "sFileName", "cTranStat") == [("f", "2"), ("g", "1"), ("h", "0")]
+    assert rows(done.log, "sTransNox") == [("A1",), ("A2",)]
+    assert rows(done.errors, "sFileName", "sRefernox", "nErrorNox", "sDescript") == [("g", "A3", 1451, None)]

@@ -68,7 +68,7 @@ def test_projections_reset_columns(spark):
 def test_nesting_orders_lines_and_splits_long_documents(spark):
     masters = spark.createDataFrame([master("S1"), master("S2")], MASTER)
     lines = spark.createDataFrame([("S1", i, f"a{i}", "C", day(1)) for i in (5, 3, 1, 4, 2)] + [("S9", 1, "x", "C", day(1))], LINE)
-    nested = outbox.nest_master_detail(masters, lines, max_lines=2)
+    nested = outbox.nest_master_detail(masters, lines, per_part=2)
     got = {(r.sTransNox, r.nPartxxxx): [x.nEntryNox for x in r.detail] for r in nested.collect()}
     assert got == {("S1", 0): [1, 2], ("S1", 1): [3, 4], ("S1", 2): [5], ("S2", 0): []}
     assert {r.master.sReferNox for r in nested.collect()} == {"r"}

@@ -1,5 +1,6 @@
 """The plans that the operators get over stored tables."""
 
+import contextlib
 import random
 from datetime import date
 
@@ -64,9 +65,58 @@ def test_filters_reach_the_scan(stored):
 def test_narrow_reads(stored):
     text = plan(windows.last_key_per_branch(stored["log"]))
     assert "ReadSchema: struct<sTransNox:string>" in text
-    text = plan(ingest.drop_seen_changes(stored["incoming"], stored["log"]))
-    assert "ReadSchema: struct<sTransNox:string,sModified:string>" in text
-    assert "PartitionFilters: [branch" in text
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    values = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_the_log_is_only_filtered_by_what_an_import_holds(spark, stored, monkeypatch):
+    """The threshold lies under the log's size and over that of the incoming keys."""
+    seen = []
+    keep = ingest.settle
+    monkeypatch.setattr(ingest, "settle", lambda df: seen.append(plan(df)) or keep(df))
+    few = stored["incoming"].filter("sTransNox LIKE 'M00%'").limit(50)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="30000"):
+        ingest.drop_seen_changes(few, stored["log"]).collect()
+    narrowed = next(text for text in seen if "LeftSemi" in text)
+    assert "BroadcastHashJoin" in narrowed and "Exchange hashpartitioning" not in narrowed
+    assert "ReadSchema: struct<sTransNox:string,sModified:string>" in narrowed
+    assert "dynamicpruning" in narrowed
+
+
+def test_few_changes_do_not_shuffle_a_large_target(spark, tmp_path):
+    spark.range(200_000).selectExpr("id as k", "id * 2 as v").write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    changes = spark.createDataFrame(
+        [(i, 0, "upsert" if i % 2 else "delete", "2001-01-01", f"T{i}") for i in range(10)],
+        "k bigint, v bigint, sActionxx string, dModified string, sTransNox string",
+    )
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="20000"):
+        new = ingest.apply_changes(target, changes, ["k"])
+        text = plan(new)
+        assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+        assert new.count() == 199_995
+
+
+def test_purging_prunes_folders_and_row_groups(stored):
+    text = plan(retention.purge_log(stored["log"], "M001", date(2001, 6, 1), stored["branch"]))
+    scan = text[text.index("sTransNox"):]
+    assert "NOT (branch" in scan and "LessThanOrEqual(dModified" in scan
+
+
+def test_requests_read_only_the_branches_asked_for(spark, stored):
+    text = plan(windows.last_key_per_branch(stored["log"], stored["branch"].withColumnRenamed("sBranchCd", "branch")))
+    assert "dynamicpruning" in text
 
 
 def test_repeats_are_cut_before_the_shuffle(stored):
@@ -87,11 +137,16 @@ def test_a_hot_branch_is_numbered_and_cut_in_many_groups(spark):
     assert sorted(tuple(r) for r in windows.delete_chunks(log, 100).collect()) == expected
 
 
-def test_a_hot_document_is_split_and_whole(spark):
-    lines = spark.range(1, 5001).selectExpr("'S1' as sTransNox", "cast(id as int) as nEntryNox", "'a' as sAcctNmbr")
+@pytest.mark.parametrize("number", ["cast(id as int)", "cast(null as int)", "cast(id % 3 as int)", "-1"])
+def test_a_hot_document_is_split_and_whole(spark, number):
+    """Whatever the entry numbers are."""
+    lines = spark.range(1, 5001).selectExpr("'S1' as sTransNox", f"{number} as nEntryNox", "cast(id as string) as sAcctNmbr")
     masters = spark.createDataFrame([("S1",)], "sTransNox string")
-    nested = outbox.nest_master_detail(masters, lines, max_lines=1000).collect()
-    assert [len(r.detail) for r in sorted(nested, key=lambda r: r.nPartxxxx)] == [1000] * 5
+    nested = sorted(outbox.nest_master_detail(masters, lines, per_part=1000).collect(), key=lambda r: r.nPartxxxx)
+    assert [len(r.detail) for r in nested] == [1000] * 5
+    assert {d.sAcctNmbr for r in nested for d in r.detail} == {str(i) for i in range(1, 5001)}
+    in_order = [d.nEntryNox for r in nested for d in r.detail if d.nEntryNox is not None]
+    assert in_order == sorted(in_order)
 
 
 def test_a_hot_account_is_split_in_both_joins(spark):

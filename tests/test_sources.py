@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import json
 from datetime import datetime
 
@@ -71,6 +72,10 @@ def test_requests_round_trip(spark, tmp_path):
     schema = "sExportCd string, sClientID string, sExportFr string, sExportTr string"
     requests.write_sync_request(spark.createDataFrame(data, schema), str(tmp_path / "r"))
     assert rows(requests.read_sync_request(spark, str(tmp_path / "r"))) == data
+    requests.write_sync_request(spark.createDataFrame(data * 3, schema).coalesce(1), str(tmp_path / "a"), array=True, per_array=4)
+    arrays = [json.loads(p.read_text()) for p in (tmp_path / "a").rglob("part-*")]
+    assert sorted(map(len, arrays)) == [2, 4] and list(arrays[0][0]) == ["sExportCd", "sClientID", "sExportFr", "sExportTr"]
+    assert rows(requests.read_sync_request(spark, str(tmp_path / "a"), array=True)) == sorted(data * 3, key=str)
     (tmp_path / "x.jbx").write_text('[{"sExportCd":"X","sClientID":"NODE_A001","sExportFr":""},{"sExportCd":"Y"}]')
     got = requests.read_sync_request(spark, str(tmp_path / "x.jbx"), array=True)
     assert rows(got) == [("X", "NODE_A001", "", None), ("Y", None, None, None)]
@@ -99,12 +104,26 @@ def test_push_confirm_archive(spark, tmp_path):
     outgoing = spark.createDataFrame([batch("A00120010101000000", "A00100001", "A00100002", "2", day(9), day(9))], OUTGOING)
     clients = spark.createDataFrame([("NODE_B001", "b", "B001", "B00100000")], CLIENT)
     made = datetime(2001, 6, 1, 10)
-    manifest = push.push(log, outgoing, clients, made, str(tmp_path / "out"))
+    pushed = push.push(log, outgoing, clients, made, str(tmp_path / "out"))
+    manifest = pushed.outgoing
+    assert manifest.columns == outgoing.columns
     assert rows(manifest, "sFileName", "sLogFromx", "sLogThrux", "cTranStat") == [
         ("A00120010101000000", "A00100001", "A00100002", "2"),
         ("A00120010601100000", "A00100002", "A00100005", "0"), ("B00120010601100000", "B00100001", "B00100001", "0"),
     ]
+    assert rows(pushed.announce, "sFileName") == [("A00120010601100000",), ("B00120010601100000",)] and pushed.send.isEmpty()
+    # The hash is that of the file's bytes, so a peer that has the file can verify it.
+    [written] = (tmp_path / "out" / "sFileName=A00120010601100000").glob("*.gz")
+    hashes = dict(rows(manifest, "sFileName", "sMD5Hashx"))
+    assert hashes["A00120010601100000"] == hashlib.md5(written.read_bytes()).hexdigest()
+    sizes = dict(rows(manifest, "sFileName", "sFileSize"))
+    assert sizes["A00120010601100000"] == f"{written.stat().st_size / 1024:.2f}"
+    # Until it is verified, no new window is cut; it is to be announced, then to be sent.
+    again = push.push(log, manifest, clients, datetime(2001, 6, 1, 11), str(tmp_path / "again"))
+    assert rows(again.outgoing) == rows(manifest) and again.announce.count() == 2
     announced = manifest.withColumn("cTranStat", F.when(F.col("cTranStat") == "0", "1").otherwise(F.col("cTranStat")))
+    waiting = push.push(log, announced, clients, datetime(2001, 6, 1, 12), str(tmp_path / "waiting"))
+    assert rows(waiting.outgoing) == rows(announced) and waiting.announce.isEmpty() and waiting.send.count() == 2
     peer = announced.select("sFileName", F.upper("sMD5Hashx").alias("sMD5Hashx")).filter("sFileName not like 'B%'")
     checked = push.confirm(announced, peer, datetime(2001, 6, 2))
     assert rows(checked, "sFileName", "cTranStat") == [

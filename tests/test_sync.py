@@ -70,7 +70,7 @@ def test_routing_for_one_and_for_all_targets(spark):
     registry = spark.createDataFrame(REGISTRY, "sTableNme string, cTableTyp string")
     targets = ["A001", "A002", "B001", "C001"]
     routes = sync.route_changes_all(log, registry)
-    expanded = sync.expand_routes(routes, spark.createDataFrame([(t,) for t in targets], "target string"))
+    expanded = sync._expand_routes(routes, spark.createDataFrame([(t,) for t in targets], "target string"))
     delivered = [tuple(r) for r in expanded.select("target", "sTransNox").collect()]
     assert len(delivered) == len(set(delivered))
     for target in targets:
@@ -82,12 +82,11 @@ def test_routing_for_one_and_for_all_targets(spark):
     assert sync.route_changes(log, registry, "A001", main_office=True).count() == len(data)
 
 
-def test_apply_order_and_cap(spark):
+def test_apply_order(spark):
     log = spark.createDataFrame(
         [change("A00103", modified=day(1)), change("A00101", modified=day(2)), change("A00102", modified=day(1))], LOG
     )
     assert [r.sTransNox for r in sync.apply_order(log).collect()] == ["A00102", "A00103", "A00101"]
-    assert [r.sTransNox for r in sync.apply_order(log, 2).collect()] == ["A00102", "A00103"]
 
 
 def test_watermark_rises_case_blind_and_never_falls(spark):
