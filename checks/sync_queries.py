@@ -44,6 +44,13 @@ def read_sync_request(t):
     return requests.read_sync_request(t.spark, path)
 
 
+@query("read_sync_request_array", "select sExportCd, sClientID, sExportFr, sExportTr from v_request")
+def read_sync_request_array(t):
+    path = new_folder(t.spark, "request")
+    requests.write_sync_request(t.request, path, array=True, per_array=40)
+    return requests.read_sync_request(t.spark, path, array=True)
+
+
 @query(
     "write_sync_request",
     """select concat('{"sExportCd":"', sExportCd, '","sClientID":"', sClientID, '","sExportFr":"', sExportFr,
@@ -73,16 +80,23 @@ def request_range_match(t):
     return sync.request_range_match(t.log, t.request)
 
 
-ROUTED = f"""(b.cTableTyp = '0' or (b.cTableTyp = '2' and l.sDestinat = '{TARGET}') or (b.cTableTyp = '1' and l.sBranchCd = '{TARGET}')
-       or (b.cTableTyp = '3' and l.sBranchCd like '{TARGET[0]}%')
-       or (l.sBranchCd = '{TARGET}' and l.sTransNox not like '{TARGET}%'))"""
+# Who gets a change by the type of its table, and, whatever that is, an owner about whom another branch has written.
+RECIPIENTS = f"""[case typ.cTableTyp when '0' then '{TARGET}' when '1' then l.sBranchCd when '2' then l.sDestinat
+                      when '3' then case left(l.sBranchCd, 1) when '{TARGET[0]}' then '{TARGET}' end end,
+                 case when left(l.sTransNox, 4) <> l.sBranchCd then l.sBranchCd end]"""
+ROUTED = f"v_log l join v_systable typ using (sTableNme) where list_contains({RECIPIENTS}, '{TARGET}')"
 
 
-@query("route_changes", f"select {CHANGE} from v_log l, v_systable b where l.sTableNme = b.sTableNme and {ROUTED}")
+@query("route_changes", f"select {CHANGE} from {ROUTED}")
 def route_changes(t):
     return sync.route_changes(t.log, t.systable, TARGET)
 
 
+@query("route_changes_main_office", f"select {CHANGE} from v_log l")
+def route_changes_main_office(t):
+    return sync.route_changes(t.log, t.systable, TARGET, main_office=True)
+
+
 @query(
     "route_changes_all",
     f"""with typed as (select {CHANGE}, b.cTableTyp from v_log l join v_systable b on l.sTableNme = b.sTableNme),
@@ -100,13 +114,15 @@ def route_changes_all(t):
 
 @query(
     "route_summary",
-    """select target, count(*) as nRowsxxxx, min(sTransNox) as sFirstKey, max(sTransNox) as sLastKey
-         from (select distinct c.sBranchCd as target, l.sTransNox, l.sModified
-                 from v_client c, v_log l join v_systable b on l.sTableNme = b.sTableNme
-                where b.cTableTyp = '0' or (b.cTableTyp = '2' and l.sDestinat = c.sBranchCd)
-                   or (b.cTableTyp = '1' and l.sBranchCd = c.sBranchCd)
-                   or (b.cTableTyp = '3' and left(l.sBranchCd, 1) = left(c.sBranchCd, 1))
-                   or (l.sBranchCd = c.sBranchCd and left(l.sTransNox, 4) <> c.sBranchCd)) x group by 1""",
+    """with typed as (select sTransNox, sModified, sBranchCd, sDestinat, cTableTyp from v_log join v_systable using (sTableNme)),
+       heard as (
+         select c.sBranchCd as target, sTransNox, sModified from typed join v_client c on cTableTyp = '0'
+         union select sBranchCd, sTransNox, sModified from typed where cTableTyp = '1' or left(sTransNox, 4) <> sBranchCd
+         union select sDestinat, sTransNox, sModified from typed where cTableTyp = '2'
+         union select c.sBranchCd, sTransNox, sModified from typed t join v_client c on left(t.sBranchCd, 1) = left(c.sBranchCd, 1)
+                where cTableTyp = '3')
+       select target, count(*) as nRowsxxxx, min(sTransNox) as sFirstKey, max(sTransNox) as sLastKey
+         from heard where target in (select sBranchCd from v_client) group by target""",
 )
 def route_summary(t):
     targets = t.client.select(F.col("sBranchCd").alias("target")).distinct()
@@ -131,7 +147,7 @@ def advance_client_watermark(t):
 FLAGSHIP = f"""
     with bounded as (select r.sClientID, r.sExportFr, coalesce(k.k, '') as sExportTr
                        from v_request r left join {LAST} k on right(r.sClientID, 4) = k.branch)
-    select {CHANGE} from v_log l, v_systable b where l.sTableNme = b.sTableNme and {ROUTED}
+    select {CHANGE} from {ROUTED}
        and exists (select 1 from bounded r where right(r.sClientID, 4) = substring(l.sTransNox, 1, 4)
                       and l.sTransNox between r.sExportFr and r.sExportTr)
      order by dModified, sTransNox"""
