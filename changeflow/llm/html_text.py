@@ -67,8 +67,8 @@ STOP = frozenset(
 
 # A hidden element or comment up to its end or that of the page, or a tag.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<hidden>" + "|".join(HIDDEN_TAGS) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</(?P=hidden)\s*>|\Z)|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*>?",
+    r"<!--.*?(?:-->|\Z)|<(?P<hidden>" + "|".join(HIDDEN_TAGS) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*(?:>.*?(?:</(?P=hidden)\s*>|\Z)|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?/][^>]*>?",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(id|class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)

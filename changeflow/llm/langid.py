@@ -39,7 +39,7 @@ BUCKETS = 1 << 15
 #: Most rows of the training sample.
 SAMPLE = 6000
 #: Learning rate, its offset, penalties, and passes over the sample.
-RATE, OFFSET, L1, L2, PASSES = 0.5, 1.0, 0.002, 0.001, 3
+RATE, OFFSET, L1, L2, PASSES = 0.5, 1.0, 0.01, 0.001, 3
 UNKNOWN = "und"
 
 _KEYS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)

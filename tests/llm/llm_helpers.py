@@ -1,0 +1,34 @@
+"""Small tables with the cases that every operator must stand."""
+
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+VOCABULARY = {
+    "en": "the of and to in is that with for was this they have from would there their what about which".split(),
+    "fr": "le la les des une est dans que pour avec sur pas nous vous elle leur mais ces très être".split(),
+}
+
+
+def prose(lang: str, words: int, seed: int = 0) -> str:
+    import random
+
+    rng = random.Random(seed)
+    out = []
+    while sum(len(s.split()) for s in out) < words:
+        out.append(" ".join(rng.choice(VOCABULARY[lang]) + rng.choice(["", "", "r", "st"]) for _ in range(9)).capitalize() + ".")
+    return "\n".join(out)
+
+
+def awkward(spark):
+    """Nulls in every column, empty and long texts, copies, repeated rows and ids."""
+    long = prose("en", 20_000, 1)
+    rows = [
+        (1, prose("en", 80, 2), "en", "a", 5), (2, prose("en", 80, 2), "en", "a", 5), (3, prose("fr", 90, 3), "fr", "b", 5),
+        (3, prose("fr", 90, 3), "fr", "b", 5), (4, None, "en", "a", None), (5, "", "en", None, 0), (6, " \n\t\n", None, "b", 4),
+        (None, prose("en", 70, 4), "en", "a", 1), (None, None, None, None, None), (7, long, "en", "a", len(long)),
+        (8, "x" * 30_000, None, "c", 30_000), (9, "\x00\x1c  é🙂\r\n  a", "fr", "c", 3), (10, "one two three", "en", "a", 3),
+        (11, "one two three", "en", "a", 3), (12, "42 !!! 17", "en", "a", 3), (-13, prose("fr", 60, 5), "fr", "b", 1),
+    ]
+    return spark.createDataFrame(rows, DOCUMENTS)
+
+
+def by_key(rows, *names):
+    return sorted((tuple(r[n] for n in names) for r in rows), key=lambda t: tuple((v is not None, str(v)) for v in t))

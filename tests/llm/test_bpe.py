@@ -1,0 +1,63 @@
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from changeflow.llm import bpe
+from llm_helpers import awkward
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_ids_equal_the_library(reference):
+    encoder = bpe.TextEncoder(PATH, PATTERN)
+    rng = random.Random(1)
+    parts = ["a", "b", " ", "  ", "\n", "é", "ß", "中", "1", "!", "'s", "\t", "the", "ing", "\x1c", "🙂", "aaaa", " ", " don't", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(50))) for _ in range(3000)]
+    texts += ["a" * 5000, "ab" * 3000, " " * 2000, "".join(rng.choice("abcde") for _ in range(9000)), "é" * 999, "", " ", "\n"]
+    for text in texts:
+        ids = np.frombuffer(encoder.encode(text), np.int32)
+        assert ids.tolist() == reference.encode_ordinary(text)
+        assert encoder.words.decode(ids) == text.encode()
+
+
+def test_every_token_is_its_own_encoding():
+    """What the proof that outer tokens stay rests on."""
+    words = bpe.vocabulary(PATH)
+    assert all(words.merged(token) == (rank,) for token, rank in words.ranks.items())
+
+
+def test_joins_equal_the_definition():
+    words = bpe.vocabulary(PATH)
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = bytes(rng.choice(b"aaeeinst the") for _ in range(rng.randrange(2, 60)))
+        cut = rng.randrange(1, len(text))
+        assert words.join(words.merged(text[:cut]), words.merged(text[cut:])) == words.merged(text)
+
+
+def test_decoding_by_halves():
+    words = bpe.vocabulary(PATH)
+    ids = np.random.default_rng(1).integers(0, 50_000, 3 * bpe.DECODED_TOGETHER + 7).astype(np.int32)
+    assert words.decode(ids) == b"".join(words.spelled[i] for i in ids)
+
+
+def test_rows(spark, reference):
+    documents = awkward(spark).withColumnRenamed("n_chars", "ids")
+    rows = bpe.encode_texts(documents, PATH, PATTERN).collect()
+    assert len(rows) == documents.count() and "ids" in rows[0].asDict()
+    texts = sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in documents.collect())
+    assert sorted(hashlib.sha256(bytes(r.decoded)).hexdigest() for r in rows) == texts
+    for r in rows:
+        assert list(r.ids) == reference.encode_ordinary(r.text or "")
+    assert bpe.encode_texts(documents.limit(0), PATH, PATTERN).count() == 0

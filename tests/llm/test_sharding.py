@@ -1,0 +1,63 @@
+import collections
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.llm import sharding
+from llm_helpers import awkward
+
+
+def held(rows, documents, shards):
+    counts = collections.Counter(r.shard for r in rows)
+    sizes = [counts.get(s, 0) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1 and set(counts) <= set(range(shards))
+    for s in counts:
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s]))
+    given = collections.Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in documents)
+    assert collections.Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == given
+
+
+@pytest.mark.parametrize("shards", [1, 3, 8])
+def test_counts_are_at_most_one_apart(spark, shards):
+    documents = spark.range(1003).select((F.col("id") * 7).alias("doc_id"), F.concat(F.lit("é"), "id").alias("text"))
+    rows = sharding.assign(documents, shards).collect()
+    held(rows, [tuple(r) for r in documents.collect()], shards)
+
+
+def test_the_order_in_files_does_not_matter(spark):
+    documents = spark.range(500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    one, other = (sorted(sharding.assign(d, 8).collect()) for d in (documents, documents.repartition(5).orderBy(F.rand(1))))
+    assert one == other
+
+
+def test_stretches_do_not_change_the_numbering(spark, monkeypatch):
+    documents = spark.range(900).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    one = sorted(sharding.assign(documents, 8).collect())
+    monkeypatch.setattr(sharding, "STRETCH", 3)
+    assert sorted(sharding.assign(documents, 8).collect()) == one
+
+
+def test_most_rows_stay_at_home_and_few_move_when_one_comes(spark):
+    documents = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    before = {r.doc_id: r for r in sharding.assign(documents, 8).collect()}
+    assert sum(r.shard != r.home_shard for r in before.values()) < 0.15 * len(before)
+    after = {r.doc_id: r.shard for r in sharding.assign(documents.unionByName(documents.limit(1).withColumn("doc_id", F.lit(9999).cast("long"))), 8).collect()}
+    assert sum(after[i] != r.shard for i, r in before.items()) < 0.05 * len(before)
+
+
+def test_overflow_goes_clockwise():
+    places = [(0, 0), (10, 1), (20, 0), (30, 2)]
+    # Ten rows: shards take 4, 3 and 3. Shard 0 keeps 3 and 1 of its arcs, the rest of arc 2 goes on to shards 2 and 1.
+    assert sharding.allotted(places, {0: 3, 1: 1, 2: 5, 3: 1}, 3) == [
+        (0, 0, 3, 0, 0), (1, 0, 1, 1, 0), (2, 0, 1, 0, 3), (3, 0, 1, 2, 0), (2, 1, 3, 2, 1), (2, 3, 5, 1, 1),
+    ]
+
+
+def test_awkward_rows(spark):
+    documents = awkward(spark).withColumnRenamed("n_chars", "size")
+    held(sharding.assign(documents, 8).collect(), [(r.doc_id, r.text) for r in documents.collect()], 8)
+    many = documents.limit(1).crossJoin(spark.range(40)).drop("id")
+    held(sharding.assign(many, 3).collect(), [(r.doc_id, r.text) for r in many.collect()], 3)
+    assert sharding.assign(documents.limit(0), 8).count() == 0
+    held(sharding.assign(documents.limit(3), 8).collect(), [(r.doc_id, r.text) for r in documents.limit(3).collect()], 8)

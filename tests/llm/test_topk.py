@@ -1,0 +1,77 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.llm import topk
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute_force(rows, k, asked):
+    vectors = {}
+    for i, v in rows:
+        if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v):
+            whole = [int(np.floor(np.float64(x) * 256)) for x in v]
+            vectors[i] = min(vectors.get(i, whole), whole)
+    out = []
+    for q in sorted(i for i in vectors if asked(i)):
+        scored = sorted((-sum(a * b for a, b in zip(vectors[q], v)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q]))
+        out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:k])]
+    return out
+
+
+def held(spark, rows, k=5, every=5):
+    table = spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 0) for i, v in rows], SCHEMA)
+    got = topk.search(table, table.filter(F.col("vec_id") % every == 0), k).orderBy("query_id", "rank").collect()
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    assert [tuple(r) for r in got] == brute_force(rows, k, lambda i: i % every == 0)
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 90)
+    monkeypatch.setattr(topk, "QUERIES", 12)
+    monkeypatch.setattr(topk, "STEP", 8)
+
+
+@pytest.mark.parametrize("kind", ["normal", "sparse", "heavy", "few"])
+def test_equals_brute_force(spark, small_blocks, kind):
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(0, 0.3, (400, 12))
+    if kind == "sparse":
+        vectors *= rng.random(vectors.shape) < 0.1
+    elif kind == "heavy":
+        vectors = rng.standard_cauchy(vectors.shape) * np.array([100.0] + [0.01] * 11)
+    elif kind == "few":
+        vectors = vectors[:4]
+    held(spark, list(enumerate(vectors.tolist())))
+
+
+def test_ties_and_a_very_common_vector(spark, small_blocks):
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-1, 2, (300, 6)) / 4.0
+    vectors[rng.random(300) < 0.4] = [0.25, 0, 0.5, 0, 0, 0.25]
+    held(spark, list(enumerate(vectors.tolist())))
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (0, [1, 2]), (5, [0.5, -0.25]), (10, None), (15, [1, None]), (20, [float("nan"), 1]), (25, [float("inf"), 1]), (30, []),
+        (35, [1, 2, 3]), (40, [0, 0]), (None, [3, 3]), (3, [1, 2]), (3, [1, 2]), (5, [0.5, -0.25]), (7, [-1, 2]), (7, [2, -1]), (45, [3, 2, 1]),
+    ]
+    held(spark, rows)
+    held(spark, [])
+
+
+def test_reading_stops_early():
+    """With one strong coordinate, few positions are read before outsiders cannot qualify."""
+    rng = np.random.default_rng(9)
+    vectors = np.concatenate([rng.integers(0, 10**6, (4000, 1)), rng.integers(-9, 9, (4000, 3))], 1)
+    places = np.argsort(vectors, axis=0, kind="stable").T
+    values = np.take_along_axis(vectors.T, places, 1)
+    query = np.array([100, 1, 1, 1])
+    spoilt = vectors.copy()
+    far = np.argsort(vectors @ query)[:2000]
+    spoilt[far] = 10**9  # never looked at, as only survivors are resolved
+    found = topk.best((places, values), spoilt, np.arange(4000), query, -1, 5)
+    assert found[:, 0].tolist() == np.lexsort((np.arange(4000), -(vectors @ query)))[:5].tolist()

@@ -1,0 +1,77 @@
+import gzip
+import hashlib
+import random
+
+from changeflow.llm import warc
+
+SCHEMA = "page_id bigint, url string, html string, key int"
+
+
+def pages(spark):
+    rng = random.Random(4)
+    copies = ["<p>" + "x" * 120, "<p>é" + "y" * 200, "short"]
+    rows = [(i, f"https://{rng.choice('abc')}.Example.com:80/{rng.randrange(40)}?q={i}#f", rng.choice([*copies, f"<p>{i}" + "z" * 100]), 1) for i in range(150)]
+    rows += [
+        (500, None, copies[0], 1), (501, "http://a.example.com/\r\nX-Page-Id: 1 ", copies[1], 1), (502, "x", None, 1), (503, "", "", 1),
+        (504, "http://big/", "w" * 300_000, 1), (505, "http://big/2", "w" * 300_000, 1), (505, "http://big/2", "w" * 300_000, 1),
+        (None, "http://none/", copies[0], 1), (506, "http://crlf/", "a\r\n\r\nWARC/1.1\r\n\r\n" * 20, 1), (-7, "http://neg/", copies[1], 1),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def expected(rows):
+    first = {}
+    for r in rows:
+        body = (r.html or "").encode()
+        if len(body) >= warc.LEAST_BYTES and r.page_id is not None:
+            first[body] = min(first.get(body, r.page_id), r.page_id)
+    out = []
+    for r in rows:
+        body = (r.html or "").encode()
+        target = first.get(body)
+        revisit = r.page_id is not None and target is not None and target < r.page_id
+        out.append((r.page_id, len(body), hashlib.sha256(body).hexdigest(), "revisit" if revisit else "response", target if revisit else None))
+    return sorted(out, key=str)
+
+
+def test_written_and_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LINES", 7)
+    data = pages(spark)
+    out = warc.archived(data, str(tmp_path))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert out.columns == names
+    assert sorted((tuple(r) for r in out.collect()), key=str) == expected(data.collect())
+    assert len(list(tmp_path.glob("*.warc.gz"))) >= 1
+
+
+def test_archives_hold_whole_records(spark, tmp_path):
+    directory = warc.write(pages(spark).filter("page_id < 20").coalesce(1), str(tmp_path))
+    assert directory.count() >= 1
+    records = warc.read_all(directory, payload=True).collect()
+    given = {r.page_id: r.html for r in pages(spark).collect() if r.page_id is not None and r.page_id < 20}
+    assert {r.page_id: r.payload.decode() for r in records if r.record_type == "response"}.items() <= given.items()
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in tmp_path.glob("*.warc.gz"))
+    assert text.count(b"WARC/1.1\r\nWARC-Type: ") == len(records)
+    assert {r.stated_digest for r in records} == {hashlib.sha256(given[r.page_id].encode()).hexdigest() for r in records}
+
+
+def test_lookup_by_bisection(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LINES", 5)
+    data = pages(spark)
+    directory = warc.write(data, str(tmp_path))
+    wanted = data.filter("page_id % 3 = 0 AND page_id < 500").select("url", "page_id")
+    unknown = spark.createDataFrame([("http://nowhere/", 1), ("zzz", 9), ("", -1)], "url string, page_id bigint")
+    found = warc.lookup(directory, wanted.unionByName(unknown).unionByName(wanted), payload=True).collect()
+    assert sorted(r.page_id for r in found) == sorted(r.page_id for r in wanted.collect())
+    texts = {r.page_id: r.html for r in data.collect()}
+    assert all(r.payload.decode() == texts[r.page_id] for r in found if r.record_type == "response")
+
+
+def test_keys_sort_by_reversed_host(spark):
+    urls = ["https://User@B.Example.com:8080/p?q=1#x", "http://a.example.com", "//a.example.com/z", "mailto", None]
+    data = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [r[0] for r in data.select(warc.surt(data.url)).collect()] == ["com,example,b):8080/p?q=1", "com,example,a)", "com,example,a)/z", "mailto)", ")"]
+
+
+def test_no_pages(spark, tmp_path):
+    assert warc.archived(pages(spark).limit(0), str(tmp_path)).count() == 0
