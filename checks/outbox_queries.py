@@ -91,10 +91,11 @@ def upload_master(t):
     """select s.sTransNox, coalesce(part, 0) as nPartxxxx, s.sReferNox, coalesce(n, 0) as nLinesxxx,
               coalesce(lines, '[]') as sDetailxx
          from v_sheet s left join (
-              select sTransNox, (nEntryNox - 1) // 4 as part, cast(count(*) as integer) as n,
+              select sTransNox, cast((place - 1) // 4 as integer) as part, cast(count(*) as integer) as n,
                      concat('[', string_agg(concat('{"nEntryNox":', nEntryNox, ',"sAcctNmbr":"', sAcctNmbr, '","cPaymForm":"',
                             cPaymForm, '"}'), ',' order by nEntryNox, sAcctNmbr, cPaymForm), ']') as lines
-                from v_line group by 1, 2) d on s.sTransNox = d.sTransNox""",
+                from (select *, row_number() over (partition by sTransNox order by nEntryNox, sAcctNmbr, cPaymForm) as place from v_line) l
+               group by 1, 2) d on s.sTransNox = d.sTransNox""",
 )
 def nest_master_detail(t):
     lines = t.line.select("sTransNox", "nEntryNox", "sAcctNmbr", "cPaymForm")
