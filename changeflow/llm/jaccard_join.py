@@ -11,11 +11,12 @@ groups: sets that reach the threshold differ in at most D elements, so when thei
 G > D groups, one group is equal as a whole. Texts meet in a *bucket* when they agree on a group of
 their size class. Each bucket is searched in two steps:
 
-1. Every member is held against the bucket's first one. This connects groups of copies of any size
-   with as many comparisons as they have members.
-2. Where a bucket then still holds several components, its points are packed into leaves, and leaves,
-   then points, of *different* components are held against each other by the bound. Pairs that are
-   already connected by links need no test, as only components are returned.
+1. Every text is held against one other, the one that comes first in most of its buckets. This connects
+   groups of copies of any size with as many comparisons as they have members.
+2. Where a bucket then still holds several components, the first one is held against the members of
+   other components, and the points are packed into leaves: leaves, then points, of *different*
+   components are held against each other by the bound. Pairs that are already connected by links need no
+   test, as only components are returned. Buckets with the same members are searched once.
 
 Both steps verify exactly, so every link between different sets lies within one component. Equal
 sets are one class from the start.
@@ -151,7 +152,7 @@ def verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, columns: t
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "p_a", "n_b", "p_b")
     near = near.filter(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
     near = settle(map_batches(near, bounded, "a bigint, b bigint"))
-    nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
     ids = settle(reps.join(nodes, "node", "left_semi").select("id").distinct())
     sets = settle(shingle_sets(documents, ids, columns, size).dropDuplicates(["node"]))
     of_a, of_b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
@@ -160,6 +161,12 @@ def verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, columns: t
     return settle(both.filter((100 + percent) * common >= percent * total).select("a", "b"))
 
 
+def contents(edges: DataFrame) -> tuple:
+    """The number of distinct rows and sums of their hashes: alike for the same rows in any order."""
+    sums = [F.sum(F.xxhash64("u", "v", F.lit(i)).cast("decimal(38,0)")) for i in range(2)]
+    return tuple(edges.agg(F.count("*"), *sums).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node it can reach; stored.
 
@@ -168,6 +175,7 @@ def components(links: DataFrame) -> DataFrame:
     an executor repeats one round at most.
     """
     edges = settle(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    state = contents(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -175,11 +183,9 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        new = settle(small)
-        changed = new.join(edges, ["u", "v"], "left_anti").limit(1).count() or edges.join(new, ["u", "v"], "left_anti").limit(1).count()
-        edges = new
-        if not changed:
+        edges = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        before, state = state, contents(edges)
+        if state == before:
             break
     return settle(
         edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -188,6 +194,16 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def different_buckets(met: DataFrame) -> DataFrame:
+    """sig and node of buckets with three members or more; of buckets with the same members, one."""
+    members = met.select("sig", "node").unionByName(met.select("sig", F.col("first").alias("node"))).distinct()
+    members = settle(members)
+    name = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("g"))
+    named = members.groupBy("sig").agg(name.alias("name")).filter("name.n > 2")
+    one_each = named.groupBy("name").agg(F.min("sig").alias("sig")).select("sig")
+    return members.join(settle(one_each), "sig", "left_semi")
+
+
 def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of members (sig, node, component, n, point) of a bucket that may be linked and are not yet connected.
 
@@ -228,6 +244,9 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
         pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
         return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)}) if len(pairs) else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
 
+    # The work grows with the members, not with their bytes, so it is dealt into many tasks.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread.repartition(tasks, "sig", "i", "j")
     return spread.groupBy("sig", "i", "j").applyInPandas(search, "a bigint, b bigint").distinct()
 
 
@@ -249,7 +268,9 @@ def linked_components(
     met = wordy.select("node", F.explode("sigs").alias("sig"))
     met = met.withColumn("first", F.min("node").over(Window.partitionBy("sig")))
     met = settle(met.filter("node <> first"))
-    tested = settle(met.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    stars = settle(met.groupBy(F.col("first").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("buckets")))
+    # The first one that a member meets most often is the likeliest to be linked with it.
+    tested = settle(stars.groupBy("b").agg(F.max_by("a", F.struct("buckets", "a")).alias("a")).select("a", "b"))
     links = verified(tested, reps, documents, columns, size, percent)
     found = components(links)
 
@@ -257,15 +278,12 @@ def linked_components(
         labels = found.select(F.col("node").alias(node), F.col("component").alias(name))
         return rows.join(labels, node, "left").withColumn(name, F.coalesce(name, node))
 
-    apart = labelled(labelled(tested, "a", "x"), "b", "y").filter("x <> y").select(F.col("a").alias("first"), F.col("b").alias("node"))
-    several = met.groupBy("sig").count().filter("count > 1").select("sig")
-    open_buckets = met.join(settle(apart), ["first", "node"]).select("sig").distinct()
-    open_buckets = settle(open_buckets.join(several, "sig", "left_semi"))
-    if not open_buckets.isEmpty():
-        inside = met.join(open_buckets, "sig", "left_semi")
-        members = inside.select("sig", "node").unionByName(inside.select("sig", F.col("first").alias("node"))).distinct()
-        members = labelled(members, "node", "component").join(reps.select("node", "n", "point"), "node")
-        more = tree_pairs(settle(members), percent).join(tested, ["a", "b"], "left_anti")
+    apart = settle(labelled(labelled(stars.select("a", "b"), "a", "x"), "b", "y").filter("x <> y").select("a", "b"))
+    if not apart.isEmpty():
+        still = met.join(apart.select(F.col("a").alias("first"), F.col("b").alias("node")), ["first", "node"], "left_semi")
+        open_buckets = different_buckets(met.join(still.select("sig").distinct(), "sig", "left_semi"))
+        members = labelled(open_buckets, "node", "component").join(reps.select("node", "n", "point"), "node")
+        more = tree_pairs(settle(members), percent).unionByName(apart).distinct().join(tested, ["a", "b"], "left_anti")
         more = verified(settle(more), reps, documents, columns, size, percent)
         if not more.isEmpty():
             found = components(links.unionByName(more))

@@ -21,8 +21,9 @@ rows are packed once each. Texts of any length are tokenised whole. Other column
 
 from __future__ import annotations
 
+import array
 import functools
-import re
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -36,39 +37,59 @@ from .common import prepare
 
 #: Examples that wait in a task.
 POOL = 1024
-#: Parts of texts that a worker remembers the ids of.
-REMEMBERED = 400_000
-
-# A space with white space or an end of the text beside it; such texts are tokenised as a whole.
-_ODD_SPACE = re.compile(r"\s[ ]|[ ]\s|\A[ ]|[ ]\Z")
-
+#: Parts of texts that a worker remembers the ids of (about 100 MB).
+REMEMBERED = 600_000
 
 class Tokens:
     """Ids of texts as little-endian unsigned integers of 32 bits.
 
-    The tokenizer's pattern always cuts at a single space between other characters, so texts are cut
-    there first, and each different part is tokenised once.
+    The tokenizer's pattern always cuts at a single space between other characters, and between a
+    letter and a full stop or comma. Texts are cut there first, and each different part is tokenised
+    once as long as it is remembered. A part with white space beside its ends means that the text has
+    other spaces; such a text is tokenised as a whole.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.parts: dict[str, bytes] = {}
+        self.odd: set[str] = set()
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 10_000):
+            for found in self.tokenizer.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False):
+                yield array.array("I", found.ids).tobytes()
+
+    def learn(self, parts: set[str]) -> set[str]:
+        """Remember the ids of new parts and of what they are without their ends; all that is new."""
+        self.odd = {p for p in parts if (bare := p[1:] if p[:1] == " " else p) == "" or bare != bare.strip()}
+        known, stems = self.parts, {}
+        for part in parts - self.odd:
+            ended = part[-1] in ".," and part[:-1].lstrip(" ").isalpha()
+            stems[part] = (part[:-1], part[-1]) if ended else (part, "")
+        new = [s for s in dict.fromkeys(x for pair in stems.values() for x in pair) if s and s not in known]
+        known.update(zip(new, self.encode(new)))
+        for part, (stem, end) in stems.items():
+            known[part] = known[stem] + known[end] if end else known[stem]
+        return {*new, *stems}
 
     def of(self, texts: list[str]) -> list[bytes]:
-        cut = [[t] if _ODD_SPACE.search(t) else [x if i == 0 else " " + x for i, x in enumerate(t.split(" "))] for t in texts]
-        new = [p for p in dict.fromkeys(p for parts in cut for p in parts) if p not in self.parts]
-        fresh = {}
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                fresh[part] = np.array(found.ids, "<u4").tobytes()
+        # A text with the mark itself is odd, as a part with nothing in it.
+        cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else [""] for t in texts]
         known = self.parts
-        if room := max(0, REMEMBERED - len(known)):
-            known.update(list(fresh.items())[:room])
-        return [b"".join([known[p] if p in known else fresh[p] for p in parts]) for parts in cut]
+        new = set().union(*cut).difference(known)
+        new = self.learn(new) if new else new
+        odd = [i for i, parts in enumerate(cut) if self.odd and not self.odd.isdisjoint(parts)] if new else []
+        for i, ids in zip(odd, self.encode([texts[i] for i in odd])):
+            cut[i] = ids
+        out = [parts if isinstance(parts, bytes) else b"".join(map(known.__getitem__, parts)) for parts in cut]
+        if len(known) > REMEMBERED:
+            for part in new:  # the parts that came first are the frequent ones
+                del known[part]
+        return out
 
 
 @functools.lru_cache(maxsize=2)

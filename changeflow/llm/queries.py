@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard_join, langid, line_dedup, packing, quality, sharding, topk, warc
+from . import bpe, html_text, jaccard_join, langid, line_dedup, oracles, packing, quality, sharding, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
