@@ -8,7 +8,7 @@ from llm_helpers import DOCUMENTS, awkward
 SPACES = " \t\n\v\f\r"
 
 
-def brute_force(rows, ratio, least):
+def cleaned(rows, ratio, least):
     pages, holding = collections.Counter(), collections.Counter()
     for host, text in rows:
         pages[host] += 1
@@ -19,13 +19,13 @@ def brute_force(rows, ratio, least):
         lines = text.split("\n") if text is not None else []
         kept = [line for line in lines if (host, line.strip(SPACES)) not in drop]
         out.append((host, None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
-    return collections.Counter(out)
+    return out
 
 
 def held(documents, ratio=0.2, least=3):
     out = line_dedup.drop_boilerplate(documents, ratio=ratio, least_pages=least)
     got = collections.Counter((r.source, r.text, r.n_lines, r.n_dropped) for r in out.collect())
-    assert got == brute_force([(r.source, r.text) for r in documents.collect()], ratio, least)
+    assert got == collections.Counter(cleaned([(r.source, r.text) for r in documents.collect()], ratio, least))
     return got
 
 

@@ -1,5 +1,12 @@
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from changeflow.llm import pipeline
+import test_jaccard_join
+import test_line_dedup
+import test_packing
+import test_quality
+from changeflow.llm import langid, line_dedup, pipeline, quality
 from llm_helpers import DOCUMENTS, VOCABULARY, awkward, prose
 
 
@@ -31,6 +38,41 @@ def test_stages_take_effect(spark):
     assert {r.doc_id for r in pieces} == ids
 
 
+def without_failed_lines(text):
+    lines = text.split("\n")
+    judged = [(line, len(test_quality.WORD.findall(line))) for line in lines]
+    kept = [line for line, n in judged if n == 0 or quality.failed_rule(line, n) is None]
+    lost = sum(n for line, n in judged if n and quality.failed_rule(line, n))
+    return "\n".join(kept), lost
+
+
+def brute_force(spark, rows):
+    """What run() packs: texts by id, worked out one after the other. Rows are (doc_id, text, lang, source)."""
+    out = []
+    for i, text, lang, source in rows:
+        n_words, *_, base_failed = test_quality.brute_force(text)
+        cleaned, lost = without_failed_lines(text or "")
+        if not base_failed and 100 * lost <= quality.MOST_LOST * n_words:
+            out.append((i, cleaned, lang, source))
+    model = langid.fit(langid.learnable(spark.createDataFrame([(*r, 1) for r in out], DOCUMENTS)))
+    told = [(r, *model.predict(r[1])) for r in out]
+    out = [r for r, lang, score in told if lang != langid.UNKNOWN and score >= pipeline.LEAST_SCORE]
+    cleaned = test_line_dedup.cleaned([(r[3], r[1]) for r in out], line_dedup.RATIO, line_dedup.LEAST_PAGES)
+    out = [(r[0], text) for r, (_, text, _, dropped) in zip(out, cleaned) if not dropped or test_quality.WORD.search(text)]
+    groups = test_jaccard_join.brute_force(out, 5, 80)
+    return {i: text for i, text in out if groups[i][1] == i}
+
+
+def test_run_equals_brute_force(spark, tmp_path):
+    documents, _ = corpus(spark)
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = [tuple(r)[:4] for r in documents.collect()]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    lengths = test_packing.held(corpus_pipeline.run(spark, str(tmp_path)).collect(), brute_force(spark, rows), tokenizer, 1024, 64)
+    assert test_packing.padding(lengths, 1024) == 0
+
+
 def test_run_reads_documents_and_writes_stages(spark, tmp_path):
     documents, _ = corpus(spark)
     documents.write.parquet(str(tmp_path / "documents.parquet"))

@@ -31,7 +31,6 @@ def held(spark, rows, k=5, every=5):
 def small_blocks(monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 90)
     monkeypatch.setattr(topk, "QUERIES", 12)
-    monkeypatch.setattr(topk, "STEP", 8)
 
 
 @pytest.mark.parametrize("kind", ["normal", "sparse", "heavy", "few"])
@@ -63,15 +62,17 @@ def test_awkward_rows(spark):
     held(spark, [])
 
 
-def test_reading_stops_early():
-    """With one strong coordinate, few positions are read before outsiders cannot qualify."""
+def test_candidates_that_cannot_qualify_are_not_resolved():
+    """With one strong coordinate, a quarter of the lists leaves few; bounds always keep the k best."""
     rng = np.random.default_rng(9)
-    vectors = np.concatenate([rng.integers(0, 10**6, (4000, 1)), rng.integers(-9, 9, (4000, 3))], 1)
-    places = np.argsort(vectors, axis=0, kind="stable").T
-    values = np.take_along_axis(vectors.T, places, 1)
-    query = np.array([100, 1, 1, 1])
-    spoilt = vectors.copy()
-    far = np.argsort(vectors @ query)[:2000]
-    spoilt[far] = 10**9  # never looked at, as only survivors are resolved
-    found = topk.best((places, values), spoilt, np.arange(4000), query, -1, 5)
-    assert found[:, 0].tolist() == np.lexsort((np.arange(4000), -(vectors @ query)))[:5].tolist()
+    vectors = np.concatenate([rng.integers(0, 10**6, (4000, 1)), rng.integers(-9, 9, (4000, 3))], 1).astype(float)
+    queries = np.concatenate([[[100, 1, 1, 1], [-100, 0, 1, -1]], rng.integers(-50, 50, (30, 4))]).astype(float)
+    order = np.argsort(vectors, axis=0, kind="stable")
+    values, rank = np.take_along_axis(vectors, order, 0).T, np.argsort(order, axis=0)
+    for depth in (1, 40, 1000, 3999):
+        may = topk.qualified(values, rank, vectors, queries, np.zeros((4000, len(queries)), bool), 5, depth)
+        for q in range(len(queries)):
+            scores = vectors @ queries[q]
+            assert may[scores >= np.sort(scores)[-5], q].all()
+        if depth >= 1000:
+            assert may[:, :2].sum() < 40
