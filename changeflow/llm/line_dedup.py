@@ -4,10 +4,12 @@ Rows are grouped by host. The pages that hold a line, each counted once, are div
 the host; a line above ``ratio`` that at least ``least_pages`` pages hold is dropped from all pages
 of that host. Everything is DataFrame functions.
 
-Plan. Lines travel as 128-bit hashes, never as text. Counts are summed in each task before the
-shuffle, so a line or host that a third of all rows hold sends one row per task. What is found is
-joined to the hashes of lines, where adaptive execution may broadcast it or split hot hosts, then
-gathered per page, and only then meets the text. Pages are told apart by a hash of all they hold.
+Plan. Lines are counted as 128-bit hashes, never as text. Counts are summed in each task before the
+shuffle, so a line or host that a third of all rows hold sends one row per task. What is found becomes
+one list for each host: as each of its lines is on more than ``ratio`` of the host's pages, it has at most
+1 / ``ratio`` times as many entries as the host's average page has lines. The lists are stored, so
+Spark knows their size: it broadcasts them when they are small, else it joins by host and splits hot
+hosts, as the lists repeat for each part. Inside a row the lines found are then left out.
 
 Cases: a null host is a host of its own; a null text has no lines and stays null; a text whose lines
 all go becomes empty. Blank lines are never boilerplate and stay. Lines are compared without the white
@@ -32,7 +34,7 @@ def line_keys(text: Column) -> Column:
     lines = F.split(text, "\n", -1)
 
     def key(line: Column) -> Column:
-        trimmed = F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+        trimmed = F.btrim(line, F.lit(" \t\n\v\f\r"))
         return F.when(trimmed != "", F.struct(F.xxhash64(trimmed).alias("h"), F.xxhash64(F.lit(1), trimmed).alias("g")))
 
     return F.transform(lines, key)
@@ -43,20 +45,16 @@ def drop_boilerplate(
 ) -> DataFrame:
     """All rows without the boilerplate lines of their host, with n_lines (before) and n_dropped."""
     names = [c for c in documents.columns if c not in ADDED]
-    rows = documents.select(*names)
-    whole = [F.col(f"`{c}`") for c in names]
-    rows = rows.withColumns({"_page": F.xxhash64(*whole), "_page2": F.xxhash64(F.lit(1), *whole)})
-    told = rows.select("_page", "_page2", F.struct(F.col(f"`{host}`")).alias("_host"), F.array_distinct(F.array_compact(line_keys(F.col(f"`{text}`")))).alias("keys"))
-    lines = told.select("_page", "_page2", "_host", F.explode("keys").alias("key"))
+    rows = documents.select(F.struct(F.col(f"`{host}`").alias("name")).alias("_host"), *[F.col(f"`{c}`") for c in names])
+    lines = rows.select("_host", F.explode(F.array_distinct(F.array_compact(line_keys(F.col(f"`{text}`"))))).alias("_key"))
 
-    pages = told.groupBy("_host").agg(F.count("*").alias("pages"))
-    holding = lines.groupBy("_host", "key").agg(F.count("*").alias("holding")).filter(F.col("holding") >= least_pages)
-    found = settle(holding.join(pages, "_host").filter(F.col("holding") > ratio * F.col("pages")).select("_host", "key"))
-    hits = lines.join(found, ["_host", "key"], "left_semi")
-    per_page = settle(hits.groupBy("_page", "_page2").agg(F.collect_set("key").alias("_drop")))
+    pages = rows.groupBy("_host").agg(F.count("*").alias("pages"))
+    holding = lines.groupBy("_host", "_key").agg(F.count("*").alias("holding")).filter(F.col("holding") >= least_pages)
+    found = holding.join(pages, "_host").filter(F.col("holding") > ratio * F.col("pages"))
+    per_host = settle(found.groupBy("_host").agg(F.collect_list("_key").alias("_drop")))
 
-    marked = rows.join(per_page, ["_page", "_page2"], "left")
-    dropped = F.coalesce(F.col("_drop"), F.array().cast(per_page.schema["_drop"].dataType))
+    marked = rows.join(per_host, "_host", "left")
+    dropped = F.coalesce(F.col("_drop"), F.array().cast(per_host.schema["_drop"].dataType))
     each = F.arrays_zip(F.split(F.col(f"`{text}`"), "\n", -1).alias("line"), line_keys(F.col(f"`{text}`")).alias("key"))
     marked = marked.withColumn("_each", F.when(F.size(dropped) > 0, each))
     keep = F.filter("_each", lambda x: x["key"].isNull() | ~F.array_contains(dropped, x["key"]))
