@@ -11,12 +11,12 @@ groups: sets that reach the threshold differ in at most D elements, so when thei
 G > D groups, one group is equal as a whole. Texts meet in a *bucket* when they agree on a group of
 their size class. Each bucket is searched in two steps:
 
-1. Every text is held against one other, the one that comes first in most of its buckets. This connects
-   groups of copies of any size with as many comparisons as they have members.
-2. Where a bucket then still holds several components, the first one is held against the members of
-   other components, and the points are packed into leaves: leaves, then points, of *different*
-   components are held against each other by the bound. Pairs that are already connected by links need no
-   test, as only components are returned. Buckets with the same members are searched once.
+1. Every member is held against the bucket's first one. This connects groups of copies of any size
+   with no more comparisons than the buckets have members.
+2. Where a bucket then still holds several components, its points are packed into leaves: leaves, then
+   points, of *different* components are held against each other by the bound. Pairs that are already
+   connected by links need no test, as only components are returned. Buckets with the same members are
+   searched once.
 
 Both steps verify exactly, so every link between different sets lies within one component. Equal
 sets are one class from the start.
@@ -268,9 +268,7 @@ def linked_components(
     met = wordy.select("node", F.explode("sigs").alias("sig"))
     met = met.withColumn("first", F.min("node").over(Window.partitionBy("sig")))
     met = settle(met.filter("node <> first"))
-    stars = settle(met.groupBy(F.col("first").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("buckets")))
-    # The first one that a member meets most often is the likeliest to be linked with it.
-    tested = settle(stars.groupBy("b").agg(F.max_by("a", F.struct("buckets", "a")).alias("a")).select("a", "b"))
+    tested = settle(met.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
     links = verified(tested, reps, documents, columns, size, percent)
     found = components(links)
 
@@ -278,12 +276,12 @@ def linked_components(
         labels = found.select(F.col("node").alias(node), F.col("component").alias(name))
         return rows.join(labels, node, "left").withColumn(name, F.coalesce(name, node))
 
-    apart = settle(labelled(labelled(stars.select("a", "b"), "a", "x"), "b", "y").filter("x <> y").select("a", "b"))
+    apart = settle(labelled(labelled(tested, "a", "x"), "b", "y").filter("x <> y").select("a", "b"))
     if not apart.isEmpty():
         still = met.join(apart.select(F.col("a").alias("first"), F.col("b").alias("node")), ["first", "node"], "left_semi")
         open_buckets = different_buckets(met.join(still.select("sig").distinct(), "sig", "left_semi"))
         members = labelled(open_buckets, "node", "component").join(reps.select("node", "n", "point"), "node")
-        more = tree_pairs(settle(members), percent).unionByName(apart).distinct().join(tested, ["a", "b"], "left_anti")
+        more = tree_pairs(settle(members), percent).join(tested, ["a", "b"], "left_anti")
         more = verified(settle(more), reps, documents, columns, size, percent)
         if not more.isEmpty():
             found = components(links.unionByName(more))
