@@ -60,13 +60,13 @@ def hash_reconcile(own: DataFrame, peer: DataFrame) -> DataFrame:
 def drop_seen_changes(rows: DataFrame, log: DataFrame) -> DataFrame:
     """Rows whose (key, modifier) the log does not hold.
 
-    The log is narrowed to what the rows hold, not the other way round: the rows are stored, so the
-    semi-join broadcasts their keys when they are small and shuffles two columns of the log only
+    The log is narrowed to what the rows hold, not the other way round: the rows' keys are stored, so
+    the semi-join broadcasts them when they are small and shuffles two columns of the log only
     when they are not. The branch is a further key, so of a log stored by branch only the folders
     that occur are read; the bound on it is true of every code and lets Spark prune them at run time.
+    The rows are read twice: pass stored ones if they are dear.
     """
-    rows = settle(rows)
-    wanted = with_branch(rows).select("branch", *IDENTITY).filter(F.col("branch") >= "")
+    wanted = settle(with_branch(rows).select("branch", *IDENTITY)).filter(F.col("branch") >= "")
     seen = settle(with_branch(log).select("branch", *IDENTITY).join(wanted, ["branch", *IDENTITY], "left_semi"))
     return rows.join(seen.select(*IDENTITY), IDENTITY, "left_anti")
 

@@ -26,7 +26,7 @@ def pull(
     """Import all files at once. Repeats go before the comparison with the log, so fewer rows are compared."""
     classified = ingest.classify_errors(rows, verdicts=verdicts)
     kept = ingest.accepted_prefix(classified, chunk).filter("bDurablex")
-    fresh = ingest.drop_seen_changes(ingest.drop_repeats_in_batch(kept), log)
+    fresh = ingest.drop_seen_changes(settle(ingest.drop_repeats_in_batch(kept)), log)
     return Imported(
         ingest.append_change_log(log, fresh, imported),
         ingest.import_progress(classified, chunk),

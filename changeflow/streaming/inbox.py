@@ -81,7 +81,7 @@ class Import:
             classified = ingest.classify_errors(rows)
             stops = settle(ingest.import_progress(classified, self.chunk).select("sFileName", "nStopPosx", F.col("nDurablex").alias("_kept")))
             accepted = classified.join(stops, "sFileName").filter(F.col("pos") <= F.col("_kept")).drop("nStopPosx", "_kept")
-            fresh = ingest.drop_seen_changes(ingest.drop_repeats_in_batch(accepted), self.logged_before(step))
+            fresh = ingest.drop_seen_changes(settle(ingest.drop_repeats_in_batch(accepted)), self.logged_before(step))
             out = with_branch(fresh.select(*[f.name for f in CHANGE.fields])).withColumn("dModified", moment(self.imported))
             # No folder per branch: branches times steps would make too many small files.
             out.hint("rebalance").sortWithinPartitions("sTransNox").write.mode("overwrite").parquet(f"{self.log}/step={step}")
