@@ -1,10 +1,12 @@
 """Exact top-k search by inner product with sorted lists and no random access.
 
-Every coordinate of the candidates is a list sorted by value. A query reads all lists at the same
-depth, from the end that adds most to its score, and keeps for each candidate seen a lower bound (what
+Every coordinate of the candidates is a list sorted by value. A query reads all lists to the same
+depth, each from the end that adds most to its score, and keeps for each candidate a lower bound (what
 was read, and the far end of each list not yet read) and an upper bound (what was read, and each other
-list's present value). It stops when k lower bounds reach beyond the upper bound of every other
-candidate, those not seen at all included, and resolves the final scores of those that remain.
+list's present value). Candidates whose upper bound lies below the k-th lower bound cannot qualify, those
+not seen at all included. It stops reading when few others remain, and resolves their final scores.
+Queries of a block read in step, so their bounds are products of matrices: what was read at the top and at
+the bottom of the lists, times the positive and the negative weights of the queries.
 
 Plan. Candidates and queries are dealt into blocks by hash, and each pair of blocks is one group: the
 lists of a block are sorted once and then read by each query of the other. A block's best k are a
@@ -34,8 +36,8 @@ from .common import prepare
 
 #: Candidates and queries of a group.
 CANDIDATES, QUERIES = 4096, 512
-#: Positions read from each list between two looks at the bounds, at first; it doubles.
-STEP = 64
+#: Shares of the lists that are read before the bounds are looked at, and the share of candidates that are few.
+DEPTHS, FEW = (0.25, 0.5, 0.75), 0.03
 
 
 def integers(vector: Column, scale: int = 256) -> Column:
@@ -44,45 +46,48 @@ def integers(vector: Column, scale: int = 256) -> Column:
     return F.when(fine & (F.size(vector) > 0), F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
 
 
-def best(lists: tuple[np.ndarray, np.ndarray], vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> np.ndarray:
-    """Places of the k best candidates, read from sorted lists.
+def qualified(values: np.ndarray, rank: np.ndarray, vectors: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, depth: int) -> np.ndarray:
+    """After reading so many positions of each list: for each candidate and query whether it may be among the k best.
 
-    ``lists``: for each coordinate the candidates' places in rising order of value, and the values.
+    ``values``: each coordinate's values in rising order; ``rank``: each candidate's position in each list;
+    ``own``: candidates that a query must not find.
     """
-    places, values = lists
-    used = np.flatnonzero(query)
+    n = len(vectors)
+    top, bottom = rank >= n - depth, rank < depth
+    read = np.concatenate([vectors * top, vectors * bottom, ~top, ~bottom], 1)
+    plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
+    lower = read @ np.concatenate([plus, minus, plus * values[:, 0], minus * values[:, -1]], 1).T
+    upper = read @ np.concatenate([plus, minus, plus * values[:, n - depth], minus * values[:, depth - 1]], 1).T
+    lower[own] = -np.inf
+    bar = np.partition(lower, n - k, axis=0)[n - k]
+    return (upper >= bar) & ~own
+
+
+def best_of_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
+    """Rows (query, candidate, score) of the k best candidates of a block for each query; ids rise."""
     n = len(ids)
-    if len(used) == 0 or n <= STEP:
-        alive = np.flatnonzero(ids != own)
-    else:
-        weights = query[used].astype(float)
-        rising = weights < 0
-        read = np.where(rising[:, None], places[used], places[used, ::-1])
-        gains = weights[:, None] * np.where(rising[:, None], values[used], values[used, ::-1])  # falling along each list
-        far_end = gains[:, -1]
-        known = np.zeros(n)
-        seen = np.zeros((n, len(used)), bool)
-        other = ids != own
-        depth, step, alive = 0, STEP, np.flatnonzero(other)
-        while depth < n:
-            until = min(n, depth + step)
-            block = read[:, depth:until]
-            known += np.bincount(block.ravel(), gains[:, depth:until].ravel(), n)
-            seen[block, np.arange(len(used))[:, None]] = True
-            front = gains[:, until - 1]
-            unread = ~seen[alive]
-            lower = known[alive] + unread @ far_end
-            upper = known[alive] + unread @ front
-            if len(alive) > k:
-                bar = np.partition(lower, -k)[-k]
-                # A candidate below the bar cannot come back; the bar's own ties stay for the ids to decide.
-                alive = alive[upper >= bar]
-            depth, step = until, step * 2
-            if len(alive) <= 4 * k:
-                break
-    scores = vectors[alive] @ query  # resolves what was not read, exactly
-    order = np.lexsort((ids[alive], -scores))[:k]
-    return np.stack([ids[alive][order], scores[order]], 1)
+    vectors, queries = vectors.astype(float), queries.astype(float)
+    order = np.argsort(vectors, axis=0, kind="stable")
+    values = np.take_along_axis(vectors, order, 0).T
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(n)[:, None], 0)
+    out = []
+    waiting = np.arange(len(queries))
+    depths = [int(n * share) for share in DEPTHS] if n >= 16 * k else [n]
+    for i, depth in enumerate(depths):
+        own = ids[:, None] == query_ids[waiting]
+        may = qualified(values, rank, vectors, queries[waiting], own, k, depth) if depth < n else ~own
+        few = may.sum(0) <= max(4 * k, FEW * n) if i + 1 < len(depths) else np.ones(len(waiting), bool)
+        for at in np.flatnonzero(few):
+            query = waiting[at]
+            found = np.flatnonzero(may[:, at])
+            scores = vectors[found] @ queries[query]  # what was not read of those that remain
+            first = np.lexsort((found, -scores))[:k]
+            out.append(np.stack([np.full(len(first), query_ids[query]), ids[found[first]], scores[first].astype(np.int64)], 1))
+        waiting = waiting[~few]
+        if not len(waiting):
+            break
+    return np.concatenate(out) if out else np.empty((0, 3), np.int64)
 
 
 def search(table: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
@@ -103,16 +108,11 @@ def search(table: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_i
     keys = [F.col("size"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")]
 
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[np.ndarray] = []
+        rows = np.empty((0, 3), np.int64)
         if len(left) and len(right):
             left = left.sort_values("id")
-            ids, vectors = left["id"].to_numpy(), np.stack(left["vector"].to_numpy())
-            places = np.argsort(vectors, axis=0, kind="stable").T
-            lists = places, np.take_along_axis(vectors.T, places, 1)
-            for query_id, query in zip(right["query_id"], right["vector"]):
-                found = best(lists, vectors, ids, np.asarray(query), query_id, k)
-                out.append(np.concatenate([np.full((len(found), 1), query_id), found], 1))
-        rows = np.concatenate(out) if out else np.empty((0, 3), np.int64)
+            vectors, wanted = (np.stack(side["vector"].to_numpy()) for side in (left, right))
+            rows = best_of_block(left["id"].to_numpy(), vectors, right["query_id"].to_numpy(), wanted, k)
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
     partial = a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(pair, "query_id bigint, vec_id bigint, score bigint")
