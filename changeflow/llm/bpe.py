@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import array
 import base64
-import functools
 import heapq
 import re
 
@@ -33,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import kept, map_batches
 
 #: Pieces of text, and pairs and halves, that a worker remembers.
 REMEMBERED = 400_000
@@ -142,9 +141,8 @@ class Vocabulary:
         return self.letters[places].tobytes()
 
 
-@functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    """A file of lines "base64 rank", read once by each worker."""
+    """A file of lines "base64 rank"."""
     with open(path, "rb") as lines:
         return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
@@ -176,9 +174,8 @@ class TextEncoder:
         return b"".join(found)
 
 
-@functools.lru_cache(maxsize=2)
 def text_encoder(path: str, pattern: str) -> TextEncoder:
-    return TextEncoder(path, pattern)
+    return kept(("encoder", path, pattern), lambda: TextEncoder(path, pattern))
 
 
 def encode_texts(documents: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -195,4 +192,4 @@ def encode_texts(documents: DataFrame, path: str, pattern: str, text: str = "tex
         return {"_row": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), "decoded": decoded}
 
     row_type = rows.schema["_row"].dataType.simpleString()
-    return map_batches(rows, work, f"_row {row_type}, ids array<int>, decoded binary").select(*[F.col(f"_row.`{c}`") for c in others], "ids", "decoded")
+    return map_batches(rows, work, f"_row {row_type}, ids array<int>, decoded binary", keeps=True).select(*[F.col(f"_row.`{c}`") for c in others], "ids", "decoded")

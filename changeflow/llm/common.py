@@ -19,7 +19,20 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE_KEYS = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that are hashed together; the arrays need about 40 bytes for each.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
+#: Rows that are worked on together, of the thousands in an Arrow batch.
+ROWS = 512
+
+_kept: tuple[object, object] = (None, None)
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What a worker keeps from task to task: the tables of one operator, the last that it worked for."""
+    global _kept
+    if _kept[0] != key:
+        _kept = (None, None)  # before the new ones are made
+        _kept = (key, make())
+    return _kept[1]
 
 
 def prepare(spark: SparkSession) -> None:
@@ -33,15 +46,21 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{paths}".rstrip(":")
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """``work`` turns an Arrow batch into columns by name; the rows stay in their partition."""
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, keeps: bool = False) -> DataFrame:
+    """``work`` turns an Arrow batch into columns by name; the rows stay in their partition.
+
+    Unless it ``keeps`` tables itself, the worker lets go of those of the operator before.
+    """
     prepare(df.sparkSession)
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            kept(None, lambda: None)
         for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None:
-                yield pa.RecordBatch.from_arrays([out[n] for n in names], names=names)
+            for first in range(0, batch.num_rows, ROWS):
+                if (out := work(batch.slice(first, ROWS))) is not None:
+                    yield pa.RecordBatch.from_arrays([out[n] for n in names], names=names)
 
     return df.mapInArrow(run, schema)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, prepare
+from .common import kept, map_batches, prepare
 
 BUCKETS = 1 << 15
 #: Most rows of the training sample.
@@ -85,6 +85,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """By bucket the texts that hold it, and the texts with letters. ``texts`` has the column text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(None, lambda: None)
         total, n = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():

@@ -22,7 +22,6 @@ rows are packed once each. Texts of any length are tokenised whole. Other column
 from __future__ import annotations
 
 import array
-import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import kept, prepare
 
 #: Examples that wait in a task.
 POOL = 1024
@@ -81,8 +80,8 @@ class Tokens:
         cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else [""] for t in texts]
         known = self.parts
         new = set().union(*cut).difference(known)
-        new = self.learn(new) if new else new
-        odd = [i for i, parts in enumerate(cut) if self.odd and not self.odd.isdisjoint(parts)] if new else []
+        new = self.learn(new)
+        odd = [i for i, parts in enumerate(cut) if not self.odd.isdisjoint(parts)] if self.odd else []
         for i, ids in zip(odd, self.encode([texts[i] for i in odd])):
             cut[i] = ids
         out = [parts if isinstance(parts, bytes) else b"".join(map(known.__getitem__, parts)) for parts in cut]
@@ -92,9 +91,8 @@ class Tokens:
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def tokens(path: str) -> Tokens:
-    return Tokens(path)
+    return kept(("tokens", path), lambda: Tokens(path))
 
 
 class Packer:

@@ -1,4 +1,5 @@
 import collections
+import random
 import zlib
 
 import numpy as np
@@ -57,6 +58,20 @@ def test_every_id_once_without_padding(spark, tokenizer):
     assert padding(lengths, 1024) == 0
 
 
+def test_parts_are_tokenised_as_their_texts(tokenizer, monkeypatch):
+    """With and without room to remember, also when a call brings nothing but odd texts."""
+    rng = random.Random(1)
+    marks = ["a", "b", " ", "  ", "\n", "é", "ß", "中", "1", "!", "'s", "\t", "the", " ", "\x1c", "🙂", ".", ",", ". ", ", ", " .", "\xa0", "\0", "<|endoftext|>", "2.", "x,"]
+    for room in (0, 300):
+        monkeypatch.setattr(packing, "REMEMBERED", room)
+        tokens = packing.Tokens(PATH)
+        calls = [["", ""], ["a b"], [" a", ""], ["a b"], ["\0"], ["a  b"], []]
+        calls += [["".join(rng.choice(marks) for _ in range(rng.randrange(30))) for _ in range(20)] for _ in range(100)]
+        for texts in calls:
+            expected = [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            assert tokens.of(texts) == expected
+
+
 def test_limits_on_segments_and_loss(spark, tokenizer):
     texts = {i: "hello there" for i in range(100)}
     documents = spark.createDataFrame([(i, t, 2) for i, t in texts.items()], "doc_id int, text string, bearing int")
