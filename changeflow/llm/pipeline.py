@@ -31,9 +31,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents of a source carry are removed; documents that hold nothing else go."""
-    cleaned = line_dedup.drop_boilerplate(docs)
-    return as_documents(cleaned.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
+    """Lines that many documents of a source carry are removed. Every document stays, and copies keep what only they share:
+    the next stage chooses among them."""
+    return as_documents(line_dedup.drop_boilerplate(docs, spare_copies=True))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

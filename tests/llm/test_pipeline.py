@@ -85,3 +85,30 @@ def test_awkward_rows_and_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path / "a")).count() >= 0
     awkward(spark).limit(0).write.parquet(str(tmp_path / "b" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "b")).count() == 0
+
+
+def shuffled_prose(seed, n=14):
+    return [f"{line[:-1]} number{seed}x{i}." for i, line in enumerate(prose("en", 9 * n, seed).split("\n"))]
+
+
+def test_line_stage_leaves_copies_to_the_near_copy_stage(spark):
+    menu = "Read the whole story of the day on our pages."
+    alone = [(i, "\n".join([menu] * (i % 2) + shuffled_prose(i)), "en", "s", 1) for i in range(60)]
+    exact = [(100 + i, "\n".join([menu, *shuffled_prose(100)]), "en", "s", 1) for i in range(20)]
+    near = [(200 + i, "\n".join([menu, *shuffled_prose(200), f"And this was end{i}."]), "en", "s", 1) for i in range(20)]
+    only = [(300 + i, menu, "en", "s", 1) for i in range(8)]
+    documents = spark.createDataFrame(alone + exact + near + only, DOCUMENTS)
+    cleaned = spark.createDataFrame(pipeline.line_stage(spark, documents, "").collect(), DOCUMENTS)
+    told = {r.doc_id: r.text for r in cleaned.collect()}
+    # The menu goes on account of the pages that stand alone, from copies too; a document of nothing else stays.
+    expected = {i: t if t == menu else t.removeprefix(menu + "\n") for i, t, *_ in alone + exact + near + only}
+    assert told == expected
+    chosen = {r.doc_id: r.text for r in pipeline.near_copy_stage(spark, cleaned, "").collect()}
+    assert chosen == {i: expected[i] for i in [*range(60), 100, 200, 300]}
+
+
+def test_line_stage_keeps_the_smallest_group_of_copies(spark):
+    text = "\n".join(shuffled_prose(7))
+    rows = [(i, text if i < 5 else "\n".join(shuffled_prose(i + 10)), "en", "s", 1) for i in range(99)]
+    cleaned = pipeline.line_stage(spark, spark.createDataFrame(rows, DOCUMENTS), "")
+    assert [r.text for r in cleaned.orderBy("doc_id").collect()] == [t for _, t, *_ in rows]
