@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_folder
+from ..session import new_folder, settle
 from . import jaccard_join, langid, line_dedup, packing, quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -37,11 +37,17 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays. Rows without an id stay."""
-    firsts = jaccard_join.linked_components(docs, size=5, percent=80).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi")
-    one_each = kept.dropDuplicates(["doc_id"])
-    return as_documents(one_each.unionByName(docs.filter("doc_id IS NULL")))
+    """Of each group of linked documents the one with the smallest id stays.
+
+    Documents are told apart by id and text: where an id repeats with different texts, each text is linked by itself, and of
+    texts of one id that are linked, the one with the smaller hash stays. Rows alike in both are one. Rows without an id stay.
+    """
+    rows = docs.filter("doc_id IS NOT NULL").withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    linked = jaccard_join.linked_components(rows, "_key", size=5, percent=80).select("_key", "component_id").distinct()
+    named = linked.join(rows.select("_key", "doc_id").distinct(), "_key")
+    firsts = settle(named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key"))
+    one_each = rows.join(firsts, "_key", "left_semi").dropDuplicates(["_key"])
+    return as_documents(one_each.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

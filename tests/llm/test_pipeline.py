@@ -112,3 +112,11 @@ def test_line_stage_keeps_the_smallest_group_of_copies(spark):
     rows = [(i, text if i < 5 else "\n".join(shuffled_prose(i + 10)), "en", "s", 1) for i in range(99)]
     cleaned = pipeline.line_stage(spark, spark.createDataFrame(rows, DOCUMENTS), "")
     assert [r.text for r in cleaned.orderBy("doc_id").collect()] == [t for _, t, *_ in rows]
+
+
+def test_near_copy_stage_keeps_different_texts_of_one_id(spark):
+    a, b, c = ("\n".join(shuffled_prose(i)) for i in range(3))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "t", 1), (1, a, "en", "s", 1), (2, b + "\nEnd.", "en", "s", 1), (3, c, "en", "s", 1), (3, c + "\nEnd.", "en", "s", 1),
+            (0, c + "\nStop.", "en", "s", 1), (None, a, "en", "s", 1), (None, a, "en", "s", 1), (4, None, "en", "s", 1), (4, "", "en", "s", 1)]
+    kept = pipeline.near_copy_stage(spark, spark.createDataFrame(rows, DOCUMENTS), "").collect()
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept) == sorted([(1, a), (1, b), (-1, c + "\nStop."), (-1, a), (-1, a), (4, "")])
