@@ -5,7 +5,7 @@ markup, the share of its characters in links, its length and the share of its wo
 stop words (of any of the languages below):
 
 - *bad* in a part of the page that is never article (menus, page headers and footers, sidebars,
-  forms, notices, adverts, comments: by tag, role or by a word of its id or class), with links over
+  forms, notices, adverts, comments: by tag, role or by the name in its id or class), with links over
   ``MOST_LINKS`` of its characters, or with the sign of copyright outside an article;
 - *good* when long enough, with at least ``STOP_WORDS`` of its words stop words, and few links;
 - else *ambiguous*, as short blocks are.
@@ -15,6 +15,12 @@ counted in blocks, and of the one before it on equal distance. An article is a s
 of the page outside of articles. A section without a decided block is good if it is an article, or
 if the page has none; else bad. The texts of good blocks are joined in page order.
 
+An id or a class names such a part with its last word, when words for a place or kind of box behind it are left
+away: ``sidebar``, ``main-nav`` and ``ad-container-2`` do, ``ad-free``, ``has-sidebar`` and ``news-widget-page`` do not. An
+article or main inside lifts what names of elements around it say, but not what their tags and roles say. An article
+inside another one (a comment or a teaser), or with such a name itself, lifts nothing. An inline element
+that is named so is left out of its block, which goes on behind it.
+
 Cases: a null or empty html has an empty text. Scripts, styles and comments in the markup are no text,
 also when they never end. Unclosed tags end with what is around them. Character references are
 decoded after cutting, so they never make tags. Blocks of white space alone do not count. Nothing else is
@@ -57,6 +63,12 @@ OUTSIDE_WORDS = frozenset(
     menu modal nav navbar navigation newsletter notice outbrain paywall popup promo promoted promotion recommended related respond share
     sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar widget""".split()
 )
+# Words behind the name of a part that leave it that part, and words that say that a part is not there or only beside.
+PART_WORDS = frozenset(
+    """area bar block blocks body bottom box button buttons col column container content entry footer form group header inner item items left
+    link links list outer panel post posts right section slot text title top unit wrap wrapper zone""".split()
+)
+BESIDE_WORDS = frozenset("has have hide is no non not with without".split())
 # Stop words of English, French, German and Spanish.
 STOP = frozenset(
     """a an and are as at be by for from has have he in is it its not of on or she that the their they this to was were which will with you
@@ -84,41 +96,79 @@ class Block(NamedTuple):
     outside: bool
 
 
+def is_part_name(name: str) -> bool:
+    """Whether one id or class is the name of a part outside of the article."""
+    words = [w for w in re.split(r"[^a-z]+", name.lower()) if w]
+    if not words or not BESIDE_WORDS.isdisjoint(words):
+        return False
+    if words[-1] in OUTSIDE_WORDS:
+        return True
+    while words and words[-1] in PART_WORDS and words[-1] not in OUTSIDE_WORDS:
+        words.pop()
+    # A box around content and a part is neither.
+    return bool(words) and words[-1] in OUTSIDE_WORDS and words[0] not in ("content", "main", "page")
+
+
 def names_outside(attributes: str) -> bool:
-    """Whether an element's role, id or class says that it is no part of the article."""
-    for name, *quoted in _NAMES.findall(attributes):
-        value = "".join(quoted).lower()
-        if name.lower() == "role":
-            if value.strip() in OUTSIDE_ROLES:
-                return True
-        elif not OUTSIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+    """Whether an element's id or class says that it is no part of the article."""
+    return any(is_part_name(x) for name, *quoted in _NAMES.findall(attributes) if name.lower() != "role" for x in "".join(quoted).split())
+
+
+def role_outside(attributes: str) -> bool:
+    """Whether an element's role says that it is no part of the article."""
+    return any(name.lower() == "role" and "".join(quoted).strip().lower() in OUTSIDE_ROLES for name, *quoted in _NAMES.findall(attributes))
+
+
+class Opened(NamedTuple):
+    name: str
+    outside: bool  # by tag or role
+    named: bool  # outside by id or class
+    inline: bool  # one of both, but inside a block
+    article: bool
+    lifts: bool  # the names around it
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order."""
     out: list[Block] = []
     text: list[str] = []
-    opened: list[tuple[str, bool, bool]] = []  # name, whether it is outside, whether it is an article
-    outside = articles = links = linked = section = at = 0
+    opened: list[Opened] = []
+    outside = articles = inner = links = linked = section = at = 0
+    # Open elements that are named as outside since the last one that lifts names; likewise those inside a block; and such by role.
+    named, inline, hushed = [0], [0], 0
 
     def end_block() -> None:
         nonlocal linked
         if text:
             joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if joined:
-                out.append(Block(joined, min(linked, len(joined)), section, articles > 0, outside > 0))
+                out.append(Block(joined, min(linked, len(joined)), section, articles > 0, outside > 0 or named[-1] > 0))
             text.clear()
         linked = 0
 
     def add(piece: str) -> None:
         nonlocal linked
-        if piece:
+        if piece and not inline[-1] and not hushed:
             text.append(piece)
             if links:
                 linked += len(piece.strip())
 
+    def close(gone: list[Opened]) -> None:
+        nonlocal outside, hushed, articles, inner, links, section
+        for x in reversed(gone):
+            if x.lifts:
+                named.pop()
+                inline.pop()
+            else:
+                named[-1] -= x.named and not x.inline
+                inline[-1] -= x.named and x.inline
+            outside -= x.outside and not x.inline
+            hushed -= x.outside and x.inline
+            articles -= x.article
+            inner -= x.name == "article"
+            links -= x.name == "a"
+            section += ((x.outside or x.named) and not x.inline) or x.article
+
     for found in _MARKUP.finditer(page):
         add(page[at : found.start()])
         at = found.end()
@@ -134,32 +184,36 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCK_TAGS:
             end_block()
         if found["close"]:
-            place = next((i for i in range(len(opened) - 1, -1, -1) if opened[i][0] == name), None)
-            if place is None or (name not in BLOCK_TAGS and any(n in BLOCK_TAGS and n != "p" for n, _, _ in opened[place + 1 :])):
+            place = next((i for i in range(len(opened) - 1, -1, -1) if opened[i].name == name), None)
+            if place is None or (name not in BLOCK_TAGS and any(x.name in BLOCK_TAGS and x.name != "p" for x in opened[place + 1 :])):
                 continue
-            gone = opened[place:]
+            close(opened[place:])
             del opened[place:]
         elif name in EMPTY_TAGS or found["rest"].endswith("/"):
             continue
         else:
-            gone = []
-            if name in ("p", "li") and opened and opened[-1][0] == name:
-                gone.append(opened.pop())  # these end by themselves
+            if name in ("p", "li") and opened and opened[-1].name == name:
+                close([opened.pop()])  # these end by themselves
             is_article = name in ARTICLE_TAGS
             # A header inside an article has its title; elsewhere it is the page's.
-            is_outside = name not in ("html", "body") and not is_article and (
-                name in OUTSIDE_TAGS or (name == "header" and not articles) or names_outside(found["rest"])
-            )
-            opened.append((name, is_outside, is_article))
-            outside += is_outside
+            plain = name not in ("html", "body") and not is_article
+            is_outside = plain and (name in OUTSIDE_TAGS or (name == "header" and not articles) or role_outside(found["rest"]))
+            by_name = name not in ("html", "body") and names_outside(found["rest"])
+            is_named = by_name and not is_article
+            lifts = name == "main" or (name == "article" and not inner and not by_name)
+            is_inline = (is_outside or is_named) and name not in BLOCK_TAGS
+            opened.append(Opened(name, is_outside, is_named, is_inline, is_article, lifts))
+            if lifts:
+                named.append(0)
+                inline.append(0)
+            outside += is_outside and not is_inline
+            hushed += is_outside and is_inline
+            named[-1] += is_named and not is_inline
+            inline[-1] += is_named and is_inline
             articles += is_article
+            inner += name == "article"
             links += name == "a"
-            section += is_outside or is_article
-        for gone_name, was_outside, was_article in gone:
-            outside -= was_outside
-            articles -= was_article
-            links -= gone_name == "a"
-            section += was_outside or was_article
+            section += ((is_outside or is_named) and not is_inline) or is_article
     add(page[at:])
     end_block()
     return out

@@ -47,3 +47,30 @@ def test_rows(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in out) == [(0, 0), (1, 0), (1, len(LONG)), (2, 0), (4, 99_999)]
     assert all(r.n_chars == len(r.text) for r in out)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_names_of_a_wrapper_are_no_names_of_a_part():
+    for wrapper in ('class="page has-sidebar"', 'class="no-sidebar"', 'class="layout-with-nav"', 'class="content ad-free"', 'id="news-widget-page"', "class=content-sidebar-wrap"):
+        assert html_text.main_text(page(f"<div {wrapper}><p>{LONG}</p><div class='ad'>{LONG}</div></div>")) == LONG, wrapper
+    for part in ("sidebar", "main-nav", "x ad-container-2", "cookie_notice", "related-posts", "comment-list"):
+        assert html_text.main_text(page(f"<p>{LONG}</p><div class='{part}'><p>{LONG} no</p></div>")) == LONG, part
+
+
+def test_articles_lift_names_but_not_tags_and_roles():
+    article = f"<article><p>{LONG}</p><div class='sidebar'>{LONG}</div><p>End.</p></article>"
+    assert html_text.main_text(page(f"<div class='widget'><p>{LONG}</p>{article}<p>{LONG}</p></div>")) == LONG + "\nEnd."
+    assert html_text.main_text(page(f"<div class='widget'><main><p>{LONG}</p></main></div>")) == LONG
+    for name in ("nav", "aside", "footer", "div role=dialog"):
+        assert html_text.main_text(page(f"<{name}>{article}</{name.split()[0]}>")) == "", name
+    comments = f"<section id='comments'><article><p>{LONG} no</p></article></section>"
+    assert html_text.main_text(page(f"<article><p>{LONG}</p>{comments}</article>")) == LONG
+    comments = f"<section id='comments'><article id='comment-12'><p>{LONG} no</p></article></section>"
+    assert html_text.main_text(page(f"<main><p>{LONG}</p>{comments}</main>")) == LONG
+
+
+def test_inline_elements_named_as_adverts_leave_their_paragraph():
+    ad = "<span class='ad'>Buy <b>now</b> <a href='/x'>here</a></span>"
+    assert html_text.main_text(page(f"<article><p>Short {ad}text.</p><p>{ad}{LONG}</p><p>{LONG} <span class='ad'>never closed</p><p>End.</article>")) == "\n".join(
+        ["Short text.", LONG, LONG, "End."]
+    )
+    assert html_text.main_text(page(f"<p>{LONG} <i class='promo'>Buy</i>more.</p>")) == LONG + " more."
