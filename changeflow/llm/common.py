@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # The bytes that separate words.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
@@ -20,8 +21,9 @@ _BYTE_KEYS = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.ui
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that are hashed together; the arrays need about 40 bytes for each.
 CHUNK_BYTES = 1 << 20
-#: Rows that are worked on together, of the thousands in an Arrow batch.
+#: Rows and bytes that are worked on together, of the thousands of rows in an Arrow batch.
 ROWS = 512
+SLICE_BYTES = 4 << 20
 
 _kept: tuple[object, object] = (None, None)
 
@@ -46,21 +48,54 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{paths}".rstrip(":")
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, keeps: bool = False) -> DataFrame:
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ROWS rows and about SLICE_BYTES; a larger row is a slice of its own."""
+    first = 0
+    while first < batch.num_rows:
+        rows = min(ROWS, batch.num_rows - first)
+        while rows > 1 and batch.slice(first, rows).nbytes > SLICE_BYTES:
+            rows //= 2
+        yield batch.slice(first, rows)
+        first += rows
+
+
+class Memory:
+    """What a worker remembers: the last ``size`` to twice as many entries that were asked for, in two generations."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        """The value or None. An older entry that is asked for is young again."""
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
+def map_batches(
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str | T.StructType, keeps: bool = False
+) -> DataFrame:
     """``work`` turns an Arrow batch into columns by name; the rows stay in their partition.
 
     Unless it ``keeps`` tables itself, the worker lets go of those of the operator before.
     """
     prepare(df.sparkSession)
-    names = [part.split()[0] for part in schema.split(", ")]
+    names = [part.split()[0] for part in schema.split(", ")] if isinstance(schema, str) else schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not keeps:
             kept(None, lambda: None)
         for batch in batches:
-            for first in range(0, batch.num_rows, ROWS):
-                if (out := work(batch.slice(first, ROWS))) is not None:
+            for part in slices(batch):
+                if (out := work(part)) is not None:
                     yield pa.RecordBatch.from_arrays([out[n] for n in names], names=names)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard_join, langid, line_dedup, oracles, packing, quality, sharding, topk, warc
+from . import bpe, html_text, jaccard_join, langid, line_dedup, oracles, packing, quality, sentence_pieces, sharding, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.ORACLES
@@ -99,3 +99,16 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in pieces, with begin and end, and decoded."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    told = sentence_pieces.encode_texts(documents, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"], packed=True)
+    return told.select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

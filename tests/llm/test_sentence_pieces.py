@@ -1,0 +1,96 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from changeflow.llm import queries, sentence_pieces
+from changeflow.llm.common import Memory
+from llm_helpers import awkward
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def words():
+    return sentence_pieces.Pieces(PATH)
+
+
+def samples():
+    rng = random.Random(1)
+    parts = ["a", "b", " ", "  ", "\n", "é", "ß", "中", "1", "!", "'s", "\t", "the", "ing", "\x1c", "🙂", "aaaa", " ", " don't", "<s>", "\u2581", "<0x41>", "\x00", " " * 24]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(50))) for _ in range(2000)]
+    texts += ["".join(chr(rng.randrange(1, 0xD7FF)) for _ in range(3000)), "".join(rng.choice("abcde ") for _ in range(9000))]
+    return texts + ["a" * 5000, " " * 2000, "é" * 999, "梦" * 3000, "", " ", "\n", "\u2581", "e\u0301 ﬁ Ⅳ"]
+
+
+def test_ids_and_texts_equal_the_library(words, library):
+    for text in samples():
+        ids = np.frombuffer(words.encode(text, begin=True, end=True), np.int32)
+        assert ids.tolist() == library.encode(text, add_bos=True, add_eos=True)
+        assert words.decode(ids) == library.decode(ids.tolist())
+
+
+def test_each_prefix_has_one_last_piece(words):
+    """The table from its definition: the last piece of every prefix, encoded by merging."""
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "\u2581" + "".join(rng.choice("theinagstr\u2581é☃") for _ in range(rng.randrange(1, 25)))
+        last = words.last_pieces(text)
+        for end in range(1, len(text) + 1):
+            piece = words.merged(text[:end])[-1]
+            assert last[end] == words.id_of.get(piece, sentence_pieces.ALONE)
+
+
+def test_texts_longer_than_what_is_looked_up_together(words, library, monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "TOGETHER", 50)
+    text = "some  words \n" * 100 + "x" * 300 + " end "
+    assert np.frombuffer(words.encode(text), np.int32).tolist() == library.encode(text)
+
+
+def test_a_vocabulary_that_cannot_be_cut(words, library, monkeypatch):
+    monkeypatch.setattr(words, "cuts", False)
+    for text in samples()[:300]:
+        assert np.frombuffer(words.encode(text), np.int32).tolist() == library.encode(text)
+
+
+def test_decoding_ids_that_no_text_has(words, library):
+    for ids in ([], [1, 2], [0], [1, 13, 2], [1, 264, 0, 264], [35, 264], [264, 264], [28705, 28705]):
+        assert words.decode(np.array(ids, np.int64)) == library.decode(ids)
+
+
+def test_memory_forgets_the_older_entries():
+    memory = Memory(3)
+    for i in range(100):
+        memory.put(i, i)
+        assert memory.get(0 if i < 3 else i) is not None
+    assert len(memory.young) + len(memory.old) <= 6 and memory.get(1) is None and memory.get(98) == 98
+
+
+def test_rows(spark, library):
+    documents = awkward(spark).withColumnRenamed("n_chars", "ids").withColumnRenamed("source", "a.b")
+    rows = sentence_pieces.encode_texts(documents, PATH).collect()
+    assert len(rows) == documents.count() and {"a.b", "decoded"} <= rows[0].asDict().keys()
+    for r in rows:
+        assert list(r.ids) == library.encode(r.text or "", add_bos=True, add_eos=True) and r.decoded == library.decode(list(r.ids))
+    bare = sentence_pieces.encode_texts(documents, PATH, keep=[], begin=False, end=False, packed=True)
+    assert bare.columns == ["ids", "decoded"] and bare.filter("length(ids) = 0").count() == 3
+    assert sentence_pieces.encode_texts(documents.limit(0), PATH).count() == 0
+
+
+def test_query_equals_the_library(spark, library):
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = queries.op13_sentencepiece(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id], add_bos=True, add_eos=True)
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
