@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard_join, langid, line_dedup, oracles, packing, quality, sentence_pieces, sharding, topk, warc
+from . import bpe, conversation_repair, html_text, jaccard_join, langid, line_dedup, merkle, oracles, packing, quality, sentence_pieces, sharding, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.ORACLES
@@ -101,6 +101,39 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, and which of them still fit it after a third has been tampered with."""
+    documents = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in documents.columns]
+    lowered = F.translate("text", oracles.CAPITALS, oracles.CAPITALS.lower())
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = documents.select("doc_id", "lang", merkle.leaf_digest(fields).alias("original"), F.when(tampered, merkle.leaf_digest([*fields[:-1], lowered])).alias("found"))
+    told = merkle.manifest(leaves, "lang", ["doc_id"], "original")
+    told = told.withColumn("folded_root", merkle.verify(F.coalesce("found", "leaf"), F.col("proof")))
+    return told.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations damaged by a rule, and the cheapest repair of each."""
+    conversations = table(spark, folder, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations))
+    digests = conversation_repair.text_digests(repaired.messages)
+    told, every = repaired.reports, conversations.select("conv_id").distinct()
+    joined = every.join(told, every.conv_id.eqNullSafe(told.conv_id), "left").join(digests, every.conv_id.eqNullSafe(digests.conv_id), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        every.conv_id,
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query
 def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in pieces, with begin and end, and decoded."""

@@ -1,0 +1,210 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from changeflow.llm import conversation_repair as cr
+from changeflow.llm import queries
+
+ROWS = "conv_id bigint, turn bigint, role string, text string"
+TARGET = re.compile(r"(s?(ua)+)?\Z")
+
+
+def faults(rows):
+    """Of ordered (turn, role, text): each one's fault."""
+    seen, out = set(), []
+    for _, role, text in rows:
+        said = text.rstrip(cr.SPACES)
+        out.append("blank" if not said else "duplicate" if (role, text) in seen else "truncated" if said[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def all_repairs(rows):
+    """Every choice of edits with at most two inserted turns at each place: cost, initials, messages."""
+    found = faults(rows)
+    inserts = [(), ("user",), ("assistant",), ("user", "assistant"), ("assistant", "user")]
+    edits = [[("D",), *([] if f in ("blank", "duplicate") else [("K", r[1]), ("R", "user"), ("R", "assistant")])] for f, r in zip(found, rows)]
+    for gaps in itertools.product(inserts, repeat=len(rows) + 1):
+        for chosen in itertools.product(*edits):
+            cost, audit, messages = 0, "", []
+            for i in range(len(rows) + 1):
+                for role in gaps[i]:
+                    cost, audit, messages = cost + 3, audit + "I", [*messages, (role, "")]
+                if i < len(rows):
+                    edit = chosen[i]
+                    audit += edit[0]
+                    cost += {"K": 0, "R": 3, "D": 4}[edit[0]] + (3 if edit[0] != "D" and found[i] == "truncated" else 0)
+                    if edit[0] != "D":
+                        messages = [*messages, (edit[1], rows[i][2])]
+            if TARGET.match("".join(role[:1] or "-" for role, _ in messages)):
+                yield cost, audit, messages
+
+
+def step_by_step(rows):
+    """The same minimum over rows one by one, with any number of inserts."""
+    found = faults(rows)
+
+    def move(state, initial):
+        return {("s", 0): 1, ("u", 0): 2, ("u", 1): 2, ("u", 3): 2, ("a", 2): 3}.get((initial, state))
+
+    def settle(best):
+        for _ in range(3):
+            for state, (cost, audit, messages) in list(best.items()):
+                for role in ("user", "assistant"):
+                    to = move(state, role[0])
+                    way = (cost + 3, audit + "I", [*messages, (role, "")])
+                    if to is not None and (to not in best or way[:2] < best[to][:2]):
+                        best[to] = way
+        return best
+
+    best = settle({0: (0, "", [])})
+    for fault, (_, role, text) in zip(found, rows):
+        after = {}
+        for state, (cost, audit, messages) in best.items():
+            ways = [(state, 4, "D", None)]
+            if fault not in ("blank", "duplicate"):
+                more = 3 if fault == "truncated" else 0
+                ways += [(move(state, role[:1]), more, "K", role)] + [(move(state, r[0]), 3 + more, "R", r) for r in ("user", "assistant")]
+            for to, price, edit, name in ways:
+                way = (cost + price, audit + edit, messages if name is None else [*messages, (name, text)])
+                if to is not None and (to not in after or way[:2] < after[to][:2]):
+                    after[to] = way
+        best = settle(after)
+    return min((best[s] for s in (0, 3) if s in best), key=lambda w: w[:2])
+
+
+def ordered(rows):
+    """Rows (conv, turn, role, text) as conversations, nulls as one space."""
+    out = {}
+    for conv, turn, role, text in rows:
+        out.setdefault(conv, []).append((turn, " " if role is None else role, " " if text is None else text))
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).hexdigest())
+    return {conv: sorted(turns, key=key) for conv, turns in out.items()}
+
+
+def wanted(rows):
+    out = {}
+    for conv, turns in ordered(rows).items():
+        found = faults(turns)
+        known = [t for t, *_ in turns if t is not None]
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        initials = [r[:1] for _, r, _ in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit, messages = step_by_step(turns)
+        counts = [found.count(f) for f in ("blank", "duplicate", "truncated")]
+        out[conv] = ((gaps, *counts, illegal, cost, audit), messages)
+    return out
+
+
+def repaired(df):
+    told = cr.repair(df)
+    reports = {r.conv_id: tuple(r)[1:] for r in told.reports.collect()}
+    messages = {}
+    for r in sorted(told.messages.collect(), key=lambda r: (r.place, r.part)):
+        messages.setdefault(r.conv_id, []).append((r.role, r.text))
+    digests = {r.conv_id: r.digest for r in cr.text_digests(told.messages).collect()}
+    return reports, messages, digests
+
+
+def digest(messages):
+    return hashlib.sha256("\n".join(f"{r}:{t}" for r, t in messages).encode()).hexdigest()
+
+
+def check(df, rows):
+    reports, messages, digests = repaired(df)
+    want = wanted(rows)
+    assert reports.keys() == want.keys()
+    for conv, (report, turns) in want.items():
+        assert reports[conv] == report
+        assert messages.get(conv, []) == turns
+        assert digests.get(conv, digest([])) == digest(turns)
+
+
+def random_rows(convs, longest, seed):
+    rng = random.Random(seed)
+    roles, texts = ["user", "user", "assistant", "assistant", "system", "tool", ""], ["One.", "Two?", "No end", "", " \n", "Three! "]
+    return [
+        (c, t, rng.choice(roles), rng.choice(texts) if rng.random() < 0.5 else f"{rng.random()}.")
+        for c in range(convs) for t in range(rng.randrange(1, longest + 1))
+    ]
+
+
+def test_least_cost_against_every_choice_of_edits():
+    """The plain version that the other tests rest on, itself against all choices."""
+    for turns in ordered(random_rows(60, 2, 5)).values():
+        assert step_by_step(turns)[:2] == min(way[:2] for way in all_repairs(turns))
+        assert step_by_step(turns)[2] == min(all_repairs(turns), key=lambda w: w[:2])[2]
+
+
+def test_short_conversations(spark):
+    rows = random_rows(300, 7, 1)
+    check(spark.createDataFrame(rows, ROWS).repartition(5), rows)
+
+
+def test_conversations_of_many_segments(spark, monkeypatch):
+    monkeypatch.setattr(cr, "SEGMENT", 3)
+    monkeypatch.setattr(cr, "TOGETHER", 2)
+    rows = random_rows(25, 60, 2)
+    check(spark.createDataFrame(rows, ROWS).repartition(5), rows)
+
+
+def test_one_conversation_with_most_rows(spark):
+    rng = random.Random(4)
+    rows = [(1, t, rng.choice(["user", "assistant"]), rng.choice(["same.", f"{t}.", f"{t}"])) for t in range(1500)] + random_rows(3, 4, 3)
+    check(spark.createDataFrame(rows, ROWS).repartition(5), rows)
+
+
+def test_nulls_ties_and_repeated_rows(spark):
+    rows = [
+        (None, None, None, None), (None, 1, "user", "Hi."), (1, None, "user", "A."), (1, None, "assistant", "B."), (1, 3, "user", None),
+        (2, None, None, "x."), (3, 1, "user", "Same."), (3, 1, "user", "Same."), (3, 1, "user", "Same."), (3, 1, "assistant", "Same."),
+        (4, 5, "user", ""), (5, 1, "assistant", "x" * 200_000 + "."), (5, 2, "system", "y."), (6, -3, "Úser", "é.\n"), (6, 4, "user", "a\x0b"),
+    ]
+    df = spark.createDataFrame(rows, ROWS)
+    check(df, rows)
+    clashing = df.withColumnsRenamed({"text": "_text.x", "turn": "_place"}).selectExpr("*", "1 as _conv", "2 as word", "3 as `a.b`")
+    told = cr.repair(clashing, turn="_place", text="_text.x")
+    assert told.reports.count() == 7 and told.messages.columns == ["conv_id", "place", "part", "role", "_text.x"]
+    assert cr.repair(df.limit(0)).reports.count() == 0 and cr.text_digests(cr.repair(df.limit(0)).messages).count() == 0
+
+
+def test_grammar_spells_the_words(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("ABAB" + "CDEFGHIJKL") for _ in range(rng.randrange(1, 60))) for _ in range(200)] + ["A" * 33, "AB" * 20]
+    df = spark.createDataFrame([(w, i % 5 + 1) for i, w in enumerate(set(words))], "word string, n bigint")
+    rules = cr.grammar(df)
+    assert len(rules) > 8 and all(len(pair) == 2 for pair in rules)
+
+    def spelled(symbol):
+        return "".join(map(spelled, rules[ord(symbol) - 0xE000])) if ord(symbol) >= 0xE000 else symbol
+
+    short = df.select("word", cr.compressed(df.word, rules).alias("short")).collect()
+    assert all("".join(map(spelled, r.short)) == r.word for r in short)
+    assert sum(len(r.short) for r in short) < 0.85 * sum(len(r.word) for r in short)
+    plain, by_rules = cr.Evaluator([]), cr.Evaluator(rules)
+    assert all(cr._flat(plain.word(r.word)) == cr._flat(by_rules.word(r.short)) for r in short)
+
+
+@pytest.mark.parametrize("a, b, least", [("abc", "abd", "abc"), (("a", ("b", "c")), ("ab", "b"), "abb"), (("", "x"), "x", "x")])
+def test_order_of_ropes(a, b, least):
+    assert "".join(cr.letters(cr.first_of(a, b))) == least
+
+
+def test_query_against_the_plain_version(spark):
+    """Besides its SQL: damage and repair in plain Python."""
+    folder = "/root/testdata/sf0.001"
+    rows, damaged = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect(), []
+    for conv, turn, role, text in rows:
+        fault = zlib.crc32(f"{conv}:{turn}".encode()) % 20
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        damaged += [(conv, turn, "user" if fault == 4 else role, text)] * {0: 0, 3: 2}.get(fault, 1)
+    want = wanted(damaged)
+    got = queries.op12_conversation_repair(spark, folder).collect()
+    assert {r.conv_id for r in got} == {r.conv_id for r in rows} and len(got) == len({r.conv_id for r in rows})
+    for r in got:
+        report, turns = want.get(r.conv_id, ((0, 0, 0, 0, 0, 0, ""), []))
+        assert tuple(r)[1:] == (*report, digest(turns))

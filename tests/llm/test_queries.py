@@ -27,6 +27,12 @@ COLUMNS = {
         "page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint",
     },
     "op10_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op11_merkle": {
+        "doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean",
+    },
+    "op12_conversation_repair": {
+        **dict.fromkeys(["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost"], "bigint"), "audit": "string", "repaired_sha256": "string",
+    },
     "op13_sentencepiece": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
 }
 
