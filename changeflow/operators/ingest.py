@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import branch_of, first_row, moment
+from ..functions.statement_text import HEAD, bare_name
 from ..session import settle
 from .windows import KNOWN, RECEIVED, with_branch
 
@@ -178,15 +179,11 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     return untouched.unionByName(latest.filter(F.col("sActionxx") != "delete").drop("sActionxx"))
 
 
-# Fixed pattern: verb and table of a change statement, the table with or without backticks.
-STATEMENT = r"(?is)^\s*(INSERT|REPLACE|UPDATE|DELETE)\s+(?:IGNORE\s+)?(?:INTO\s+|FROM\s+)?`?([A-Za-z0-9_]+)`?"
-
-
 def statement_parts(log: DataFrame) -> DataFrame:
-    """Adds sVerbxxxx, sTargetTb and whether the statement names the row's own table."""
+    """Adds sVerbxxxx, sTargetTb and whether the statement names the row's own table; modifiers and a schema may stand before it."""
     return (
-        log.withColumn("sVerbxxxx", F.upper(F.regexp_extract("sStatemnt", STATEMENT, 1)))
-        .withColumn("sTargetTb", F.regexp_extract("sStatemnt", STATEMENT, 2))
+        log.withColumn("sVerbxxxx", F.upper(F.regexp_extract("sStatemnt", HEAD, 1)))
+        .withColumn("sTargetTb", bare_name(F.regexp_extract("sStatemnt", HEAD, 3)))
         .withColumn("bSameTabl", F.lower("sTargetTb") == F.lower("sTableNme"))
     )
 

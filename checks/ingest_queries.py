@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from changeflow.functions import dense_position
-from changeflow.operators import ingest
+from changeflow.functions import dense_position, statement_text
+from changeflow.operators import ingest, statements
 from changeflow.plans import pull
 from changeflow.session import new_folder, settle
 from changeflow.sources import batches
@@ -156,19 +156,71 @@ def apply_changes(t):
     return ingest.apply_changes(t.record, t.change, ["sTableNme", "sRecordKy"])
 
 
+# The oracle takes verb and table from what the log was made of, not from the text.
 @query(
     "statement_profile",
-    """select branch, dEntryDay, sVerbxxxx, sTarget = sTableNme as bSameTabl, count(*) as nRowsxxxx
-         from (select left(sTransNox, 4) as branch, cast(dEntryDte as date) as dEntryDay, sTableNme,
-                      upper(split_part(sStatemnt, ' ', 1)) as sVerbxxxx,
-                      replace(case when sStatemnt ilike 'update%' then split_part(sStatemnt, ' ', 2)
-                                   else split_part(sStatemnt, ' ', 3) end, '`', '') as sTarget from v_log) x
-        group by all""",
+    """select left(sTransNox, 4) as branch, cast(dEntryDte as date) as dEntryDay,
+              case o_orderstatus when 'F' then 'INSERT' when 'O' then 'UPDATE' else 'DELETE' end as sVerbxxxx,
+              o_orderstatus in ('F', 'O') as bSameTabl, count(*) as nRowsxxxx
+         from v_log join orders on cast(substring(sTransNox, 5, 12) as bigint) = o_orderkey group by all""",
 )
 def statement_profile(t):
     return ingest.statement_profile(t.log)
 
 
+# Likewise: what each form of statement says, from the columns that it was written from.
+FORMS = """
+    select *, 1 as part, case when form <= 2 then 'set' when form <= 4 then 'alter' when form <= 5 then 'drop' end as kind,
+           case form when 0 then concat('dTransact=', day, '|nAmountxx=', amount, '|sAcctNmbr=', acct, '|sRemarksx=', remark)
+                     when 1 then concat('nAmountxx=-', amount, '.5e0|sAcctNmbr=', acct, '|sRemarksx=', remark)
+                     when 2 then concat('nAmountxx=', amount, '|sAcctNmbr=', acct, '|sRemarksx')
+                     when 3 then concat('nAmountxx|sRemarksx=', remark) when 4 then concat('NAMOUNTXX=', amount)
+                     when 5 then '' when 6 then '' end as said,
+           case when form in (3, 4, 5) then concat('sAcctNmbr=', acct) when form = 6 then concat('dTransact=', day, '|sAcctNmbr=', acct)
+                when form <= 2 then '' end as held,
+           case form when 7 then 'value' when 8 then 'no key' when 9 then 'verb' when 10 then 'open quote' when 11 then 'columns' when 12 then 'condition'
+                     when 13 then 'several statements' end as problem
+      from v_written
+    union all
+    select *, 2, 'set', concat('nAmountxx=', amount, '|sAcctNmbr=', next_acct, '|sRemarksx=', remark), '', null from v_written where form = 2"""
+
+
+@query(
+    "parse_statements",
+    f"""select sTransNox, part as nPartxxxx, case when form = 9 then '' when form in (0, 1, 10, 11) then 'INSERT' when form = 2 then 'REPLACE'
+                                                   when form in (5, 6, 13) then 'DELETE' else 'UPDATE' end as sVerbxxxx,
+               case when form between 1 and 3 then 'node' end as sSchemaxx,
+               case when form = 4 then 'account_note' when form <> 9 then 'Account_Note' end as sTargetTb, said as sValuesxx, held as sKeyxxxxx, problem as sProblemx
+          from ({FORMS}) f""",
+)
+def parse_statements(t):
+    parsed = statements.parse_statements(t.statement)
+    texts = [statement_text.map_text(F.col(m)).alias(n) for m, n in (("mValuesxx", "sValuesxx"), ("mKeyxxxxx", "sKeyxxxxx"))]
+    return parsed.select("sTransNox", "nPartxxxx", "sVerbxxxx", "sSchemaxx", "sTargetTb", *texts, "sProblemx")
+
+
+@query(
+    "apply_statements",
+    f"""with made as (
+          select case when part = 2 then next_acct else acct end as sAcctNmbr, kind, [strftime(dModified, '%Y-%m-%d %H:%M:%S'), sTransNox, part::varchar] as o,
+                 case when form = 2 and part = 1 then null else remark end as r,
+                 case form when 1 then -cast(concat(amount, '.5') as double) when 3 then null else cast(amount as double) end as a,
+                 case form when 0 then cast(day as date) end as d, form from ({FORMS}) f where form <= 5),
+        whole as (select sAcctNmbr, max(o) as made_at from made where kind <> 'alter' group by 1),
+        base as (select m.sAcctNmbr, r as sRemarksx, a as nAmountxx, d as dTransact, w.made_at, kind from made m join whole w on m.sAcctNmbr = w.sAcctNmbr and m.o = w.made_at
+                 union all select n.*, [''] as made_at, 'set' from v_note n where not exists (select 1 from whole w where w.sAcctNmbr = n.sAcctNmbr)),
+        later as (select m.*, max(case when form = 3 then o end) over (partition by m.sAcctNmbr) as last_remark,
+                         max(o) over (partition by m.sAcctNmbr) as last_amount
+                    from made m join base b on m.sAcctNmbr = b.sAcctNmbr and m.o > b.made_at and m.kind = 'alter'),
+        remarks as (select sAcctNmbr, r from later where o = last_remark), amounts as (select sAcctNmbr, a from later where o = last_amount)
+        select b.sAcctNmbr, case when r.sAcctNmbr is null then b.sRemarksx else r.r end as sRemarksx,
+               case when a.sAcctNmbr is null then b.nAmountxx else a.a end as nAmountxx, b.dTransact
+          from base b left join remarks r on r.sAcctNmbr = b.sAcctNmbr left join amounts a on a.sAcctNmbr = b.sAcctNmbr where kind = 'set'""",
+)
+def apply_statements(t):
+    return statements.apply_statements(t.note, statements.parse_statements(t.statement), "Account_Note", ["sAcctNmbr"])
+
+
 # Once the errors that stopped batches are lifted, every row arrives but those with an ignored code.
 STREAMED = f"""
     select distinct sTransNox, sModified, sTableNme, left(sTransNox, 4) as branch from v_incoming where {OUTCOME} <> 'ignore'"""

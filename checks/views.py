@@ -37,9 +37,12 @@ VIEWS = {
         select concat({code("b")}, {text("o_orderkey", 12)}) as sTransNox,
                case when o_orderstatus = 'P' then {code("b + 1")} else {code("b")} end as sBranchCd,
                case o_orderstatus
-                 when 'F' then concat('INSERT INTO ', tbl, ' SET nValue=', {text("o_orderkey")})
-                 when 'O' then concat('UPDATE `', tbl, '` SET nValue=', {text("o_orderkey")})
-                 else concat('delete from ', tbl, '_OLD WHERE nValue=', {text("o_orderkey")}) end as sStatemnt,
+                 when 'F' then concat(case when o_orderkey % 2 = 0 then 'INSERT INTO ' else 'INSERT LOW_PRIORITY INTO node.' end, tbl,
+                                      ' SET nValue=', {text("o_orderkey")})
+                 when 'O' then concat(case when o_orderkey % 2 = 0 then 'UPDATE `' else 'UPDATE IGNORE `node`.`' end, tbl,
+                                      '` SET nValue=', {text("o_orderkey")})
+                 else concat(case when o_orderkey % 2 = 0 then 'delete from ' else 'delete from node . ' end, tbl,
+                             '_OLD WHERE nValue=', {text("o_orderkey")}) end as sStatemnt,
                tbl as sTableNme,
                case when o_orderpriority = '5-LOW' then null else {code("b + 2")} end as sDestinat,
                concat('U', substring(o_orderpriority, 1, 1)) as sModified,
@@ -172,6 +175,41 @@ VIEWS = {
         select 'T_A' as sTableNme, {text("p_partkey")} as sRecordKy, cast(p_size as double) as nValuexxx from part
         union all
         select 'T_X' as sTableNme, {text("p_partkey")} as sRecordKy, cast(p_size as double) as nValuexxx from part""",
+    # Notes on accounts, and statements that change them in many forms, one per order: some cannot be read.
+    "v_note": f"""
+        select {text("c_custkey")} as sAcctNmbr, c_mktsegment as sRemarksx, c_acctbal as nAmountxx, cast(null as date) as dTransact
+          from customer""",
+    "v_written": f"""
+        select o_orderkey, concat({code(CUSTOMER_BRANCH)}, {text("o_orderkey", 12)}) as sTransNox, o_orderdate as dModified,
+               o_orderkey % 14 as form, {text("o_custkey")} as acct, {text("o_custkey + 1")} as next_acct,
+               {text("cast(floor(o_totalprice) as bigint)")} as amount, substring(cast(o_orderdate as varchar(19)), 1, 10) as day,
+               concat(o_orderpriority, ', it', chr(39), 's ', chr(34), 'due', chr(34), '; ', chr(92), ' (', o_orderstatus, ')') as remark
+          from orders""",
+    "v_statement": """
+        select sTransNox, substring(sTransNox, 1, 4) as sBranchCd,
+               case form
+                 when 0 then concat('INSERT INTO Account_Note SET sAcctNmbr=', q, acct, q, ', sRemarksx=', q, doubled, q, ', nAmountxx=', amount,
+                                    ', dTransact=', q, day, q)
+                 when 1 then concat('INSERT IGNORE INTO `node`.`Account_Note` (`sAcctNmbr`, `sRemarksx`, `nAmountxx`) VALUES (', q, acct, q, ', ', q,
+                                    escaped, q, ', -', amount, '.5e0)')
+                 when 2 then concat('REPLACE LOW_PRIORITY INTO node.Account_Note(sAcctNmbr,sRemarksx,nAmountxx)VALUES(', q, acct, q, ',NULL,+', amount,
+                                    '),(', q, next_acct, q, ',', chr(34), in_double, chr(34), ',', amount, ');')
+                 when 3 then concat('UPDATE `node`.`Account_Note` SET `sRemarksx` = ', q, doubled, q, ' , nAmountxx=NULL WHERE `sAcctNmbr`=', q, acct, q)
+                 when 4 then concat('update account_note set NAMOUNTXX=', amount, ' where (Account_Note.sAcctNmbr = ', chr(34), acct, chr(34), ') limit 1 ;')
+                 when 5 then concat('DELETE FROM Account_Note WHERE sAcctNmbr=', q, acct, q, ';')
+                 when 6 then concat('delete quick from `Account_Note` where sAcctNmbr=', q, acct, q, ' and dTransact=', q, day, q)
+                 when 7 then concat('UPDATE Account_Note SET nAmountxx=nAmountxx+1 WHERE sAcctNmbr=', q, acct, q)
+                 when 8 then concat('UPDATE Account_Note SET nAmountxx=', amount)
+                 when 9 then 'TRUNCATE Account_Note'
+                 when 10 then concat('INSERT INTO Account_Note SET sRemarksx=', q, escaped)
+                 when 11 then concat('INSERT INTO Account_Note (sAcctNmbr, sRemarksx) VALUES (', q, acct, q, ')')
+                 when 12 then concat('UPDATE Account_Note SET nAmountxx=', amount, ' WHERE sAcctNmbr>', q, acct, q)
+                 else concat('DELETE FROM Account_Note WHERE sAcctNmbr=', q, acct, q, '; DELETE FROM Account_Note') end as sStatemnt,
+               'Account_Note' as sTableNme, cast(null as varchar(20)) as sDestinat, 'U1' as sModified, dModified as dEntryDte, dModified
+          from (select *, chr(39) as q, replace(replace(remark, chr(92), concat(chr(92), chr(92))), chr(39), concat(chr(39), chr(39))) as doubled,
+                       replace(replace(remark, chr(92), concat(chr(92), chr(92))), chr(39), concat(chr(92), chr(39))) as escaped,
+                       replace(replace(remark, chr(92), concat(chr(92), chr(92))), chr(34), concat(chr(34), chr(34))) as in_double
+                  from v_written) x""",
     # Table lists of the trim plan.
     "v_action": f"""
         select concat('T_', {text("p_partkey")}) as sTableNme,
