@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import branch_of, first_row, moment
 from ..functions.statement_text import HEAD, bare_name
 from ..session import settle
+from ..sources.runs import Runs
 from .windows import KNOWN, RECEIVED, with_branch
 
 IDENTITY = ["sTransNox", "sModified"]
@@ -72,6 +73,14 @@ def drop_seen_changes(rows: DataFrame, log: DataFrame) -> DataFrame:
     return rows.join(seen.select(*IDENTITY), IDENTITY, "left_anti")
 
 
+def drop_seen_by_zones(rows: DataFrame, log: Runs, before: int | None = None) -> DataFrame:
+    """As ``drop_seen_changes``, for a log kept in runs: only the files are read whose range of keys can hold one of the rows'.
+
+    The rows are read three times: pass stored ones if they are dear.
+    """
+    return drop_seen_changes(rows, log.holding(rows, before))
+
+
 def drop_repeats_in_batch(rows: DataFrame) -> DataFrame:
     """The first applied row of each (key, modifier); failed rows are not logged, so they are set aside.
 

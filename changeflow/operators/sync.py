@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import area_of, branch_of, client_prefix, first_row
@@ -48,6 +48,56 @@ def request_range_match(log: DataFrame, requests: DataFrame) -> DataFrame:
     return matched.select(*log.columns)
 
 
+def merge_ranges(ranges: DataFrame, group: list[str], first: str, last: str) -> DataFrame:
+    """The ranges of each group without overlap: group, ``first`` and ``last`` of each stretch that they cover, both inclusive.
+
+    Ranges are taken by their beginnings; one that begins behind all that went before it begins a new stretch. What went before
+    is a running maximum, in two steps, so that a group with most of the ranges is no single task's: ranges of
+    (group, first) are sorted by many tasks, each finds the maximum so far among its own, and adds that of the tasks before
+    it, a table of one row per task and group. Stretches are numbered in the same way. Ranges that end before they begin, or
+    lack an end, cover nothing.
+    """
+    sound = ranges.filter(F.col(first) <= F.col(last)).select(*group, first, last)
+    order = [*group, first, last]
+    placed = sound.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed = settle(placed).withColumn("_task", F.shiftright("_place", 33))
+    own = Window.partitionBy("_task", *group).orderBy("_place")
+    placed = placed.withColumn("_before", F.max(last).over(own.rowsBetween(Window.unboundedPreceding, -1)))
+
+    def earlier(runs: DataFrame, value: Column) -> DataFrame:
+        """Per task and group what its earlier tasks come to, for tasks that have any."""
+        in_order = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+        return settle(runs.withColumn("_carried", value.over(in_order)).select("_task", *group, "_carried"))
+
+    def carried(rows: DataFrame, runs: DataFrame) -> DataFrame:
+        same = [rows["_task"] == runs["_task"], *[rows[c].eqNullSafe(runs[c]) for c in group]]
+        return rows.join(runs, same, "left").select(*[rows[c] for c in rows.columns], runs["_carried"])
+
+    highest = placed.groupBy("_task", *group).agg(F.max(last).alias("_run"))
+    begun = carried(placed, earlier(highest, F.max("_run")))
+    reached = F.greatest("_before", "_carried")  # null only where nothing went before
+    begun = settle(begun.withColumn("_begins", F.coalesce(F.col(first) > reached, F.lit(True)).cast("long")).drop("_before", "_carried"))
+    numbers = begun.withColumn("_own", F.sum("_begins").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    counts = begun.groupBy("_task", *group).agg(F.sum("_begins").alias("_run"))
+    numbers = carried(numbers, earlier(counts, F.sum("_run")))
+    stretch = (F.col("_own") + F.coalesce("_carried", F.lit(0))).alias("_stretch")
+    return numbers.select(*group, first, last, stretch).groupBy(*group, "_stretch").agg(F.min(first).alias(first), F.max(last).alias(last)).drop("_stretch")
+
+
+def requested_ranges(requests: DataFrame) -> DataFrame:
+    """What all requests together ask for: disjoint ranges per prefix (``branch``, sExportFr, sExportTr)."""
+    asked = requests.select(client_prefix("sClientID").alias("branch"), "sExportFr", "sExportTr")
+    return settle(merge_ranges(asked, ["branch"], "sExportFr", "sExportTr"))
+
+
+def merged_range_match(log: DataFrame, requests: DataFrame) -> DataFrame:
+    """As ``request_range_match``, for many overlapping ranges: they are merged first, so a row meets one range at most."""
+    ranges = requested_ranges(requests).withColumnRenamed("branch", "_prefix")
+    rows = with_branch(log)
+    inside = (rows.branch == F.col("_prefix")) & rows.sTransNox.between(F.col("sExportFr"), F.col("sExportTr"))
+    return rows.join(ranges, inside).select(*[rows[c] for c in log.columns])
+
+
 def route_changes(log: DataFrame, registry: DataFrame, target: str, main_office: bool = False) -> DataFrame:
     """Changes that one target gets, by the type of their table. A main office gets all of them."""
     if main_office:
@@ -120,6 +170,31 @@ def route_summary(routes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def subscriptions(requests: DataFrame) -> DataFrame:
+    """What every requester wants to hear: sScopexxx, sTargetxx (an address as in ``route_changes_all``), the requester as
+    ``target``, and a range of one prefix (``branch``, sExportFr, sExportTr). The requester is the branch that made the request,
+    the first four characters of sExportCd."""
+    target = branch_of("sExportCd")
+    addresses = F.array(_address("all", F.lit("*")), _address("branch", target), _address("area", area_of(target)))
+    wanted = requests.select(target.alias("target"), client_prefix("sClientID").alias("branch"), "sExportFr", "sExportTr", F.explode(addresses).alias("_to"))
+    return wanted.select("_to.*", "target", "branch", "sExportFr", "sExportTr")
+
+
+def addressed_changes(log: DataFrame, registry: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Changes by address that at least one requester wants, each once per address: sScopexxx, sTargetxx and the change.
+
+    The ranges of all requesters behind one address are merged, so a routed row meets one range at most.
+    """
+    heard = ["sScopexxx", "sTargetxx", "branch"]
+    ranges = settle(merge_ranges(wanted, heard, "sExportFr", "sExportTr"))
+    routes = route_changes_all(log, registry)
+    routes = routes.withColumn("branch", branch_of("sTransNox"))
+    same = [routes[c] == ranges[c] for c in heard]
+    return routes.join(ranges, [*same, routes.sTransNox.between(ranges.sExportFr, ranges.sExportTr)]).select(
+        routes.sScopexxx, routes.sTargetxx, *[routes[c] for c in log.columns]
+    )
+
+
 def apply_order(log: DataFrame) -> DataFrame:
     """Rows by (dModified, sTransNox), the order in which changes are applied."""
     return log.orderBy("dModified", "sTransNox")

@@ -5,6 +5,9 @@ inbox, as ``write_change_batch`` writes them. A batch is always read whole, so w
 depend on how its rows are spread over files or notices over micro-batches. A batch that stops at an
 error stays open at its durable position and is read again from there by the next run, as errors may
 have been lifted by then.
+
+The log and the names of known batches are kept in runs with zone maps (``sources.runs``), so a step reads the files
+that can hold its own keys and names, and what a step costs does not grow with the steps before it.
 """
 
 from __future__ import annotations
@@ -18,15 +21,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import moment
 from ..operators import ingest
-from ..operators.windows import with_branch
 from ..schemas import CHANGE
 from ..session import scratch, settle
 from ..sources import batches
+from ..sources.runs import Runs, remove, steps_in
 
 # A notice: a batch that is in the inbox with all its files.
 NOTICE = "sFileName string, dReceived timestamp_ntz"
-# The state of an open or closed batch after a step.
-PROGRESS = f"{NOTICE}, nDurablex bigint, bOpenxxxx boolean, step bigint"
+# A batch that a step has begun or closed.
+KNOWN = T.StructType().add("sFileName", "string").add("bOpenxxxx", "boolean")
+# A batch that a step has left open.
+OPEN = f"{NOTICE}, nDurablex bigint"
 ERRORS = "sFileName string, pos bigint, nErrorNox int"
 # Steps are numbered: so many for each micro-batch, the first its own, the others for runs that try again.
 STEPS = 1_000_000
@@ -36,66 +41,66 @@ class Import:
     """Where a stream's folders lie, and one step of importing into the log.
 
     ``inbox``: batches in the line layout. ``errors``: Parquet of ERRORS, what applying the rows gave, read
-    anew in each step; a row without one was applied. ``log`` and ``state`` are written, a folder per step; a
-    step that runs again overwrites its own folders and looks only at earlier ones.
+    anew in each step; a row without one was applied. ``log`` and ``state`` are written; a step that runs
+    again overwrites its own folders and looks only at earlier ones. ``width`` runs of the log are merged into one.
     """
 
-    def __init__(self, spark: SparkSession, inbox: str, errors: str, log: str, state: str, imported: datetime, chunk: int = ingest.DEFAULT_CHUNK):
-        self.spark, self.inbox, self.errors, self.log, self.state = spark, inbox, errors, log, state
+    def __init__(
+        self, spark: SparkSession, inbox: str, errors: str, log: str, state: str, imported: datetime, chunk: int = ingest.DEFAULT_CHUNK, width: int = 8
+    ):
+        self.spark, self.inbox, self.errors, self.open = spark, inbox, errors, f"{state}/open"
+        self.log = Runs(spark, log, CHANGE, "sTransNox", width)
+        self.known = Runs(spark, f"{state}/known", KNOWN, "sFileName", width)
         self.imported, self.chunk = imported, chunk
 
-    def _folder_exists(self, path: str) -> bool:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
-
-    def progress(self) -> DataFrame:
-        """The state of every batch after every step."""
-        if not self._folder_exists(self.state):
-            return self.spark.createDataFrame([], PROGRESS)
-        return self.spark.read.schema(PROGRESS).parquet(self.state)
+    def last_step(self, before: int | None = None) -> int | None:
+        """The last complete step: one whose open batches are written."""
+        steps = [s for s in steps_in(self.spark, self.open) if before is None or s < before]
+        return steps[-1] if steps else None
 
     def open_batches(self, step: int) -> DataFrame:
         """Batches that the last step before this one has left open."""
-        earlier = self.progress().filter(F.col("step") < step)
-        last = earlier.agg(F.max("step").alias("step"))
-        return earlier.join(last, "step", "left_semi").filter("bOpenxxxx").select("sFileName", "dReceived", "nDurablex")
+        last = self.last_step(step)
+        if last is None:
+            return self.spark.createDataFrame([], OPEN)
+        return self.spark.read.schema(OPEN).parquet(f"{self.open}/step={last}")
 
-    def logged_before(self, step: int) -> DataFrame:
-        schema = T.StructType([*CHANGE.fields, T.StructField("branch", T.StringType()), T.StructField("step", T.LongType())])
-        if not self._folder_exists(self.log):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.log).filter(F.col("step") < step)
+    def logged(self) -> DataFrame:
+        """The log after the last complete step."""
+        last = self.last_step()
+        return self.log.rows(before=0 if last is None else last + 1)
 
     def run(self, step: int, notices: DataFrame) -> None:
         """Import the open batches and those of the notices as far as they go."""
         with scratch():
             waiting = settle(self.open_batches(step))
-            new = notices.groupBy("sFileName").agg(F.min("dReceived").alias("dReceived")).withColumn("nDurablex", F.lit(0).cast("long"))
-            known = self.progress().filter(F.col("step") < step).select("sFileName").distinct()
-            todo = settle(waiting.unionByName(new.join(known, "sFileName", "left_anti")))
+            new = settle(notices.groupBy("sFileName").agg(F.min("dReceived").alias("dReceived")).withColumn("nDurablex", F.lit(0).cast("long")))
+            known = self.known.holding(new, step).select("sFileName")
+            todo = settle(waiting.withColumn("_new", F.lit(False)).unionByName(new.join(known, "sFileName", "left_anti").withColumn("_new", F.lit(True))))
 
-            rows = batches.read_change_lines(self.spark, self.inbox).join(todo.filter(F.col("sFileName") >= ""), "sFileName")
+            rows = batches.read_change_lines(self.spark, self.inbox).join(todo.drop("_new").filter(F.col("sFileName") >= ""), "sFileName")
             codes = self.spark.read.schema(ERRORS).parquet(self.errors)
             rows = rows.filter(F.col("pos") > F.col("nDurablex")).drop("nDurablex").join(codes, ["sFileName", "pos"], "left")
             rows = settle(rows.withColumn("nErrorNox", F.coalesce("nErrorNox", F.lit(0))))
             classified = ingest.classify_errors(rows)
             stops = settle(ingest.import_progress(classified, self.chunk).select("sFileName", "nStopPosx", F.col("nDurablex").alias("_kept")))
             accepted = classified.join(stops, "sFileName").filter(F.col("pos") <= F.col("_kept")).drop("nStopPosx", "_kept")
-            fresh = ingest.drop_seen_changes(settle(ingest.drop_repeats_in_batch(accepted)), self.logged_before(step))
-            out = with_branch(fresh.select(*[f.name for f in CHANGE.fields])).withColumn("dModified", moment(self.imported))
-            # No folder per branch: branches times steps would make too many small files.
-            out.hint("rebalance").sortWithinPartitions("sTransNox").write.mode("overwrite").parquet(f"{self.log}/step={step}")
+            fresh = ingest.drop_seen_by_zones(settle(ingest.drop_repeats_in_batch(accepted)), self.log, step)
+            self.log.append(fresh.select(*CHANGE.names).withColumn("dModified", moment(self.imported)), step)
 
             durable = F.greatest("nDurablex", F.coalesce("_kept", F.col("nDurablex")))
             after = todo.join(stops, "sFileName", "left").select(
-                "sFileName", "dReceived", durable.alias("nDurablex"), F.col("nStopPosx").isNotNull().alias("bOpenxxxx")
+                "sFileName", "dReceived", durable.alias("nDurablex"), F.col("nStopPosx").isNotNull().alias("bOpenxxxx"), "_new"
             )
-            # Written last: a step counts once its state is there.
-            after.write.mode("overwrite").parquet(f"{self.state}/step={step}")
+            self.known.append(after.filter("_new or not bOpenxxxx"), step)
+            # Written last: a step counts once its open batches are there.
+            after.filter("bOpenxxxx").select("sFileName", "dReceived", "nDurablex").write.mode("overwrite").parquet(f"{self.open}/step={step}")
+        for old in [s for s in steps_in(self.spark, self.open) if s <= step][: -self.log.kept]:
+            remove(self.spark, f"{self.open}/step={old}")
 
     def try_again(self) -> None:
         """One step for the open batches alone, after the last one."""
-        last = self.progress().agg(F.max("step")).first()[0]
+        last = self.last_step()
         if last is not None and not self.open_batches(last + 1).isEmpty():
             self.run(last + 1, self.spark.createDataFrame([], NOTICE))
 
@@ -103,8 +108,8 @@ class Import:
 def stream_import(job: Import, notices: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
     """Try the open batches again, then import the batches of all new notices (JSON lines of NOTICE), and stop.
 
-    Duplicates are found by comparing with the whole log before the step, not by a watermark, which
-    would forget old changes. A new checkpoint needs new log and state folders.
+    Duplicates are found by comparing with all files of the log that can hold them, not by a watermark,
+    which would forget old changes. A new checkpoint needs new log and state folders.
     """
     job.try_again()
     stream = job.spark.readStream.schema(NOTICE).option("maxFilesPerTrigger", files_per_batch).json(notices)
@@ -118,5 +123,5 @@ def stream_import(job: Import, notices: str, checkpoint: str, files_per_batch: i
 
 def closed_batches(job: Import, at: datetime) -> DataFrame:
     """Events for ``advance_incoming``: batches that were imported to their end."""
-    closed = job.progress().filter(~F.col("bOpenxxxx")).select("sFileName").distinct()
+    closed = job.known.rows(before=(job.last_step() or 0) + 1).filter(~F.col("bOpenxxxx")).select("sFileName").distinct()
     return closed.select("sFileName", F.lit("imported").alias("sEvent"), moment(at).alias("dEventxxx"))

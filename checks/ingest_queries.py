@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from changeflow.functions import dense_position, statement_text
+from changeflow.functions import branch_of, dense_position, statement_text
 from changeflow.operators import ingest, statements
 from changeflow.plans import pull
+from changeflow.schemas import CHANGE as CHANGE_SCHEMA
 from changeflow.session import new_folder, settle
 from changeflow.sources import batches
+from changeflow.sources.runs import Runs
 from changeflow.streaming import inbox
 
 from .registry import NOW, query
@@ -57,6 +59,16 @@ def drop_seen_changes(t):
     return ingest.drop_seen_changes(t.incoming, t.seen).select(*ROW.split(", "))
 
 
+@query("seen_by_zones", f"select {ROW} from v_incoming i where not {SEEN}")
+def seen_by_zones(t):
+    """The log in four runs of small files, one for each quarter."""
+    log = Runs(t.spark, new_folder(t.spark, "log"), CHANGE_SCHEMA, "sTransNox", rows_per_file=2_000)
+    seen = settle(t.seen)
+    for quarter in range(1, 5):
+        log.append(seen.filter(F.quarter("dEntryDte") == quarter), quarter)
+    return ingest.drop_seen_by_zones(t.incoming, log).select(*ROW.split(", "))
+
+
 FIRST = """select *, row_number() over (partition by sTransNox, sModified order by dReceived, sFileName, pos) as rn
              from v_incoming where nErrorNox = 0"""
 
@@ -241,7 +253,7 @@ def stream_import(t):
     for errors in ("errors", "lifted"):
         job = inbox.Import(spark, folders["inbox"], folders[errors], folders["log"], folders["state"], NOW, chunk=100)
         inbox.stream_import(job, folders["notices"], folders["stream"], files_per_batch=2).awaitTermination()
-    return spark.read.schema("sTransNox string, sModified string, sTableNme string, branch string, step bigint").parquet(folders["log"]).drop("step")
+    return job.logged().select("sTransNox", "sModified", "sTableNme", branch_of("sTransNox").alias("branch"))
 
 
 WHOLE_FILES = f"""

@@ -80,6 +80,27 @@ def request_range_match(t):
     return sync.request_range_match(t.log, t.request)
 
 
+# A range begins a stretch where no other one of its client covers its first key and begins before it, or is alike and comes first.
+@query(
+    "merged_ranges",
+    """with asked as (select distinct right(sClientID, 4) as branch, sExportFr as f, sExportTr as t from v_request_all where sExportFr <= sExportTr),
+            heads as (select branch, f from asked a where not exists (select 1 from asked b where b.branch = a.branch and b.f < a.f and b.t >= a.f) group by 1, 2),
+            stretches as (select branch, f, lead(f) over (partition by branch order by f) as next_f from heads)
+       select s.branch, s.f as sExportFr, max(a.t) as sExportTr from stretches s join asked a
+           on a.branch = s.branch and a.f >= s.f and (s.next_f is null or a.f < s.next_f) group by 1, 2""",
+)
+def merged_ranges(t):
+    return sync.requested_ranges(t.request_all)
+
+
+MATCH_ALL = MATCH.replace("v_request r", "v_request_all r")
+
+
+@query("merged_range_match", f"select {CHANGE} from v_log l where {MATCH_ALL}")
+def merged_range_match(t):
+    return sync.merged_range_match(t.log, t.request_all)
+
+
 # Who gets a change by the type of its table, and, whatever that is, an owner about whom another branch has written.
 RECIPIENTS = f"""[case typ.cTableTyp when '0' then '{TARGET}' when '1' then l.sBranchCd when '2' then l.sDestinat
                       when '3' then case left(l.sBranchCd, 1) when '{TARGET[0]}' then '{TARGET}' end end,
@@ -156,3 +177,27 @@ FLAGSHIP = f"""
 @query("resync_answer", FLAGSHIP)
 def resync_answer(t):
     return resync.answer(t.log, t.request.drop("sExportTr"), t.systable, TARGET)
+
+
+# Addresses of every change, worked out from the rules, and kept where some requester behind the address asked for its key.
+ANSWERS = f"""
+    with bounded as (select left(sExportCd, 4) as target, right(r.sClientID, 4) as branch, sExportFr, coalesce(k.k, '') as sExportTr
+                       from v_request_all r left join {LAST} k on right(r.sClientID, 4) = k.branch),
+    typed as (select {CHANGE}, b.cTableTyp, left(l.sTransNox, 4) as branch from v_log l join v_systable b on l.sTableNme = b.sTableNme),
+    routed as (
+      select 'all' as sScopexxx, '*' as sTargetxx, * from typed where cTableTyp = '0'
+      union all select 'area', left(sBranchCd, 1), * from typed where cTableTyp = '3' and sBranchCd is not null
+      union all select 'branch', * from (select sBranchCd, * from typed where cTableTyp = '1' and sBranchCd is not null
+                                         union select sDestinat, * from typed where cTableTyp = '2' and sDestinat is not null
+                                         union select sBranchCd, * from typed where cTableTyp not in ('0', '3') and branch <> sBranchCd) x),
+    heard as (
+      select l.* from routed l where exists (
+        select 1 from bounded r where r.branch = l.branch and l.sTransNox between r.sExportFr and r.sExportTr
+           and (sScopexxx = 'all' or sScopexxx = 'area' and left(r.target, 1) = sTargetxx or sScopexxx = 'branch' and r.target = sTargetxx)))
+    select sScopexxx, sTargetxx, {CHANGE}, row_number() over (partition by sScopexxx, sTargetxx order by dModified, sTransNox, sModified) as nPlacexxx
+      from heard l"""
+
+
+@query("resync_answers", ANSWERS)
+def resync_answers(t):
+    return resync.answers(t.log, t.request_all.drop("sExportTr"), t.systable).changes

@@ -163,6 +163,12 @@ VIEWS = {
                           where substring(o.sFileName, 1, 4) = c.sBranchCd and o.cTranStat in ('2', '4')), '') as sExportFr,
                coalesce((select max(sTransNox) from v_log l where substring(l.sTransNox, 1, 4) = c.sBranchCd), '') as sExportTr
           from v_client c""",
+    # Requests of every branch for changes of others: ranges that overlap, as each asker holds another part, and some empty ones.
+    "v_request_all": f"""
+        select concat({code("s_suppkey")}, '20010601') as sExportCd, concat('NODE_', {code("asked")}) as sClientID,
+               concat({code("asked")}, case when n_nationkey % 4 = 0 then '' else lpad(cast(part * 1000 as varchar(20)), 12, '0') end) as sExportFr,
+               concat({code("asked")}, lpad(cast((part + n_nationkey % 7) * 1000 + 999 as varchar(20)), 12, '0')) as sExportTr
+          from (select s_suppkey, n_nationkey, s_suppkey % 3 + n_nationkey as asked, n_nationkey % 3 * 4 + s_suppkey % 5 as part from supplier, nation) x""",
     # Typed changes, several per record, and the records they change.
     "v_change": f"""
         select concat('T_', l_returnflag) as sTableNme, {text("l_partkey")} as sRecordKy, l_quantity as nValuexxx,

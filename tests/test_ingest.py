@@ -190,7 +190,7 @@ class Arrivals:
         return inbox.Import(self.spark, self.path("inbox"), self.path("errors"), self.path("log"), self.path("state"), NOW, self.chunk)
 
     def logged(self):
-        return rows(self.spark.read.parquet(self.path("log")), "sTransNox")
+        return rows(self.job().logged(), "sTransNox")
 
     def run(self):
         inbox.stream_import(self.job(), self.path("notices"), self.path("checkpoint"), self.files).awaitTermination()
