@@ -7,7 +7,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The bytes that separate words.
@@ -100,6 +101,21 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def with_row(rows: DataFrame, added: str) -> T.StructType:
+    """The schema of the rows' ``_row``, which holds the caller's columns whatever their names, and further columns."""
+    return T.StructType([rows.schema["_row"], *T.StructType.fromDDL(added).fields])
+
+
+def row_of(columns: list[str]) -> Column:
+    """The caller's columns as ``_row``."""
+    return F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in columns]).alias("_row")
+
+
+def columns_of(columns: list[str]) -> list[Column]:
+    """The caller's columns out of ``_row``."""
+    return [F.col("_row").getField(c).alias(c) for c in columns]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

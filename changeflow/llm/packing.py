@@ -22,38 +22,66 @@ rows are packed once each. Texts of any length are tokenised whole. Other column
 from __future__ import annotations
 
 import array
+import json
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .common import kept, prepare
+from .common import columns_of, kept, prepare, row_of, with_row
 
 #: Examples that wait in a task.
 POOL = 1024
 #: Parts of texts that a worker remembers the ids of (about 100 MB).
 REMEMBERED = 600_000
+# Marks that end a part; none of them is a letter, a digit or white space.
+MARKS = string.punctuation
+
+
+def ranked(tokenizer: Tokenizer) -> tiktoken.Encoding | None:
+    """The merges of a byte-level tokenizer as ranks of byte strings, which merge words several times faster; None where its
+    merges do not go by the ids or words are not taken as they are."""
+    told = json.loads(tokenizer.to_str())
+    model, cutter = told["model"], told["pre_tokenizer"] or {}
+    if told["normalizer"] or model["type"] != "BPE" or model["dropout"] or model.get("ignore_merges") or cutter.get("type") != "ByteLevel":
+        return None
+    if not cutter["use_regex"] or cutter["add_prefix_space"] or any(model[k] for k in ("continuing_subword_prefix", "end_of_word_suffix")):
+        return None
+    # Byte-level vocabularies spell a byte as itself where it is visible, and else as the next of the characters from 256 on.
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    made = [model["vocab"]["".join(pair)] for pair in model["merges"]]
+    ranks = {bytes(map(byte_of.__getitem__, token)): i for token, i in model["vocab"].items() if set(token) <= byte_of.keys()}
+    letters = [ranks.get(bytes([b]), -1) for b in range(256)]
+    if made != sorted(made) or min(letters) < 0 or max(letters) > min(made) or len(ranks) != 256 + len(made):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=r" ?\p{L}+", mergeable_ranks=ranks, special_tokens={})
+
 
 class Tokens:
     """Ids of texts as little-endian unsigned integers of 32 bits.
 
-    The tokenizer's pattern always cuts at a single space between other characters, and between a
-    letter and a full stop or comma. Texts are cut there first, and each different part is tokenised
-    once as long as it is remembered. A part with white space beside its ends means that the text has
-    other spaces; such a text is tokenised as a whole.
+    The tokenizer's pattern always cuts at a single space between other characters. Texts are cut there
+    first, and each different part is tokenised once as long as it is remembered. The pattern also cuts
+    around a single line end between other characters, and between letters and the marks that end a part,
+    so a part that is new is put together from such pieces, most of which are known. A part with white
+    space beside its ends means that the text has other spaces; such a text is tokenised as a whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.ranked = ranked(self.tokenizer)
         self.parts: dict[str, bytes] = {}
         self.odd: set[str] = set()
 
@@ -62,18 +90,46 @@ class Tokens:
             for found in self.tokenizer.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False):
                 yield array.array("I", found.ids).tobytes()
 
+    def of_words(self, words: list[str]) -> Iterator[bytes]:
+        """Words of letters alone, each one match of the pattern: merged by the ranks of the tokenizer's own file, which gives its ids."""
+        if self.ranked is None:
+            yield from self.encode(words)
+        else:
+            for word in words:
+                yield array.array("I", self.ranked.encode_ordinary(word)).tobytes()
+
+    @staticmethod
+    def pieces(part: str) -> list[str]:
+        """A part in pieces that the pattern always parts: letters, the marks behind them, line ends; or the part itself."""
+        lines = part.split("\n")
+        if len(lines) > 1 and any(not line or line[-1].isspace() or (i and line[0].isspace()) for i, line in enumerate(lines)):
+            return [part]
+        out = []
+        for i, line in enumerate(lines):
+            if i:
+                out.append("\n")
+            stem = line.rstrip(MARKS)
+            if len(stem) < len(line) and stem.lstrip(" ").isalpha():
+                out += (stem, line[len(stem) :])
+            else:
+                out.append(line)
+        return out
+
     def learn(self, parts: set[str]) -> set[str]:
-        """Remember the ids of new parts and of what they are without their ends; all that is new."""
-        self.odd = {p for p in parts if (bare := p[1:] if p[:1] == " " else p) == "" or bare != bare.strip()}
-        known, stems = self.parts, {}
-        for part in parts - self.odd:
-            ended = part[-1] in ".," and part[:-1].lstrip(" ").isalpha()
-            stems[part] = (part[:-1], part[-1]) if ended else (part, "")
-        new = [s for s in dict.fromkeys(x for pair in stems.values() for x in pair) if s and s not in known]
-        known.update(zip(new, self.encode(new)))
-        for part, (stem, end) in stems.items():
-            known[part] = known[stem] + known[end] if end else known[stem]
-        return {*new, *stems}
+        """Remember the ids of new parts and of their pieces; all that is new."""
+        known = self.parts
+        mixed = [p for p in parts if not p[p[:1] == " " :].isalpha()]  # most are a word
+        self.odd = {p for p in mixed if (bare := p[p[:1] == " " :]) == "" or bare != bare.strip()}
+        made = {part: self.pieces(part) for part in mixed if part not in self.odd}
+        new = {x for pieces in made.values() for x in pieces}.union(parts.difference(mixed)).difference(known)
+        words = [x for x in new if x[x[:1] == " " :].isalpha()]
+        known.update(zip(words, self.of_words(words)))
+        rest = list(new.difference(words))
+        known.update(zip(rest, self.encode(rest)))
+        for part, pieces in made.items():
+            if len(pieces) > 1:
+                known[part] = b"".join([known[x] for x in pieces])
+        return {*new, *made}
 
     def of(self, texts: list[str]) -> list[bytes]:
         # A text with the mark itself is odd, as a part with nothing in it.
@@ -200,7 +256,7 @@ def pack(
     others = [c for c in documents.columns if c != text and c not in own]
     bearing = F.lit(None) if loss is None else F.col(f"`{loss}`")
     rows = documents.select(
-        F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in others]).alias("_row"),
+        row_of(others),
         F.col(f"`{text}`").cast("string").alias("_text"), bearing.cast("long").alias("_loss"),
     )
     kinds = [pa.int64()] * 7
@@ -250,6 +306,4 @@ def pack(
         packer.fill(0)
         yield from pieces()
 
-    row_type = rows.schema["_row"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"_row {row_type}, {PIECES}")
-    return out.select(*[F.col(f"_row.`{c}`") for c in others], *names[1:])
+    return rows.mapInArrow(run, with_row(rows, PIECES)).select(*columns_of(others), *names[1:])

@@ -93,3 +93,71 @@ def test_awkward_rows(spark):
     firsts = [r for r in rows if r.start == 0]
     assert len(firsts) == documents.count()
     assert packing.pack(documents.limit(0), PATH).count() == 0
+
+
+def test_words_merged_by_ranks_have_the_tokenizers_ids(tokenizer):
+    """The fast way for words, the pieces of parts, and whole texts against the tokenizer itself."""
+    tokens = packing.Tokens(PATH)
+    assert tokens.ranked is not None
+    words = sorted({w for lang in ("en", "fr") for w in prose(lang, 3000, 1).replace(".", "").split()} | {"Straße", "日本語", "çà", "ЖЁЛТЫЙ", "ⅷ", "ª"})
+    words += [" " + w for w in words]
+    assert list(tokens.of_words([w for w in words if w[w[:1] == " " :].isalpha()])) == list(tokens.encode([w for w in words if w[w[:1] == " " :].isalpha()]))
+    rng = random.Random(1)
+    signs = ["a", "b", " ", "  ", "\n", "\n\n", "é", "1", ".", ",", "!", "'", "'s", "\t", "the", "&&", "\x1c", "🙂", "中", " don't", "\r\n", "\xa0", "(", ")\n", "\0", "e\u0301"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(4000)]
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        assert [np.frombuffer(x, "<u4").tolist() for x in tokens.of(some)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_other_vocabularies_take_the_slow_way():
+    assert packing.Tokens(public_tokenizers.path("word_bpe_49k.json")).ranked is None
+
+
+def plain_packing(amounts, limits):
+    """The heuristic one step at a time: of (tokens, loss) the sequences, each a list of (example, start, length)."""
+    left = [[i, 0, n, 1, loss] for i, (n, loss) in enumerate(amounts)]
+    done, rest = [], []
+    for item in left:
+        while item[2] >= limits[0] and limits[2] >= min(item[4], limits[0]):
+            done.append([(item[0], item[1], limits[0])])
+            item[1], item[2], item[4] = item[1] + limits[0], item[2] - limits[0], max(0, item[4] - limits[0])
+        if item[2]:
+            rest.append(item)
+    while rest:
+        room, pieces = list(limits), []
+        while rest and room[0] >= 1 and room[1] >= 1:
+            worth = [sum(np.float64(a) / m * (r / m) for a, m, r in zip(item[2:], limits, room)) for item in rest]
+            fitting = [k for k, item in enumerate(rest) if all(a <= r for a, r in zip(item[2:], room))]
+            at = max(fitting or range(len(rest)), key=lambda k: (round(worth[k], 12), -k))
+            item = rest[at]
+            length = item[2]
+            if not fitting:
+                length = min(length - 1, room[0], room[2] if item[4] > room[2] else length)
+                if length < 1:
+                    break
+            pieces.append((item[0], item[1], length))
+            loss = min(item[4], length)
+            room = [room[0] - length, room[1] - 1, room[2] - loss]
+            if length == item[2]:
+                rest.pop(at)
+            else:
+                item[1], item[2], item[4] = item[1] + length, item[2] - length, item[4] - loss
+        done.append(pieces)
+    return done
+
+
+@pytest.mark.parametrize("limits", [(64, 8, 64), (64, 3, 64), (100, 20, 30)])
+def test_the_heuristic_step_by_step(limits):
+    rng = random.Random(sum(limits))
+    amounts = [(n, rng.randrange(min(n, limits[2]) + 1)) for n in (rng.randrange(1, 90) for _ in range(200))]
+    packer = packing.Packer(limits, 0)
+    packer.add([(i, np.full(n, i, "<u4").tobytes(), loss) for i, (n, loss) in enumerate(amounts)])
+    packer.fill(0)
+    sequences = collections.defaultdict(list)
+    for row, start, length, sequence, offset, _ in packer.placed:
+        sequences[sequence].append((offset, row, start, length))
+    want = plain_packing(amounts, limits)
+    got = [[p[1:] for p in sorted(sequences[q])] for q in sorted(sequences)]
+    assert got[: len(want) - 1] == want[:-1]  # the last one is cut at powers of two
+    assert sum(length for q in got[len(want) - 1 :] for *_, length in q) == sum(length for *_, length in want[-1])
