@@ -44,6 +44,8 @@ from .common import prepare
 
 #: Lines of an index block, fewest bytes of a payload that is revisited, bytes read in one piece.
 LINES, LEAST_BYTES, SPAN = 1000, 100, 1 << 22
+#: Blocks that one task reads at most, about.
+BLOCKS = 64
 #: zlib's level for records and blocks.
 LEVEL = 3
 # Fixed values of the format.
@@ -215,8 +217,17 @@ def read_all(directory: DataFrame, payload: bool = False) -> DataFrame:
                         first = last
 
     blocks = directory.select("archive", "index", "offset", "length")
-    # A block is a task's unit of work, so they are dealt out evenly.
-    return blocks.repartition("index", "offset").mapInArrow(run, RECORD)
+    return blocks.repartition(reading_tasks(directory), "index", "offset").mapInArrow(run, RECORD)
+
+
+def reading_tasks(directory: DataFrame) -> int:
+    """Tasks that read archives: as many as a shuffle has, more where each would get over ``BLOCKS`` blocks, never more than blocks.
+
+    The directory is tiny beside the archives that it stands for: a number that Spark took from its size would be one.
+    """
+    blocks = max(1, directory.count())
+    usual = int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(blocks, max(usual, -(-blocks // BLOCKS)))
 
 
 def lookup(directory: DataFrame, captures: DataFrame, payload: bool = False) -> DataFrame:
@@ -254,7 +265,10 @@ def lookup(directory: DataFrame, captures: DataFrame, payload: bool = False) ->
         return pd.DataFrame(rows, columns=list(_KINDS)).astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
 
     placed = keys.withColumn("archive", archive_of("key")).filter("archive IS NOT NULL")
-    return directory.groupBy("archive").cogroup(placed.groupBy("archive")).applyInPandas(find, RECORD)
+    # Both sides are dealt into the same given number of tasks, so the cogroup keeps it.
+    tasks = reading_tasks(directory)
+    blocks, placed = directory.repartition(tasks, "archive"), placed.repartition(tasks, "archive")
+    return blocks.groupBy("archive").cogroup(placed.groupBy("archive")).applyInPandas(find, RECORD)
 
 
 def archived(pages: DataFrame, folder: str | None = None) -> DataFrame:

@@ -2,6 +2,8 @@ import gzip
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from changeflow.llm import warc
 
 SCHEMA = "page_id bigint, url string, html string, key int"
@@ -75,3 +77,14 @@ def test_keys_sort_by_reversed_host(spark):
 
 def test_no_pages(spark, tmp_path):
     assert warc.archived(pages(spark).limit(0), str(tmp_path)).count() == 0
+
+
+def test_many_tasks_read_back(spark, tmp_path):
+    """Each of the two readings is dealt into several tasks, however small the directory is beside its archives."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    directory = warc.write(pages.repartition(8), str(tmp_path))
+    records = warc.read_all(directory).withColumn("task", F.spark_partition_id())
+    assert records.select("task").distinct().count() > 1
+    captures = pages.select("url", "page_id")
+    found = warc.lookup(directory, captures).withColumn("task", F.spark_partition_id())
+    assert found.select("task").distinct().count() > 1 and found.count() == pages.count()
