@@ -249,10 +249,15 @@ def multiplied(parts: DataFrame) -> DataFrame:
         return pa.table({"_conv": [key[0].as_py()], "_segment": [key[1].as_py()], "matrix": pa.array([_flat(out)], _MATRIX)})
 
     last = parts.agg(F.max("_segment")).first()[0] or 0
+    if not last:
+        return parts
+    # Only conversations of several segments are multiplied.
+    longer = settle(parts.filter("_segment > 0").select("_conv").distinct())
+    products = parts.join(longer, "_conv", "left_semi")
     while last:
-        parts = parts.groupBy("_conv", F.expr(f"_segment div {TOGETHER}L").alias("_group")).applyInArrow(multiply, schema)
+        products = products.groupBy("_conv", F.expr(f"_segment div {TOGETHER}L").alias("_group")).applyInArrow(multiply, schema)
         last //= TOGETHER
-    return parts
+    return parts.join(longer, "_conv", "left_anti").unionByName(products)
 
 
 def cheapest(matrix: Column) -> Column:
