@@ -1,30 +1,32 @@
-"""N-gram Jaccard join with count vectors in R-tree leaves, and the groups of linked documents.
+"""N-gram Jaccard join through count-vector R-trees, and the groups of linked documents.
 
 Method. A text is the set of its word shingles. The hashes of the shingles are divided into groups;
 the numbers of shingles in 64 groups are a text's point. The overlap of two sets is at most the sum
-of the smaller coordinates of their points, and against a leaf of an R-tree at most the sum of the
-smaller of the point and the leaf's upper corner. Pairs that survive are verified on the whole sets.
+of the smaller coordinates of their points, and of two nodes of an R-tree at most the sum of the smaller
+coordinates of their upper corners. Pairs of nodes are descended as far as that bound allows; pairs of
+sets that survive are verified on the whole sets.
 
 A tree over all points alone would compare a constant share of all pairs: the points of unrelated
-long texts lie close together. So the tree's first level is exact partitioning by the same idea of
-groups: sets that reach the threshold differ in at most D elements, so when their hashes are cut into
-G > D groups, one group is equal as a whole. Texts meet in a *bucket* when they agree on a group of
-their size class. Each bucket is searched in two steps:
-
-1. Every member is held against the bucket's first one. This connects groups of copies of any size
-   with no more comparisons than the buckets have members.
-2. Where a bucket then still holds several components, its points are packed into leaves: leaves, then
-   points, of *different* components are held against each other by the bound. Pairs that are already
-   connected by links need no test, as only components are returned. Buckets with the same members are
-   searched once.
-
-Both steps verify exactly, so every link between different sets lies within one component. Equal
-sets are one class from the start.
+long texts lie close together. So sets are first dealt into buckets, exactly, by the same idea of groups: sets
+that reach the threshold differ in at most D elements, so when their hashes are cut into G > D groups, one
+group is equal as a whole, and they meet in the *bucket* of that group. Every bucket of two sets or more is
+searched by a tree of its own, which is bulk-loaded: inner nodes halve their points at the coordinate
+that spreads most. All links come out of these trees.
+
+Only components are returned, so a search joins as it goes: sets that are connected already are not
+compared, subtrees of one component are skipped, and a search hands on a spanning forest, fewer links
+than its sets. Of buckets with the same members one is searched. Groups of near copies fill many buckets with
+nearly the same members, so the largest bucket of each smallest member comes first, ``ROUNDS`` times; what is
+then connected is known in all other buckets, and only buckets that still hold several components are searched in
+the end. A bucket of more than ``TILE`` sets (or ``TILE_BYTES``) is cut into tiles: in the first rounds each is searched
+together with the bucket's first tile, in the last one every pair of tiles is, so no task holds more than two.
+
+Equal sets are one class from the start.
 
 Cases: null, empty or wordless texts have no shingles and are linked with nothing, each its own
-component. Rows without an id take no part. Rows that repeat an id give a row each. Hashes have 64
-bits: among d different sets, two are taken for one with odds of about d * d / 2 ** 65. Columns other
-than the two named are ignored.
+component. Rows without an id take no part and come back without a component. Rows that repeat an id give a row
+each. Hashes have 64 bits: among d different sets, two are taken for one with odds of about d * d / 2 ** 65. Columns
+other than the two named are ignored.
 """
 
 from __future__ import annotations
@@ -32,9 +34,8 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -44,10 +45,10 @@ from .common import _BASE, map_batches, mix, prepare, shingles_of, signed, text_
 COORDINATES = 64
 #: Ratio of neighbouring limits of the size classes.
 CLASS_RATIO = 1.5
-#: Points in a leaf, and members of a bucket that one task holds against as many others.
-LEAF, TILE = 32, 1024
-#: Ids up to which a filter by id is broadcast (8 MB); beyond it is a shuffle join.
-BROADCAST_IDS = 1_000_000
+#: Points in a leaf; sets of a tile, and bytes of their hashes.
+LEAF, TILE, TILE_BYTES = 16, 1024, 16 << 20
+#: Rounds in which the largest bucket of each smallest member is searched, before all that are open.
+ROUNDS = 2
 
 
 def size_class(n: np.ndarray | int) -> np.ndarray | int:
@@ -101,64 +102,156 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def points(documents: DataFrame, columns: tuple[str, str], size: int, percent: int) -> DataFrame:
-    """id, n (size of the set), node (name of the set), point (64 numbers of 32 bits), sigs."""
+    """id, n (size of the set), node (name of the set), sigs."""
 
     def work(batch: pa.RecordBatch) -> dict:
-        n, node, point, sigs = [], [], [], []
+        n, node, sigs = [], [], []
         for first, last, data, bounds in text_chunks(batch.column(1)):
             words, _, first_words = words_of(data, bounds, lower=True)
             for i in range(last - first):
                 hashes = shingles_of(words[first_words[i] : first_words[i + 1]], size)
                 n.append(len(hashes))
                 node.append(node_of(hashes))
-                counts = np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=COORDINATES)
-                point.append(counts.astype("<u4").tobytes())
                 sigs.append(signed(signatures(hashes, percent)) if len(hashes) else [])
         return {
-            "id": batch.column(0), "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()),
-            "point": pa.array(point, pa.binary()), "sigs": pa.array(sigs, pa.list_(pa.int64())),
+            "id": batch.column(0), "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()), "sigs": pa.array(sigs, pa.list_(pa.int64())),
         }
 
-    rows = documents.select(F.col(columns[0]).cast("long").alias("id"), F.col(columns[1]).alias("text")).filter("id IS NOT NULL")
-    return map_batches(rows, work, "id bigint, n bigint, node bigint, point binary, sigs array<bigint>")
+    rows = documents.select(F.col(f"`{columns[0]}`").cast("long").alias("id"), F.col(f"`{columns[1]}`").cast("string").alias("text"))
+    return map_batches(rows, work, "id bigint, n bigint, node bigint, sigs array<bigint>")
 
 
 def shingle_sets(documents: DataFrame, ids: DataFrame, columns: tuple[str, str], size: int) -> DataFrame:
-    """node and its sorted shingle hashes, for the texts of the given distinct ids."""
+    """node, n and the sorted shingle hashes, for the texts of the given distinct ids."""
 
     def work(batch: pa.RecordBatch) -> dict:
         sets = []
         for first, last, data, bounds in text_chunks(batch.column(1)):
             words, _, first_words = words_of(data, bounds, lower=True)
             sets += [shingles_of(words[first_words[i] : first_words[i + 1]], size) for i in range(last - first)]
-        nodes = pa.array([node_of(x) for x in sets], pa.int64())
-        return {"node": nodes, "shingles": pa.array([signed(x) for x in sets], pa.list_(pa.int64()))}
-
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = documents.select(F.col(columns[0]).cast("long").alias("id"), F.col(columns[1]).alias("text"))
-    return map_batches(rows.join(few, "id", "left_semi"), work, "node bigint, shingles array<bigint>")
-
-
-def verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, columns: tuple[str, str], size: int, percent: int) -> DataFrame:
-    """Of distinct pairs (a, b) of nodes those that are linked; stored. The bound comes first, then the whole sets."""
-
-    def bounded(batch: pa.RecordBatch) -> dict:
-        n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
-        p, q = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, COORDINATES) for i in (3, 5))
-        keep = pa.array((100 + percent) * np.minimum(p, q).sum(1).astype(np.int64) >= percent * (n_a + n_b))
-        return {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
+        nodes, sizes = pa.array([node_of(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64())
+        return {"node": nodes, "n": sizes, "shingles": pa.array([signed(x) for x in sets], pa.list_(pa.int64()))}
+
+    rows = documents.select(F.col(f"`{columns[0]}`").cast("long").alias("id"), F.col(f"`{columns[1]}`").cast("string").alias("text"))
+    return map_batches(rows.join(ids, "id", "left_semi"), work, "node bigint, n bigint, shingles array<bigint>")
+
+
+class Tree:
+    """A bulk-loaded R-tree over count vectors. Node 0 is the root; ``order`` has the points' places as they lie in the leaves."""
+
+    def __init__(self, at: np.ndarray, n: np.ndarray):
+        self.order = np.arange(len(n))
+        self.spans: list[tuple[int, int]] = []
+        self.children: list[tuple[int, int] | None] = []
+        corners, low, high = [], [], []
+        pending = [(0, len(n), -1, 0)]
+        while pending:
+            a, z, parent, side = pending.pop()
+            name = len(self.spans)
+            if parent >= 0:
+                self.children[parent] = (*self.children[parent][:side], name, *self.children[parent][side + 1 :])
+            own = at[self.order[a:z]]
+            self.spans.append((a, z))
+            corners.append(own.max(0))
+            low.append(n[self.order[a:z]].min())
+            high.append(n[self.order[a:z]].max())
+            if z - a <= LEAF:
+                self.children.append(None)
+                continue
+            self.children.append((-1, -1))
+            widest = int((corners[-1] - own.min(0)).argmax())
+            self.order[a:z] = self.order[a:z][np.argsort(own[:, widest], kind="stable")]
+            middle = (a + z) // 2
+            pending += [(a, middle, name, 0), (middle, z, name, 1)]
+        self.corners, self.low, self.high = np.array(corners), np.array(low), np.array(high)
+
+
+def search(sets: list[np.ndarray], labels: np.ndarray, percent: int, allowed: np.ndarray, side: np.ndarray) -> tuple[list[tuple[int, int]], int]:
+    """Links between the sets (sorted hashes) that connect their components, as far as there are any, and the pairs verified.
+
+    ``labels`` has each set's component so far, ``side`` 0 or 1 for each; sides may be compared as ``allowed`` says.
+    """
+    n = np.array([len(x) for x in sets])
+    at = np.array([np.bincount((x.view(np.uint64) >> np.uint64(58)).astype(np.int64), minlength=COORDINATES) for x in sets], np.int32)
+    tree = Tree(at, n)
+    # From here on all arrays are in the order of the leaves.
+    order = tree.order
+    n, at, labels, side = n[order], at[order], np.unique(labels[order], return_inverse=True)[1], side[order]
+    links, tested, total = [], 0, 100 + percent
+
+    def linked(i: int, j: int) -> bool:
+        x, y = sets[order[i]], sets[order[j]]
+        if len(x) < len(y):
+            x, y = y, x
+        place = x.searchsorted(y)
+        place[place == len(x)] = 0
+        common = int((x[place] == y).sum())
+        return total * common >= percent * (len(x) + len(y))
+
+    pending = [(0, 0)]
+    while pending:
+        x, y = pending.pop()
+        (a, z), (b, e) = tree.spans[x], tree.spans[y]
+        if 100 * tree.high[y] < percent * tree.low[x] or 100 * tree.high[x] < percent * tree.low[y]:
+            continue
+        label = labels[a]
+        if (labels[a:z] == label).all() and (labels[b:e] == label).all():
+            continue
+        if x != y and total * int(np.minimum(tree.corners[x], tree.corners[y]).sum()) < percent * int(tree.low[x] + tree.low[y]):
+            continue
+        one, two = tree.children[x], tree.children[y]
+        if one is None and two is None:
+            bound = np.minimum(at[a:z, None, :], at[None, b:e, :]).sum(2)
+            near = (total * bound >= percent * (n[a:z, None] + n[None, b:e])) & (labels[a:z, None] != labels[None, b:e])
+            near &= allowed[side[a:z, None], side[None, b:e]]
+            for p, q in zip(*np.nonzero(np.triu(near, 1) if x == y else near)):
+                i, j = a + p, b + q
+                if labels[i] != labels[j]:
+                    tested += 1
+                    if linked(i, j):
+                        links.append((int(order[i]), int(order[j])))
+                        labels[labels == labels[j]] = labels[i]
+        elif x == y:
+            pending += [one, (one[0], one[0]), (one[1], one[1])]
+        elif two is None or (one is not None and z - a >= e - b):
+            pending += [(one[0], y), (one[1], y)]
+        else:
+            pending += [(x, two[0]), (x, two[1])]
+    return links, tested
+
+
+def tree_links(members: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Links (a, b) that connect members (sig, node, component) of a bucket, found by the bucket's trees; stored.
+
+    A task takes two tiles of a bucket: the first one and another, or if ``whole`` any two.
+    """
+    sized = members.join(sets.select("node", "n"), "node")
+    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES)).cast("int").alias("tiles")
+    placed = members.join(sized.groupBy("sig").agg(tiles), "sig").withColumn("tile", F.expr("pmod(xxhash64(node), tiles)").cast("int"))
+    if whole:
+        met = F.expr("transform(sequence(0, tiles - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
+    else:
+        met = F.expr("if(tile > 0 or tiles = 1, array(struct(0 as i, tile as j)), transform(sequence(1, tiles - 1), x -> struct(0 as i, x as j)))")
+    spread = placed.select("sig", "node", "component", "tile", F.inline(met)).join(sets.select("node", "shingles"), "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, labels, tile = (table[c].to_numpy() for c in ("node", "component", "tile"))
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        found = table["shingles"].combine_chunks()
+        ends, values = found.offsets.to_numpy(), found.values.to_numpy()
+        own = [values[a:z].view(np.uint64) for a, z in zip(ends, ends[1:])]
+        # Pairs inside a tile are searched where it is alone, or in the first rounds with the first tile; those of that one, once.
+        allowed = np.ones((2, 2), bool)
+        if whole and i != j:
+            allowed[[0, 1], [0, 1]] = False
+        elif i != j and j > 1:
+            allowed[0, 0] = False
+        links, _ = search(own, labels, percent, allowed, (tile != i).astype(int))
+        return pa.table({"a": pa.array([nodes[x] for x, _ in links], pa.int64()), "b": pa.array([nodes[y] for _, y in links], pa.int64())})
 
-    left, right = (reps.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"p_{x}")) for x in "ab")
-    near = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "p_a", "n_b", "p_b")
-    near = near.filter(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
-    near = settle(map_batches(near, bounded, "a bigint, b bigint"))
-    nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    ids = settle(reps.join(nodes, "node", "left_semi").select("id").distinct())
-    sets = settle(shingle_sets(documents, ids, columns, size).dropDuplicates(["node"]))
-    of_a, of_b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
-    both = near.join(of_b, "b").join(of_a, "a")
-    common, total = F.size(F.array_intersect("s_a", "s_b")), F.size("s_a") + F.size("s_b")
-    return settle(both.filter((100 + percent) * common >= percent * total).select("a", "b"))
+    # The work grows with the members, not with their bytes, so it is dealt into many tasks.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settle(spread.repartition(tasks, "sig", "i", "j").groupBy("sig", "i", "j").applyInArrow(run, "a bigint, b bigint"))
 
 
 def contents(edges: DataFrame) -> tuple:
@@ -194,60 +287,19 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def different_buckets(met: DataFrame) -> DataFrame:
-    """sig and node of buckets with three members or more; of buckets with the same members, one."""
-    members = met.select("sig", "node").unionByName(met.select("sig", F.col("first").alias("node"))).distinct()
-    members = settle(members)
-    name = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("g"))
-    named = members.groupBy("sig").agg(name.alias("name")).filter("name.n > 2")
-    one_each = named.groupBy("name").agg(F.min("sig").alias("sig")).select("sig")
-    return members.join(settle(one_each), "sig", "left_semi")
-
+def buckets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of sets (node, sigs) the members (sig, node) of buckets with several, and the buckets (sig, n, first member); both stored.
 
-def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (sig, node, component, n, point) of a bucket that may be linked and are not yet connected.
-
-    A task takes two tiles of a bucket. Tiles are made by hashes, leaves inside them by
-    component and then size, so a leaf's upper corner is tight. Leaves of one component are skipped.
+    Signatures are counted before anything else is carried, and counts are summed in each task first. Of buckets with the
+    same members one is taken, as told by their number and sums of their hashes.
     """
-    counts = members.groupBy("sig").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    placed = members.join(counts, "sig").withColumn("tile", F.expr("pmod(xxhash64(node), tiles)"))
-    spread = placed.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)"))).select(
-        "sig", "node", "component", "n", "point", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")
-    )
-
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["component", "n", "node"])
-        ids, n, component, tile = (rows[c].to_numpy() for c in ("node", "n", "component", "tile"))
-        at = np.frombuffer(b"".join(rows["point"]), "<u4").reshape(-1, COORDINATES).astype(np.int64)
-        first_tile = tile == rows["i"].iloc[0]
-        one_tile = rows["i"].iloc[0] == rows["j"].iloc[0]
-        opens = np.flatnonzero(np.append(True, component[1:] != component[:-1]))
-        closes = np.append(opens[1:], len(ids))
-        leaves = [(a, min(a + LEAF, z)) for o, z in zip(opens, closes) for a in range(o, z, LEAF)]
-        corner = np.array([at[a:z].max(0) for a, z in leaves])
-        low, high = (np.array([f(n[a:z]) for a, z in leaves]) for f in (np.min, np.max))
-        label = np.array([component[a] for a, _ in leaves])
-        found = []
-        for x, (a, z) in enumerate(leaves):
-            bound = np.minimum(corner[x], corner[x + 1 :]).sum(1)
-            ok = (label[x + 1 :] != label[x]) & (100 * high[x + 1 :] >= percent * low[x]) & (100 * high[x] >= percent * low[x + 1 :])
-            ok &= (100 + percent) * bound >= percent * (low[x] + low[x + 1 :])
-            for y in np.flatnonzero(ok) + x + 1:
-                b, e = leaves[y]
-                bound = np.minimum(at[a:z, None, :], at[None, b:e, :]).sum(2)
-                near = (100 + percent) * bound >= percent * (n[a:z, None] + n[None, b:e])
-                if not one_tile:
-                    near &= first_tile[a:z, None] != first_tile[None, b:e]
-                p, q = np.nonzero(near)
-                found.append(np.stack([ids[a + p], ids[b + q]], 1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)}) if len(pairs) else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-
-    # The work grows with the members, not with their bytes, so it is dealt into many tasks.
-    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.repartition(tasks, "sig", "i", "j")
-    return spread.groupBy("sig", "i", "j").applyInPandas(search, "a bigint, b bigint").distinct()
+    signed_rows = rows.select("node", F.explode("sigs").alias("sig"))
+    several = settle(signed_rows.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig"))
+    members = settle(signed_rows.join(several, "sig", "left_semi").distinct())
+    sums = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
+    named = members.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("first"), *sums).filter("n > 1")
+    different = settle(named.groupBy("n", "h0", "h1").agg(F.min("sig").alias("sig"), F.min("first").alias("first")).select("sig", "n", "first"))
+    return settle(members.join(different, "sig", "left_semi")), different
 
 
 def linked_components(
@@ -260,36 +312,37 @@ def linked_components(
     prepare(documents.sparkSession)
     columns = (id_column, text_column)
     told = settle(points(documents, columns, size, percent))
-    wordy = told.filter("n > 0")
+    wordy = told.filter("n > 0 AND id IS NOT NULL")
     # One row for each different set: its smallest id stands for it.
-    classes = wordy.groupBy("node").agg(F.min("id").alias("id"))
-    reps = settle(classes.join(wordy.select("node", "id", "n", "point"), ["node", "id"]).dropDuplicates(["node"]))
-
-    met = wordy.select("node", F.explode("sigs").alias("sig"))
-    met = met.withColumn("first", F.min("node").over(Window.partitionBy("sig")))
-    met = settle(met.filter("node <> first"))
-    tested = settle(met.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
-    links = verified(tested, reps, documents, columns, size, percent)
-    found = components(links)
-
-    def labelled(rows: DataFrame, node: str, name: str) -> DataFrame:
-        labels = found.select(F.col("node").alias(node), F.col("component").alias(name))
-        return rows.join(labels, node, "left").withColumn(name, F.coalesce(name, node))
-
-    apart = settle(labelled(labelled(tested, "a", "x"), "b", "y").filter("x <> y").select("a", "b"))
-    if not apart.isEmpty():
-        still = met.join(apart.select(F.col("a").alias("first"), F.col("b").alias("node")), ["first", "node"], "left_semi")
-        open_buckets = different_buckets(met.join(still.select("sig").distinct(), "sig", "left_semi"))
-        members = labelled(open_buckets, "node", "component").join(reps.select("node", "n", "point"), "node")
-        more = tree_pairs(settle(members), percent).join(tested, ["a", "b"], "left_anti")
-        more = verified(settle(more), reps, documents, columns, size, percent)
-        if not more.isEmpty():
-            found = components(links.unionByName(more))
-
-    groups = labelled(reps.select("node", "id"), "node", "component")
+    classes = settle(wordy.groupBy("node").agg(F.min("id").alias("id")))
+    members, different = buckets(wordy.join(classes, ["node", "id"], "left_semi"))
+    wanted = settle(classes.join(members.select("node").distinct(), "node", "left_semi").select("id").distinct())
+    sets = settle(shingle_sets(documents, wanted, columns, size).dropDuplicates(["node"]))
+
+    links = found = None
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        if found is None:
+            return rows.withColumn("component", F.col("node"))
+        return rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    for turn in range(ROUNDS + 1):
+        named = labelled(members)
+        several = named.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("sig")
+        still = settle(different.join(several, "sig", "left_semi"))
+        if still.isEmpty():
+            break
+        whole = turn == ROUNDS
+        chosen = still if whole else settle(still.groupBy("first").agg(F.max(F.struct("n", "sig")).alias("one")).select("one.sig"))
+        fresh = tree_links(settle(named.join(chosen, "sig", "left_semi")), sets, percent, whole)
+        if not fresh.isEmpty():
+            links = fresh if links is None else links.unionByName(fresh)
+            found = components(links)
+
+    groups = labelled(classes)
     smallest = groups.groupBy("component").agg(F.min("id").alias("component_id"))
     named = settle(groups.join(smallest, "component").select("node", "component_id"))
-    keyed = told.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(named, "node", "left")
+    keyed = told.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left")
     return keyed.select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )

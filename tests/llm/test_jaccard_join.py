@@ -65,8 +65,10 @@ def test_components_equal_brute_force(spark, size, percent):
 def test_awkward_rows(spark):
     documents = awkward(spark)
     rows = [(r.doc_id, r.text) for r in documents.collect()]
-    assert result(documents, 4, 85) == brute_force(rows, 4, 85)
-    assert jaccard_join.linked_components(documents).count() == sum(i is not None for i, _ in rows)
+    out = jaccard_join.linked_components(documents, size=4, percent=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out if r.doc_id is not None} == brute_force(rows, 4, 85)
+    # Rows without an id come back too, without a component.
+    assert len(out) == len(rows) and all(r.component_id is None for r in out if r.doc_id is None)
     assert jaccard_join.linked_components(documents.limit(0)).count() == 0
 
 
@@ -75,6 +77,109 @@ def test_clashing_columns(spark):
     assert result(documents, 5, 80) == {1: (result(documents, 5, 80)[1][0], 1), 2: (result(documents, 5, 80)[2][0], 1)}
 
 
+def near_copies(rng, members, words=300, changed=4):
+    """Sets of shingle hashes of copies with some words changed, around the threshold."""
+    base = [rng.randrange(10**6) for _ in range(words)]
+    sets = []
+    for _ in range(members):
+        text = list(base)
+        for at in rng.sample(range(words), changed):
+            text[at] = rng.randrange(10**6)
+        grams = {hash(tuple(text[i : i + 4])) & (2**64 - 1) for i in range(words - 3)}
+        sets.append(np.sort(jaccard_join.mix(np.array(sorted(grams), np.uint64))))
+    return sets
+
+
+def joined(count, links):
+    up = list(range(count))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in links:
+        up[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(i) for i in range(count)]
+
+
+def all_links(sets, percent, allowed=lambda i, j: True):
+    found = []
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if allowed(i, j) and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                found.append((i, j))
+    return found
+
+
+@pytest.mark.parametrize("changed", [2, 4, 6])
+def test_the_tree_finds_what_connects(changed):
+    rng = random.Random(changed)
+    sets = near_copies(rng, 90, 150, changed) + near_copies(rng, 60, 80, 2) + near_copies(rng, 30, 20, 1)
+    rng.shuffle(sets)
+    every, ones = np.ones((2, 2), bool), np.zeros(len(sets), int)
+    links, tested = jaccard_join.search(sets, np.arange(len(sets)), 85, every, ones)
+    exact = all_links(sets, 85)
+    assert joined(len(sets), links) == joined(len(sets), exact)
+    assert set(map(frozenset, links)) <= set(map(frozenset, exact)) and len(links) < len(sets)
+    assert len(links) <= tested < len(sets) * (len(sets) - 1) // 4  # the bound and what is connected leave few
+    # With components that are known nothing is found or tested again.
+    assert jaccard_join.search(sets, np.array(joined(len(sets), exact)), 85, every, ones)[0] == []
+    # Two sides that are only compared with each other.
+    side, cross = np.array([i % 2 for i in range(len(sets))]), np.array([[False, True], [True, False]])
+    links, _ = jaccard_join.search(sets, np.arange(len(sets)), 85, cross, side)
+    assert joined(len(sets), links) == joined(len(sets), all_links(sets, 85, lambda i, j: i % 2 != j % 2))
+
+
+def test_nodes_hold_their_points():
+    rng = np.random.default_rng(1)
+    at, n = rng.integers(0, 9, (200, 64)).astype(np.int32), rng.integers(1, 50, 200)
+    tree = jaccard_join.Tree(at, n)
+    assert sorted(tree.order) == list(range(200)) and tree.children[0] is not None
+    for (a, z), children, corner, low, high in zip(tree.spans, tree.children, tree.corners, tree.low, tree.high):
+        own = tree.order[a:z]
+        assert (at[own].max(0) == corner).all() and n[own].min() == low and n[own].max() == high
+        if children is None:
+            assert z - a <= jaccard_join.LEAF
+        else:
+            assert [tree.spans[c] for c in children] == [(a, (a + z) // 2), ((a + z) // 2, z)]
+
+
+def test_links_grow_with_the_members_not_their_square(spark, monkeypatch):
+    """Rows that the search hands on for groups of near copies of two sizes, over several tiles."""
+    monkeypatch.setattr(jaccard_join, "TILE", 40)
+    handed = []
+    plain = jaccard_join.tree_links
+    monkeypatch.setattr(jaccard_join, "tree_links", lambda *a: handed.append(plain(*a)) or handed[-1])
+    counts = []
+    for members in (60, 240):
+        rng = random.Random(members)
+        words = [f"w{rng.randrange(10**5)}" for _ in range(200)]
+        rows = []
+        for i in range(members):
+            text = list(words)
+            for at in rng.sample(range(200), 2):
+                text[at] = f"x{rng.randrange(10**5)}"
+            rows.append((i, " ".join(text)))
+        handed.clear()
+        documents = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS)
+        assert result(documents, 4, 85) == brute_force(rows, 4, 85)
+        counts.append(sum(df.count() for df in handed))
+    assert 0 < counts[1] < 8 * counts[0]
+
+
+def test_all_links_come_from_the_trees(spark, monkeypatch):
+    """Without what the trees find there is no component of two different sets."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(100)]
+    documents = spark.createDataFrame([(i, " ".join(edited(rng, words, 0.005)), "en", "s", 1) for i in range(30)], DOCUMENTS)
+    assert len({c for _, c in result(documents, 5, 80).values()}) < 10
+    monkeypatch.setattr(jaccard_join, "search", lambda sets, *rest: ([], 0))
+    texts = {r.text for r in documents.collect()}
+    assert len({c for _, c in result(documents, 5, 80).values()}) == len(texts)
+
+
 def test_sets_that_reach_the_threshold_share_a_signature():
     """For all sizes, with all differences at the limit: the partition that the buckets rest on is exact."""
     rng = np.random.default_rng(3)
