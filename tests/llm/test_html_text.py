@@ -1,3 +1,8 @@
+import html
+import random
+
+import pytest
+
 from changeflow.llm import html_text
 from llm_helpers import prose
 
@@ -74,3 +79,89 @@ def test_inline_elements_named_as_adverts_leave_their_paragraph():
         ["Short text.", LONG, LONG, "End."]
     )
     assert html_text.main_text(page(f"<p>{LONG} <i class='promo'>Buy</i>more.</p>")) == LONG + " more."
+
+
+def test_a_letter_in_brackets_is_no_copyright():
+    items = [f"({x}) {LONG}" for x in "abcd"]
+    assert html_text.main_text(page("".join(f"<p>{x}</p>" for x in items))) == "\n".join(items)
+    assert html_text.main_text(page(f"<p>{LONG}</p><p>(c) third</p>")) == f"{LONG}\n(c) third"
+    for line in ("© Example", "Copyright (c) 2020 Example", "&copy; 1999-2004 " + LONG, "Copyright © Example", LONG + " © 2021"):
+        assert html_text.main_text(page(f"<p>{LONG}</p><p>{line}</p>")) == LONG, line
+
+
+@pytest.mark.parametrize("attribute", ["data=it's", 'title=5"', "a'b", "x=\"it's\" y='\"'", "title = 'a>b' id=x"])
+def test_stray_quotes_in_tags_swallow_nothing(attribute):
+    body = f'<p {attribute}>{LONG}</p><p>He said "no". It\'s {LONG}</p><p>Third {LONG}'
+    assert html_text.main_text(page(body)) == "\n".join([LONG, f'He said "no". It\'s {LONG}', f"Third {LONG}"])
+
+
+RUSSIAN = "Вот статья о погоде в городе, где каждый день идёт дождь, и люди ходят с зонтами по мокрым улицам до самого вечера."
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, "今日は天気がいいので、私たちは公園へ行って、長い間歩きながら話をしました。" * 3])
+def test_prose_without_known_stop_words(text):
+    around = "<p>Copyright © 2020</p>", "<ul><li><a href=/a>Menu one</a></li><li><a href=/b>Menu two</a></li></ul>"
+    for other in around:
+        assert html_text.main_text(page(f"<p>{text}</p>{other}<p>{text}</p>")) == f"{text}\n{text}"
+        assert html_text.main_text(page(f"<p>Кратко.</p>{other}")) == "Кратко."
+    # Where a known language is spoken, long blocks without its stop words stay undecided.
+    assert html_text.main_text(page(f"<p>{LONG}</p><div>{'<a href=/x>linked link</a> ' * 9}</div><p>{text}</p>")) == LONG
+
+
+def test_doubtful_names_need_a_second_sign():
+    for part in ("class='market-share'", "id='related'", "class=social", "id=skip class='x promo'"):
+        assert html_text.main_text(page(f"<article><p>{LONG}</p><section {part}><h2>More</h2><p>{LONG}</p></section></article>")) == f"{LONG}\nMore\n{LONG}", part
+        for inside in ("Tweet this", f"<a href=/x>{LONG}</a>", "<ul><li>One</li><li>Two</li></ul>"):
+            assert html_text.main_text(page(f"<article><p>{LONG}</p><div {part}>{inside}</div></article>")) == LONG, (part, inside)
+    for part in ("share-buttons", "related-posts", "social_links"):
+        assert html_text.main_text(page(f"<article><p>{LONG}</p><div class='{part}'><p>{LONG}</p></div></article>")) == LONG, part
+    assert html_text.main_text(page(f"<p>{LONG} <span class='market-share'>45 %</span> of it.</p>")) == f"{LONG} 45 % of it."
+
+
+def test_a_stroke_at_the_end_closes_nothing():
+    assert html_text.main_text(page(f"<p>{LONG}</p><p><a href=/x/>{LONG}</a></p>")) == LONG
+    assert html_text.main_text(page(f"<div/><p>{LONG}<br/>more</p><hr/><p>End.</p>")) == f"{LONG} more\nEnd."
+    assert html_text.main_text(page(f"<nav/><p>{LONG}</p></nav><p>{LONG} b</p>")) == LONG + " b"
+
+
+def plain_page(rng):
+    """A page put together from parts whose kind is known, and the lines of its article: the plain version knows them beforehand."""
+    lines, out = [], []
+
+    def paragraph():
+        words = prose(rng.choice(["en", "fr"]), rng.randrange(30, 60), rng.randrange(10**6)).replace("\n", " ")
+        return rng.choice(["", "« ", "5 < 7 & "]) + words
+
+    def written(text):
+        text = html.escape(text, quote=False)
+        at = text.find(" ", len(text) // 2)
+        return rng.choice([text, f"{text[:at]} <b>{text[at + 1 :]}</b>", f"{text[:at]}\n<i>  {text[at + 1 :]}</i>", text + "<!-- <p>no</p> -->"])
+
+    def noise():
+        link = f"<a href='/{rng.randrange(99)}' title=\"a > b\">{rng.choice(['Home', 'More about us', 'Next page'])}</a>"
+        return rng.choice([
+            f"<nav><ul><li>{link}</li><li>{link}</li></ul></nav>", f"<aside><p>{paragraph()}</p></aside>", f"<div class='x sidebar'><p>{paragraph()}</p></div>",
+            f"<form><label>{paragraph()}</label><input value='x'></form>", f"<div id=cookie-notice>{paragraph()}</div>", f"<script>var p = '<p>{paragraph()}';</script>",
+            f"<style>p {{ x: '{paragraph()}' }}</style>", f"<div class='ad'><p>{paragraph()}</p></div>", f"<section id='comments'><div class=comment><p>{paragraph()}</p></div></section>",
+            f"<div class='share-buttons'>{link}</div>", f"<footer><p>&copy; 2020 {paragraph()}</p></footer>", f"<div role='dialog'><p>{paragraph()}</p></div>",
+        ])
+
+    for _ in range(rng.randrange(1, 12)):
+        kind = rng.random()
+        if kind < 0.45:
+            lines.append(paragraph())
+            out.append(f"<p>{written(lines[-1])}{rng.choice(['</p>', ''])}" if rng.random() < 0.8 else f"<blockquote>{written(lines[-1])}</blockquote>")
+        elif kind < 0.6:
+            lines.append(rng.choice(["In short", "What next?", "Kapitel 2"]))
+            out.append(f"<h2 class=head>{lines[-1]}</h2>")
+        else:
+            out.append(noise())
+    body = "".join(out)
+    return page(f"{noise()}<{rng.choice(['article', 'main'])}><div>{body}</div></main></article>{noise()}"), lines
+
+
+def test_generated_pages():
+    rng = random.Random(8)
+    for _ in range(400):
+        text, lines = plain_page(rng)
+        assert html_text.main_text(text) == "\n".join(" ".join(x.split()) for x in lines), text
