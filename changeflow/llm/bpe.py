@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, map_batches
+from .common import columns_of, kept, map_batches, row_of, with_row
 
 #: Pieces of text, and pairs and halves, that a worker remembers.
 REMEMBERED = 400_000
@@ -178,10 +178,13 @@ def text_encoder(path: str, pattern: str) -> TextEncoder:
     return kept(("encoder", path, pattern), lambda: TextEncoder(path, pattern))
 
 
-def encode_texts(documents: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """All rows with ``ids`` (array of int) and ``decoded`` (the bytes that they spell)."""
-    others = [c for c in documents.columns if c not in ("ids", "decoded")]
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"), F.col(f"`{text}`").cast("string").alias("_text"))
+def encode_texts(documents: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """All rows with ``ids`` (array of int) and ``decoded`` (the bytes that they spell).
+
+    Only the columns to ``keep`` go through the workers and come back, by default all.
+    """
+    others = [c for c in (documents.columns if keep is None else keep) if c not in ("ids", "decoded")]
+    rows = documents.select(row_of(others), F.col(f"`{text}`").cast("string").alias("_text"))
 
     def work(batch: pa.RecordBatch) -> dict:
         encoder = text_encoder(path, pattern)
@@ -191,5 +194,4 @@ def encode_texts(documents: DataFrame, path: str, pattern: str, text: str = "tex
         decoded = pa.array([encoder.words.decode(ids[a:z]) for a, z in zip(ends, ends[1:])], pa.binary())
         return {"_row": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), "decoded": decoded}
 
-    row_type = rows.schema["_row"].dataType.simpleString()
-    return map_batches(rows, work, f"_row {row_type}, ids array<int>, decoded binary", keeps=True).select(*[F.col(f"_row.`{c}`") for c in others], "ids", "decoded")
+    return map_batches(rows, work, with_row(rows, "ids array<int>, decoded binary"), keeps=True).select(*columns_of(others), "ids", "decoded")

@@ -173,11 +173,12 @@ def fit(examples: DataFrame, sample: int = SAMPLE) -> Model:
     languages = sorted(per_language)
     if not languages:
         return Model(idf, np.zeros((BUCKETS, 0)), [], 1.0)
-    quota = sample // len(languages)
-    rank = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    quota = max(1, sample // len(languages))
+    rank = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     # A tenth more than the quota by hash; the training task takes the quota.
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in per_language.items() for x in (k, min(1.0, 1.1 * quota / n) * (1 << 30))]), F.col("lang"))
-    chosen = labelled.filter(rank < share).select("lang", rank.alias("rank"), "text")
+    # Rows alike in id, text and language count once, so no repeated row can fill the training task.
+    chosen = labelled.filter(rank < share).dropDuplicates(["lang", "id", "text"]).select("lang", rank.alias("rank"), "text")
 
     def featured(batch: pa.RecordBatch) -> dict:
         found = [counts(t) for t in batch.column(2).to_pylist()]

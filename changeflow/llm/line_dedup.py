@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 #: A line is boilerplate on more than this share of a host's pages, and at least so many pages.
-RATIO, LEAST_PAGES = 0.05, 5
+RATIO, LEAST_PAGES = 0.01, 5
 #: Percent of a page's characters in lines of its own from which it stands alone; linked texts differ in less.
 OWN = 20
 ADDED = ("n_lines", "n_dropped")
@@ -82,25 +82,30 @@ def drop_boilerplate(
 ) -> DataFrame:
     """All rows without the boilerplate lines of their host, with n_lines (before) and n_dropped."""
     names = [c for c in documents.columns if c not in ADDED]
-    rows = documents.select(F.struct(F.col(f"`{host}`").alias("name")).alias("_host"), *[F.col(f"`{c}`") for c in names])
+    own = F.col("_text")
+    rows = documents.select(
+        F.struct(F.col(f"`{host}`").alias("name")).alias("_host"),
+        F.col(f"`{text}`").cast("string").alias("_text"),
+        F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in names if c != text]).alias("_row"),
+    )
     if spare_copies:
-        per_host = common_beside_copies(rows, F.col(f"`{text}`"), ratio, least_pages)
+        per_host = common_beside_copies(rows, own, ratio, least_pages)
     else:
-        lines = rows.select("_host", F.explode(F.array_distinct(F.array_compact(line_keys(F.col(f"`{text}`"))))).alias("_key"))
+        lines = rows.select("_host", F.explode(F.array_distinct(F.array_compact(line_keys(own)))).alias("_key"))
         per_host = common(lines, rows.groupBy("_host").agg(F.count("*").alias("pages")), ratio, least_pages)
 
     marked = rows.join(per_host, "_host", "left")
     dropped = F.coalesce(F.col("_drop"), F.array().cast(per_host.schema["_drop"].dataType))
-    each = F.arrays_zip(F.split(F.col(f"`{text}`"), "\n", -1).alias("line"), line_keys(F.col(f"`{text}`")).alias("key"))
+    each = F.arrays_zip(F.split(own, "\n", -1).alias("line"), line_keys(own).alias("key"))
     marked = marked.withColumn("_each", F.when(F.size(dropped) > 0, each))
     keep = F.filter("_each", lambda x: x["key"].isNull() | ~F.array_contains(dropped, x["key"]))
     if spare_copies:
         keep = F.when(F.exists(keep, lambda x: x["key"].isNotNull()), keep).otherwise(F.col("_each"))
     marked = marked.withColumn("_keep", keep)
-    cleaned = F.when(F.col("_each").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(F.transform("_keep", lambda x: x["line"]), "\n"))
-    n_lines = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(F.split(F.col(f"`{text}`"), "\n", -1)))
+    cleaned = F.when(F.col("_each").isNull(), own).otherwise(F.array_join(F.transform("_keep", lambda x: x["line"]), "\n"))
+    n_lines = F.when(own.isNull(), 0).otherwise(F.size(F.split(own, "\n", -1)))
     return marked.select(
-        *[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in names],
+        *[cleaned.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in names],
         n_lines.cast("long").alias("n_lines"),
         F.coalesce(F.size("_each") - F.size("_keep"), F.lit(0)).cast("long").alias("n_dropped"),
     )

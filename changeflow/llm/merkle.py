@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from ..functions.ranking import dense_position
 from ..session import settle
-from .common import prepare
+from .common import columns_of, prepare, row_of
 
 FANOUT = 8
 #: Levels that a partition hashes by itself.
@@ -207,7 +207,7 @@ def manifest(rows: DataFrame, group: str, order: list[str], leaf: str, fanout: i
         name.alias("_group"),
         *[F.col(f"`{c}`").alias(k) for c, k in zip(order, keys)],
         F.col(f"`{leaf}`").alias("_digest"),
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in kept]).alias("_row"),
+        row_of(kept),
     )
     numbered, parts = _tree(leaves, keys, fanout, depth)
     subroots = parts.filter("_part = 0").select(F.lit("").alias("_group"), F.col("_group").alias("_key0"), "_digest", F.struct("_group").alias("_row"))
@@ -218,4 +218,4 @@ def manifest(rows: DataFrame, group: str, order: list[str], leaf: str, fanout: i
         "_group", "_part", F.col("_digest").alias("_subroot"), F.col("root").alias("_root"), F.concat("_path", "_upper").alias("_path")
     )
     proven = _proven(numbered, parts, fanout, depth)
-    return proven.select(*[F.col("_row").getField(c).alias(c) for c in kept], *ADDED)
+    return proven.select(*columns_of(kept), *ADDED)

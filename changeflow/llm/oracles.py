@@ -73,7 +73,7 @@ QUALITY = f"""
     judged as (select *, case when 3 * symbols >= n and symbols > 0 and 5 * separators < n then 'punctuation'
                               when 5 * separators >= n then 'navigation'
                               when n > {quality.SHORT} and (3 * shouts >= n or not ends) then 'punctuation'
-                              when regexp_matches(lower(line), '{"|".join(quality.BOILERPLATE)}') then 'boilerplate' end as rule
+                              when regexp_matches(lower(line), '{"|".join([*quality.BOILERPLATE, quality.SIGNS])}') then 'boilerplate' end as rule
                  from lines where n > 0),
     by_line as (select doc_id, cast(sum(n) filter (rule is not null) as bigint) as lost, count(*) filter (same) as n_dup_lines,
                        count(*) filter (rule = 'punctuation') as n_punctuation, count(*) filter (rule = 'navigation') as n_navigation,

@@ -6,7 +6,8 @@ Every line with a word is judged by three rules; a line that fails is removed, b
   one; and symbols may not be as frequent as every third word, nor exclamations;
 - *navigation*: separators of menus and tables (``|``, arrows, middle dots) may not be as frequent as
   every fifth word;
-- *boilerplate*: it may not hold one of the phrases below, which sites put on all their pages.
+- *boilerplate*: it may not hold one of the phrases below, which sites put on all their pages, nor a sign of copyright with a
+  year or the address of a licence.
 
 Then the document is judged: it is rejected when the base rules fail (under 50 words, or over half of
 the words in repeated windows of three) or when the lines removed hold more than ``MOST_LOST`` percent
@@ -27,30 +28,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BASE, map_batches, mix, text_chunks, words_of
+from .common import _BASE, map_batches, mix, row_of, text_chunks, with_row, words_of
 
 #: Most words of a line that needs no end of sentence; percent of the words that may be lost.
 SHORT, MOST_LOST = 3, 50
 #: Limits of the base rules: fewest words, and most percent of the words in repeated windows.
 FEWEST_WORDS, MOST_REPEATED = 50, 50
 
-# Marks that end a sentence (closing quotes and brackets may follow), symbols, separators of menus.
-ENDS = ".!?…:;。！？"
-CLOSERS = "\"'”’»)]"
+# Marks that end a sentence in any script (closing quotes and brackets may follow), symbols, separators of menus.
+ENDS = ".!?…:;‼‽⁇⁈⁉։؟۔܀܁܂߹।॥၊။።፧፨᙮᜵᜶។៕᠃᠉᥄᥅᪨᪩᪪᪫᭚᭛᭞᭟᰻᰼᱾᱿⸮⸼꓿꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝꩞꩟꫰꫱꯫﹒﹖﹗！．？｡。"
+CLOSERS = "\"'”’“‘»›)]}」』】》〉）］｝｣"
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|›»→·•"
-# Phrases of boilerplate, in lower case.
+# Phrases of boilerplate in English, French, German and Spanish, in lower case.
 BOILERPLATE = (
-    "accept all cookies", "all rights reserved", "click here to", "cookie policy", "enable javascript",
-    "lorem ipsum", "privacy policy", "share on facebook", "sign up for our newsletter", "skip to content",
+    "accept all cookies", "all rights reserved", "click here to", "cookie policy", "enable javascript", "licensed under",
+    "lorem ipsum", "privacy policy", "released under the", "share on facebook", "sign up for our newsletter", "skip to content",
     "subscribe to our newsletter", "terms of service", "terms of use", "use of cookies",
+    "accepter les cookies", "activer javascript", "aller au contenu", "cliquez ici pour", "conditions générales", "mentions légales",
+    "partager sur facebook", "politique de confidentialité", "tous droits réservés", "utilisation de cookies",
+    "alle cookies akzeptieren", "alle rechte vorbehalten", "allgemeine geschäftsbedingungen", "auf facebook teilen", "datenschutzerklärung",
+    "hier klicken", "newsletter abonnieren", "nutzungsbedingungen", "verwendung von cookies", "zum inhalt springen",
+    "aceptar todas las cookies", "aviso legal", "compartir en facebook", "haga clic aquí", "ir al contenido", "política de cookies",
+    "política de privacidad", "términos de uso", "todos los derechos reservados", "uso de cookies",
 )
+# Signs of boilerplate in any language: a sign of copyright and a year, or an address of a licence.
+SIGNS = r"(?:©|\(c\)|copyright) *(?:19|20)[0-9][0-9]|creativecommons\.org/|opensource\.org/licenses|spdx-license-identifier"
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = re.compile(f"[{re.escape(SYMBOLS)}]")
 _SEPARATOR = re.compile(f"[{re.escape(SEPARATORS)}]")
 _END = re.compile(f"[{re.escape(ENDS)}][{re.escape(CLOSERS)}]*(?:[\\x20\\x09-\\x0D]|\\Z)")
-_PHRASE = re.compile("|".join(map(re.escape, BOILERPLATE)))
+_PHRASE = re.compile("|".join([*map(re.escape, BOILERPLATE), SIGNS]))
 
 MEASURES = (
     "text string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
@@ -130,17 +139,14 @@ def clean_lines(documents: DataFrame, text_column: str = "text") -> DataFrame:
     """
     names = [part.split()[0] for part in MEASURES.split(", ")][1:]
     others = [c for c in documents.columns if c != text_column and c not in {*names, "base_failed", "kept"}]
-    rows = documents.select(F.struct(*others).alias("_row"), F.col(text_column).cast("string").alias("_text")) if others else (
-        documents.select(F.struct(F.lit(0).alias("_none")).alias("_row"), F.col(text_column).cast("string").alias("_text"))
-    )
+    rows = documents.select(row_of(others), F.col(f"`{text_column}`").cast("string").alias("_text"))
 
     def work(batch: pa.RecordBatch) -> dict:
         out = measured(batch.column(1))
         return {"_row": batch.column(0)} | {k: pa.array(v, pa.string() if k == "text" else pa.int64()) for k, v in out.items()}
 
-    row_type = rows.schema["_row"].dataType.simpleString()
-    told = map_batches(rows, work, "_row " + row_type.replace(", ", ",") + ", " + MEASURES)
+    told = map_batches(rows, work, with_row(rows, MEASURES))
     base_failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     too_much = 100 * F.col("n_lost_words") > MOST_LOST * F.col("n_words")
-    back = [F.col("text").alias(text_column) if c == text_column else F.col(f"_row.`{c}`") for c in documents.columns if c == text_column or c in others]
+    back = [F.col("text").alias(text_column) if c == text_column else F.col("_row").getField(c).alias(c) for c in documents.columns if c == text_column or c in others]
     return told.select(*back, *names, base_failed.alias("base_failed"), (~base_failed & ~too_much).alias("kept"))

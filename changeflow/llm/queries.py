@@ -92,7 +92,7 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and decoded."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    told = bpe.encode_texts(documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    told = bpe.encode_texts(documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id"])
     return told.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

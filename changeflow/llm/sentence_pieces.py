@@ -39,9 +39,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import Memory, kept, map_batches
+from .common import Memory, columns_of, kept, map_batches, row_of, with_row
 
 SPACE = "\u2581"
 #: Parts of texts that a worker remembers, and pairs of pieces.
@@ -205,7 +204,7 @@ def encode_texts(
     ``keep`` go through the workers and come back, by default all.
     """
     keep = [c for c in (documents.columns if keep is None else keep) if c not in ("ids", "decoded")]
-    rows = documents.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text}`").cast("string").alias("_text"))
+    rows = documents.select(row_of(keep), F.col(f"`{text}`").cast("string").alias("_text"))
 
     def work(batch: pa.RecordBatch) -> dict:
         words = pieces(path)
@@ -218,6 +217,5 @@ def encode_texts(
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
         return {"_row": batch.column(0), "ids": ids, "decoded": spelled}
 
-    ids_type = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
-    schema = T.StructType([rows.schema["_row"], T.StructField("ids", ids_type), T.StructField("decoded", T.StringType())])
-    return map_batches(rows, work, schema, keeps=True).select(*[F.col("_row").getField(c).alias(c) for c in keep], "ids", "decoded")
+    schema = with_row(rows, f"ids {'binary' if packed else 'array<int>'}, decoded string")
+    return map_batches(rows, work, schema, keeps=True).select(*columns_of(keep), "ids", "decoded")

@@ -37,6 +37,8 @@ from ..session import settle
 NODES, CELLS = 64, 1 << 14
 #: Rows in a stretch, which one task numbers together.
 STRETCH = 4096
+#: Rows alike in all that are written out together.
+RUN = 4096
 LAW = "rows"
 
 
@@ -91,7 +93,9 @@ def assign(documents: DataFrame, shards: int = 8, key: str = "doc_id", text: str
     )
     alike = rows.groupBy("_key", "size", "text_crc32").agg(F.count("*").alias("_copies"))
     # The place on the ring, from 0 to 2 ** 62.
-    alike = settle(alike.withColumn("_at", F.shiftrightunsigned(F.xxhash64(F.lit("ring"), F.col("_key").cast("string")), 2)))
+    # Rows without an id have no key to share, so they are spread by what they hold.
+    content = F.when(F.col("_key").isNull(), F.concat_ws(" ", "size", "text_crc32"))
+    alike = settle(alike.withColumn("_at", F.shiftrightunsigned(F.xxhash64(F.lit("ring"), F.col("_key").cast("string"), content), 2)))
     n = alike.agg(F.sum("_copies")).first()[0] or 0
 
     places = ring(shards, nodes)
@@ -116,7 +120,12 @@ def assign(documents: DataFrame, shards: int = 8, key: str = "doc_id", text: str
     order = Window.partitionBy("_arc", "_turn", "_stretch").orderBy("_at", "_key", "size", "text_crc32")
     numbered = placed.withColumn("_inside", F.sum("_copies").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies"))
     numbered = numbered.join(stretches, ["_arc", "_turn", "_stretch"])
-    each = numbered.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    # Rows alike in all are written out in runs, and the runs of a row with many copies are dealt to many tasks.
+    runs = numbered.withColumn("_run", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {RUN}L)")))
+    many = runs.filter(F.col("_copies") > RUN).repartition("_key", "size", "text_crc32", "_run")
+    runs = runs.filter(F.col("_copies") <= RUN).unionByName(many)
+    last = F.least(F.col("_copies"), (F.col("_run") + 1) * RUN) - 1
+    each = runs.withColumn("_copy", F.explode(F.sequence(F.col("_run") * RUN, last)))
     each = each.withColumn("_row", F.col("_before") + F.col("_inside") + F.col("_copy"))
     given = F.broadcast(spark.createDataFrame(shares, schema))
     out = each.join(given, "_arc").filter("_row >= _first AND _row < _last").join(homes, "_arc")

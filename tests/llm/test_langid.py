@@ -62,3 +62,50 @@ def test_unknown_and_awkward_rows(spark):
     empty = langid.fit(langid.learnable(documents.limit(0)))
     assert empty.languages == [] and langid.predict(documents, empty).filter("lang_pred <> 'und'").isEmpty()
     assert langid.predict(documents.limit(0), model).count() == 0
+
+
+def plain_leader(rows, buckets, classes):
+    """Follow the regularised leader one weight at a time, from its definition."""
+    import math
+
+    z = {(b, c): 0.0 for b in buckets for c in range(classes)}
+    n = dict(z)
+
+    def weight(key):
+        if abs(z[key]) <= langid.L1:
+            return 0.0
+        return (math.copysign(langid.L1, z[key]) - z[key]) / ((langid.OFFSET + math.sqrt(n[key])) / langid.RATE + langid.L2)
+
+    for _ in range(langid.PASSES):
+        for at, value, label in rows:
+            w = {(b, c): weight((b, c)) for b in at for c in range(classes)}
+            scores = [sum(v * w[b, c] for b, v in zip(at, value)) for c in range(classes)]
+            top = [math.exp(s - max(scores)) for s in scores]
+            for c in range(classes):
+                error = top[c] / sum(top) - (c == label)
+                for b, v in zip(at, value):
+                    g = v * error
+                    rate = (math.sqrt(n[b, c] + g * g) - math.sqrt(n[b, c])) / langid.RATE
+                    z[b, c] += g - rate * w[b, c]
+                    n[b, c] += g * g
+    return {key: weight(key) for key in z}
+
+
+def test_training_equals_the_definition():
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(30):
+        at = np.sort(rng.choice(12, 4, replace=False))
+        rows.append((at, rng.random(4), i % 3))
+    weights = langid.follow_the_leader(rows, 3)
+    plain = plain_leader([(a.tolist(), v.tolist(), y) for a, v, y in rows], range(12), 3)
+    assert all(abs(weights[b, c] - w) < 1e-9 for (b, c), w in plain.items())
+    assert (weights[:12] != 0).any() and (weights[:12] == 0).any() and not weights[12:].any()
+
+
+def test_more_labels_than_the_sample_and_hot_rows(spark):
+    """Every label keeps a row of the sample, and rows alike count once."""
+    texts = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)} and more", f"l{i:03d}") for i in range(40)]
+    hot = [(1000, "the same text again and again", "l000")] * 300
+    model = langid.fit(spark.createDataFrame(texts + hot, "id bigint, text string, lang string"), sample=20)
+    assert len(model.languages) == 40 and np.abs(model.weights).sum() > 0

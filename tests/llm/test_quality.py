@@ -53,3 +53,11 @@ def test_cleaning_and_rejection(spark):
     assert out[3].kept and out[3].text == good and out[3].n_lost_words == 0
     assert out[4].text is None and not out[4].kept
     assert quality.clean_lines(documents.limit(0)).count() == 0
+
+
+def test_sentences_and_phrases_of_other_scripts_and_languages():
+    for line in ("यह एक पूरा वाक्य है।", "هل هذا سؤال كامل هنا؟", "یہ ایک مکمل جملہ ہے۔", "Sie sagte: „Das ist gut so.“", "这 是 一 个 句子。」", "ይህ ሙሉ ዓረፍተ ነገር ነው።"):
+        assert quality.failed_rule(line, len(line.split())) is None, line
+    for line in ("© 2020 Example and others.", "Tous droits réservés par nous.", "Es gilt die Datenschutzerklärung von uns.", "Todos los derechos reservados.", "Released under the MIT License."):
+        assert quality.failed_rule(line, len(line.split())) == "boilerplate", line
+    assert quality.failed_rule("In 2020 (c) was the third item of it.", 9) is None

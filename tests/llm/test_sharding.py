@@ -61,3 +61,37 @@ def test_awkward_rows(spark):
     held(sharding.assign(many, 3).collect(), [(r.doc_id, r.text) for r in many.collect()], 3)
     assert sharding.assign(documents.limit(0), 8).count() == 0
     held(sharding.assign(documents.limit(3), 8).collect(), [(r.doc_id, r.text) for r in documents.limit(3).collect()], 8)
+
+
+def test_hot_equal_rows_and_rows_without_an_id(spark, monkeypatch):
+    """A third of the rows alike, and a third without an id: written out in runs, and not all in one stretch."""
+    monkeypatch.setattr(sharding, "RUN", 64)
+    alike = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    nameless = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    documents = alike.unionByName(nameless).unionByName(spark.range(1000).select("id", F.col("id").cast("string").alias("text")).toDF("doc_id", "text"))
+    rows = sharding.assign(documents, 8).collect()
+    held(rows, [tuple(r) for r in documents.collect()], 8)
+    homes = collections.Counter(r.home_shard for r in rows if r.doc_id is None)
+    assert len(homes) == 8 and max(homes.values()) < 400
+
+
+def walked(rows, shards):
+    """The ring walked row by row: arcs keep what their shard has room for, then the rest goes on clockwise."""
+    places = sharding.ring(shards)
+    total = len(rows)
+    room = [total // shards + (s < total % shards) for s in range(shards)]
+    home = lambda r: places[next((i for i, (c, _) in enumerate(places) if c >= r[3] >> (62 - 14)), 0)][1]
+    return room, collections.Counter(map(home, rows))
+
+
+def test_homes_on_the_ring(spark):
+    """Each row's home is the first place clockwise of its hash, and shards below their bound keep all of their own."""
+    documents = spark.range(700).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    at = F.shiftrightunsigned(F.xxhash64(F.lit("ring"), F.col("doc_id").cast("string"), F.lit(None).cast("string")), 2)
+    placed = [(r.doc_id, None, None, r["at"]) for r in documents.withColumn("at", at).collect()]
+    rows = sharding.assign(documents, 5).collect()
+    room, homes = walked(placed, 5)
+    assert collections.Counter(r.home_shard for r in rows) == homes
+    for shard in range(5):
+        stayed = sum(r.home_shard == shard == r.shard for r in rows)
+        assert stayed == min(room[shard], homes[shard])
