@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import branch_of
+from ..sources.runs import Runs
 from .windows import with_branch
 
 # Fixed value: months a foreign log row is kept.
@@ -46,6 +47,27 @@ def purge_log(
     return rows.select(*log.columns)
 
 
+def purge_plan(log: Runs, own: str, as_of: date, branches: DataFrame | None = None, months: int = KEEP_MONTHS, before: int | None = None) -> DataFrame:
+    """From the zone map the files of a log in runs that hold rows to purge: path, and ``whole`` if they hold no others."""
+    zones = log.zones(before)
+    theirs = F.col("branch") != own
+    if branches is not None:
+        zones = zones.join(_others(branches, own).distinct().withColumn("_known", F.lit(True)), F.col("branch") == F.col("_other"), "left")
+        theirs = theirs & F.coalesce("_known", F.lit(False))
+    limit = F.add_months(F.lit(as_of), -months).cast("timestamp_ntz")
+    some, every = theirs & (F.col("dOldestxx") <= limit), theirs & (F.col("dLatestxx") <= limit)
+    return zones.groupBy("path").agg(F.bool_or(some).alias("_some"), F.bool_and(every).alias("whole")).filter("_some").select("path", "whole")
+
+
+def purge_files(
+    log: Runs, own: str, as_of: date, step: int, branches: DataFrame | None = None, months: int = KEEP_MONTHS, files_per_part: int = 100
+) -> None:
+    """Purge the stored log itself, as one of its steps: files whose rows all go are left out, mixed ones are rewritten without the
+    rows to purge, others are not touched. Stopped half-way and run again, it goes on where it was."""
+    plan = purge_plan(log, own, as_of, branches, months, step)
+    log.rewrite(plan, lambda rows: retain_log(rows, own, as_of, branches, months), step, files_per_part)
+
+
 def _others(branches: DataFrame, own: str) -> DataFrame:
     return branches.filter(F.col("sBranchCd") != own).select(F.col("sBranchCd").alias("_other"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import branch_of, dense_position, first_row, moment
 from ..schemas import CHANGE_FIELDS
 from ..session import settle
+from ..sources.runs import Runs
 
 # States of an outgoing batch.
 MADE, ANNOUNCED, VERIFIED, ARCHIVED = "0", "1", "2", "4"
@@ -109,6 +110,11 @@ def export_window(log: DataFrame, outgoing: DataFrame, clients: DataFrame) -> Da
     keys = scan.groupBy("branch").agg(
         F.max("sTransNox").alias("thru"), F.min(F.when(_touched(), F.col("sTransNox"))).alias("touched")
     )
+    return _next_windows(keys, last, clients)
+
+
+def _next_windows(keys: DataFrame, last: DataFrame, clients: DataFrame) -> DataFrame:
+    """Windows from the branches' last (``thru``) and touched keys, last sent windows and start keys."""
     starts = clients.groupBy(F.col("sBranchCd").alias("branch")).agg(F.min("sExportNo").alias("start"))
     ends = last.select("branch", F.col("sLogThrux").alias("sent"))
     empty = F.lit("")
@@ -127,6 +133,23 @@ def export_window(log: DataFrame, outgoing: DataFrame, clients: DataFrame) -> Da
     )
 
 
+def export_window_kept(log: Runs, outgoing: DataFrame, clients: DataFrame) -> DataFrame:
+    """As ``export_window``, from the zone map of a log kept in runs, which every step brings forward from its own rows.
+
+    The zones have the last key of each branch. Of the log only those files are read that reach into a branch's last sent window and
+    hold a change made since, so what is read goes with the changes since the last batch, not with the log.
+    """
+    zones = settle(log.zones())
+    last = settle(
+        latest_batch_in_states(outgoing, [VERIFIED, ARCHIVED], by="dCreatedx").select("branch", "sLogFromx", "sLogThrux", "dCreatedx")
+    )
+    reach = (F.col("sHighKeyx") >= F.col("sLogFromx")) & (F.col("sLowKeyxx") <= F.col("sLogThrux")) & (F.col("dLatestxx") >= F.col("dCreatedx"))
+    changed = log.read(zones.join(last, "branch").filter(reach).select("path"))
+    touched = settle(first_touched_key(changed, last).withColumnRenamed("sTouched", "touched"))
+    keys = zones.groupBy("branch").agg(F.max("sHighKeyx").alias("thru")).join(touched, "branch", "left")
+    return _next_windows(keys, last, clients)
+
+
 def row_checksum(columns: tuple[str, ...] = CHANGE_FIELDS) -> Column:
     """Sum of row hashes: the same for any row order and any split into files."""
     text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])

@@ -12,6 +12,8 @@ are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +21,13 @@ from pyspark.sql import types as T
 from ..functions import branch_of
 from ..session import settle
 
-# One row per file and branch in it: the run and its level, the keys' bounds and number.
-ZONES = "run string, level int, path string, branch string, sLowKeyxx string, sHighKeyx string, nRowsxxxx bigint"
+# One row per file and branch in it: the run and its level, bounds and number of the keys, and the bounds of dModified (of a table
+# that has it; a row without one counts as modified at the end of time).
+ZONES = (
+    "run string, level int, path string, branch string, sLowKeyxx string, sHighKeyx string, nRowsxxxx bigint, "
+    "dOldestxx timestamp_ntz, dLatestxx timestamp_ntz"
+)
+UNDATED = "9999-12-31 00:00:00"
 
 
 def steps_in(spark: SparkSession, folder: str) -> list[int]:
@@ -84,9 +91,14 @@ class Runs:
         in_order = rows.select(*self.schema.names).repartitionByRange(self.key).sortWithinPartitions(self.key)
         in_order.write.mode("overwrite").option("maxRecordsPerFile", self.rows_per_file).parquet(path)
         written = self.spark.read.schema(self.schema).parquet(path)
-        return written.groupBy(F.col("_metadata.file_path").alias("path"), branch_of(self.key).alias("branch")).agg(
-            F.min(self.key).alias("sLowKeyxx"), F.max(self.key).alias("sHighKeyx"), F.count("*").alias("nRowsxxxx")
-        ).select(F.lit(run).alias("run"), F.lit(level).alias("level"), "path", "branch", "sLowKeyxx", "sHighKeyx", "nRowsxxxx")
+        stamp = F.lit(None).cast("timestamp_ntz")
+        if "dModified" in self.schema.names:
+            stamp = F.coalesce("dModified", F.lit(UNDATED).cast("timestamp_ntz"))
+        zones = written.groupBy(F.col("_metadata.file_path").alias("path"), branch_of(self.key).alias("branch")).agg(
+            F.min(self.key).alias("sLowKeyxx"), F.max(self.key).alias("sHighKeyx"), F.count("*").alias("nRowsxxxx"),
+            F.min(stamp).alias("dOldestxx"), F.max(stamp).alias("dLatestxx"),
+        )
+        return zones.select(F.lit(run).alias("run"), F.lit(level).alias("level"), *zones.columns)
 
     def append(self, rows: DataFrame, step: int) -> None:
         """Add the rows of a step, merge levels that are full, and write the new zone map. Keys are not null."""
@@ -97,9 +109,36 @@ class Runs:
             merged = settle(self._write(full, f"step={step}-level={level + 1}", level + 1))
             live = live.filter(F.col("level") != level).unionByName(merged)
             level += 1
+        self._complete(live, step)
+
+    def _complete(self, live: DataFrame, step: int) -> None:
         live.hint("rebalance").write.mode("overwrite").parquet(f"{self._maps()}/step={step}")
         self._forget(step)
 
+    def rewrite(self, plan: DataFrame, keep: Callable[[DataFrame], DataFrame], step: int, files_per_part: int = 100) -> None:
+        """A step that takes files away (``plan``: path, and ``whole`` where all rows go) and writes the rows that ``keep`` leaves of the others.
+
+        Files are rewritten in parts, and a ledger has the new files' zones for each part that is done. A step that was stopped
+        goes on with the parts that are not; what readers see changes at the end, with the new zone map.
+        """
+        ledger = f"{self.root}/ledger/step={step}"
+        plan = settle(plan.select("path", "whole"))
+        live = settle(self.zones(step))
+        mixed = live.join(plan.filter("not whole"), "path", "left_semi")
+        for level in sorted(r.level for r in mixed.select("level").distinct().collect()):
+            own = mixed.filter(F.col("level") == level)
+            parts = -(-own.select("path").distinct().count() // files_per_part)
+            done = steps_in(self.spark, f"{ledger}/level={level}")
+            for part in [x for x in range(parts) if x not in done]:
+                rows = keep(self.read(own.filter(F.pmod(F.xxhash64("path"), F.lit(parts)) == part)))
+                zones = self._write(rows, f"step={step}-level={level}-part={part}", level)
+                zones.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/level={level}/step={part}")
+        live = live.join(plan, "path", "left_anti")
+        if not mixed.isEmpty():
+            live = live.unionByName(self.spark.read.schema(ZONES).option("recursiveFileLookup", "true").parquet(ledger))
+        self._complete(live, step)
+        remove(self.spark, ledger)
+
     def _forget(self, step: int) -> None:
         """Remove older zone maps, and runs up to this step that no map names any more."""
         steps = steps_in(self.spark, self._maps())

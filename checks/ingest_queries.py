@@ -8,6 +8,7 @@ from changeflow.plans import pull
 from changeflow.schemas import CHANGE as CHANGE_SCHEMA
 from changeflow.session import new_folder, settle
 from changeflow.sources import batches
+from changeflow.sources.partitions import Partitions
 from changeflow.sources.runs import Runs
 from changeflow.streaming import inbox
 
@@ -155,19 +156,31 @@ def import_batches(t):
     return pull.pull(t.incoming, t.seen, NOW, CHUNK).log
 
 
-@query(
-    "apply_changes",
-    """with latest as (select * from (select *, row_number() over (partition by sTableNme, sRecordKy
+APPLIED = """with latest as (select * from (select *, row_number() over (partition by sTableNme, sRecordKy
                               order by dModified desc, sTransNox desc) as rn from v_change) x where rn = 1)
        select coalesce(l.sTableNme, r.sTableNme) as sTableNme, coalesce(l.sRecordKy, r.sRecordKy) as sRecordKy,
               case when l.sRecordKy is null then r.nValuexxx else l.nValuexxx end as nValuexxx
          from v_record r full join latest l on r.sTableNme = l.sTableNme and r.sRecordKy = l.sRecordKy
-        where coalesce(l.sActionxx, '') <> 'delete'""",
-)
+        where coalesce(l.sActionxx, '') <> 'delete'"""
+
+
+@query("apply_changes", APPLIED)
 def apply_changes(t):
     return ingest.apply_changes(t.record, t.change, ["sTableNme", "sRecordKy"])
 
 
+@query("apply_to_partitions", APPLIED)
+def apply_to_partitions(t):
+    """The changes of one table after the other, each an update of the partitions that they touch."""
+    keys = ["sTableNme", "sRecordKy"]
+    records, changes = settle(t.record), settle(t.change)
+    table = Partitions(t.spark, new_folder(t.spark, "records"), records.schema, keys, parts=16)
+    table.create(records)
+    for name in sorted(r.sTableNme for r in changes.select("sTableNme").distinct().collect()):
+        table.update(changes.filter(F.col("sTableNme") == name), lambda rows, events: ingest.apply_changes(rows, events, keys))
+    return table.rows()
+
+
 # The oracle takes verb and table from what the log was made of, not from the text.
 @query(
     "statement_profile",

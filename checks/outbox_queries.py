@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from changeflow.operators import documents, outbox, retention
-from changeflow.session import new_folder
+from changeflow.schemas import CHANGE as CHANGE_SCHEMA
+from changeflow.session import new_folder, settle
 from changeflow.sources import batches
 from changeflow.sources import documents as document_source
+from changeflow.sources.runs import Runs
 
 from .registry import AS_OF, NOW, query
 
@@ -204,6 +206,17 @@ def purge_log(t):
     return retention.purge_log(t.log, OWN, AS_OF, t.branch)
 
 
+@query("purge_files", f"select {CHANGE} from v_log where {KEPT}")
+def purge_files(t):
+    """The stored log after a purge, in files of one quarter's changes each, some of which go as a whole."""
+    log = Runs(t.spark, new_folder(t.spark, "log"), CHANGE_SCHEMA, "sTransNox", rows_per_file=2_000)
+    rows = settle(t.log)
+    for quarter in range(1, 5):
+        log.append(rows.filter(F.quarter("dEntryDte") == quarter), quarter)
+    retention.purge_files(log, OWN, AS_OF, step=5, branches=t.branch, files_per_part=8)
+    return log.rows()
+
+
 @query("trim_by_branch", f"select {CHANGE} from v_log where sBranchCd = 'M001' or sBranchCd not in (select sBranchCd from v_branch)")
 def trim_by_branch(t):
     return retention.trim_by_branch(t.log, t.branch, OWN)

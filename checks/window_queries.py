@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from changeflow.functions import branch_of, client_prefix, dense_position
 from changeflow.operators import windows
 from changeflow.plans import push
-from changeflow.session import new_folder
+from changeflow.schemas import CHANGE as CHANGE_SCHEMA
+from changeflow.session import new_folder, settle
 from changeflow.sources import batches, tables
+from changeflow.sources.runs import Runs
 
 from .registry import AS_OF, NOW, query
 
@@ -138,6 +140,16 @@ def export_window(t):
     return windows.export_window(t.log, t.outgoing, t.client)
 
 
+@query("export_window_kept", f"{WINDOW_SQL} select * from export_windows")
+def export_window_kept(t):
+    """The log in a run for each quarter, whose zones tell the last keys and where changes since the last batch are."""
+    log = Runs(t.spark, new_folder(t.spark, "log"), CHANGE_SCHEMA, "sTransNox", rows_per_file=2_000)
+    rows = settle(t.log)
+    for quarter in range(1, 5):
+        log.append(rows.filter(F.quarter("dEntryDte") == quarter), quarter)
+    return windows.export_window_kept(log, t.outgoing, t.client)
+
+
 BATCHES_SQL = f"""{WINDOW_SQL}, rows_out as (
       select concat(w.branch, '20010601123000') as sFileName, l.*
         from v_log l join export_windows w on substring(l.sTransNox, 1, 4) = w.branch
