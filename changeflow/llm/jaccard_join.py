@@ -9,17 +9,16 @@ sets that survive are verified on the whole sets.
 A tree over all points alone would compare a constant share of all pairs: the points of unrelated
 long texts lie close together. So sets are first dealt into buckets, exactly, by the same idea of groups: sets
 that reach the threshold differ in at most D elements, so when their hashes are cut into G > D groups, one
-group is equal as a whole, and they meet in the *bucket* of that group. Every bucket of two sets or more is
-searched by a tree of its own, which is bulk-loaded: inner nodes halve their points at the coordinate
+group is equal as a whole, and they meet in the *bucket* of that group. Near copies meet in many buckets with nearly
+the same members, so buckets that share a set are one *pool*: every set lies in one pool at most, and every link
+inside a pool. Each pool is searched by R-trees, which are bulk-loaded: inner nodes halve their points at the coordinate
 that spreads most. All links come out of these trees.
 
 Only components are returned, so a search joins as it goes: sets that are connected already are not
 compared, subtrees of one component are skipped, and a search hands on a spanning forest, fewer links
-than its sets. Of buckets with the same members one is searched. Groups of near copies fill many buckets with
-nearly the same members, so the largest bucket of each smallest member comes first, ``ROUNDS`` times; what is
-then connected is known in all other buckets, and only buckets that still hold several components are searched in
-the end. A bucket of more than ``TILE`` sets (or ``TILE_BYTES``) is cut into tiles: in the first rounds each is searched
-together with the bucket's first tile, in the last one every pair of tiles is, so no task holds more than two.
+than its sets. A pool is cut into tiles of at most ``TILE`` sets (or ``TILE_BYTES``) of like sizes. First each tile is searched
+by itself; then each with the next larger one, which connects groups of copies of any size with two rows for a set; then
+the pairs of tiles whose sizes allow a link and which are not of one component yet. A task holds two tiles at most.
 
 Equal sets are one class from the start.
 
@@ -35,9 +34,10 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import dense_position
 from ..session import settle
 from .common import _BASE, map_batches, mix, prepare, shingles_of, signed, text_chunks, words_of
 
@@ -47,8 +47,6 @@ COORDINATES = 64
 CLASS_RATIO = 1.5
 #: Points in a leaf; sets of a tile, and bytes of their hashes.
 LEAF, TILE, TILE_BYTES = 16, 1024, 16 << 20
-#: Rounds in which the largest bucket of each smallest member is searched, before all that are open.
-ROUNDS = 2
 
 
 def size_class(n: np.ndarray | int) -> np.ndarray | int:
@@ -220,38 +218,27 @@ def search(sets: list[np.ndarray], labels: np.ndarray, percent: int, allowed: np
     return links, tested
 
 
-def tree_links(members: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Links (a, b) that connect members (sig, node, component) of a bucket, found by the bucket's trees; stored.
+def tree_links(pairs: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect the sets of pairs of tiles (pool, i, j), found by their trees; stored.
 
-    A task takes two tiles of a bucket: the first one and another, or if ``whole`` any two.
+    ``placed`` has pool, tile, node and component of each set. Of a tile with itself all pairs are searched, else those between the two.
     """
-    sized = members.join(sets.select("node", "n"), "node")
-    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") * 8 / TILE_BYTES)).cast("int").alias("tiles")
-    placed = members.join(sized.groupBy("sig").agg(tiles), "sig").withColumn("tile", F.expr("pmod(xxhash64(node), tiles)").cast("int"))
-    if whole:
-        met = F.expr("transform(sequence(0, tiles - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
-    else:
-        met = F.expr("if(tile > 0 or tiles = 1, array(struct(0 as i, tile as j)), transform(sequence(1, tiles - 1), x -> struct(0 as i, x as j)))")
-    spread = placed.select("sig", "node", "component", "tile", F.inline(met)).join(sets.select("node", "shingles"), "node")
+    ends = pairs.select("pool", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
+    rows = placed.join(ends, ["pool", "tile"]).join(sets.select("node", "shingles"), "node")
 
     def run(table: pa.Table) -> pa.Table:
-        nodes, labels, tile = (table[c].to_numpy() for c in ("node", "component", "tile"))
+        nodes, first = np.unique(table["node"].to_numpy(), return_index=True)
+        labels, tile = (table[c].to_numpy()[first] for c in ("component", "tile"))
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         found = table["shingles"].combine_chunks()
-        ends, values = found.offsets.to_numpy(), found.values.to_numpy()
-        own = [values[a:z].view(np.uint64) for a, z in zip(ends, ends[1:])]
-        # Pairs inside a tile are searched where it is alone, or in the first rounds with the first tile; those of that one, once.
-        allowed = np.ones((2, 2), bool)
-        if whole and i != j:
-            allowed[[0, 1], [0, 1]] = False
-        elif i != j and j > 1:
-            allowed[0, 0] = False
-        links, _ = search(own, labels, percent, allowed, (tile != i).astype(int))
+        edges, values = found.offsets.to_numpy(), found.values.to_numpy()
+        own = [values[edges[x] : edges[x + 1]].view(np.uint64) for x in first]
+        links, _ = search(own, labels, percent, np.array([[i == j, True], [True, i == j]]), (tile != i).astype(int))
         return pa.table({"a": pa.array([nodes[x] for x, _ in links], pa.int64()), "b": pa.array([nodes[y] for _, y in links], pa.int64())})
 
-    # The work grows with the members, not with their bytes, so it is dealt into many tasks.
-    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return settle(spread.repartition(tasks, "sig", "i", "j").groupBy("sig", "i", "j").applyInArrow(run, "a bigint, b bigint"))
+    # The work grows with the sets, not with their bytes, so it is dealt into many tasks.
+    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settle(rows.repartition(tasks, "pool", "i", "j").groupBy("pool", "i", "j").applyInArrow(run, "a bigint, b bigint"))
 
 
 def contents(edges: DataFrame) -> tuple:
@@ -287,19 +274,27 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def buckets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of sets (node, sigs) the members (sig, node) of buckets with several, and the buckets (sig, n, first member); both stored.
+def pools(rows: DataFrame) -> DataFrame:
+    """Of sets (node, sigs) those that meet others: node and its pool; stored.
 
-    Signatures are counted before anything else is carried, and counts are summed in each task first. Of buckets with the
-    same members one is taken, as told by their number and sums of their hashes.
+    Signatures are counted first, summed in each task, and only those of several sets are looked at further. In a
+    bucket every set is tied to the smallest one, and what is tied together is a pool.
     """
     signed_rows = rows.select("node", F.explode("sigs").alias("sig"))
     several = settle(signed_rows.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig"))
-    members = settle(signed_rows.join(several, "sig", "left_semi").distinct())
-    sums = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
-    named = members.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("first"), *sums).filter("n > 1")
-    different = settle(named.groupBy("n", "h0", "h1").agg(F.min("sig").alias("sig"), F.min("first").alias("first")).select("sig", "n", "first"))
-    return settle(members.join(different, "sig", "left_semi")), different
+    members = settle(signed_rows.join(several, "sig", "left_semi"))
+    smallest = members.groupBy("sig").agg(F.min("node").alias("a"))
+    ties = members.withColumnRenamed("node", "b").join(smallest, "sig").filter("a <> b").select("a", "b").distinct()
+    return components(ties).withColumnRenamed("component", "pool")
+
+
+def tiles(pooled: DataFrame, sets: DataFrame) -> DataFrame:
+    """pool, tile, node, n of every set in a pool; stored. Tiles ascend with the sizes of their sets."""
+    sized = pooled.join(sets.select("node", "n").distinct(), "node").withColumn("_class", F.expr("cast(floor(log2(n)) as int)"))
+    numbered = dense_position(sized, ["pool", "_class"], "n", ["node"], name="_place")
+    most = F.expr(f"greatest(2L, least({TILE}L, cast({TILE_BYTES} / (16 * pow(2, _class)) as bigint)))")
+    numbered = numbered.withColumn("_most", most)
+    return settle(numbered.select("pool", F.expr("_class * 1099511627776L + (_place - 1) div _most").alias("tile"), "node", "n"))
 
 
 def linked_components(
@@ -315,29 +310,34 @@ def linked_components(
     wordy = told.filter("n > 0 AND id IS NOT NULL")
     # One row for each different set: its smallest id stands for it.
     classes = settle(wordy.groupBy("node").agg(F.min("id").alias("id")))
-    members, different = buckets(wordy.join(classes, ["node", "id"], "left_semi"))
-    wanted = settle(classes.join(members.select("node").distinct(), "node", "left_semi").select("id").distinct())
-    sets = settle(shingle_sets(documents, wanted, columns, size).dropDuplicates(["node"]))
+    pooled = pools(wordy.join(classes, ["node", "id"], "left_semi"))
+    wanted = settle(classes.join(pooled, "node", "left_semi").select("id").distinct())
+    sets = settle(shingle_sets(documents, wanted, columns, size))
+    placed = tiles(pooled, sets)
 
-    links = found = None
+    found, links = None, []
 
     def labelled(rows: DataFrame) -> DataFrame:
         if found is None:
             return rows.withColumn("component", F.col("node"))
         return rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    for turn in range(ROUNDS + 1):
-        named = labelled(members)
-        several = named.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("sig")
-        still = settle(different.join(several, "sig", "left_semi"))
-        if still.isEmpty():
-            break
-        whole = turn == ROUNDS
-        chosen = still if whole else settle(still.groupBy("first").agg(F.max(F.struct("n", "sig")).alias("one")).select("one.sig"))
-        fresh = tree_links(settle(named.join(chosen, "sig", "left_semi")), sets, percent, whole)
-        if not fresh.isEmpty():
-            links = fresh if links is None else links.unionByName(fresh)
-            found = components(links)
+    for turn in ("alone", "neighbours", "all"):
+        named = settle(labelled(placed))
+        bounds = [F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("least"), F.max("component").alias("most")]
+        each = named.groupBy("pool", "tile").agg(*bounds)
+        if turn == "alone":
+            pairs = each.filter("least < most").select("pool", F.col("tile").alias("i"), F.col("tile").alias("j"))
+        else:
+            each = settle(each.withColumn("place", F.row_number().over(Window.partitionBy("pool").orderBy("tile"))))
+            one, two = (each.select("pool", *[F.col(c).alias(f"{c}_{x}") for c in each.columns if c != "pool"]) for x in "ij")
+            near = "place_j = place_i + 1" if turn == "neighbours" else "place_j > place_i + 1"
+            open_pairs = f"{near} AND 100 * high_i >= {percent} * low_j AND NOT (least_i = most_i AND least_j = most_j AND least_i = least_j)"
+            pairs = one.join(two, "pool").filter(open_pairs).select("pool", F.col("tile_i").alias("i"), F.col("tile_j").alias("j"))
+        pairs = settle(pairs)
+        if not pairs.isEmpty():
+            links.append(tree_links(pairs, named, sets, percent))
+            found = components(functools.reduce(DataFrame.unionByName, links))
 
     groups = labelled(classes)
     smallest = groups.groupBy("component").agg(F.min("id").alias("component_id"))
