@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dense_position, moment
+from ..functions import branch_of, dense_position, moment
+from ..session import settle
 
 # Source code and state of a document that can be uploaded, and the reason texts.
 SHEET_SOURCE, CLOSED = "DCPx", "1"
@@ -63,6 +64,18 @@ def delivery_outcomes(dispatched: DataFrame, masters: DataFrame, replies: DataFr
     )
 
 
+def deliver_in_order(outcomes: DataFrame) -> DataFrame:
+    """Outcomes with sFatexxxx: a branch's rows go out in key order up to its first failure.
+
+    'sent' before it, 'failed' for it, 'held' for all behind it, whatever became of them by themselves. The first failure is one row
+    per branch, found by a partial aggregate and joined back, so a branch with most of the rows is no single task's.
+    """
+    stops = outcomes.filter(~F.col("bSentxxxx")).groupBy(branch_of("sTransNox").alias("_branch")).agg(F.min("sTransNox").alias("_stop"))
+    rows = outcomes.withColumn("_branch", branch_of("sTransNox")).join(settle(stops), "_branch", "left")
+    fate = F.when(F.col("_stop").isNull() | (F.col("sTransNox") < F.col("_stop")), "sent").when(F.col("sTransNox") > F.col("_stop"), "held").otherwise("failed")
+    return rows.withColumn("sFatexxxx", fate).select(*outcomes.columns, "sFatexxxx")
+
+
 def mark_sent(queue: DataFrame, outcomes: DataFrame, sent: datetime) -> DataFrame:
     """New queue: delivered rows get cSendStat '1' and dSentDate."""
     done = outcomes.filter("bSentxxxx").select("sTransNox", F.lit(True).alias("_done")).distinct()

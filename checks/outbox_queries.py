@@ -8,6 +8,7 @@ from changeflow.session import new_folder, settle
 from changeflow.sources import batches
 from changeflow.sources import documents as document_source
 from changeflow.sources.runs import Runs
+from changeflow.streaming import outbox as outbox_stream_job
 
 from .registry import AS_OF, NOW, query
 
@@ -59,6 +60,45 @@ def delivery_outcomes(t):
     return outcomes(t)
 
 
+@query(
+    "ordered_delivery",
+    f"""with told as ({OUTCOMES}), stops as (select left(sTransNox, 4) as branch, min(sTransNox) as stop from told where not bSentxxxx group by 1)
+        select t.*, case when stop is null or sTransNox < stop then 'sent' when sTransNox = stop then 'failed' else 'held' end as sFatexxxx
+          from told t left join stops s on left(t.sTransNox, 4) = s.branch""",
+)
+def ordered_delivery(t):
+    return outbox.deliver_in_order(outcomes(t))
+
+
+# A branch's rows before the first that fails for good; the refusals of the first run are lifted in the second one.
+@query(
+    "outbox_stream",
+    """with told as (select q.sTransNox, q.sSourceNo, s.sTransNox is null or q.sTransNox like 'C%' as fails
+                       from (select * from v_queue where cSendStat = '0' and sSourceCD = 'DCPx' and cTranStat = '1') q
+                       left join (select * from v_sheet where sModified <> 'U3') s on s.sTransNox = q.sSourceNo),
+             stops as (select left(sTransNox, 4) as branch, min(sTransNox) as stop from told where fails group by 1)
+        select sTransNox, sSourceNo from told t left join stops s on left(t.sTransNox, 4) = s.branch where stop is null or sTransNox < stop""",
+)
+def outbox_stream(t):
+    """Rows that can be uploaded, in four files, a branch in one; two runs, with refusals in the first that are lifted in the second."""
+    spark, masters = t.spark, settle(t.sheet.filter("sModified <> 'U3'"))
+    folders = {name: new_folder(spark, name) for name in ("queue", "state", "stream")}
+    able = t.queue.filter("cSendStat = '0' AND sSourceCD = 'DCPx' AND cTranStat = '1'").select(*outbox_stream_job.QUEUE.names)
+    able.repartition(4, F.substring("sTransNox", 1, 4)).write.parquet(folders["queue"])
+    for refusing in (True, False):
+
+        def attempt(rows, refusing=refusing):
+            refused = F.lit(refusing) & (F.col("sTransNox").substr(-2, 2).cast("int") % 10 == 3)
+            replies = rows.filter(~F.col("sTransNox").startswith("C")).select(
+                "sTransNox", F.when(refused, "error").otherwise("success").alias("sResultxx"), F.when(refused, "refused").alias("sMessagex")
+            )
+            return outbox.delivery_outcomes(rows, masters, replies)
+
+        job = outbox_stream_job.Delivery(spark, folders["state"], attempt, NOW)
+        outbox_stream_job.stream_outbox(job, folders["queue"], folders["stream"], files_per_batch=2).awaitTermination()
+    return job.delivered().select("sTransNox", "sSourceNo")
+
+
 @query(
     "mark_sent",
     f"""select q.sTransNox, q.sSourceNo, sSourceCD, q.cTranStat, case when bSentxxxx then '1' else cSendStat end as cSendStat,
