@@ -8,15 +8,16 @@ SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
 
 def brute_force(rows, k, asked):
-    vectors = {}
+    vectors = set()
     for i, v in rows:
         if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v):
-            whole = [int(np.floor(np.float64(x) * 256)) for x in v]
-            vectors[i] = min(vectors.get(i, whole), whole)
+            vectors.add((i, tuple(int(np.floor(np.float64(x) * 256)) for x in v)))
     out = []
-    for q in sorted(i for i in vectors if asked(i)):
-        scored = sorted((-sum(a * b for a, b in zip(vectors[q], v)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q]))
-        out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:k])]
+    for q in sorted({i for i, _ in vectors if asked(i)}):
+        own = [v for i, v in vectors if i == q]
+        scored = {(-sum(a * b for a, b in zip(w, v)), i, v) for w in own for i, v in vectors if i != q and len(v) == len(w)}
+        best = sorted({(s, i) for s, i, _ in scored})
+        out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(best[:k])]
     return out
 
 
@@ -62,17 +63,67 @@ def test_awkward_rows(spark):
     held(spark, [])
 
 
-def test_candidates_that_cannot_qualify_are_not_resolved():
-    """With one strong coordinate, a quarter of the lists leaves few; bounds always keep the k best."""
+def test_bounds_hold_at_every_depth_and_scores_at_the_end():
     rng = np.random.default_rng(9)
-    vectors = np.concatenate([rng.integers(0, 10**6, (4000, 1)), rng.integers(-9, 9, (4000, 3))], 1).astype(float)
+    vectors = np.concatenate([rng.integers(0, 10**6, (500, 1)), rng.integers(-9, 9, (500, 3))], 1).astype(float)
     queries = np.concatenate([[[100, 1, 1, 1], [-100, 0, 1, -1]], rng.integers(-50, 50, (30, 4))]).astype(float)
-    order = np.argsort(vectors, axis=0, kind="stable")
-    values, rank = np.take_along_axis(vectors, order, 0).T, np.argsort(order, axis=0)
-    for depth in (1, 40, 1000, 3999):
-        may = topk.qualified(values, rank, vectors, queries, np.zeros((4000, len(queries)), bool), 5, depth)
-        for q in range(len(queries)):
-            scores = vectors @ queries[q]
-            assert may[scores >= np.sort(scores)[-5], q].all()
-        if depth >= 1000:
-            assert may[:, :2].sum() < 40
+    lists, scores = topk.Lists(vectors, queries), vectors @ queries.T
+    for depth in (0, 1, 40, 40, 300, 499, 500):
+        lists.go_to(depth)
+        lower, upper = lists.bounds()
+        assert (lower <= scores).all() and (scores <= upper).all()
+    assert (lower == scores).all() and (upper == scores).all()
+
+
+def test_reading_stops_early_where_one_coordinate_is_strong(monkeypatch):
+    rng = np.random.default_rng(9)
+    vectors = np.concatenate([rng.integers(0, 10**6, (4000, 1)), rng.integers(-9, 9, (4000, 3))], 1)
+    queries = np.array([[100, 1, 1, 1], [-100, 0, 1, -1]])
+    depths = []
+    plain = topk.Lists.go_to
+    monkeypatch.setattr(topk.Lists, "go_to", lambda self, depth: depths.append(depth) or plain(self, depth))
+    told = topk.best_of_block(vectors, np.zeros((4000, 2), bool), queries, np.full(2, -np.inf), 5)
+    assert depths == [400]
+    for query, (found, scores) in zip(queries, told):
+        exact = vectors @ query
+        assert set(np.argsort(-exact)[:5]) <= set(found) and (exact[found] == scores).all()
+
+
+def clustered(rng, clusters=20, members=60, width=16):
+    centres = rng.normal(0, 4, (clusters, width))
+    return np.concatenate([c + rng.normal(0, 0.05, (members, width)) for c in centres])
+
+
+def test_most_blocks_of_clustered_vectors_are_never_read(spark, small_blocks, monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = clustered(rng)
+    went = []
+    plain = topk.destinations
+    monkeypatch.setattr(topk, "destinations", lambda *a, **b: went.append(plain(*a, **b)) or went[-1])
+    stored = []
+    store = topk.stored_blocks
+    monkeypatch.setattr(topk, "stored_blocks", lambda *a: stored.append(store(*a)) or stored[-1])
+    held(spark, list(enumerate(vectors.tolist())))
+    blocks, queries = stored[0].count(), 240
+    pairs = went[0].count() + went[1].count()
+    assert blocks >= 20 and pairs <= 5 * queries < blocks * queries / 3
+
+
+def test_a_block_that_every_query_goes_to(spark, small_blocks, monkeypatch):
+    monkeypatch.setattr(topk, "ASKING", 10)
+    rng = np.random.default_rng(4)
+    vectors = np.abs(rng.normal(0, 0.1, (300, 6)))
+    vectors[:30] *= 50
+    held(spark, list(enumerate(vectors.tolist())))
+
+
+def test_blocks_lose_and_repeat_no_vector(spark, small_blocks):
+    rng = np.random.default_rng(5)
+    rows = [([i], [int(x) for x in rng.integers(-99, 99, 3 + i % 2)], 3 + i % 2) for i in range(700)]
+    rows = list({tuple(v): (i, v, n) for i, v, n in rows}.values())
+    blocks = topk.stored_blocks(spark.createDataFrame(rows, "ids array<bigint>, vector array<bigint>, size int")).collect()
+    found = [(tuple(i), tuple(b.vectors[k * b["size"] : (k + 1) * b["size"]])) for b in blocks for k, i in enumerate(b.ids)]
+    assert sorted(found) == sorted((tuple(i), tuple(v)) for i, v, _ in rows)
+    for b in blocks:
+        vectors = np.array(b.vectors).reshape(len(b.ids), -1)
+        assert (vectors.min(0) == b.low).all() and (vectors.max(0) == b.high).all()
