@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -33,11 +35,21 @@ def kept(key: object, make: Callable[[], object]) -> object:
     """What a worker keeps from task to task: the tables of one operator, the last that it worked for."""
     global _kept
     if _kept[0] != key:
-        _kept = (None, None)  # before the new ones are made
+        if _kept[1] is not None:
+            _kept = (None, None)  # before the new ones are made
+            give_back()
         _kept = (key, make())
     return _kept[1]
 
 
+def give_back() -> None:
+    """Return what a worker has let go of to the system, which others on its node may need; where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers of a local session import this package wherever the driver was started.
 

@@ -31,6 +31,7 @@ other than the two named are ignored.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,8 @@ COORDINATES = 64
 CLASS_RATIO = 1.5
 #: Points in a leaf; sets of a tile, and bytes of their hashes.
 LEAF, TILE, TILE_BYTES = 16, 1024, 16 << 20
+#: Links that one task joins by itself.
+LINKS = 1 << 18
 
 
 def size_class(n: np.ndarray | int) -> np.ndarray | int:
@@ -219,7 +222,7 @@ def search(sets: list[np.ndarray], labels: np.ndarray, percent: int, allowed: np
 
 
 def tree_links(pairs: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect the sets of pairs of tiles (pool, i, j), found by their trees; stored.
+    """Links (a, b) between the components of the sets of pairs of tiles (pool, i, j), found by their trees; stored.
 
     ``placed`` has pool, tile, node and component of each set. Of a tile with itself all pairs are searched, else those between the two.
     """
@@ -227,14 +230,14 @@ def tree_links(pairs: DataFrame, placed: DataFrame, sets: DataFrame, percent: in
     rows = placed.join(ends, ["pool", "tile"]).join(sets.select("node", "shingles"), "node")
 
     def run(table: pa.Table) -> pa.Table:
-        nodes, first = np.unique(table["node"].to_numpy(), return_index=True)
+        _, first = np.unique(table["node"].to_numpy(), return_index=True)
         labels, tile = (table[c].to_numpy()[first] for c in ("component", "tile"))
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         found = table["shingles"].combine_chunks()
         edges, values = found.offsets.to_numpy(), found.values.to_numpy()
         own = [values[edges[x] : edges[x + 1]].view(np.uint64) for x in first]
         links, _ = search(own, labels, percent, np.array([[i == j, True], [True, i == j]]), (tile != i).astype(int))
-        return pa.table({"a": pa.array([nodes[x] for x, _ in links], pa.int64()), "b": pa.array([nodes[y] for _, y in links], pa.int64())})
+        return pa.table({"a": pa.array([labels[x] for x, _ in links], pa.int64()), "b": pa.array([labels[y] for _, y in links], pa.int64())})
 
     # The work grows with the sets, not with their bytes, so it is dealt into many tasks.
     tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -247,16 +250,43 @@ def contents(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), *sums).first())
 
 
+def contracted(links: DataFrame, parts: int) -> DataFrame:
+    """Distinct edges (u, v), v the smaller, that connect what the links (a, b) do: each of so many tasks joins its own ones and
+    hands on every node with the smallest one that it reaches there."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while (above := up.setdefault(top, top)) != top:
+                top = above
+            while up[x] != top:
+                up[x], x = top, up[x]
+            return top
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if (x := root(a)) != (y := root(b)):
+                    up[max(x, y)] = min(x, y)
+        ends = [(x, top) for x in list(up) if (top := root(x)) != x]
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*ends)], names=["u", "v"])
+
+    return settle(links.select("a", "b").repartition(parts, "a", "b").mapInArrow(joined, "u bigint, v bigint").distinct())
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node it can reach; stored.
 
-    Rounds of large star and small star: neighbours are joined to the smallest one around, first the
-    larger ones, then the smaller ones, until nothing changes. Each round is written, so that losing
-    an executor repeats one round at most.
+    Tasks first join up to ``LINKS`` links each. What they hand on goes through rounds of large star and small star: neighbours
+    are joined to the smallest one around, first the larger ones, then the smaller ones, until nothing changes; where one
+    task had all links, nothing is left to do. Each round is written, so that losing an executor repeats one round at most.
     """
-    edges = settle(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    parts = -(-max(1, links.count()) // LINKS)
+    edges = contracted(links, parts)
     state = contents(edges)
-    while True:
+    while parts > 1:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -278,14 +308,15 @@ def pools(rows: DataFrame) -> DataFrame:
     """Of sets (node, sigs) those that meet others: node and its pool; stored.
 
     Signatures are counted first, summed in each task, and only those of several sets are looked at further. In a
-    bucket every set is tied to the smallest one, and what is tied together is a pool.
+    bucket every set is tied to the smallest one, and what is tied together is a pool. The signatures of several sets grow with
+    the documents, so they are met by a shuffle at every size.
     """
     signed_rows = rows.select("node", F.explode("sigs").alias("sig"))
     several = settle(signed_rows.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig"))
-    members = settle(signed_rows.join(several, "sig", "left_semi"))
+    members = settle(signed_rows.join(several.hint("merge"), "sig", "left_semi"))
     smallest = members.groupBy("sig").agg(F.min("node").alias("a"))
     ties = members.withColumnRenamed("node", "b").join(smallest, "sig").filter("a <> b").select("a", "b").distinct()
-    return components(ties).withColumnRenamed("component", "pool")
+    return components(settle(ties)).withColumnRenamed("component", "pool")
 
 
 def tiles(pooled: DataFrame, sets: DataFrame) -> DataFrame:
@@ -313,17 +344,9 @@ def linked_components(
     pooled = pools(wordy.join(classes, ["node", "id"], "left_semi"))
     wanted = settle(classes.join(pooled, "node", "left_semi").select("id").distinct())
     sets = settle(shingle_sets(documents, wanted, columns, size))
-    placed = tiles(pooled, sets)
-
-    found, links = None, []
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        if found is None:
-            return rows.withColumn("component", F.col("node"))
-        return rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = tiles(pooled, sets).withColumn("component", F.col("node"))
 
     for turn in ("alone", "neighbours", "all"):
-        named = settle(labelled(placed))
         bounds = [F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("least"), F.max("component").alias("most")]
         each = named.groupBy("pool", "tile").agg(*bounds)
         if turn == "alone":
@@ -335,11 +358,14 @@ def linked_components(
             open_pairs = f"{near} AND 100 * high_i >= {percent} * low_j AND NOT (least_i = most_i AND least_j = most_j AND least_i = least_j)"
             pairs = one.join(two, "pool").filter(open_pairs).select("pool", F.col("tile_i").alias("i"), F.col("tile_j").alias("j"))
         pairs = settle(pairs)
-        if not pairs.isEmpty():
-            links.append(tree_links(pairs, named, sets, percent))
-            found = components(functools.reduce(DataFrame.unionByName, links))
-
-    groups = labelled(classes)
+        links = None if pairs.isEmpty() else tree_links(pairs, named, sets, percent)
+        if links is not None and not links.isEmpty():
+            # Components that are linked become one.
+            merged = components(links).select(F.col("node").alias("component"), F.col("component").alias("_new"))
+            named = named.join(merged, "component", "left").withColumn("component", F.coalesce("_new", "component")).drop("_new")
+            named = settle(named)
+
+    groups = classes.join(named.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = groups.groupBy("component").agg(F.min("id").alias("component_id"))
     named = settle(groups.join(smallest, "component").select("node", "component_id"))
     keyed = told.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left")

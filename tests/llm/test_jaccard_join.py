@@ -196,3 +196,17 @@ def test_sets_that_reach_the_threshold_share_a_signature():
                 if 100 * len(common) >= percent * (n + extra):
                     one, other = (set(jaccard_join.signatures(np.sort(x), percent).tolist()) for x in (a, b))
                     assert one & other, (percent, n, lost, extra)
+
+
+@pytest.mark.parametrize("most", [10**6, 7])
+def test_components_of_links(spark, monkeypatch, most):
+    """Joined by one task and by many."""
+    monkeypatch.setattr(jaccard_join, "LINKS", most)
+    rng = random.Random(2)
+    links = [(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(70)] + [(i, i + 1) for i in range(200, 240)] + [(5, 5)]
+    got = {r.node: r.component for r in jaccard_join.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    names = sorted({x for link in links for x in link})
+    up = joined(len(names), [(names.index(a), names.index(b)) for a, b in links])
+    want = {x: names[up[i]] for i, x in enumerate(names)}
+    assert {x: got.get(x, x) for x in names} == want
+    assert jaccard_join.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
