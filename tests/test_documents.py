@@ -2,6 +2,8 @@ import base64
 import hashlib
 import json
 
+from pyspark.sql import functions as F
+
 from changeflow.operators import documents
 from changeflow.sources import documents as source
 from helpers import day, rows
@@ -62,3 +64,17 @@ def test_replies(spark):
     [found] = documents.decode_payload(replies).collect()
     assert (found.sImageNme, bytes(found.content)) == ("a.jpg", LONG)
     assert rows(documents.failed_replies(replies)) == [(None,), ("gone",)]
+
+
+def test_bytes_of_other_files_are_not_read(spark, tmp_path):
+    """A file that no reader could hold lies beside the named ones; it is listed and not read."""
+    for i in range(12):
+        (tmp_path / f"{i} é%20.jpg").write_bytes(bytes([i]) * (i + 1))
+    with open(tmp_path / "huge.jpg", "wb") as file:
+        file.truncate(3 << 30)
+    rows_ = [(f"C{i}", f"{i} é%20.jpg", "", day(1), str(tmp_path), "0", "A001") for i in range(12)]
+    found = source.read_documents(spark, str(tmp_path), spark.createDataFrame(rows_, IMAGE).withColumn("a.b", F.lit(1)))
+    assert found.columns[-2:] == ["a.b", "content"]
+    assert {r.sImageNme: bytes(r.content) for r in found.collect()} == {f"{i} é%20.jpg": bytes([i]) * (i + 1) for i in range(12)}
+    named = spark.createDataFrame([("C", "huge.jpg", "", day(1), str(tmp_path), "0", "A001")], IMAGE).filter("sImageNme = 'none'")
+    assert source.read_documents(spark, str(tmp_path), named).count() == 0
