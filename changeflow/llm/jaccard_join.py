@@ -16,9 +16,10 @@ that spreads most. All links come out of these trees.
 
 Only components are returned, so a search joins as it goes: sets that are connected already are not
 compared, subtrees of one component are skipped, and a search hands on a spanning forest, fewer links
-than its sets. A pool is cut into tiles of at most ``TILE`` sets (or ``TILE_BYTES``) of like sizes. First each tile is searched
-by itself; then each with the next larger one, which connects groups of copies of any size with two rows for a set; then
-the pairs of tiles whose sizes allow a link and which are not of one component yet. A task holds two tiles at most.
+than its sets. A pool is cut into tiles of at most ``TILE`` sets (or ``TILE_BYTES``) of like sizes that meet the same smallest set.
+First each tile is searched by itself; then, of buckets that reach over tiles and still hold several components, the
+sets in neighbouring tiles, which connects groups of copies of any size with two rows for a set; then those in any two tiles.
+A task holds two tiles at most.
 
 Equal sets are one class from the start.
 
@@ -31,7 +32,6 @@ other than the two named are ignored.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -221,13 +221,12 @@ def search(sets: list[np.ndarray], labels: np.ndarray, percent: int, allowed: np
     return links, tested
 
 
-def tree_links(pairs: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the components of the sets of pairs of tiles (pool, i, j), found by their trees; stored.
+def tree_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of sets that are searched together (``meetings``), found by their trees; stored.
 
-    ``placed`` has pool, tile, node and component of each set. Of a tile with itself all pairs are searched, else those between the two.
+    Of a tile with itself all pairs are searched, else those between the two.
     """
-    ends = pairs.select("pool", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
-    rows = placed.join(ends, ["pool", "tile"]).join(sets.select("node", "shingles"), "node")
+    rows = met.join(sets.select("node", "shingles"), "node")
 
     def run(table: pa.Table) -> pa.Table:
         _, first = np.unique(table["node"].to_numpy(), return_index=True)
@@ -240,7 +239,7 @@ def tree_links(pairs: DataFrame, placed: DataFrame, sets: DataFrame, percent: in
         return pa.table({"a": pa.array([labels[x] for x, _ in links], pa.int64()), "b": pa.array([labels[y] for _, y in links], pa.int64())})
 
     # The work grows with the sets, not with their bytes, so it is dealt into many tasks.
-    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return settle(rows.repartition(tasks, "pool", "i", "j").groupBy("pool", "i", "j").applyInArrow(run, "a bigint, b bigint"))
 
 
@@ -251,10 +250,12 @@ def contents(edges: DataFrame) -> tuple:
 
 
 def contracted(links: DataFrame, parts: int) -> DataFrame:
-    """Distinct edges (u, v), v the smaller, that connect what the links (a, b) do: each of so many tasks joins its own ones and
-    hands on every node with the smallest one that it reaches there."""
+    """Distinct edges (u, v), v the smaller, that connect what the links (a, b) do; stored.
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Links are dealt into so many groups, and each group hands on every node with the smallest one that it reaches there.
+    """
+
+    def joined(table: pa.Table) -> pa.Table:
         up: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -265,23 +266,22 @@ def contracted(links: DataFrame, parts: int) -> DataFrame:
                 up[x], x = top, up[x]
             return top
 
-        for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if (x := root(a)) != (y := root(b)):
-                    up[max(x, y)] = min(x, y)
+        for a, b in zip(table["a"].to_pylist(), table["b"].to_pylist()):
+            if (x := root(a)) != (y := root(b)):
+                up[max(x, y)] = min(x, y)
         ends = [(x, top) for x in list(up) if (top := root(x)) != x]
-        if ends:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*ends)], names=["u", "v"])
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*ends) if ends else ([], []))], names=["u", "v"])
 
-    return settle(links.select("a", "b").repartition(parts, "a", "b").mapInArrow(joined, "u bigint, v bigint").distinct())
+    dealt = links.select("a", "b", F.expr(f"pmod(xxhash64(a, b), {parts})").alias("_part"))
+    return settle(dealt.groupBy("_part").applyInArrow(joined, "u bigint, v bigint").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node it can reach; stored.
 
-    Tasks first join up to ``LINKS`` links each. What they hand on goes through rounds of large star and small star: neighbours
+    Groups of about ``LINKS`` links are joined first, each by a task. What they hand on goes through rounds of large star and small star: neighbours
     are joined to the smallest one around, first the larger ones, then the smaller ones, until nothing changes; where one
-    task had all links, nothing is left to do. Each round is written, so that losing an executor repeats one round at most.
+    group had all links, nothing is left to do. Each round is written, so that losing an executor repeats one round at most.
     """
     parts = -(-max(1, links.count()) // LINKS)
     edges = contracted(links, parts)
@@ -304,8 +304,9 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def pools(rows: DataFrame) -> DataFrame:
-    """Of sets (node, sigs) those that meet others: node and its pool; stored.
+def pools(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of sets (node, sigs) those that meet others: node, pool and the smallest set that it meets (``leader``), and the
+    members (sig, node) of their buckets; both stored.
 
     Signatures are counted first, summed in each task, and only those of several sets are looked at further. In a
     bucket every set is tied to the smallest one, and what is tied together is a pool. The signatures of several sets grow with
@@ -313,19 +314,42 @@ def pools(rows: DataFrame) -> DataFrame:
     """
     signed_rows = rows.select("node", F.explode("sigs").alias("sig"))
     several = settle(signed_rows.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig"))
-    members = settle(signed_rows.join(several.hint("merge"), "sig", "left_semi"))
+    members = settle(signed_rows.join(several.hint("merge"), "sig", "left_semi").distinct())
     smallest = members.groupBy("sig").agg(F.min("node").alias("a"))
-    ties = members.withColumnRenamed("node", "b").join(smallest, "sig").filter("a <> b").select("a", "b").distinct()
-    return components(settle(ties)).withColumnRenamed("component", "pool")
+    ties = settle(members.withColumnRenamed("node", "b").join(smallest, "sig").filter("a <> b").select("a", "b").distinct())
+    leaders = ties.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader"))
+    pooled = components(ties).withColumnRenamed("component", "pool").join(leaders, "node", "left")
+    return settle(pooled.withColumn("leader", F.least("node", "leader"))), members
 
 
 def tiles(pooled: DataFrame, sets: DataFrame) -> DataFrame:
-    """pool, tile, node, n of every set in a pool; stored. Tiles ascend with the sizes of their sets."""
+    """pool, tile, node of every set in a pool, sets of one leader beside each other; stored."""
     sized = pooled.join(sets.select("node", "n").distinct(), "node").withColumn("_class", F.expr("cast(floor(log2(n)) as int)"))
-    numbered = dense_position(sized, ["pool", "_class"], "n", ["node"], name="_place")
+    numbered = dense_position(sized, ["pool", "_class"], "leader", ["n", "node"], name="_place")
     most = F.expr(f"greatest(2L, least({TILE}L, cast({TILE_BYTES} / (16 * pow(2, _class)) as bigint)))")
     numbered = numbered.withColumn("_most", most)
-    return settle(numbered.select("pool", F.expr("_class * 1099511627776L + (_place - 1) div _most").alias("tile"), "node", "n"))
+    return settle(numbered.select("pool", F.expr("_class * 1099511627776L + (_place - 1) div _most").alias("tile"), "node"))
+
+
+def meetings(named: DataFrame, members: DataFrame, turn: str) -> DataFrame:
+    """Who is searched together in a turn: pool, i, j (tiles), tile, node, component; stored.
+
+    ``alone``: each tile with several components. Else two tiles that share a bucket with several components, and of them the
+    sets in such buckets: a tile and the bucket's next one (``neighbours``), or any two (``all``).
+    """
+    if turn == "alone":
+        several = named.groupBy("pool", "tile").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
+        rows = named.join(several.select("pool", "tile"), ["pool", "tile"], "left_semi")
+        return settle(rows.select("pool", F.col("tile").alias("i"), F.col("tile").alias("j"), "tile", "node", "component"))
+    placed = members.join(named, "node")
+    ends = placed.groupBy("sig").agg(*[f(c).alias(f"{name}_{c}") for c in ("component", "tile") for f, name in ((F.min, "least"), (F.max, "most"))])
+    still = ends.filter("least_component < most_component AND least_tile < most_tile").select("sig")
+    placed = settle(placed.join(still, "sig", "left_semi"))
+    shared = placed.select("sig", "tile").distinct().withColumn("_place", F.row_number().over(Window.partitionBy("sig").orderBy("tile")))
+    one, two = (shared.select("sig", F.col("tile").alias(x), F.col("_place").alias(f"_{x}")) for x in "ij")
+    pairs = one.join(two, "sig").filter("_j = _i + 1" if turn == "neighbours" else "_j > _i + 1").select("sig", "i", "j")
+    ends = pairs.select("sig", "i", "j", F.explode(F.array("i", "j")).alias("tile"))
+    return settle(placed.join(ends, ["sig", "tile"]).select("pool", "i", "j", "tile", "node", "component").distinct())
 
 
 def linked_components(
@@ -341,24 +365,14 @@ def linked_components(
     wordy = told.filter("n > 0 AND id IS NOT NULL")
     # One row for each different set: its smallest id stands for it.
     classes = settle(wordy.groupBy("node").agg(F.min("id").alias("id")))
-    pooled = pools(wordy.join(classes, ["node", "id"], "left_semi"))
+    pooled, members = pools(wordy.join(classes, ["node", "id"], "left_semi"))
     wanted = settle(classes.join(pooled, "node", "left_semi").select("id").distinct())
     sets = settle(shingle_sets(documents, wanted, columns, size))
     named = tiles(pooled, sets).withColumn("component", F.col("node"))
 
     for turn in ("alone", "neighbours", "all"):
-        bounds = [F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("least"), F.max("component").alias("most")]
-        each = named.groupBy("pool", "tile").agg(*bounds)
-        if turn == "alone":
-            pairs = each.filter("least < most").select("pool", F.col("tile").alias("i"), F.col("tile").alias("j"))
-        else:
-            each = settle(each.withColumn("place", F.row_number().over(Window.partitionBy("pool").orderBy("tile"))))
-            one, two = (each.select("pool", *[F.col(c).alias(f"{c}_{x}") for c in each.columns if c != "pool"]) for x in "ij")
-            near = "place_j = place_i + 1" if turn == "neighbours" else "place_j > place_i + 1"
-            open_pairs = f"{near} AND 100 * high_i >= {percent} * low_j AND NOT (least_i = most_i AND least_j = most_j AND least_i = least_j)"
-            pairs = one.join(two, "pool").filter(open_pairs).select("pool", F.col("tile_i").alias("i"), F.col("tile_j").alias("j"))
-        pairs = settle(pairs)
-        links = None if pairs.isEmpty() else tree_links(pairs, named, sets, percent)
+        met = meetings(named, members, turn)
+        links = None if met.isEmpty() else tree_links(met, sets, percent)
         if links is not None and not links.isEmpty():
             # Components that are linked become one.
             merged = components(links).select(F.col("node").alias("component"), F.col("component").alias("_new"))
