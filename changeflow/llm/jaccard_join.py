@@ -314,12 +314,13 @@ def pools(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     signed_rows = rows.select("node", F.explode("sigs").alias("sig"))
     several = settle(signed_rows.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig"))
-    members = settle(signed_rows.join(several.hint("merge"), "sig", "left_semi").distinct())
-    smallest = members.groupBy("sig").agg(F.min("node").alias("a"))
-    ties = settle(members.withColumnRenamed("node", "b").join(smallest, "sig").filter("a <> b").select("a", "b").distinct())
+    met = signed_rows.join(several.hint("merge"), "sig", "left_semi")
+    # All in the one shuffle by signature.
+    members = settle(met.join(met.groupBy("sig").agg(F.min("node").alias("first")).hint("merge"), "sig").select("sig", "node", "first"))
+    ties = settle(members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
     leaders = ties.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader"))
     pooled = components(ties).withColumnRenamed("component", "pool").join(leaders, "node", "left")
-    return settle(pooled.withColumn("leader", F.least("node", "leader"))), members
+    return settle(pooled.withColumn("leader", F.least("node", "leader"))), members.select("sig", "node")
 
 
 def tiles(pooled: DataFrame, sets: DataFrame) -> DataFrame:
@@ -331,19 +332,26 @@ def tiles(pooled: DataFrame, sets: DataFrame) -> DataFrame:
     return settle(numbered.select("pool", F.expr("_class * 1099511627776L + (_place - 1) div _most").alias("tile"), "node"))
 
 
+def across_tiles(placed: DataFrame, members: DataFrame) -> DataFrame:
+    """The members (sig, node) of buckets that reach over several tiles; stored. Most do not."""
+    tiled = members.join(placed.select("node", "tile"), "node")
+    wide = tiled.groupBy("sig").agg(F.min("tile").alias("least"), F.max("tile").alias("most")).filter("least < most").select("sig")
+    return settle(members.join(settle(wide), "sig", "left_semi"))
+
+
 def meetings(named: DataFrame, members: DataFrame, turn: str) -> DataFrame:
     """Who is searched together in a turn: pool, i, j (tiles), tile, node, component; stored.
 
     ``alone``: each tile with several components. Else two tiles that share a bucket with several components, and of them the
-    sets in such buckets: a tile and the bucket's next one (``neighbours``), or any two (``all``).
+    sets in such buckets: a tile and the bucket's next one (``neighbours``), or any two (``all``). ``members`` are those of
+    buckets that reach over tiles.
     """
     if turn == "alone":
         several = named.groupBy("pool", "tile").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
         rows = named.join(several.select("pool", "tile"), ["pool", "tile"], "left_semi")
         return settle(rows.select("pool", F.col("tile").alias("i"), F.col("tile").alias("j"), "tile", "node", "component"))
     placed = members.join(named, "node")
-    ends = placed.groupBy("sig").agg(*[f(c).alias(f"{name}_{c}") for c in ("component", "tile") for f, name in ((F.min, "least"), (F.max, "most"))])
-    still = ends.filter("least_component < most_component AND least_tile < most_tile").select("sig")
+    still = placed.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("sig")
     placed = settle(placed.join(still, "sig", "left_semi"))
     shared = placed.select("sig", "tile").distinct().withColumn("_place", F.row_number().over(Window.partitionBy("sig").orderBy("tile")))
     one, two = (shared.select("sig", F.col("tile").alias(x), F.col("_place").alias(f"_{x}")) for x in "ij")
@@ -369,9 +377,10 @@ def linked_components(
     wanted = settle(classes.join(pooled, "node", "left_semi").select("id").distinct())
     sets = settle(shingle_sets(documents, wanted, columns, size))
     named = tiles(pooled, sets).withColumn("component", F.col("node"))
+    wide = across_tiles(named, members)
 
     for turn in ("alone", "neighbours", "all"):
-        met = meetings(named, members, turn)
+        met = meetings(named, wide, turn)
         links = None if met.isEmpty() else tree_links(met, sets, percent)
         if links is not None and not links.isEmpty():
             # Components that are linked become one.
