@@ -120,7 +120,8 @@ def with_row(rows: DataFrame, added: str) -> T.StructType:
 
 def row_of(columns: list[str]) -> Column:
     """The caller's columns as ``_row``."""
-    return F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in columns]).alias("_row")
+    # A struct needs a field; the placeholder stands alone, so that it clashes with no name.
+    return F.struct(*[F.col(f"`{c}`") for c in columns] or [F.lit(0).alias("_none")]).alias("_row")
 
 
 def columns_of(columns: list[str]) -> list[Column]:

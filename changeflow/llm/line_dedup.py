@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
+from .common import row_of
 
 #: A line is boilerplate on more than this share of a host's pages, and at least so many pages.
 RATIO, LEAST_PAGES = 0.01, 5
@@ -86,7 +87,7 @@ def drop_boilerplate(
     rows = documents.select(
         F.struct(F.col(f"`{host}`").alias("name")).alias("_host"),
         F.col(f"`{text}`").cast("string").alias("_text"),
-        F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in names if c != text]).alias("_row"),
+        row_of([c for c in names if c != text]),
     )
     if spare_copies:
         per_host = common_beside_copies(rows, own, ratio, least_pages)
