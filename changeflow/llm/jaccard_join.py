@@ -47,7 +47,7 @@ COORDINATES = 64
 #: Ratio of neighbouring limits of the size classes.
 CLASS_RATIO = 1.5
 #: Points in a leaf; sets of a tile, and bytes of their hashes.
-LEAF, TILE, TILE_BYTES = 16, 1024, 16 << 20
+LEAF, TILE, TILE_BYTES = 16, 4096, 32 << 20
 #: Links that one task joins by itself.
 LINKS = 1 << 18
 
@@ -325,9 +325,11 @@ def pools(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def tiles(pooled: DataFrame, sets: DataFrame) -> DataFrame:
     """pool, tile, node of every set in a pool, sets of one leader beside each other; stored."""
-    sized = pooled.join(sets.select("node", "n").distinct(), "node").withColumn("_class", F.expr("cast(floor(log2(n)) as int)"))
+    # Classes are wide, as sets near a limit meet across it; a tile's bytes are bounded by the largest sets of its class.
+    size_class = F.expr("cast(floor((log2(n) + 1) / 4) as int)")
+    sized = pooled.join(sets.select("node", "n").distinct(), "node").withColumn("_class", size_class)
     numbered = dense_position(sized, ["pool", "_class"], "leader", ["n", "node"], name="_place")
-    most = F.expr(f"greatest(2L, least({TILE}L, cast({TILE_BYTES} / (16 * pow(2, _class)) as bigint)))")
+    most = F.expr(f"greatest(2L, least({TILE}L, cast({TILE_BYTES} / pow(2, 4 * _class + 6) as bigint)))")
     numbered = numbered.withColumn("_most", most)
     return settle(numbered.select("pool", F.expr("_class * 1099511627776L + (_place - 1) div _most").alias("tile"), "node"))
 
