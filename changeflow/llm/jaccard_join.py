@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import dense_position
-from ..session import settle
+from ..session import new_folder, scratch, settle
 from .common import _BASE, map_batches, mix, prepare, shingles_of, signed, text_chunks, words_of
 
 #: Coordinates of a point.
@@ -362,6 +362,12 @@ def meetings(named: DataFrame, members: DataFrame, turn: str) -> DataFrame:
     return settle(placed.join(ends, ["sig", "tile"]).select("pool", "i", "j", "tile", "node", "component").distinct())
 
 
+def stored(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows written to a folder and read from there."""
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def linked_components(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -370,12 +376,22 @@ def linked_components(
     Two texts are linked if 100 * |intersection| >= percent * |union| of their sets of ``size``-word shingles.
     """
     prepare(documents.sparkSession)
-    columns = (id_column, text_column)
-    told = settle(points(documents, columns, size, percent))
-    wordy = told.filter("n > 0 AND id IS NOT NULL")
-    # One row for each different set: its smallest id stands for it.
-    classes = settle(wordy.groupBy("node").agg(F.min("id").alias("id")))
-    pooled, members = pools(wordy.join(classes, ["node", "id"], "left_semi"))
+    folders = [new_folder(documents.sparkSession, f"linked-{name}") for name in ("components", "sets", "pools", "members")]
+    # Tables on the way go as soon as what they are for is stored, those with all signatures first.
+    with scratch():
+        return stored(_linked(documents, (id_column, text_column), size, percent, folders[1:]), folders[0])
+
+
+def _linked(documents: DataFrame, columns: tuple[str, str], size: int, percent: int, folders: list[str]) -> DataFrame:
+    with scratch():
+        every = settle(points(documents, columns, size, percent))
+        told = stored(every.select("id", "n", "node"), folders[0])
+        wordy = every.filter("n > 0 AND id IS NOT NULL")
+        # One row for each different set: its smallest id stands for it.
+        firsts = settle(wordy.groupBy("node").agg(F.min("id").alias("id")))
+        pooled, members = pools(wordy.join(firsts, ["node", "id"], "left_semi"))
+        pooled, members = stored(pooled, folders[1]), stored(members, folders[2])
+    classes = settle(told.filter("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id")))
     wanted = settle(classes.join(pooled, "node", "left_semi").select("id").distinct())
     sets = settle(shingle_sets(documents, wanted, columns, size))
     named = tiles(pooled, sets).withColumn("component", F.col("node"))
@@ -395,5 +411,5 @@ def linked_components(
     named = settle(groups.join(smallest, "component").select("node", "component_id"))
     keyed = told.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left")
     return keyed.select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+        F.col("id").alias(columns[0]), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
