@@ -323,12 +323,19 @@ def pools(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return settle(pooled.withColumn("leader", F.least("node", "leader"))), members.select("sig", "node")
 
 
-def tiles(pooled: DataFrame, sets: DataFrame) -> DataFrame:
+def of_like_sizes(pooled: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The sets of pools (with their ``n``) without pools of two whose sizes allow no link, as most that share a passage are; stored."""
+    sized = pooled.join(sizes, "node")
+    pairs = sized.groupBy("pool").agg(F.count("*").alias("sets"), F.min("n").alias("low"), F.max("n").alias("high"))
+    apart = pairs.filter(f"sets = 2 AND 100 * low < {percent} * high").select("pool")
+    return settle(sized.join(apart, "pool", "left_anti"))
+
+
+def tiles(sized: DataFrame) -> DataFrame:
     """pool, tile, node of every set in a pool, sets of one leader beside each other; stored."""
     # Classes are wide, as sets near a limit meet across it; a tile's bytes are bounded by the largest sets of its class.
     size_class = F.expr("cast(floor((log2(n) + 1) / 4) as int)")
-    sized = pooled.join(sets.select("node", "n").distinct(), "node").withColumn("_class", size_class)
-    numbered = dense_position(sized, ["pool", "_class"], "leader", ["n", "node"], name="_place")
+    numbered = dense_position(sized.withColumn("_class", size_class), ["pool", "_class"], "leader", ["n", "node"], name="_place")
     most = F.expr(f"greatest(2L, least({TILE}L, cast({TILE_BYTES} / pow(2, 4 * _class + 6) as bigint)))")
     numbered = numbered.withColumn("_most", most)
     return settle(numbered.select("pool", F.expr("_class * 1099511627776L + (_place - 1) div _most").alias("tile"), "node"))
@@ -392,9 +399,11 @@ def _linked(documents: DataFrame, columns: tuple[str, str], size: int, percent:
         pooled, members = pools(wordy.join(firsts, ["node", "id"], "left_semi"))
         pooled, members = stored(pooled, folders[1]), stored(members, folders[2])
     classes = settle(told.filter("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id")))
-    wanted = settle(classes.join(pooled, "node", "left_semi").select("id").distinct())
+    sizes = told.filter("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("n").alias("n"))
+    sized = of_like_sizes(pooled, sizes, percent)
+    wanted = settle(classes.join(sized, "node", "left_semi").select("id").distinct())
     sets = settle(shingle_sets(documents, wanted, columns, size))
-    named = tiles(pooled, sets).withColumn("component", F.col("node"))
+    named = tiles(sized).withColumn("component", F.col("node"))
     wide = across_tiles(named, members)
 
     for turn in ("alone", "neighbours", "all"):
