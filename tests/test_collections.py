@@ -120,3 +120,31 @@ def test_service_replies_carry_entries_too(spark):
     texts = [{"result": "success", "detail": [entry("4")]}, {"result": "error", "detail": [entry("5")]}]
     replies = spark.createDataFrame([(str(i), json.dumps(t)) for i, t in enumerate(texts)], "sFileName string, value string")
     assert rows(collection_files.parse_field_entries(replies, "detail"), "nEntryNox") == [(4,)]
+
+
+def plan_without_broadcast(spark, df_of):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        return df_of()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_branch_names_come_last_to_a_profile(spark):
+    """A code with several names multiplies accounts only when they have been shuffled for all else."""
+    from checks.views import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    routes, employees, listed, people_, branches = t.route, t.employee, t.named_employee, t.person, t.branch
+    twice = branches.unionByName(branches.withColumn("sBranchNm", F.concat(F.lit("Old "), "sBranchNm")))
+    rest = (t.account, people_, t.town, t.province, t.serial, t.model, t.brand, t.color, t.application, t.coordinate)
+
+    def late():
+        return collections.account_profile(*rest, collections.route_profile(routes, employees, listed, people_), twice)
+
+    early = collections.account_profile(*rest, collections.route_profile(routes, employees, listed, people_, twice))
+    assert rows(late()) == rows(early) and late().count() > 0
+    plan = plan_without_broadcast(spark, late)
+    assert plan.split("SortMergeJoin")[1].lstrip().startswith("[sBranchCd")
