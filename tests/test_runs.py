@@ -103,3 +103,14 @@ def test_a_micro_batch_costs_the_same_after_many(spark, tmp_path):
     again = job.log.holding(spark.createDataFrame([("B001001",)], "sTransNox string"), 9)
     assert len(files_read(again)) == 1 and job.log.zones().select("run").distinct().count() <= 4
     assert job.logged().filter(F.col("sTransNox").startswith("A004")).count() == 3
+
+
+def test_a_purge_of_many_files_has_few_parts(spark, tmp_path, monkeypatch):
+    log = Runs(spark, str(tmp_path / "log"), CHANGE, "sTransNox", rows_per_file=5)
+    log.append(changes(spark, [f"A001{i:05d}" for i in range(200)]), 0)
+    assert log.zones().select("path").distinct().count() >= 40
+    runs, write = [], log._write
+    monkeypatch.setattr(log, "_write", lambda rows_, run, level: runs.append(run) or write(rows_, run, level))
+    log.rewrite(log.zones().select("path", F.lit(False).alias("whole")), lambda r: r.filter("sTransNox like '%7'"), 1, files_per_part=1)
+    assert 1 < len(runs) <= 16
+    assert [r[0] for r in rows(log.rows(), "sTransNox")] == [f"A001{i:05d}" for i in range(7, 200, 10)]
