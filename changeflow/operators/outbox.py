@@ -110,10 +110,28 @@ def upload_projection(details: DataFrame) -> DataFrame:
     )
 
 
-def numbered_parts(lines: DataFrame, ties: list[str], per_part: int) -> DataFrame:
-    """Lines with their place in the transaction in entry order, and the part, counted from 0, that the place falls in."""
-    placed = dense_position(lines, ["sTransNox"], "nEntryNox", ties, name="_at")
-    return placed.withColumn("nPartxxxx", F.floor((F.col("_at") - 1) / per_part).cast("int"))
+def listed_parts(lines: DataFrame, ties: list[str], per_part: int) -> DataFrame:
+    """sTransNox, nPartxxxx (from 0) and ``lines``: the part's lines (nEntryNox and ``ties``) in entry order.
+
+    Transactions of up to LINES_PER_PART lines are listed whole and cut, so that their lines are shuffled once; only longer ones,
+    known by a count, are numbered across tasks first. Lines without a transaction are in no part.
+    """
+    lines = lines.filter(F.col("sTransNox").isNotNull())
+    line = F.struct("nEntryNox", *ties)
+    long = settle(lines.groupBy("sTransNox").count().filter(F.col("count") > LINES_PER_PART).select("sTransNox"))
+    some_long = not long.isEmpty()
+    short = lines.join(long, "sTransNox", "left_anti") if some_long else lines
+    whole = short.groupBy("sTransNox").agg(F.sort_array(F.collect_list(line)).alias("_lines"))
+    last = F.floor((F.size("_lines") - 1) / per_part).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("_lines", i * per_part + 1, per_part))
+    parts = whole.select("sTransNox", F.posexplode(cut).alias("nPartxxxx", "lines"))
+    if not some_long:
+        return parts
+    placed = dense_position(lines.join(long, "sTransNox", "left_semi"), ["sTransNox"], "nEntryNox", ties, name="_at")
+    listed = placed.groupBy("sTransNox", F.floor((F.col("_at") - 1) / per_part).cast("int").alias("nPartxxxx")).agg(
+        F.sort_array(F.collect_list(F.struct("_at", line.alias("line")))).alias("_lines")
+    )
+    return parts.unionByName(listed.select("sTransNox", "nPartxxxx", F.transform("_lines", lambda x: x["line"]).alias("lines")))
 
 
 def nest_master_detail(
@@ -126,11 +144,7 @@ def nest_master_detail(
     so no list holds more than ``per_part`` and no line is dropped.
     """
     others = [c for c in details.columns if c not in ("sTransNox", "nEntryNox")]
-    line = F.struct("nEntryNox", *others)
-    lists = numbered_parts(details, others, per_part).groupBy("sTransNox", "nPartxxxx").agg(
-        F.sort_array(F.collect_list(F.struct("_at", line.alias("line")))).alias("lines")
-    )
-    lists = lists.withColumn("detail", F.transform("lines", lambda x: x["line"])).drop("lines")
+    lists = listed_parts(details, others, per_part).withColumnRenamed("lines", "detail")
     heads = masters.select("sTransNox", F.struct(*masters.columns).alias("master"))
     nested = heads.join(lists, "sTransNox", "left" if keep_without_lines else "inner")
     return nested.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.outbox import LINES_PER_PART, numbered_parts
+from ..operators.outbox import LINES_PER_PART, listed_parts
 from ..schemas import FIELD_ENTRY, FIELD_ENTRY_FIELDS
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -69,9 +69,9 @@ def export_field_entries(entries: DataFrame, masters: DataFrame, per_part: int =
     """One ``{"android":[...]}`` text for each part of a transaction that has a header and entries, parts cut by count."""
     known = entries.join(masters.select("sTransNox"), "sTransNox", "left_semi")
     ties = [n for n in FIELD_ENTRY_FIELDS if n not in ("sTransNox", "nEntryNox")]
-    entry = F.struct(*[F.col(n).cast("string").alias(n) for n in FIELD_ENTRY_FIELDS])
-    lists = numbered_parts(known, ties, per_part).groupBy("sTransNox", "nPartxxxx").agg(
-        F.sort_array(F.collect_list(F.struct("_at", entry.alias("e")))).alias("_lines")
+    lists = listed_parts(known, ties, per_part)
+    key = F.col("sTransNox")
+    android = F.transform(
+        "lines", lambda x: F.struct(*[(key if n == "sTransNox" else x[n]).cast("string").alias(n) for n in FIELD_ENTRY_FIELDS])
     )
-    android = F.transform("_lines", lambda x: x["e"]).alias("android")
-    return lists.select("sTransNox", "nPartxxxx", F.to_json(F.struct(android), KEEP_NULLS).alias("value"))
+    return lists.select("sTransNox", "nPartxxxx", F.to_json(F.struct(android.alias("android")), KEEP_NULLS).alias("value"))

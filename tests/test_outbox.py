@@ -153,3 +153,24 @@ def test_a_delivery_step_again_gives_the_same(spark, tmp_path):
     sending.refused = set()
     spark.createDataFrame([("A00199", "x", day(3), 1)], delivery.LEDGER).write.parquet(f"{tmp_path}/state/ledger/rows/step=1")
     assert [k for k, _ in sending.run()] == ["A00101", "A00102", "A00103"]
+
+
+def test_only_long_documents_are_numbered_across_tasks(spark, monkeypatch):
+    """Short ones are listed whole and cut; the result is the same either way."""
+    masters = spark.createDataFrame([master("S1"), master("S2")], MASTER)
+    lines = spark.createDataFrame(
+        [("S1", i, f"a{i}", "C", day(1)) for i in (5, 3, None, 4, 2, 3)] + [("S2", 1, "x", "C", day(1)), (None, 1, "x", "C", day(1))], LINE
+    )
+    numbered, dense = [], outbox.dense_position
+
+    def counted(df, *args, **named):
+        numbered.append(df.count())
+        return dense(df, *args, **named)
+
+    monkeypatch.setattr(outbox, "dense_position", counted)
+    want = {("S1", 0): [None, 2, 3, 3], ("S1", 1): [4, 5], ("S2", 0): [1]}
+    for limit, long_lines in ((100_000, []), (5, [6])):
+        monkeypatch.setattr(outbox, "LINES_PER_PART", limit)
+        nested = outbox.nest_master_detail(masters, lines, per_part=4)
+        assert {(r.sTransNox, r.nPartxxxx): [x.nEntryNox for x in r.detail] for r in nested.collect()} == want
+        assert numbered == long_lines
