@@ -132,6 +132,17 @@ def plan_without_broadcast(spark, df_of):
         spark.conf.set(name, before)
 
 
+def test_a_branch_with_several_names_gives_as_many_sheets_after_the_joins(spark):
+    sheet = "sTransNox string, dTransact date, sReferNox string, dReferDte date, cTranStat string, cDCPTypex string, nEntryNox int, sCollctID string"
+    sheets = spark.createDataFrame([(f"{b}1", date(2001, 1, 2), "R", None, "0", "1", 3, "P1") for b in ("A001", "B001", "C001")], sheet)
+    routes = spark.createDataFrame([("P1", "north")], "sCollctID string, sRouteNme string")
+    branches = spark.createDataFrame([("A001", "Main"), ("A001", "Old"), ("A001", "Main"), ("B001", None), (None, "x")], "sBranchCd string, sBranchNm string")
+    got = collections.collection_master(sheets, people(spark), routes, branches)
+    assert rows(got, "sTransNox", "sBranchNm") == [("A0011", "Main"), ("A0011", "Main"), ("A0011", "Old"), ("B0011", None), ("C0011", None)]
+    plan = plan_without_broadcast(spark, lambda: collections.collection_master(sheets, people(spark), routes, branches))
+    assert plan.index("Generate") < plan.index("Join")  # the top of the plan comes first
+
+
 def test_branch_names_come_last_to_a_profile(spark):
     """A code with several names multiplies accounts only when they have been shuffled for all else."""
     from checks.views import Tables
