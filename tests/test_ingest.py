@@ -267,3 +267,15 @@ def test_a_pull_from_the_manifest(spark):
     assert rows(done.incoming, "sFileName", "cTranStat") == [("f", "2"), ("g", "1"), ("h", "0")]
     assert rows(done.log, "sTransNox") == [("A1",), ("A2",)]
     assert rows(done.errors, "sFileName", "sRefernox", "nErrorNox", "sDescript") == [("g", "A3", 1451, None)]
+
+
+def test_a_file_listed_often_is_joined_once(spark):
+    schema = "sFileName string, sMD5Hashx string"
+    own = spark.createDataFrame([("A", "x")] * 3 + [("A", "X"), ("B", None), ("B", None), (None, "n"), (None, "n"), ("D", "")], schema)
+    peer = spark.createDataFrame([("A", "X")] * 2 + [("A", "y"), ("C", "c"), ("C", "c"), (None, "n"), ("D", "d")], schema)
+    got = ingest.hash_reconcile(own, peer)
+    want = [("A", "match")] * 8 + [("A", "mismatch")] * 4 + [("B", "missing there")] * 2 + [("C", "missing here")] * 2
+    want += [("D", "no hash")] + [(None, "missing there")] * 2 + [(None, "missing here")]
+    assert sorted(map(str, rows(got))) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join FullOuter") < plan.index("Aggregate")
