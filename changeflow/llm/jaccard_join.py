@@ -9,7 +9,8 @@ sets that survive are verified on the whole sets.
 A tree over all points alone would compare a constant share of all pairs: the points of unrelated
 long texts lie close together. So sets are first dealt into buckets, exactly, by the same idea of groups: sets
 that reach the threshold differ in at most D elements, so when their hashes are cut into G > D groups, one
-group is equal as a whole, and they meet in the *bucket* of that group. Near copies meet in many buckets with nearly
+group is equal as a whole, and they meet in the *bucket* of that group. The D + 1 largest groups of a set suffice, and the
+smallest ones, which unrelated texts share by chance the more the more texts there are, make no bucket. Near copies meet in many buckets with nearly
 the same members, so buckets that share a set are one *pool*: every set lies in one pool at most, and every link
 inside a pool. Each pool is searched by R-trees, which are bulk-loaded: inner nodes halve their points at the coordinate
 that spreads most. All links come out of these trees.
@@ -46,6 +47,8 @@ from .common import _BASE, map_batches, mix, prepare, shingles_of, signed, text_
 COORDINATES = 64
 #: Ratio of neighbouring limits of the size classes.
 CLASS_RATIO = 1.5
+#: Groups of a class, as percent of the elements in which its sets may differ.
+SPARE = 115
 #: Points in a leaf; sets of a tile, and bytes of their hashes.
 LEAF, TILE, TILE_BYTES = 16, 4096, 32 << 20
 #: Links that one task joins by itself.
@@ -70,10 +73,11 @@ def most_different(total: int, percent: int) -> int:
 
 
 def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """One hash for each group of the set, in the classes in which it can be a pair's smaller set.
+    """One hash for each of the largest groups of the set, in the classes in which it can be a pair's smaller set.
 
     A pair belongs to the class of its smaller set. The larger one joins that class too if a partner
-    can be there.
+    can be there. Of D different elements none spoils more than one group, so of both sets' groups in order of size, the largest
+    first and equal sizes by number, the first equal one is among the first D + 1.
     """
     n, out = len(hashes), []
     own = int(size_class(n))
@@ -82,17 +86,19 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
         low, high = class_limits(k)
         if high < low:
             continue
-        groups = most_different(high + high * 100 // percent, percent) + 2
+        groups = most_different(high + high * 100 // percent, percent) * SPARE // 100 + 2
         group = ((hashes >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)
         edges = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         content = np.add.reduceat(mix(hashes), edges)
         of_class = np.uint64((k + 1) * int(_BASE) % 2**64)
         salt = mix(of_class + group[edges])
-        out.append(mix(content + salt))
         partner = n * 100 // percent if k == own else min(high, n)
-        if len(edges) <= most_different(n + partner, percent):
+        wanted = most_different(n + partner, percent) + 1
+        largest = np.argsort(-np.diff(np.append(edges, n)), kind="stable")[:wanted]
+        out.append(mix(content + salt)[largest])
+        if len(edges) < wanted:
             # So few groups have elements that the equal one may be empty in both sets.
-            empty = np.setdiff1d(np.arange(groups, dtype=np.uint64), group[edges])
+            empty = np.setdiff1d(np.arange(groups, dtype=np.uint64), group[edges])[: wanted - len(edges)]
             out.append(mix(mix(of_class + empty) ^ np.uint64(0x5BD1E995)))
     return np.concatenate(out)
 
@@ -308,15 +314,12 @@ def pools(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of sets (node, sigs) those that meet others: node, pool and the smallest set that it meets (``leader``), and the
     members (sig, node) of their buckets; both stored.
 
-    Signatures are counted first, summed in each task, and only those of several sets are looked at further. In a
-    bucket every set is tied to the smallest one, and what is tied together is a pool. The signatures of several sets grow with
-    the documents, so they are met by a shuffle at every size.
+    In a bucket every set is tied to the smallest one, and what is tied together is a pool. Signatures grow with the documents, so
+    they are met by a shuffle at every size, the only one of them all: counted and kept where they were dealt.
     """
-    signed_rows = rows.select("node", F.explode("sigs").alias("sig"))
-    several = settle(signed_rows.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig"))
-    met = signed_rows.join(several.hint("merge"), "sig", "left_semi")
-    # All in the one shuffle by signature.
-    members = settle(met.join(met.groupBy("sig").agg(F.min("node").alias("first")).hint("merge"), "sig").select("sig", "node", "first"))
+    dealt = rows.select("node", F.explode("sigs").alias("sig")).repartition("sig")
+    several = dealt.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1").select("sig", "first")
+    members = settle(dealt.join(several.hint("merge"), "sig").select("sig", "node", "first"))
     ties = settle(members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
     leaders = ties.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader"))
     pooled = components(ties).withColumnRenamed("component", "pool").join(leaders, "node", "left")

@@ -204,6 +204,19 @@ def test_sets_that_reach_the_threshold_share_a_signature():
                     assert one & other, (percent, n, lost, extra)
 
 
+def test_unrelated_sets_that_share_a_little_rarely_meet():
+    """Small groups, which agree by chance the more often the more sets there are, make no bucket."""
+    rng = np.random.default_rng(7)
+    common = rng.integers(0, 2**63, 30, dtype=np.uint64) * np.uint64(2)
+    own = [rng.integers(0, 2**63, 330, dtype=np.uint64) * np.uint64(2) for _ in range(150)]
+    told = [jaccard_join.signatures(np.sort(np.concatenate([common, x])), 80).tolist() for x in own]
+    # The sets that differ most are of 360 and 450 (its own class), and of 360 and 291 (the class below).
+    most = [jaccard_join.most_different(total, 80) + 1 for total in (810, 651)]
+    assert all(len(sigs) == len(set(sigs)) <= sum(most) for sigs in told)
+    met = sum(not set(a).isdisjoint(b) for i, a in enumerate(told) for b in told[:i])
+    assert met < 0.04 * len(own) * (len(own) - 1) / 2, met
+
+
 @pytest.mark.parametrize("most", [10**6, 7])
 def test_components_of_links(spark, monkeypatch, most):
     """Joined by one task and by many."""
