@@ -4,8 +4,10 @@ from pathlib import Path
 
 from changeflow.operators import ingest
 from changeflow.plans import pull
+from changeflow.schemas import CHANGE
 from changeflow.session import shared_folder
 from changeflow.sources import batches
+from changeflow.sources.runs import ZONES
 from changeflow.streaming import inbox
 from helpers import LOG, change, day, rows
 
@@ -238,6 +240,38 @@ def test_what_is_logged_does_not_depend_on_files(spark, tmp_path):
     assert found == [[("B1",)], [("B1",)]]
 
 
+def test_rows_behind_a_stop_are_not_stored(spark, tmp_path, monkeypatch):
+    """A batch is read for its stop by position; only kept rows are taken whole. What names no row, or no error, stops nothing."""
+    stored, settle = [], inbox.settle
+
+    def counted(df):
+        out = settle(df)
+        if "sStatemnt" in df.columns:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(inbox, "settle", counted)
+    stream = Arrivals(spark, tmp_path, files_per_batch=3)
+    stream.arrive(1, [("f", i, f"A{i}") for i in range(1, 7)])
+    stream.arrive(2, [("g", 1, "B1"), ("g", 2, "B2"), ("g", 3, "B3")])
+    stream.arrive(3, [("h", 1, "C1"), ("h", 2, "C2")])
+    codes = [("f", 4, 1451), ("f", 4, 1451), ("f", 6, 9), ("g", 2, 1062), ("g", 7, 1451), ("g", 1, None), ("g", 3, 0), ("h", 1, 5), ("x", 1, 5), (None, 1, 5)]
+    stream.errors(codes)
+    assert stream.run() == [("A1",), ("A2",), ("B1",), ("B3",)]
+    assert stored == [4]
+    assert rows(stream.job().open_batches(inbox.STEPS), "sFileName", "nDurablex") == [("f", 2), ("h", 0)]
+    stream.errors([c for c in codes if c[0] != "f"])
+    assert stream.run() == [*[(f"A{i}",) for i in range(1, 7)], ("B1",), ("B3",)]
+    assert stored == [4, 4]
+
+
+def test_a_new_stream_needs_no_python_worker(spark, tmp_path):
+    job = Arrivals(spark, tmp_path).job()
+    for table, schema in ((job.open_batches(0), inbox.OPEN), (job.log.zones(), ZONES), (job.log.rows(), CHANGE.simpleString())):
+        assert table.isEmpty() and table.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+        assert "RDD" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_the_stream_leaves_no_settled_folder(spark, tmp_path):
     stream = Arrivals(spark, tmp_path)
     stream.arrive(1, [("f", 1, "A1")])

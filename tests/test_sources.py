@@ -67,6 +67,17 @@ def test_batches_survive_the_round_trip(spark, tmp_path, layout):
     assert len(sizes) >= 6 and all(float(s) > 0 for s in sizes)
 
 
+def test_gathered_rows_are_written_without_a_shuffle(spark, tmp_path):
+    log = spark.createDataFrame([change(f"{b}{i:05d}") for b in ("A001", "B001") for i in range(200)], LOG)
+    data = dense_position(log.withColumn("sFileName", F.concat(F.substring("sTransNox", 1, 4), F.lit("2001"))), ["sFileName"], "sTransNox")
+    found = {}
+    for name, how in {"gathered": {"gathered": True}, "fast": {"gathered": True, "level": "BEST_SPEED"}, "plain": {}}.items():
+        batches.write_change_batch(data, str(tmp_path / name), **how)
+        assert rows(batches.read_change_lines(spark, str(tmp_path / name)), *data.columns) == rows(data)
+        found[name] = sum(float(r.sFileSize) for r in batches.file_summary(spark, str(tmp_path / name)).collect())
+    assert found["gathered"] < found["fast"]
+
+
 def test_requests_round_trip(spark, tmp_path):
     data = [("X", "NODE_A001", "", "A00107"), ("X", "NODE_B001", "B001", None)]
     schema = "sExportCd string, sClientID string, sExportFr string, sExportTr string"
