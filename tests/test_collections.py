@@ -159,3 +159,45 @@ def test_branch_names_come_last_to_a_profile(spark):
     assert rows(late()) == rows(early) and late().count() > 0
     plan = plan_without_broadcast(spark, late)
     assert plan.split("SortMergeJoin")[1].lstrip().startswith("[sBranchCd")
+
+
+def test_an_account_meets_its_branch_once_and_has_a_row_for_each_name(spark):
+    """The names of a code come as one list, after the texts of client and route, which no other join shuffles."""
+
+    def table(columns, *data):
+        return spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns.split()))
+
+    accounts = table(
+        "sAcctNmbr sClientID sApplicNo sSerialID sRouteIDx sCoCltID1 sCoCltID2 cLoanType cAcctStat",
+        *((f"a{i}", "P1", "L1", "S1", r, "P2", None, "1", "0") for i, r in enumerate(("R1", "R2", "R3", "R4", "R9", None))),
+        ("a6", "P9", "L1", "S1", "R1", "P2", None, "1", "0"), ("a7", "P1", "L1", "S1", "R1", "P2", None, "4", "0"),
+    )
+    clients = table(
+        "sClientID sLastName sFrstName sSuffixNm sMiddName sAddressx sTownIDxx sBrgyIDxx",
+        ("P1", "D", "J", None, "M", "St", "T1", "B1"), ("P2", "E", "K", "Jr", "N", "St", "T1", "B1"),
+    )
+    towns, provinces = table("sTownIDxx sTownName sZippCode sProvIDxx", ("T1", "Town", "1", "V1")), table("sProvIDxx sProvName", ("V1", "Prov"))
+    serials, models = table("sSerialID sEngineNo sFrameNox sModelIDx sColorIDx", ("S1", "E", "F", "M1", "C1")), table("sModelIDx sModelNme sBrandIDx", ("M1", "Mod", "B1"))
+    brands, colors = table("sBrandIDx sBrandNme", ("B1", "Make")), table("sColorIDx sColorNme", ("C1", "Red"))
+    spots = spark.createDataFrame([("P1", 1.0, 2.0)], "sClientID string, nLatitude double, nLongitud double")
+    routes = table(
+        "sRouteIDx sRouteNme xCollectr xManagerx zCollectr zManagerx sBranchCd",
+        *((f"R{i}", f"north {i}", None, None, None, None, b) for i, b in enumerate(("A001", "B001", "X001", None), 1)),
+    )
+    branches = table("sBranchCd sBranchNm", ("A001", "Main"), ("A001", "Old"), ("A001", "Main"), ("A001", None), ("B001", None), (None, "x"))
+
+    def profile():
+        return collections.account_profile(
+            accounts, clients, towns, provinces, serials, models, brands, colors, table("sTransNox", ("L1",)), spots, routes, branches
+        )
+
+    assert rows(profile(), "sAcctNmbr", "sRouteNme", "xCBranchx", "xFullName", "xCoCltNm1", "xModelNme", "nLatitude") == [
+        (a, r, b, "D, J M", "E, K Jr N", "Make Mod", 1.0)
+        for a, r, b in (
+            ("a0", "north 1", None), ("a0", "north 1", "Main"), ("a0", "north 1", "Main"), ("a0", "north 1", "Old"),
+            ("a1", "north 2", None), ("a2", "north 3", None), ("a3", "north 4", None), ("a4", None, None), ("a5", None, None),
+        )
+    ]
+    first, *joins = plan_without_broadcast(spark, profile).split("SortMergeJoin [")  # the top of the plan comes first
+    assert "Generate" in first
+    assert [j.split("#")[0] for j in joins[:5]] == ["sBranchCd", "sRouteIDx", "sClientID", "sClientID", "sSerialID"]
